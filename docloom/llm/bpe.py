@@ -2,8 +2,8 @@
 
 The symbols of many words lie in one flat array. In a round the rank of each neighbouring pair is found by binary
 search over the sorted pair keys, each word's lowest rank by a segmented minimum, and all occurrences of that pair in
-the word are merged, leftmost first. Words without a pair left leave the array. A task remembers the ids of units it
-has met, so only new words go through the rounds.
+the word are merged, leftmost first. Words without a pair left leave the array. A Python worker remembers the ids of
+units it has met, so only new words go through the rounds.
 
 Edge cases: null texts are empty, empty texts have no ids; the vocabulary's special strings inside a text get their
 own id, as the library does by default; rows are kept as they are, repeated or not; other columns are ignored.
@@ -115,11 +115,17 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@functools.cache
+def memos_of(path: str) -> tuple[dict[str, bytes], dict[str, bytes]]:
+    """Ids of the units and of the pre-tokens that this Python worker has met, for one tokenizer."""
+    return {}, {}
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit integers."""
 
     def __init__(self, path: str):
-        self.vocab, self.memo, self.words = vocabulary(path), {}, {}
+        self.vocab, (self.memo, self.words) = vocabulary(path), memos_of(path)
 
     def _learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.words]

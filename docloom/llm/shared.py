@@ -79,12 +79,12 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
 
 
 def map_chunks(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str, text: str = "text") -> DataFrame:
-    """`fn` over bounded chunks of the rows; it returns the columns of its result as arrays."""
+    """`fn` over chunks of the rows, bounded by the bytes of column `text` (if ""; by Arrow's batches); it returns the columns of its result."""
     struct = T.StructType.fromDDL(schema)
     target = arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, text):
+        for chunk in chunks(batches, text) if text else (b for b in batches if b.num_rows):
             out = fn(chunk)
             if out is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in target], schema=target)

@@ -28,8 +28,8 @@ from docloom.llm.shared import documents, id_and_text, map_chunks, scratch, text
 
 CACHE = "tokenizer string, digest binary, n_bytes long, n_tokens long"
 
-#: Entries of a task's memo of units; beyond it the memo starts anew.
-MEMO = 1_000_000
+#: Entries of a Python worker's memo of units; beyond it the memo starts anew.
+MEMO = 1_200_000
 
 
 @functools.cache
@@ -54,11 +54,17 @@ def version(path: str) -> str:
         return hashlib.sha256(f.read()).hexdigest()
 
 
+@functools.cache
+def memo_of(path: str) -> dict[str, int]:
+    """Counts of the units that this Python worker has met, for one tokenizer."""
+    return {}
+
+
 class Counter:
     """Counts of texts; a unit that was met before is not encoded again."""
 
     def __init__(self, path: str):
-        self.path, self.memo = path, {}
+        self.path, self.memo = path, memo_of(path)
 
     def __call__(self, texts: list[str]) -> list[int]:
         encode, memo, odd = library(self.path).encode_batch_fast, self.memo, specials(self.path)
