@@ -5,8 +5,9 @@ from __future__ import annotations
 from docloom.llm.audio import op7_audio_features
 from docloom.llm.bpe import op3_bpe_encoding
 from docloom.llm.packing import op6_packing
+from docloom.llm.rules import op2_adaptive_rules
 from docloom.llm.sharding import op5_ring_sharding
 from docloom.llm.token_counts import op10_token_counts
 
-QUERIES = {f.__name__: f for f in (op3_bpe_encoding, op5_ring_sharding, op6_packing, op7_audio_features, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_adaptive_rules, op3_bpe_encoding, op5_ring_sharding, op6_packing, op7_audio_features, op10_token_counts)}
 ORACLE: dict[str, str] = {}

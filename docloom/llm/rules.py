@@ -27,7 +27,7 @@ REACH = 6
 #: ratio -> (numerator, denominator, least spread in thousandths, sides on which it fails)
 RATIOS = {
     "symbols": ("n_symbols", "n_words", 25, "high"),
-    "dup_lines": ("n_dup_lines", "n_lines", 25, "high"),
+    "dup_lines": ("n_dup_lines", "n_lines", 60, "high"),
     "repeats": ("n_repeat_words", "n_words", 25, "high"),
     "word_length": ("word_chars", "n_words", 400, "both"),
 }
