@@ -192,7 +192,7 @@ def keyed(texts: DataFrame, parts: int, labelled: bool = False) -> DataFrame:
         if labelled:
             records += [np.frombuffer(b"".join(chunk.column("root").to_pylist()), np.uint8).reshape(-1, 16), sketches(found, first)]
         keys, flags, which = all_keys(found, first, first_of(nodes))
-        return packed(keys, flags, which, np.hstack(records), parts) if len(keys) else None
+        return packed(keys, flags.astype(np.uint8), which, np.hstack(records), parts) if len(keys) else None
 
     return map_chunks(texts, run, BLOCKS)
 

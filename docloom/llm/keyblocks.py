@@ -1,9 +1,10 @@
 """Compact shuffles of hashed keys: what many documents emit for a partition travels as a few byte strings.
 
 A mapper turns a chunk of documents into (key, document) rows; the rows of each target partition become one Spark row:
-the low five bytes of the keys, a flag for each, and per document a count and a fixed-width record. Spark deals these
+the low bytes of the keys, a small value for each, and per document a count and a fixed-width record. Spark deals these
 rows by partition number, so all rows of a key meet in one task, as flat numpy arrays. A partition's size is the total
-over the number of partitions, which `deal` raises with the data.
+over the number of partitions, which `number_of_parts` raises with the data. Rows without counts are replies that a
+mapper could give by itself: they pass through (document's record, values).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,19 +33,13 @@ def fixed(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
-def as_matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Binary values of one width as a byte matrix."""
-    data = b"".join(column.to_pylist())
-    return np.frombuffer(data, np.uint8).reshape(len(column), width)
-
-
-def packed(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, parts: int) -> dict[str, list]:
-    """Columns of BLOCKS for key rows; `docs` gives each row's line of `records`."""
+def packed(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, parts: int, key_bytes: int = KEY_BYTES) -> dict[str, list]:
+    """Columns of BLOCKS for key rows; `docs` gives each row's line of `records`, whose rows come in order."""
     part = (keys >> np.uint64(40)) % np.uint64(parts)
     order = np.argsort(part.astype(np.uint16 if parts < 1 << 16 else np.uint32), kind="stable")
     part, docs = part[order].astype(np.int64), docs[order]
-    five = np.ascontiguousarray(keys[order].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
-    flags = flags[order].astype(np.uint8).tobytes()
+    low = np.ascontiguousarray(keys[order].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :key_bytes].tobytes()
+    small, wide = flags[order].tobytes(), flags.itemsize
     run = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (docs[1:] != docs[:-1])]) if len(part) else np.zeros(0, np.int64)
     counts = np.diff(np.r_[run, len(part)]).astype("<u4").tobytes()
     own, width = records[docs[run]].tobytes(), records.shape[1]
@@ -51,44 +47,62 @@ def packed(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.nd
     ends, runs = np.r_[first, len(part)].tolist(), np.searchsorted(run, np.r_[first, len(part)]).tolist()
     spans = list(zip(ends, ends[1:], runs, runs[1:]))
     return {
-        "part": part[first],
-        "keys": [five[KEY_BYTES * a : KEY_BYTES * b] for a, b, _, _ in spans],
-        "flags": [flags[a:b] for a, b, _, _ in spans],
+        "part": part[first].tolist(),
+        "keys": [low[key_bytes * a : key_bytes * b] for a, b, _, _ in spans],
+        "flags": [small[wide * a : wide * b] for a, b, _, _ in spans],
         "counts": [counts[4 * a : 4 * b] for _, _, a, b in spans],
         "records": [own[width * a : width * b] for _, _, a, b in spans],
     }
 
 
-def unpacked(batches: Iterator[pa.RecordBatch], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+def runs_of(records: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """(a record of each, its values as little-endian 64-bit integers) for runs of equal records."""
+    start = np.flatnonzero(np.r_[True, (records[1:] != records[:-1]).any(axis=1)])
+    raw, ends = values.astype("<u8").tobytes(), np.r_[start, len(records)].tolist()
+    return records[start], [raw[8 * a : 8 * b] for a, b in zip(ends, ends[1:])]
+
+
+def with_replies(columns: dict[str, list], records: np.ndarray, values: np.ndarray, parts: int) -> dict[str, list]:
+    """Columns of BLOCKS with replies added, dealt evenly."""
+    own, found = runs_of(records, values)
+    n = len(found)
+    extra = {"part": (np.arange(n) % parts).tolist(), "keys": found, "flags": [b""] * n, "counts": [b""] * n, "records": [x.tobytes() for x in own]}
+    return {c: columns[c] + extra[c] for c in columns}
+
+
+def unpacked(got: dict[str, list[bytes]], width: int, kind: str, key_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(keys, flags, docs, records) of a task's rows."""
-    got: dict[str, list[bytes]] = {c: [] for c in ("keys", "flags", "counts", "records")}
-    for batch in batches:
-        for c, into in got.items():
-            into += batch.column(c).to_pylist()
-    if not got["keys"]:
-        return None
-    five = np.frombuffer(b"".join(got.pop("keys")), np.uint8).reshape(-1, KEY_BYTES)
-    eight = np.zeros((len(five), 8), np.uint8)
-    eight[:, :KEY_BYTES] = five
+    low = np.frombuffer(b"".join(got["keys"]), np.uint8).reshape(-1, key_bytes)
+    eight = np.zeros((len(low), 8), np.uint8)
+    eight[:, :key_bytes] = low
     counts = np.frombuffer(b"".join(got["counts"]), "<u4")
     records = np.frombuffer(b"".join(got["records"]), np.uint8).reshape(-1, width)
-    return eight.view("<u8").ravel(), np.frombuffer(b"".join(got["flags"]), np.uint8), np.repeat(np.arange(len(counts)), counts), records
+    return eight.view("<u8").ravel(), np.frombuffer(b"".join(got["flags"]), kind), np.repeat(np.arange(len(counts)), counts), records
 
 
 def number_of_parts(df: DataFrame, keys: int) -> int:
     return max(partitions(df), -(-keys // PART_KEYS))
 
 
-def meet(blocks: DataFrame, parts: int, width: int, fn: Callable[..., dict | None], schema: str) -> DataFrame:
-    """`fn(keys, flags, docs, records)` in each partition; it returns the columns of its result."""
+def meet(blocks: DataFrame, parts: int, width: int, fn: Callable[..., dict | None], schema: str, kind: str = "u1", key_bytes: int = KEY_BYTES, reply: Callable[[list[bytes], list[bytes]], dict] | None = None) -> DataFrame:
+    """`fn(keys, flags, docs, records)` in each partition; it returns the columns of its result. `reply` makes them of (records, values) that pass through."""
     struct = T.StructType.fromDDL(schema)
     target = arrow_schema(struct)
 
+    def batch(out: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([x if isinstance(x := out[f.name], pa.Array) else pa.array(x, type=f.type) for f in target], schema=target)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = unpacked(batches, width)
-        out = fn(*got) if got is not None else None
+        got: dict[str, list[bytes]] = {c: [] for c in ("keys", "flags", "counts", "records")}
+        for rows in batches:
+            if reply is not None and (passed := rows.filter(pc.equal(pc.binary_length(rows.column("counts")), 0))).num_rows:
+                yield batch(reply(passed.column("records").to_pylist(), passed.column("keys").to_pylist()))
+                rows = rows.filter(pc.greater(pc.binary_length(rows.column("counts")), 0))
+            for c, into in got.items():
+                into += rows.column(c).to_pylist()
+        out = fn(*unpacked(got, width, kind, key_bytes)) if got["keys"] else None
         if out is not None:
-            whole = pa.RecordBatch.from_arrays([x if isinstance(x := out[f.name], pa.Array) else pa.array(x, type=f.type) for f in target], schema=target)
+            whole = batch(out)
             for a in range(0, whole.num_rows, 100_000):
                 yield whole.slice(a, 100_000)
 
