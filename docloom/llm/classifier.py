@@ -23,8 +23,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.rules import counted
-from docloom.llm.shared import documents, written
+from docloom.llm.rules import counted, with_counts
+from docloom.llm.shared import documents, names_of, written
 from docloom.llm.textstats import NAMES
 
 SAMPLE = 20_000
@@ -60,9 +60,9 @@ Condition = tuple[str, float, bool]
 Rule = tuple[Condition, ...]
 
 
-def feature(name: str) -> Column:
+def feature(name: str, prefix: str = "") -> Column:
     over, under = FEATURES[name]
-    return F.col(over).cast("double") if under is None else F.col(over) / F.greatest(F.col(under), F.lit(1))
+    return F.col(prefix + over).cast("double") if under is None else F.col(prefix + over) / F.greatest(F.col(prefix + under), F.lit(1))
 
 
 @dataclass(frozen=True)
@@ -72,13 +72,13 @@ class Ensemble:
     intercept: float
     rules: tuple[tuple[Rule, float], ...]
 
-    def column(self) -> Column:
-        """The score as an expression over columns named as the features."""
+    def column(self, prefix: str = "") -> Column:
+        """The score as an expression over columns named as the features, after a prefix."""
         odds = F.lit(self.intercept)
         for rule, weight in self.rules:
             holds = None
             for name, limit, above in rule:
-                one = F.col(name) > limit if above else F.col(name) <= limit
+                one = F.col(prefix + name) > limit if above else F.col(prefix + name) <= limit
                 holds = one if holds is None else holds & one
             odds = odds + F.when(holds, F.lit(weight)).otherwise(F.lit(0.0))
         return 1 / (1 + F.exp(-odds))
@@ -182,13 +182,26 @@ def train(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ensemble
     return fit(got[:, 2:], (got[:, 1] > 0).astype(np.float64), names)
 
 
+def statistics_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, features) of every row, written."""
+    counts = counted(docs, NAMES, id_col, text_col)
+    return written(counts.select("doc_id", *[feature(n).alias(n) for n in FEATURES]), "quality-statistics")
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row, by an ensemble trained on the labels."""
-    counts = counted(docs, NAMES, id_col, text_col)
-    stats = written(counts.select("doc_id", *[feature(n).alias(n) for n in FEATURES]), "quality-statistics")
+    stats = statistics_of(docs, id_col, text_col)
     scored = stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), train(stats, labels).column().alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, as they are, that the ensemble doesn't reject. Texts are counted again where they lie, so they need no join."""
+    ensemble = train(statistics_of(docs, id_col, text_col), labels)
+    rows, own = with_counts(docs, NAMES, text_col)
+    rows = rows.select(*names_of(docs), *[feature(n, own).alias(f"{own}f_{n}") for n in FEATURES])
+    return rows.where(ensemble.column(f"{own}f_") >= threshold).select(*names_of(docs))
+
+
 def op1_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))

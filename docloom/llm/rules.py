@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.shared import documents, map_chunks, written
+from docloom.llm.shared import annotated, documents, map_chunks, names_of, written
 from docloom.llm.textstats import statistics
 
 LEAST_ROWS = 200
@@ -45,9 +45,26 @@ def counted(docs: DataFrame, names: list[str], id_col: str = "doc_id", text_col:
     return map_chunks(rows, run, ", ".join(["doc_id long", *[f"{c} string" for c in extra], *[f"{c} long" for c in names]]))
 
 
-def ratio(name: str) -> Column:
+def with_counts(docs: DataFrame, names: list[str], text_col: str = "text") -> tuple[DataFrame, str]:
+    """(every row with all its columns and the named statistics of its text, the prefix of their names)."""
+    return annotated(docs, lambda chunk: statistics(chunk.column(chunk.schema.get_field_index(text_col))), ", ".join(f"{c} long" for c in names), text_col)
+
+
+def ratio(name: str, prefix: str = "") -> Column:
     over, under, _, _ = RATIOS[name]
-    return F.when(F.col(under) > 0, F.floor(F.col(over) * 1000 / F.col(under))).otherwise(F.lit(0)).cast("long")
+    over, under = F.col(prefix + over), F.col(prefix + under)
+    return F.when(under > 0, F.floor(over * 1000 / under)).otherwise(F.lit(0)).cast("long")
+
+
+def base_fails(prefix: str = "") -> Column:
+    words = F.col(f"{prefix}n_words")
+    return (words < 20) | (100 * F.col(f"{prefix}n_repeat_words") > 30 * words)
+
+
+def beyond(prefix: str = "") -> Column:
+    """The names of the ratios beyond their limits."""
+    over = [F.when((ratio(r, prefix) > F.col(f"{prefix}{r}_high")) | (ratio(r, prefix) < F.col(f"{prefix}{r}_low")), F.lit(r)) for r in RATIOS]
+    return F.array_compact(F.array(*over))
 
 
 def bucket(value: Column) -> Column:
@@ -90,18 +107,29 @@ def limits(sketches: DataFrame) -> DataFrame:
     return found.groupBy("lang", "source").agg(*cells)
 
 
+def counted_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    renamed = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"), docs[source_col].alias("source"))
+    return written(counted(renamed, COUNTS, extra=("lang", "source")).withColumn("base_failed", base_fails()), "rule-counts")
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """A row for each row: the counts, base_failed, kept, and each ratio's verdict in `failed` (names of the ratios beyond their limits)."""
-    renamed = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"), docs[source_col].alias("source"))
-    base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    rows = written(counted(renamed, COUNTS, extra=("lang", "source")).withColumn("base_failed", base), "rule-counts")
-    found = limits(sketch(rows.where("not base_failed"), ["lang", "source"]))
-    judged = rows.join(found, ["lang", "source"], "left")
-    beyond = [F.when((ratio(r) > F.col(f"{r}_high")) | (ratio(r) < F.col(f"{r}_low")), F.lit(r)) for r in RATIOS]
-    judged = judged.withColumn("failed", F.array_compact(F.array(*beyond)))
+    rows = counted_rows(docs, id_col, text_col, lang_col, source_col)
+    judged = rows.join(limits(sketch(rows.where("not base_failed"), ["lang", "source"])), ["lang", "source"], "left").withColumn("failed", beyond())
     kept = ~F.col("base_failed") & (F.size("failed") == 0)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "failed")
 
 
+def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The rows, as they are, that the rules keep. Texts are counted again where they lie, so only the limits are joined."""
+    counts = counted_rows(docs, id_col, text_col, lang_col, source_col)
+    found = limits(sketch(counts.where("not base_failed"), ["lang", "source"]))
+    rows, own = with_counts(docs, COUNTS, text_col)
+    found = found.select(*[F.col(c).alias(own + c) for c in found.columns])
+    empty = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+    judged = rows.join(found, (empty(lang_col) == F.col(f"{own}lang")) & (empty(source_col) == F.col(f"{own}source")), "left")
+    return judged.where(~base_fails(own) & (F.size(beyond(own)) == 0)).select(*names_of(docs))
+
+
 def op2_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).drop("failed")

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,6 +92,29 @@ def map_chunks(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schem
     return df.mapInArrow(run, struct)
 
 
+def annotated(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text") -> tuple[DataFrame, str]:
+    """(every row with all its columns and those that `fn` computes of its chunk, the prefix that sets the new names apart)."""
+    prefix = "own_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix = "_" + prefix
+    added = T.StructType([T.StructField(prefix + f.name, f.dataType) for f in T.StructType.fromDDL(schema).fields])
+    struct = T.StructType([*df.schema.fields, *added.fields])
+    target = arrow_schema(struct)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches, text):
+            out = fn(chunk)
+            new = [pa.array(out[f.name.removeprefix(prefix)], type=target.field(f.name).type) for f in added.fields]
+            yield pa.RecordBatch.from_arrays([*chunk.columns, *new], schema=pa.schema([*chunk.schema, *[target.field(f.name) for f in added.fields]]))
+
+    return df.mapInArrow(run, struct), prefix
+
+
+def names_of(df: DataFrame) -> list[Column]:
+    """The frame's columns, whatever their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def partitions(df: DataFrame) -> int:
     """The session's number of shuffle partitions."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
