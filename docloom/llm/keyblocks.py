@@ -3,8 +3,11 @@
 A mapper turns a chunk of documents into (key, document) rows; the rows of each target partition become one Spark row:
 the low bytes of the keys, a small value for each, and per document a count and a fixed-width record. Spark deals these
 rows by partition number, so all rows of a key meet in one task, as flat numpy arrays. A partition's size is the total
-over the number of partitions, which `number_of_parts` raises with the data. Rows without counts are replies that a
-mapper could give by itself: they pass through (document's record, values).
+over the number of partitions, which `number_of_parts` sets by the data.
+
+Replies to documents travel in the same form, dealt by document, their values in place of the keys and without flags:
+a row for each pair of partitions, not for each document. Those that a mapper can give by itself go with its keys and
+pass through.
 """
 
 from __future__ import annotations
@@ -18,11 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.llm.shared import arrow_schema, partitions
+from docloom.llm.shared import arrow_schema
+from docloom.llm.wordflow import mixed
 
 BLOCKS = "part int, keys binary, flags binary, counts binary, records binary"
-#: Keys of a partition, about.
-PART_KEYS = 4_000_000
+#: Keys of a partition, about. Fewer and fuller partitions than the session's: a document's record goes to each of them.
+PART_KEYS, LEAST_PARTS = 3_000_000, 8
 KEY_BYTES = 5
 
 
@@ -33,13 +37,13 @@ def fixed(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
-def packed(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, parts: int, key_bytes: int = KEY_BYTES) -> dict[str, list]:
-    """Columns of BLOCKS for key rows; `docs` gives each row's line of `records`, whose rows come in order."""
-    part = (keys >> np.uint64(40)) % np.uint64(parts)
+def packed(keys: np.ndarray, flags: np.ndarray | None, docs: np.ndarray, records: np.ndarray, parts: int, key_bytes: int = KEY_BYTES, part: np.ndarray | None = None) -> dict[str, list]:
+    """Columns of BLOCKS for key rows; `docs` gives each row's line of `records`, whose rows come in order. `part`: where to, if the key doesn't say; keys can then be a byte matrix."""
+    part = (keys >> np.uint64(40)) % np.uint64(parts) if part is None else part
     order = np.argsort(part.astype(np.uint16 if parts < 1 << 16 else np.uint32), kind="stable")
     part, docs = part[order].astype(np.int64), docs[order]
-    low = np.ascontiguousarray(keys[order].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :key_bytes].tobytes()
-    small, wide = flags[order].tobytes(), flags.itemsize
+    low = (keys[order] if keys.ndim == 2 else np.ascontiguousarray(keys[order].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :key_bytes]).tobytes()
+    small, wide = (flags[order].tobytes(), flags.itemsize) if flags is not None else (b"", 0)
     run = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (docs[1:] != docs[:-1])]) if len(part) else np.zeros(0, np.int64)
     counts = np.diff(np.r_[run, len(part)]).astype("<u4").tobytes()
     own, width = records[docs[run]].tobytes(), records.shape[1]
@@ -55,54 +59,51 @@ def packed(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.nd
     }
 
 
-def runs_of(records: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """(a record of each, its values as little-endian 64-bit integers) for runs of equal records."""
-    start = np.flatnonzero(np.r_[True, (records[1:] != records[:-1]).any(axis=1)])
-    raw, ends = values.astype("<u8").tobytes(), np.r_[start, len(records)].tolist()
-    return records[start], [raw[8 * a : 8 * b] for a, b in zip(ends, ends[1:])]
+def replies(values: np.ndarray, docs: np.ndarray, records: np.ndarray, parts: int, width: int) -> dict[str, list]:
+    """Columns of BLOCKS that tell documents values of `width` bytes (integers, or rows of a byte matrix)."""
+    order = np.argsort(docs, kind="stable")
+    lead = np.ascontiguousarray(records[:, :8]).view("<u8").ravel()
+    to = mixed(lead) % np.uint64(parts)
+    return packed(values[order] if values.ndim == 2 else values[order].astype(np.uint64), None, docs[order], records, parts, width, to[docs[order]])
 
 
-def with_replies(columns: dict[str, list], records: np.ndarray, values: np.ndarray, parts: int) -> dict[str, list]:
-    """Columns of BLOCKS with replies added, dealt evenly."""
-    own, found = runs_of(records, values)
-    n = len(found)
-    extra = {"part": (np.arange(n) % parts).tolist(), "keys": found, "flags": [b""] * n, "counts": [b""] * n, "records": [x.tobytes() for x in own]}
-    return {c: columns[c] + extra[c] for c in columns}
+def both(a: dict[str, list], b: dict[str, list]) -> dict[str, list]:
+    return {c: a[c] + b[c] for c in a}
 
 
 def unpacked(got: dict[str, list[bytes]], width: int, kind: str, key_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, flags, docs, records) of a task's rows."""
+    """(keys, flags, docs, records) of a task's rows; keys of over 8 bytes stay a byte matrix."""
     low = np.frombuffer(b"".join(got["keys"]), np.uint8).reshape(-1, key_bytes)
-    eight = np.zeros((len(low), 8), np.uint8)
-    eight[:, :key_bytes] = low
+    if key_bytes <= 8:
+        eight = np.zeros((len(low), 8), np.uint8)
+        eight[:, :key_bytes] = low
+        low = eight.view("<u8").ravel()
     counts = np.frombuffer(b"".join(got["counts"]), "<u4")
     records = np.frombuffer(b"".join(got["records"]), np.uint8).reshape(-1, width)
-    return eight.view("<u8").ravel(), np.frombuffer(b"".join(got["flags"]), kind), np.repeat(np.arange(len(counts)), counts), records
+    return low, np.frombuffer(b"".join(got["flags"]), kind), np.repeat(np.arange(len(counts)), counts), records
 
 
-def number_of_parts(df: DataFrame, keys: int) -> int:
-    return max(partitions(df), -(-keys // PART_KEYS))
+def number_of_parts(keys: int) -> int:
+    return max(LEAST_PARTS, -(-keys // PART_KEYS))
 
 
-def meet(blocks: DataFrame, parts: int, width: int, fn: Callable[..., dict | None], schema: str, kind: str = "u1", key_bytes: int = KEY_BYTES, reply: Callable[[list[bytes], list[bytes]], dict] | None = None) -> DataFrame:
-    """`fn(keys, flags, docs, records)` in each partition; it returns the columns of its result. `reply` makes them of (records, values) that pass through."""
+def meet(blocks: DataFrame, parts: int, width: int, fn: Callable[..., dict | None], schema: str, kind: str = "u1", key_bytes: int = KEY_BYTES, forward: bool = False) -> DataFrame:
+    """`fn(keys, flags, docs, records)` in each partition; it returns the columns of its result. With `forward`, replies among the blocks pass through."""
     struct = T.StructType.fromDDL(schema)
     target = arrow_schema(struct)
 
-    def batch(out: dict) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([x if isinstance(x := out[f.name], pa.Array) else pa.array(x, type=f.type) for f in target], schema=target)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[str, list[bytes]] = {c: [] for c in ("keys", "flags", "counts", "records")}
         for rows in batches:
-            if reply is not None and (passed := rows.filter(pc.equal(pc.binary_length(rows.column("counts")), 0))).num_rows:
-                yield batch(reply(passed.column("records").to_pylist(), passed.column("keys").to_pylist()))
-                rows = rows.filter(pc.greater(pc.binary_length(rows.column("counts")), 0))
+            if forward:
+                own = pc.greater(pc.binary_length(rows.column("flags")), 0)
+                yield rows.filter(pc.invert(own))
+                rows = rows.filter(own)
             for c, into in got.items():
                 into += rows.column(c).to_pylist()
         out = fn(*unpacked(got, width, kind, key_bytes)) if got["keys"] else None
         if out is not None:
-            whole = batch(out)
+            whole = pa.RecordBatch.from_arrays([x if isinstance(x := out[f.name], pa.Array) else pa.array(x, type=f.type) for f in target], schema=target)
             for a in range(0, whole.num_rows, 100_000):
                 yield whole.slice(a, 100_000)
 

@@ -25,11 +25,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.keyblocks import BLOCKS, KEY_BYTES, meet, number_of_parts, packed, runs_of, with_replies
-from docloom.llm.shared import documents, flat_text, id_and_text, map_chunks, written
+from docloom.llm.keyblocks import BLOCKS, KEY_BYTES, both, meet, number_of_parts, packed, replies
+from docloom.llm.shared import annotated, documents, flat_text, map_chunks, names_of, written
 from docloom.llm.wordflow import bounds, fits, mixed, windows, word_hashes
 
 WINDOW, PERIOD = 20, 13
@@ -40,7 +40,8 @@ _SALT = np.uint64(0x8CB92BA72F3D8DD7)
 LAST_ID = np.iinfo(np.int64).max
 #: A document in blocks: its id, and a hash of its text to tell rows of one id apart.
 RECORD = 12
-REPLY = "doc_id long, mark int, found binary"
+FOUND = "doc_id long, mark int, found binary"
+START_BYTES = 4
 REPEATS = 1
 
 
@@ -69,11 +70,8 @@ def ids_of(records: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(records[:, :8]).view("<i8").ravel()
 
 
-def replied(records: np.ndarray | list[bytes], found: list[bytes]) -> dict:
-    """Columns of REPLY."""
-    if isinstance(records, list):
-        records = np.frombuffer(b"".join(records), np.uint8).reshape(-1, RECORD)
-    return {"doc_id": ids_of(records), "mark": np.ascontiguousarray(records[:, 8:]).view("<i4").ravel(), "found": found}
+def ids_and_marks(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return ids_of(records), np.ascontiguousarray(records[:, 8:]).view("<i4").ravel()
 
 
 def anchor_keys(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,9 +90,35 @@ def groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[np.r_[True, ~same]] if len(order) else order, again
 
 
+def gathered(blocks: DataFrame, parts: int, width: int) -> DataFrame:
+    """One row per document with the distinct values that it was told, `width` bytes each; its own text bounds them."""
+
+    def met(values: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict:
+        ids, marks = ids_and_marks(records)
+        ids, marks = ids[docs], marks[docs]
+        order = np.lexsort((values, marks, ids))
+        ids, marks, values = ids[order], marks[order], values[order]
+        other = (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])
+        keep = np.r_[True, other | (values[1:] != values[:-1])]
+        ids, marks, values = ids[keep], marks[keep], values[keep]
+        start = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])])
+        raw = np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+        ends = np.r_[start, len(ids)].tolist()
+        return {"doc_id": ids[start], "mark": marks[start], "found": [raw[width * a : width * b] for a, b in zip(ends, ends[1:])]}
+
+    return meet(blocks, parts, RECORD, met, FOUND, key_bytes=width)
+
+
+def values_of(cell: bytes | None, width: int) -> np.ndarray:
+    """The values of a `found`, ascending."""
+    own = np.frombuffer(cell or b"", np.uint8).reshape(-1, width)
+    eight = np.zeros((len(own), 8), np.uint8)
+    eight[:, :width] = own
+    return eight.view("<u8").ravel()
+
+
 def anchored(texts: DataFrame, parts: int) -> DataFrame:
-    """Step 1: REPLY rows, `found` holding the keys (their low bytes) of a document's anchors that occur twice."""
-    low = np.uint64((1 << (8 * KEY_BYTES)) - 1)
+    """Step 1: FOUND rows with the keys (their low bytes) of a document's anchors that occur twice."""
 
     def run(chunk: pa.RecordBatch) -> dict | None:
         w, records = Words(chunk.column("text")), records_of(chunk)
@@ -104,26 +128,17 @@ def anchored(texts: DataFrame, parts: int) -> DataFrame:
         first, again = groups(key)
         first.sort()
         out = packed(key[first], again[first].astype(np.uint8) * REPEATS, text[first], records, parts)
-        return with_replies(out, records[text[again]], key[again] & low, parts) if again.any() else out
+        return both(out, replies(key[again], text[again], records, parts, KEY_BYTES))
 
     def met(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict | None:
         _, again = groups(keys)
         tell = np.flatnonzero(again & (flags != REPEATS))
-        return replied(*runs_of(records[docs[tell]], keys[tell])) if len(tell) else None
-
-    return meet(map_chunks(texts, run, BLOCKS), parts, RECORD, met, REPLY, reply=replied)
-
-
-def gathered(replies: DataFrame) -> DataFrame:
-    """One row per document with all its replies, which its own text bounds."""
-    return replies.groupBy("doc_id", "mark").agg(F.collect_list("found").alias("found"))
-
+        return replies(keys[tell], docs[tell], records, parts, KEY_BYTES) if len(tell) else None
 
-def _values(cell: list[bytes] | None) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(cell), "<u8")) if cell else np.zeros(0, np.uint64)
+    return gathered(meet(map_chunks(texts, run, BLOCKS), parts, RECORD, met, BLOCKS, forward=True), parts, KEY_BYTES)
 
 
-def candidates(w: Words, found: list[list[bytes] | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def candidates(w: Words, found: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, start, key) of the windows that hold an anchor told of."""
     text, start, key = anchor_keys(w)
     low = key & np.uint64((1 << (8 * KEY_BYTES)) - 1)
@@ -131,7 +146,7 @@ def candidates(w: Words, found: list[list[bytes] | None]) -> tuple[np.ndarray, n
     begin = np.searchsorted(text, np.arange(len(w.counts) + 1)).tolist()
     for k, cell in enumerate(found):
         if cell:
-            own, told = low[begin[k] : begin[k + 1]], _values(cell)
+            own, told = low[begin[k] : begin[k + 1]], values_of(cell, KEY_BYTES)
             hit[begin[k] : begin[k + 1]] = told[np.minimum(np.searchsorted(told, own), len(told) - 1)] == own
     text, start = text[hit], start[hit]
     size = len(w.hashes) + 1
@@ -153,7 +168,7 @@ def later(ids: np.ndarray, starts: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def repeated(texts: DataFrame, parts: int) -> DataFrame:
-    """Step 2: REPLY rows, `found` holding the starts of a document's windows that occur earlier."""
+    """Step 2: FOUND rows with the starts of a document's windows that occur earlier."""
 
     def run(chunk: pa.RecordBatch) -> dict | None:
         w, records = Words(chunk.column("text")), records_of(chunk)
@@ -162,21 +177,21 @@ def repeated(texts: DataFrame, parts: int) -> DataFrame:
             return None
         late = later(ids_of(records)[text], start, key)
         out = packed(key[~late], start[~late].astype("<u4"), text[~late], records, parts, key_bytes=8)
-        return with_replies(out, records[text[late]], start[late], parts) if late.any() else out
+        return both(out, replies(start[late], text[late], records, parts, START_BYTES))
 
     def met(keys: np.ndarray, starts: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict | None:
         late = np.flatnonzero(later(ids_of(records)[docs], starts, keys))
-        return replied(*runs_of(records[docs[late]], starts[late])) if len(late) else None
+        return replies(starts[late], docs[late], records, parts, START_BYTES) if len(late) else None
 
-    return meet(map_chunks(texts, run, BLOCKS), parts, RECORD, met, REPLY, kind="<u4", key_bytes=8, reply=replied)
+    return gathered(meet(map_chunks(texts, run, BLOCKS), parts, RECORD, met, BLOCKS, kind="<u4", key_bytes=8, forward=True), parts, START_BYTES)
 
 
-def kept_words(w: Words, found: list[list[bytes] | None]) -> tuple[list[int], list[bytes]]:
+def kept_words(w: Words, found: list[bytes | None]) -> tuple[list[int], list[bytes]]:
     """(words removed, what is left joined by one blank) of each text."""
     change = np.zeros(len(w.hashes) + 1, np.int64)
     for k, cell in enumerate(found):
         if cell:
-            at = _values(cell).astype(np.int64) + w.first[k]
+            at = values_of(cell, START_BYTES).astype(np.int64) + w.first[k]
             change[at] += 1
             change[at + WINDOW] -= 1
     gone = np.cumsum(change[:-1]) > 0
@@ -187,15 +202,24 @@ def kept_words(w: Words, found: list[list[bytes] | None]) -> tuple[list[int], li
     return counts, [b" ".join(words[a:b]) for a, b in zip(ends, ends[1:])]
 
 
+def keys_of(id_col: str, text_col: str) -> list[Column]:
+    """(doc_id, mark, text) by which a document's rows meet."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.hash(text).alias("mark"), text.alias("text")]
+
+
+def late_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, mark, found): the starts of the windows of each document that occur earlier, written."""
+    texts = docs.select(*keys_of(id_col, text_col))
+    parts = number_of_parts(int((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 12))
+    anchors = written(anchored(texts, parts), "anchors")
+    return written(repeated(texts.join(anchors, ["doc_id", "mark"]), parts), "late")
+
+
 def substring_dedup(docs: DataFrame, digest_only: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row; with `digest_only` kept_sha256 in place of the text left."""
-    rows = id_and_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select(F.col("doc_id").alias("own_id"), F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), F.hash("text").alias("mark"), "text")
-    texts = rows.select("doc_id", "mark", "text")
-    parts = number_of_parts(rows, int((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 18))
-
-    anchors = written(gathered(anchored(texts, parts)), "anchors")
-    late = written(gathered(repeated(texts.join(anchors, ["doc_id", "mark"]), parts)), "late")
+    late = late_windows(docs, id_col, text_col)
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("own_id"), *keys_of(id_col, text_col))
 
     def run(chunk: pa.RecordBatch) -> dict:
         w = Words(chunk.column("text"))
@@ -207,6 +231,23 @@ def substring_dedup(docs: DataFrame, digest_only: bool = False, id_col: str = "d
     return map_chunks(rows.join(late, ["doc_id", "mark"], "left"), run, f"doc_id long, n_words long, n_removed long, {last}")
 
 
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows with the words left in place of their text, unchanged where nothing was removed; rows that nothing is left of go."""
+    late = late_windows(docs, id_col, text_col)
+    late = late.select(*[F.col(c).alias(f"late_{c}") for c in late.columns])
+    number, mark, text = keys_of(id_col, text_col)
+    rows = docs.withColumns({"late_number": number, "late_key": mark}).join(late, (F.col("late_number") == F.col("late_doc_id")) & (F.col("late_key") == F.col("late_mark")), "left")
+
+    def run(chunk: pa.RecordBatch) -> dict:
+        w = Words(chunk.column(chunk.schema.get_field_index(text_col)))
+        gone, kept = kept_words(w, chunk.column(chunk.schema.get_field_index("late_found")).to_pylist())
+        return {"kept": [x.decode() if n else None for n, x in zip(gone, kept, strict=True)]}
+
+    found, own = annotated(rows, run, "kept string", text_col)
+    kept = F.coalesce(F.col(f"{own}kept"), F.col(f"`{text_col}`")).alias(text_col)
+    return found.where(f"{own}kept is null or {own}kept <> ''").select(*[kept if c == text_col else column for c, column in zip(docs.columns, names_of(docs), strict=True)])
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(documents(spark, sf_dir), digest_only=True)
 
