@@ -25,15 +25,16 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.components import components
-from docloom.llm.keyblocks import BLOCKS, fixed, meet, node_numbers, number_of_parts, packed
-from docloom.llm.shared import documents, flat_text, id_and_text, map_chunks, written
+from docloom.llm.keyblocks import BLOCKS, fixed, meet, node_numbers, number_of_parts, packed, replies
+from docloom.llm.shared import documents, flat_text, id_and_text, map_chunks, names_of, written
 from docloom.llm.wordflow import LOWER, bounds, fits, joined, mixed, windows, word_hashes
 
 SHINGLE = 5
@@ -222,19 +223,42 @@ class Groups:
 PAIRS = "a binary, b binary, shared long"
 
 
-def leaders(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict | None:
-    """(member, leader, keys they share) of the groups in a partition."""
-    g = Groups(keys, flags, docs, records)
-    if not len(g.node):
-        return None
-    n = np.int64(len(g.sample))
-    rank = g.node + np.where(g.flag & ONE_DELETION, 2 * n, 0) + np.where(g.flag & PROBES, 0, n)
-    leader = np.repeat(np.minimum.reduceat(rank, g.start) % n, g.size)
-    pair, shared = np.unique(g.node * n + leader, return_counts=True)
+#: A leader told to a member: its node and the keys they share.
+TOLD = 20
+
+
+def leaders(parts: int) -> Callable[..., dict | None]:
+    """The groups in a partition: each member is told its leader, and a leader itself."""
+
+    def met(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict | None:
+        g = Groups(keys, flags, docs, records)
+        if not len(g.node):
+            return None
+        n = np.int64(len(g.sample))
+        rank = g.node + np.where(g.flag & ONE_DELETION, 2 * n, 0) + np.where(g.flag & PROBES, 0, n)
+        leader = np.repeat(np.minimum.reduceat(rank, g.start) % n, g.size)
+        pair, shared = np.unique(g.node * n + leader, return_counts=True)
+        nodes = np.ascontiguousarray(records[g.sample, :16])
+        told = np.hstack([nodes[pair % n], shared.astype("<u4").view(np.uint8).reshape(-1, 4)])
+        return replies(told, pair // n, nodes, parts, TOLD)
+
+    return met
+
+
+def best_leaders(told: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict:
+    """(member, leader, keys they share): of each member the LEADERS leaders it shares most keys with, or itself if it only leads."""
+    number, sample = node_numbers(np.vstack([records[docs], told[:, :16]]))
+    n, m = np.int64(len(sample)), len(docs)
+    pair, inverse = np.unique(number[:m] * n + number[m:], return_inverse=True)
+    shared = np.bincount(inverse, np.ascontiguousarray(told[:, 16:]).view("<u4").ravel()).astype(np.int64)
     a, b = pair // n, pair % n
-    shared, a, b = shared[a != b], a[a != b], b[a != b]
-    nodes = records[g.sample, :16]
-    return {"a": fixed(nodes[a]), "b": fixed(nodes[b]), "shared": shared}
+    shared[a == b] = 0
+    order = np.lexsort((b, -shared, a))
+    a, b, shared = a[order], b[order], shared[order]
+    first = np.searchsorted(a, a)
+    keep = np.arange(len(a)) - first < LEADERS
+    nodes = np.vstack([records[docs], told[:, :16]])[sample]
+    return {"a": fixed(nodes[a[keep]]), "b": fixed(nodes[b[keep]]), "shared": shared[keep]}
 
 
 def across(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict | None:
@@ -323,14 +347,12 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_shingles, component_id) of every row: the least id that links reach."""
     rows = id_and_text(docs, id_col, text_col)
     sets = written(shingle_sets(rows), "sets")
-    parts = number_of_parts(rows, int((sets.agg(F.sum("n_shingles")).first()[0] or 0) * 6 // 10))
+    parts = number_of_parts(int((sets.agg(F.sum("n_shingles")).first()[0] or 0) * 6 // 10))
 
-    stars = written(meet(keyed(rows, parts), parts, 20, leaders, PAIRS), "stars")
-    nodes = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
-    texts = written(texts_of(rows, nodes), "met")
-    shared = stars.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
-    best = shared.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))).where(F.col("place") <= LEADERS)
-    links = written(linked(best, texts), "star-links")
+    told = meet(keyed(rows, parts), parts, 20, leaders(parts), BLOCKS)
+    stars = written(meet(told, parts, 16, best_leaders, PAIRS, key_bytes=TOLD), "stars")
+    texts = written(texts_of(rows, stars.select(F.col("a").alias("node")).distinct()), "met")
+    links = written(linked(stars.where("a <> b"), texts), "star-links")
 
     roots = components(links)
     labelled = texts.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "text")
@@ -346,6 +368,17 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, as they are, of one document of each class: that of the least id. Rows without an id or a word stay; a repeated id stays once."""
+    classes = jaccard_classes(docs, id_col, text_col)
+    gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
+    left = docs.join(gone, id_col, "left_anti").select(*names_of(docs))
+    if classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return left
+    named = F.col(f"`{id_col}`").isNotNull()
+    return left.where(named).dropDuplicates([id_col]).unionByName(left.where(~named))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(documents(spark, sf_dir))
 
