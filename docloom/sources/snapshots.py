@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POINTER = "version long, written_at timestamp"
+POINTER = "version long, mark string, written_at timestamp"
 
 
 class Snapshots:
@@ -15,6 +15,7 @@ class Snapshots:
 
     def __init__(self, spark: SparkSession, path: str, schema: str, partition_by: tuple[str, ...] = ()):
         self.spark, self.path, self.schema, self.partition_by = spark, path.rstrip("/"), schema, partition_by
+        self.names = T.StructType.fromDDL(schema).names
 
     def versions(self) -> DataFrame:
         return self.spark.read.schema(POINTER).parquet(f"{self.path}/pointer")
@@ -29,12 +30,16 @@ class Snapshots:
         version = self.version() if version is None else version
         if not version:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={version}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={version}").select(*self.names)
 
-    def write(self, table: DataFrame) -> int:
+    def has(self, mark: str) -> bool:
+        """Whether a version was written under this mark, such as a micro-batch's number."""
+        return self.version() > 0 and not self.versions().where(F.col("mark") == mark).isEmpty()
+
+    def write(self, table: DataFrame, mark: str | None = None) -> int:
         """The table as the next version."""
         version = self.version() + 1
-        table.select(*T.StructType.fromDDL(self.schema).names).write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/v={version}")
-        pointer = self.spark.range(1).select(F.lit(version).cast("long").alias("version"), F.current_timestamp().alias("written_at"))
+        table.select(*self.names).write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/v={version}")
+        pointer = self.spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(mark).cast("string").alias("mark"), F.current_timestamp().alias("written_at"))
         pointer.coalesce(1).write.mode("append").parquet(f"{self.path}/pointer")
         return version
