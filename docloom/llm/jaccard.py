@@ -25,7 +25,6 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -227,22 +226,18 @@ PAIRS = "a binary, b binary, shared long"
 TOLD = 20
 
 
-def leaders(parts: int) -> Callable[..., dict | None]:
+def leaders(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, parts: int) -> dict | None:
     """The groups in a partition: each member is told its leader, and a leader itself."""
-
-    def met(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict | None:
-        g = Groups(keys, flags, docs, records)
-        if not len(g.node):
-            return None
-        n = np.int64(len(g.sample))
-        rank = g.node + np.where(g.flag & ONE_DELETION, 2 * n, 0) + np.where(g.flag & PROBES, 0, n)
-        leader = np.repeat(np.minimum.reduceat(rank, g.start) % n, g.size)
-        pair, shared = np.unique(g.node * n + leader, return_counts=True)
-        nodes = np.ascontiguousarray(records[g.sample, :16])
-        told = np.hstack([nodes[pair % n], shared.astype("<u4").view(np.uint8).reshape(-1, 4)])
-        return replies(told, pair // n, nodes, parts, TOLD)
-
-    return met
+    g = Groups(keys, flags, docs, records)
+    if not len(g.node):
+        return None
+    n = np.int64(len(g.sample))
+    rank = g.node + np.where(g.flag & ONE_DELETION, 2 * n, 0) + np.where(g.flag & PROBES, 0, n)
+    leader = np.repeat(np.minimum.reduceat(rank, g.start) % n, g.size)
+    pair, shared = np.unique(g.node * n + leader, return_counts=True)
+    nodes = np.ascontiguousarray(records[g.sample, :16])
+    told = np.hstack([nodes[pair % n], shared.astype("<u4").view(np.uint8).reshape(-1, 4)])
+    return replies(told, pair // n, nodes, parts, TOLD)
 
 
 def best_leaders(told: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict:
@@ -261,8 +256,8 @@ def best_leaders(told: np.ndarray, flags: np.ndarray, docs: np.ndarray, records:
     return {"a": fixed(nodes[a[keep]]), "b": fixed(nodes[b[keep]]), "shared": shared[keep]}
 
 
-def across(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict | None:
-    """Pairs of nodes of different components that share a key and may link by size and sketch."""
+def across(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, parts: int) -> dict | None:
+    """A partition's pairs of nodes of different components that share a key and may link by size and sketch: one is told the other."""
     g = Groups(keys, flags, docs, records)
     if not len(g.node):
         return None
@@ -296,8 +291,17 @@ def across(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.nd
     code = np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
     if not len(code):
         return None
-    nodes = own[:, :16]
-    return {"a": fixed(nodes[code // len(size)]), "b": fixed(nodes[code % len(size)]), "shared": np.ones(len(code), np.int64)}
+    nodes = np.ascontiguousarray(own[:, :16])
+    return replies(nodes[code % len(size)], code // len(size), nodes, parts, 16)
+
+
+def distinct_pairs(told: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict:
+    """Each pair once."""
+    every = np.vstack([records[docs], told])
+    number, sample = node_numbers(every)
+    n, nodes = np.int64(len(sample)), every[sample]
+    pair = np.unique(number[: len(docs)] * n + number[len(docs) :])
+    return {"a": fixed(nodes[pair // n]), "b": fixed(nodes[pair % n]), "shared": np.ones(len(pair), np.int64)}
 
 
 def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -349,14 +353,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = written(shingle_sets(rows), "sets")
     parts = number_of_parts(int((sets.agg(F.sum("n_shingles")).first()[0] or 0) * 6 // 10))
 
-    told = meet(keyed(rows, parts), parts, 20, leaders(parts), BLOCKS)
+    told = meet(keyed(rows, parts), parts, 20, functools.partial(leaders, parts=parts), BLOCKS)
     stars = written(meet(told, parts, 16, best_leaders, PAIRS, key_bytes=TOLD), "stars")
     texts = written(texts_of(rows, stars.select(F.col("a").alias("node")).distinct()), "met")
     links = written(linked(stars.where("a <> b"), texts), "star-links")
 
     roots = components(links)
     labelled = texts.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "text")
-    rest = written(meet(keyed(labelled, parts, labelled=True), parts, 36 + SKETCH_BITS // 8, across, PAIRS), "across")
+    told = meet(keyed(labelled, parts, labelled=True), parts, 36 + SKETCH_BITS // 8, functools.partial(across, parts=parts), BLOCKS)
+    rest = written(meet(told, parts, 16, distinct_pairs, PAIRS, key_bytes=16), "across")
     links = links.unionByName(linked(rest, texts))
 
     roots = written(components(links), "roots")
