@@ -92,11 +92,16 @@ def map_chunks(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schem
     return df.mapInArrow(run, struct)
 
 
-def annotated(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text") -> tuple[DataFrame, str]:
-    """(every row with all its columns and those that `fn` computes of its chunk, the prefix that sets the new names apart)."""
-    prefix = "own_"
+def free_prefix(df: DataFrame, prefix: str = "own_") -> str:
+    """A prefix that none of the frame's columns has."""
     while any(c.lower().startswith(prefix) for c in df.columns):
         prefix = "_" + prefix
+    return prefix
+
+
+def annotated(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text") -> tuple[DataFrame, str]:
+    """(every row with all its columns and those that `fn` computes of its chunk, the prefix that sets the new names apart)."""
+    prefix = free_prefix(df)
     added = T.StructType([T.StructField(prefix + f.name, f.dataType) for f in T.StructType.fromDDL(schema).fields])
     struct = T.StructType([*df.schema.fields, *added.fields])
     target = arrow_schema(struct)

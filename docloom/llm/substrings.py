@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.keyblocks import BLOCKS, KEY_BYTES, both, meet, number_of_parts, packed, replies
-from docloom.llm.shared import annotated, documents, flat_text, map_chunks, names_of, written
+from docloom.llm.shared import annotated, documents, flat_text, free_prefix, map_chunks, names_of, written
 from docloom.llm.wordflow import bounds, fits, mixed, windows, word_hashes
 
 WINDOW, PERIOD = 20, 13
@@ -234,13 +234,14 @@ def substring_dedup(docs: DataFrame, digest_only: bool = False, id_col: str = "d
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows with the words left in place of their text, unchanged where nothing was removed; rows that nothing is left of go."""
     late = late_windows(docs, id_col, text_col)
-    late = late.select(*[F.col(c).alias(f"late_{c}") for c in late.columns])
-    number, mark, text = keys_of(id_col, text_col)
-    rows = docs.withColumns({"late_number": number, "late_key": mark}).join(late, (F.col("late_number") == F.col("late_doc_id")) & (F.col("late_key") == F.col("late_mark")), "left")
+    at = free_prefix(docs, "late_")
+    late = late.select(*[F.col(c).alias(at + c) for c in late.columns])
+    number, mark, _ = keys_of(id_col, text_col)
+    rows = docs.withColumns({f"{at}number": number, f"{at}key": mark}).join(late, (F.col(f"{at}number") == F.col(f"{at}doc_id")) & (F.col(f"{at}key") == F.col(f"{at}mark")), "left")
 
     def run(chunk: pa.RecordBatch) -> dict:
         w = Words(chunk.column(chunk.schema.get_field_index(text_col)))
-        gone, kept = kept_words(w, chunk.column(chunk.schema.get_field_index("late_found")).to_pylist())
+        gone, kept = kept_words(w, chunk.column(chunk.schema.get_field_index(f"{at}found")).to_pylist())
         return {"kept": [x.decode() if n else None for n, x in zip(gone, kept, strict=True)]}
 
     found, own = annotated(rows, run, "kept string", text_col)
