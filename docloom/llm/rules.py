@@ -28,10 +28,11 @@ REACH = 6
 RATIOS = {
     "symbols": ("n_symbols", "n_words", 25, "high"),
     "dup_lines": ("n_dup_lines", "n_lines", 60, "high"),
-    "repeats": ("n_repeat_words", "n_words", 25, "high"),
+    "repeats": ("n_repeat_words", "n_words", 50, "high"),
+    "echoes": ("n_echo_words", "n_words", 25, "high"),
     "word_length": ("word_chars", "n_words", 400, "both"),
 }
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_echo_words"]
 
 
 def counted(docs: DataFrame, names: list[str], id_col: str = "doc_id", text_col: str = "text", extra: tuple[str, ...] = ()) -> DataFrame:
