@@ -101,6 +101,20 @@ def recognized(files: DataFrame, servers: list[str], client: Client, at_once: in
 # language model
 
 
+def assembled_prompt(prompt: str, *endings: str) -> str:
+    """The instruction with its fixed endings; a blank one is a fault of the settings."""
+    if not prompt.strip():
+        raise ValueError("The prompt is blank")
+    return "\n".join([prompt.strip(), *endings])
+
+
+def normalized_type(name: Column, names: dict[str, str]) -> Column:
+    """A document type by its usual name, looked up without regard to case and outer blanks; unknown ones stay."""
+    key = F.lower(F.trim(name))
+    table = F.create_map(*[F.lit(x) for pair in names.items() for x in (pair[0].lower(), pair[1])]) if names else None
+    return name if table is None else F.coalesce(F.try_element_at(table, key), name)
+
+
 def llm_request(model: str, prompt: str, text: Column, temperature: float = 0.1, max_tokens: int = 20_000, max_chars: int = 40_000) -> Column:
     message = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
     messages = F.array(message("system", F.lit(prompt)), message("user", truncated(text, max_chars)))

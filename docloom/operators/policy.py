@@ -131,6 +131,26 @@ def penalties(events: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     return rows.withColumn("ready", ~held)
 
 
+def latest(states: DataFrame, key: str = "server") -> DataFrame:
+    """The last state of each server."""
+    return states.groupBy(key).agg(F.max_by(F.struct(*[c for c in states.columns if c != key]), F.struct("ts", "seq")).alias("s")).select(key, "s.*")
+
+
+def snapshot(states: DataFrame) -> DataFrame:
+    """One row (available, servers, snapshot) of servers' last states: how many may be asked, and a line that names each as up or down."""
+    mark = F.concat("server", F.lit("="), F.when(F.col("ready"), "UP").otherwise("DOWN"))
+    return states.agg(F.count_if("ready").alias("available"), F.count("*").alias("servers"), F.array_join(F.array_sort(F.collect_list(mark)), ", ").alias("snapshot"))
+
+
+def exhausted(last_error: Column, snapshot: Column) -> Column:
+    """The error of a request that no server took; it carries the last answer's words, by which documents are judged."""
+    return F.concat(F.lit("No OCR server available: "), F.coalesce(last_error, F.lit("none was asked")), F.lit(" ["), snapshot, F.lit("]"))
+
+
+def slow_parse(parse_ms: Column, most_ms: int = 10_000) -> Column:
+    return parse_ms > most_ms
+
+
 def rotation(servers: DataFrame, cursor: int, count: int) -> DataFrame:
     """Servers (index, name) in the order in which the request of that cursor asks them."""
     return servers.orderBy(F.pmod(F.col("index") - cursor, F.lit(count)))

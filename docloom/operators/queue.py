@@ -7,7 +7,11 @@ stays as it is. A queue lives as versioned snapshots with one writer (`sources.s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import socket
+import uuid
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.text import short_error, truncated
@@ -18,6 +22,16 @@ EPOCH_2000 = 946_684_800
 OUTCOMES = ("done", "empty", "rejected", "failed", "transient", "missing", "heartbeat")
 
 
+def owner_name() -> str:
+    """host/process/random: made once on the driver."""
+    return f"{socket.gethostname()}/{os.getpid()}/{uuid.uuid4().hex[:8]}"
+
+
+def new_token() -> str:
+    """One token for a whole batch, made once on the driver: a column function would give each row its own, and again on a retry."""
+    return str(uuid.uuid4())
+
+
 def eligible(now: Column, cfg: Settings = Settings()) -> Column:
     """Whether a task can be claimed: new and due, leased too long, or failed with retries left."""
     before = lambda c, s: F.col(c) < now - F.make_dt_interval(secs=F.lit(s))
@@ -93,8 +107,6 @@ def ingested(queue: DataFrame, candidates: DataFrame, now: Column) -> DataFrame:
     blank = {f.name: F.lit(None).cast(f.dataType) for f in queue.schema.fields}
     # ids without one global window: consecutive within a partition of file ids, partitions one after the other
     parts = fresh.withColumn("part", F.pmod(F.xxhash64("file_id"), F.lit(1024)))
-    from pyspark.sql import Window
-
     sizes = parts.groupBy("part").agg(F.count("*").alias("n"))
     before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     top = queue.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))

@@ -187,3 +187,19 @@ def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = metrics.counters(view(spark, sf_dir, "vcalls"), "server", "event")
     labels = F.create_map(F.lit("server"), "server", F.lit("outcome"), "event")
     return metrics.exposition(counts.select(F.lit("requests_total").alias("name"), labels.alias("labels"), F.col("n").alias("value")))
+
+
+@query(
+    ORACLE["server_penalties"].replace("select server, ts, seq, event, transport_until", ", x as (select server, ts, seq, event, transport_until").replace("as ready from h", "as ready from h), y as (select server, arg_max(ready, seq) as ready from x group by server)")
+    + " select count(*) filter (ready) as available, count(*) as servers, string_agg(server || '=' || case when ready then 'UP' else 'DOWN' end, ', ' order by server) as snapshot from y"
+)
+def available_servers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many servers may be asked at the end of the log."""
+    return policy.snapshot(policy.latest(policy.penalties(view(spark, sf_dir, "vcalls")).select("server", "ts", "seq", "ready")))
+
+
+@query("select doc_id, case lower(trim(source, ' ')) when 'src0' then 'web' when 'src1' then 'books' else source end as kind from documents")
+def normalized_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.operators.enrich import normalized_type
+
+    return view(spark, sf_dir, "documents").select("doc_id", normalized_type(F.col("source"), {"SRC0": "web", "src1": "books"}).alias("kind"))

@@ -48,6 +48,11 @@ class Settings:
     breaker_failures: int = 3
     breaker_pause_seconds: int = 60
     ocr_cooldown_seconds: int = 30
+    ocr_tries: int = 3
+    llm_tries: int = 2
+    llm_at_once: int = 6
+    header_retry_seconds: int = 60
+    full_pool_retry_seconds: int = 10
 
 
 def repeats(table: DataFrame, *keys: str) -> DataFrame:
