@@ -6,7 +6,9 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+HERE = str(Path(__file__).resolve().parent.parent)
+sys.path.insert(0, HERE)
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [HERE, os.environ.get("PYTHONPATH")]))  # for Python workers
 
 
 @pytest.fixture(scope="session")

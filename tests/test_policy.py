@@ -101,3 +101,11 @@ def test_empty_logs(spark):
 def test_rotation(spark):
     servers = spark.createDataFrame([(k, f"s{k}") for k in range(4)], "index int, name string")
     assert [r.name for r in policy.rotation(servers, 2, 4).collect()] == ["s2", "s3", "s0", "s1"]
+
+
+def test_server_snapshot(spark):
+    events = spark.createDataFrame([("a", T0, 1, "green"), ("b", T0, 2, "refusal"), ("a", T0, 3, "success")], "server string, ts timestamp, seq long, event string")
+    row = policy.snapshot(policy.latest(policy.penalties(events).select("server", "ts", "seq", "ready"))).first()
+    assert (row.available, row.servers, row.snapshot) == (1, 2, "a=UP, b=DOWN")
+    text = spark.range(1).select(policy.exhausted(F.lit("IsSuccess=false: x"), F.lit("a=DOWN")).alias("t")).first().t
+    assert "IsSuccess=false" in text and "a=DOWN" in text
