@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from docloom.operators import queue
+from docloom.plans.pipeline import Services, run_round
+from docloom.schema import Settings
 from docloom.sources.snapshots import Snapshots
 
 #: A micro-batch's time as a column; fixed by the caller in tests.
@@ -47,6 +49,24 @@ def settle(outcomes: DataFrame, tasks: Snapshots, results: Snapshots, name: str
     return outcomes.writeStream.foreachBatch(step).queryName(name)
 
 
+def poll(ticks: DataFrame, tasks: Snapshots, results: Snapshots, files: DataFrame, binaries: DataFrame, services: Services, owner: str, cfg: Settings = Settings(), paused: Callable[[], bool] = lambda: False, name: str = "poll", at: Clock = clock) -> DataStreamWriter:
+    """A round of processing at each tick of a stream (such as the rate source), unless the breaker pauses it.
+
+    The tick's number makes the claim token, so a repeated tick claims under the same one.
+    """
+
+    def step(batch: DataFrame, number: int) -> None:
+        mark = f"{name}/{number}"
+        if paused() or tasks.has(mark):
+            return
+        done = run_round(tasks.read(), results.read(), files, binaries, services, owner, f"{owner}/{mark}", at(batch), cfg)
+        if not results.has(mark):
+            results.write(done.results, mark)
+        tasks.write(done.queue, mark)
+
+    return ticks.writeStream.foreachBatch(step).queryName(name)
+
+
 def claim(tasks: Snapshots, owner: str, token: str, limit: int, now: Column) -> DataFrame:
     """Leases the next tasks in a new snapshot and returns them."""
     before = tasks.read()

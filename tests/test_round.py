@@ -116,3 +116,42 @@ def test_logs(spark, tmp_path):
     log = read_log(spark, str(tmp_path / "a.log"))
     assert log.count() == 3 and [r.message for r in matching(log, "overload").collect()] == ["[w] overload"] and log.where("ts is null").isEmpty()
     assert [(r.prompt, r.completion) for r in token_usage(log).collect()] == [(7, 80), (120, 45)]
+
+
+def test_poll(spark, world, tmp_path):
+    tasks, results = Snapshots(spark, str(tmp_path / "q"), QUEUE), Snapshots(spark, str(tmp_path / "r"), RESULTS)
+    tasks.write(world[0].where("id in (1, 2)"))
+    spark.range(1).coalesce(1).write.parquet(str(tmp_path / "ticks"))
+    ticks = spark.readStream.schema("id long").parquet(str(tmp_path / "ticks"))
+    for k, paused in enumerate((True, False, False)):
+        run = runner.poll(ticks, tasks, results, world[1], world[2], Services(), "w", paused=lambda p=paused: p, at=lambda _: at()).option("checkpointLocation", str(tmp_path / f"cp{k}")).trigger(availableNow=True).start()
+        assert run.awaitTermination(240)
+        assert tasks.version() == (1 if paused else 2)
+    assert {r.id: r.status for r in tasks.read().collect()} == {1: 2, 2: 3} and results.read().count() == 1
+
+
+def test_http_client():
+    import http.server
+    import threading
+
+    from docloom.sources.http import HttpClient, alive
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = self.rfile.read(int(self.headers["Content-Length"]))
+            self.send_response(200 if self.path == "/ocr" else 503)
+            self.end_headers()
+            self.wfile.write(b"got " + body)
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}/"
+    assert HttpClient("/ocr", {"a": base}).ask("a", "{}")[:2] == (200, "got {}")
+    assert HttpClient("/other").ask(base, "{}")[:2] == (503, "got {}")
+    assert alive(base)
+    server.shutdown()
+    server.server_close()
+    assert HttpClient("/ocr", timeout_seconds=2).ask(base, "{}")[:2] == (0, None) and not alive(base)
