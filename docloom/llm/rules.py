@@ -5,8 +5,8 @@ source: a log-linear histogram whose buckets keep a value's six leading bits (at
 counts, so Spark builds it with a partial aggregation and the merged result doesn't depend on the order. Quartiles
 read from the sketch give the limits, median +- REACH spreads, a spread being the distance from the median to the
 quartile on the clean side, or a least spread. Groups of fewer than LEAST_ROWS rows take the sketch of their
-language, merged over sources, and below that of the whole table. The limits are joined back on language and source;
-Spark broadcasts them only if they are small and splits a hot source otherwise.
+language, merged over sources, and below that of the whole table. The limits are joined back on language and source:
+they are broadcast if they have no more than 50,000 rows; beyond that Spark picks the join and splits a hot source.
 
 Edge cases: null texts have no words and fail the base rules, as do empty ones; null languages and sources count as
 empty strings; repeated rows are kept, each with the same verdict; other columns are ignored; an empty table gives an
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.shared import annotated, documents, map_chunks, names_of, written
+from docloom.llm.shared import annotated, broadcast_if_small, documents, map_chunks, names_of, written
 from docloom.llm.textstats import statistics
 
 LEAST_ROWS = 200
@@ -113,10 +113,15 @@ def counted_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sou
     return written(counted(renamed, COUNTS, extra=("lang", "source")).withColumn("base_failed", base_fails()), "rule-counts")
 
 
+def fitted_limits(counts: DataFrame) -> DataFrame:
+    """The limits that the rows which pass the base rules give, written: a row for each language and source."""
+    return written(limits(sketch(counts.where("not base_failed"), ["lang", "source"])), "rule-limits")
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """A row for each row: the counts, base_failed, kept, and each ratio's verdict in `failed` (names of the ratios beyond their limits)."""
     rows = counted_rows(docs, id_col, text_col, lang_col, source_col)
-    judged = rows.join(limits(sketch(rows.where("not base_failed"), ["lang", "source"])), ["lang", "source"], "left").withColumn("failed", beyond())
+    judged = rows.join(broadcast_if_small(fitted_limits(rows)), ["lang", "source"], "left").withColumn("failed", beyond())
     kept = ~F.col("base_failed") & (F.size("failed") == 0)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "failed")
 
@@ -124,9 +129,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The rows, as they are, that the rules keep. Texts are counted again where they lie, so only the limits are joined."""
     counts = counted_rows(docs, id_col, text_col, lang_col, source_col)
-    found = limits(sketch(counts.where("not base_failed"), ["lang", "source"]))
+    found = fitted_limits(counts)
     rows, own = with_counts(docs, COUNTS, text_col)
-    found = found.select(*[F.col(c).alias(own + c) for c in found.columns])
+    found = broadcast_if_small(found.select(*[F.col(c).alias(own + c) for c in found.columns]))
     empty = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     judged = rows.join(found, (empty(lang_col) == F.col(f"{own}lang")) & (empty(source_col) == F.col(f"{own}source")), "left")
     return judged.where(~base_fails(own) & (F.size(beyond(own)) == 0)).select(*names_of(docs))

@@ -39,6 +39,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """A written frame, marked for broadcast if it has no more than so many (narrow) rows; else left to Spark's own choice of a join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
