@@ -10,11 +10,13 @@ ones that many sets share.
 
 Keys meet in compact blocks (`keyblocks`). Groups of equal keys never turn into all pairs:
 1. Equal sets are one node from the start.
-2. In each group of a key every member is paired with a leader only; every node keeps the two leaders it shares most
-   keys with. These pairs are verified on the texts' shingles, and verified links give components.
-3. Nodes that met any other are keyed again, now with their component. Only groups that still hold several components
-   give pairs, between members of the smaller components and the others; an exact bound drops most of them: sets
-   differ in at least as many shingles as bits differ between their parity sketches. The rest is verified.
+2. In each group of a key every member is paired with a leader only, first within a chunk of documents, whose leader
+   alone travels on; every node keeps the two leaders it shares most keys with. These pairs are verified on the texts' shingles, and verified links give components.
+3. Nodes that met any other are keyed again, now with their component. In groups that hold several components each
+   member outside the largest is paired with the member of it that it lies nearest to by parity sketches; again links
+   join components.
+4. Once more, now all pairs between members of the smaller components and the others, but for those that an exact bound
+   excludes: sets differ in at least as many shingles as bits differ between their sketches. The rest is verified.
 A pair that links is thus verified, or its ends already share a component.
 
 Edge cases: null and empty texts have 0 shingles and are linked with nothing; texts of fewer words than a shingle are
@@ -25,6 +27,7 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.components import components
-from docloom.llm.keyblocks import BLOCKS, fixed, meet, node_numbers, number_of_parts, packed, replies
+from docloom.llm.keyblocks import BLOCKS, both, fixed, meet, node_numbers, number_of_parts, packed, replies
 from docloom.llm.shared import documents, flat_text, id_and_text, map_chunks, names_of, written
 from docloom.llm.wordflow import LOWER, bounds, fits, joined, mixed, windows, word_hashes
 
@@ -46,6 +49,8 @@ LEAST = 4
 _LEVEL, _TWO, _THREE = (np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
 _LOW = np.uint64(0xFFFFFFFF)
 ONE_DELETION, PROBES = 1, 2
+#: A leader told to a member: its node and the keys they share.
+TOLD = 20
 
 
 def shingles(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -81,8 +86,13 @@ def totals(values: np.ndarray, cell: np.ndarray, cells: int) -> np.ndarray:
 
 def digests(found: np.ndarray, first: np.ndarray) -> np.ndarray:
     """16 bytes that stand for each set, (sets, 16)."""
-    owner, n = np.repeat(np.arange(len(first) - 1), np.diff(first)), len(first) - 1
-    two = np.stack([totals(mixed(found), owner, n), totals(mixed(found * _TWO + _THREE), owner, n) ^ np.diff(first).astype(np.uint64)], axis=1)
+    n = len(first) - 1
+
+    def sums(values: np.ndarray) -> np.ndarray:
+        upto = np.r_[np.uint64(0), np.cumsum(values, dtype=np.uint64)]
+        return upto[first[1:]] - upto[first[:-1]]
+
+    two = np.stack([sums(mixed(found)), sums(mixed(found * _TWO + _THREE)) ^ np.diff(first).astype(np.uint64)], axis=1)
     return np.ascontiguousarray(two.astype(">u8")).view(np.uint8).reshape(n, 16)
 
 
@@ -182,21 +192,6 @@ def first_of(nodes: np.ndarray) -> np.ndarray:
     return seen
 
 
-def keyed(texts: DataFrame, parts: int, labelled: bool = False) -> DataFrame:
-    """BLOCKS of rows (doc_id, text), or of (node, root, text): a record is the node and its size, then root and sketch."""
-
-    def run(chunk: pa.RecordBatch) -> dict | None:
-        found, first = shingles(chunk.column("text"))
-        nodes = digests(found, first)
-        records = [nodes, np.diff(first).astype("<u4").view(np.uint8).reshape(-1, 4)]
-        if labelled:
-            records += [np.frombuffer(b"".join(chunk.column("root").to_pylist()), np.uint8).reshape(-1, 16), sketches(found, first)]
-        keys, flags, which = all_keys(found, first, first_of(nodes))
-        return packed(keys, flags.astype(np.uint8), which, np.hstack(records), parts) if len(keys) else None
-
-    return map_chunks(texts, run, BLOCKS)
-
-
 class Groups:
     """Groups of equal keys with two nodes or more, one of them with its whole subset and one that probes."""
 
@@ -205,94 +200,163 @@ class Groups:
         order = np.argsort(keys, kind="stable")
         same = keys[order][1:] == keys[order][:-1]
         order = order[np.r_[False, same] | np.r_[same, False]] if len(order) else order
-        node, flag = self.number[docs[order]], flags[order]
+        node, flag, row = self.number[docs[order]], flags[order], order
         start = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]]) if len(order) else np.zeros(0, np.int64)
         if len(start):
             whole, probing = np.logical_or.reduceat(flag & ONE_DELETION == 0, start), np.logical_or.reduceat(flag & PROBES > 0, start)
             live = whole & probing & (np.minimum.reduceat(node, start) != np.maximum.reduceat(node, start))
             size = np.diff(np.r_[start, len(order)])
             keep = np.repeat(live, size)
-            node, flag, size = node[keep], flag[keep], size[live]
-            start = np.r_[0, np.cumsum(size)[:-1]]
+            node, flag, row, size = node[keep], flag[keep], row[keep], size[live]
+            start = np.cumsum(size) - size
         else:
             size = start
-        self.node, self.flag, self.start, self.size = node, flag, start, size
+        self.node, self.flag, self.row, self.start, self.size = node, flag, row, start, size
+
+    def __len__(self) -> int:
+        return len(self.start)
+
+    def leaders(self) -> np.ndarray:
+        """Each group's leader: the first node, whole subsets before others, those that probe before others."""
+        n = np.int64(len(self.sample))
+        rank = self.node + np.where(self.flag & ONE_DELETION, 2 * n, 0) + np.where(self.flag & PROBES, 0, n)
+        return np.minimum.reduceat(rank, self.start) % n
+
+    def told(self, leader: np.ndarray, nodes: np.ndarray, parts: int) -> dict[str, list]:
+        """Blocks that tell each member its groups' leaders, and a leader itself."""
+        n = np.int64(len(self.sample))
+        pair, shared = np.unique(self.node * n + np.repeat(leader, self.size), return_counts=True)
+        own = np.ascontiguousarray(nodes[self.sample, :16])
+        return replies(np.hstack([own[pair % n], shared.astype("<u4").view(np.uint8).reshape(-1, 4)]), pair // n, own, parts, TOLD)
+
+
+def combined(keys: np.ndarray, flags: np.ndarray, which: np.ndarray, records: np.ndarray, parts: int) -> dict | None:
+    """Key blocks of a chunk in which each group that is complete in itself is told its leader at once and sends only that."""
+    g = Groups(keys, flags, which, records)
+    keep, flags = np.ones(len(keys), bool), flags.copy()
+    if len(g):
+        leader = g.leaders()
+        keep[g.row] = False
+        at = g.row[(g.node == np.repeat(leader, g.size)) & (g.flag & ONE_DELETION == 0)]
+        keep[at], flags[at] = True, PROBES  # stands for all members, one of which probes
+    out = packed(keys[keep], flags[keep], which[keep], records, parts)
+    return both(out, g.told(leader, records, parts)) if len(g) else out
 
 
-PAIRS = "a binary, b binary, shared long"
+def keyed(texts: DataFrame, parts: int, labelled: bool = False) -> DataFrame:
+    """BLOCKS of rows (doc_id, text), or of (node, root, text): a record is the node and its size, then root and sketch."""
 
+    def run(chunk: pa.RecordBatch) -> dict | None:
+        found, first = shingles(chunk.column("text"))
+        nodes = digests(found, first)
+        records = [nodes, np.diff(first).astype("<u4").view(np.uint8).reshape(-1, 4)]
+        if labelled:
+            records += [np.frombuffer(b"".join(chunk.column("root").to_pylist()), np.uint8).reshape(-1, 16), sketches(found, first)]
+        keys, flags, which = all_keys(found, first, first_of(nodes))
+        if not len(keys):
+            return None
+        return (packed if labelled else combined)(keys, flags.astype(np.uint8), which, np.hstack(records), parts)
 
-#: A leader told to a member: its node and the keys they share.
-TOLD = 20
+    return map_chunks(texts, run, BLOCKS)
+
+
+PAIRS = "a binary, b binary, score long"
 
 
 def leaders(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, parts: int) -> dict | None:
-    """The groups in a partition: each member is told its leader, and a leader itself."""
+    """The groups in a partition: each member is told its leader."""
     g = Groups(keys, flags, docs, records)
-    if not len(g.node):
-        return None
-    n = np.int64(len(g.sample))
-    rank = g.node + np.where(g.flag & ONE_DELETION, 2 * n, 0) + np.where(g.flag & PROBES, 0, n)
-    leader = np.repeat(np.minimum.reduceat(rank, g.start) % n, g.size)
-    pair, shared = np.unique(g.node * n + leader, return_counts=True)
-    nodes = np.ascontiguousarray(records[g.sample, :16])
-    told = np.hstack([nodes[pair % n], shared.astype("<u4").view(np.uint8).reshape(-1, 4)])
-    return replies(told, pair // n, nodes, parts, TOLD)
-
-
-def best_leaders(told: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict:
-    """(member, leader, keys they share): of each member the LEADERS leaders it shares most keys with, or itself if it only leads."""
-    number, sample = node_numbers(np.vstack([records[docs], told[:, :16]]))
+    return g.told(g.leaders(), records, parts) if len(g) else None
+
+
+def best_leaders(told: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, nearest: bool = False) -> dict:
+    """(member, leader, score): of each member the LEADERS leaders it shares most keys with, or itself if it only leads; with `nearest` those of least score."""
+    every = np.vstack([records[docs], told[:, :16]])
+    number, sample = node_numbers(every)
     n, m = np.int64(len(sample)), len(docs)
     pair, inverse = np.unique(number[:m] * n + number[m:], return_inverse=True)
-    shared = np.bincount(inverse, np.ascontiguousarray(told[:, 16:]).view("<u4").ravel()).astype(np.int64)
+    given = np.ascontiguousarray(told[:, 16:]).view("<u4").ravel()
+    if nearest:
+        score = np.full(len(pair), np.iinfo(np.int64).max)
+        np.minimum.at(score, inverse, given.astype(np.int64))
+    else:
+        score = -np.bincount(inverse, given).astype(np.int64)
     a, b = pair // n, pair % n
-    shared[a == b] = 0
-    order = np.lexsort((b, -shared, a))
-    a, b, shared = a[order], b[order], shared[order]
-    first = np.searchsorted(a, a)
-    keep = np.arange(len(a)) - first < LEADERS
-    nodes = np.vstack([records[docs], told[:, :16]])[sample]
-    return {"a": fixed(nodes[a[keep]]), "b": fixed(nodes[b[keep]]), "shared": shared[keep]}
+    score[a == b] = np.iinfo(np.int64).max
+    order = np.lexsort((b, score, a))
+    a, b, score = a[order], b[order], score[order]
+    keep = np.arange(len(a)) - np.searchsorted(a, a) < LEADERS
+    nodes = every[sample]
+    return {"a": fixed(nodes[a[keep]]), "b": fixed(nodes[b[keep]]), "score": score[keep]}
 
 
-def across(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, parts: int) -> dict | None:
-    """A partition's pairs of nodes of different components that share a key and may link by size and sketch: one is told the other."""
-    g = Groups(keys, flags, docs, records)
-    if not len(g.node):
+class Parted:
+    """A partition's groups of labelled nodes that hold several components."""
+
+    def __init__(self, keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray):
+        self.groups = g = Groups(keys, flags, docs, records)
+        own = records[g.sample]
+        self.nodes = np.ascontiguousarray(own[:, :16])
+        self.size = np.ascontiguousarray(own[:, 16:20]).view("<u4").ravel().astype(np.int64)
+        self.root, _ = node_numbers(own[:, 20:36])
+        self.sketch = np.ascontiguousarray(own[:, 36:]).view("<u8")
+
+    def __iter__(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(members, whether each is there whole, whether each lies in the group's largest component)."""
+        g = self.groups
+        if not len(g):
+            return
+        roots = self.root[g.node]
+        for k in np.flatnonzero(np.minimum.reduceat(roots, g.start) != np.maximum.reduceat(roots, g.start)).tolist():
+            rows = slice(int(g.start[k]), int(g.start[k] + g.size[k]))
+            members = np.unique(g.node[rows])
+            names, counts = np.unique(self.root[members], return_counts=True)
+            yield members, np.isin(members, g.node[rows][g.flag[rows] & ONE_DELETION == 0]), self.root[members] == names[counts.argmax()]
+
+    def bound(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Nine times the shingles in which the pairs differ at least, less the sum of their sizes: they may link where it is not above 0."""
+        far = np.bitwise_count(self.sketch[p] ^ self.sketch[q]).sum(axis=1, dtype=np.int64)
+        return 9 * np.maximum(far, np.abs(self.size[p] - self.size[q])) - self.size[p] - self.size[q]
+
+    def pairs(self, others_of_all: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs that may link, in pieces: members outside the largest component with those in it, or with all of other components."""
+        for members, whole, main in self:
+            partners = np.ones(len(members), bool) if others_of_all else main
+            b, whole_b = members[partners], whole[partners]
+            rest = np.flatnonzero(~main)
+            for r in range(0, len(rest), 256):
+                x = members[rest[r : r + 256]]
+                ok = (self.root[x][:, None] != self.root[b][None]) & (whole[rest[r : r + 256]][:, None] | whole_b[None])
+                i, j = np.nonzero(ok)
+                for s in range(0, len(i), 200_000):
+                    p, q = x[i[s : s + 200_000]], b[j[s : s + 200_000]]
+                    near = self.bound(p, q) <= 0
+                    if near.any():
+                        yield p[near], q[near]
+
+
+def towards_main(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, parts: int) -> dict | None:
+    """Each node outside its groups' largest components is told the members of these that its sketch lies nearest to."""
+    w = Parted(keys, flags, docs, records)
+    best = np.full(len(w.nodes), np.iinfo(np.int64).max)
+    for p, q in w.pairs(others_of_all=False):
+        far = np.bitwise_count(w.sketch[p] ^ w.sketch[q]).sum(axis=1, dtype=np.int64)
+        np.minimum.at(best, p, far * len(w.nodes) + q)
+    a = np.flatnonzero(best < np.iinfo(np.int64).max)
+    if not len(a):
         return None
-    own = records[g.sample]
-    size = np.ascontiguousarray(own[:, 16:20]).view("<u4").ravel().astype(np.int64)
-    root, _ = node_numbers(own[:, 20:36])
-    sketch = np.ascontiguousarray(own[:, 36:]).view("<u8")
-    roots = root[g.node]
-    mixed_up = np.flatnonzero(np.minimum.reduceat(roots, g.start) != np.maximum.reduceat(roots, g.start))
-    out = []
-    for k in mixed_up.tolist():
-        rows = slice(int(g.start[k]), int(g.start[k] + g.size[k]))
-        members = np.unique(g.node[rows])
-        whole = np.isin(members, g.node[rows][g.flag[rows] & ONE_DELETION == 0])
-        of = root[members]
-        names, counts = np.unique(of, return_counts=True)
-        rest = np.flatnonzero(of != names[counts.argmax()])
-        if not len(rest):
-            continue
-        for r in range(0, len(rest), 256):
-            x = rest[r : r + 256]
-            a, b = members[x][:, None], members[None]
-            ok = (of[x][:, None] != of[None]) & (whole[x][:, None] | whole[None])
-            ok &= 5 * np.minimum(size[a], size[b]) >= 4 * np.maximum(size[a], size[b])
-            i, j = np.nonzero(ok)
-            i, j = members[x][i], members[j]
-            for s in range(0, len(i), 200_000):
-                p, q = i[s : s + 200_000], j[s : s + 200_000]
-                near = np.bitwise_count(sketch[p] ^ sketch[q]).sum(axis=1, dtype=np.int64) * 9 <= size[p] + size[q]
-                out.append(np.unique(np.minimum(p, q)[near] * np.int64(len(size)) + np.maximum(p, q)[near]))
-    code = np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
-    if not len(code):
+    far, b = np.divmod(best[a], len(w.nodes))
+    return replies(np.hstack([w.nodes[b], far.astype("<u4").view(np.uint8).reshape(-1, 4)]), a, w.nodes, parts, TOLD)
+
+
+def across(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, parts: int) -> dict | None:
+    """A partition's pairs of nodes of different components that share a key and may link: one is told the other."""
+    w, n = Parted(keys, flags, docs, records), np.int64(len(docs) + 1)
+    out = [np.unique(np.minimum(p, q) * n + np.maximum(p, q)) for p, q in w.pairs(others_of_all=True)]
+    if not out:
         return None
-    nodes = np.ascontiguousarray(own[:, :16])
-    return replies(nodes[code % len(size)], code // len(size), nodes, parts, 16)
+    code = np.unique(np.concatenate(out))
+    return replies(w.nodes[code % n], code // n, w.nodes, parts, 16)
 
 
 def distinct_pairs(told: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict:
@@ -301,7 +365,7 @@ def distinct_pairs(told: np.ndarray, flags: np.ndarray, docs: np.ndarray, record
     number, sample = node_numbers(every)
     n, nodes = np.int64(len(sample)), every[sample]
     pair = np.unique(number[: len(docs)] * n + number[len(docs) :])
-    return {"a": fixed(nodes[pair // n]), "b": fixed(nodes[pair % n]), "shared": np.ones(len(pair), np.int64)}
+    return {"a": fixed(nodes[pair // n]), "b": fixed(nodes[pair % n]), "score": np.zeros(len(pair), np.int64)}
 
 
 def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -353,15 +417,23 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = written(shingle_sets(rows), "sets")
     parts = number_of_parts(int((sets.agg(F.sum("n_shingles")).first()[0] or 0) * 6 // 10))
 
-    told = meet(keyed(rows, parts), parts, 20, functools.partial(leaders, parts=parts), BLOCKS)
+    told = meet(keyed(rows, parts), parts, 20, functools.partial(leaders, parts=parts), BLOCKS, forward=True)
     stars = written(meet(told, parts, 16, best_leaders, PAIRS, key_bytes=TOLD), "stars")
     texts = written(texts_of(rows, stars.select(F.col("a").alias("node")).distinct()), "met")
     links = written(linked(stars.where("a <> b"), texts), "star-links")
 
-    roots = components(links)
-    labelled = texts.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "text")
-    told = meet(keyed(labelled, parts, labelled=True), parts, 36 + SKETCH_BITS // 8, functools.partial(across, parts=parts), BLOCKS)
-    rest = written(meet(told, parts, 16, distinct_pairs, PAIRS, key_bytes=16), "across")
+    few = number_of_parts(int((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 10))
+
+    def labelled() -> DataFrame:
+        own = texts.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"), "text")
+        return keyed(own, few, labelled=True)
+
+    width = 36 + SKETCH_BITS // 8
+    told = meet(labelled(), few, width, functools.partial(towards_main, parts=few), BLOCKS)
+    near = meet(told, few, 16, functools.partial(best_leaders, nearest=True), PAIRS, key_bytes=TOLD)
+    links = links.unionByName(written(linked(near, texts), "near-links"))
+    told = meet(labelled(), few, width, functools.partial(across, parts=few), BLOCKS)
+    rest = written(meet(told, few, 16, distinct_pairs, PAIRS, key_bytes=16), "across")
     links = links.unionByName(linked(rest, texts))
 
     roots = written(components(links), "roots")
