@@ -2,9 +2,12 @@
 
 Every text's counts become ratios in thousandths. A mergeable quantile sketch of each ratio is kept per language and
 source: a log-linear histogram whose buckets keep a value's six leading bits (at most 1/32 off), merged by adding
-counts, so Spark builds it with a partial aggregation and the merged result doesn't depend on the order. Quartiles
-read from the sketch give the limits, median +- REACH spreads, a spread being the distance from the median to the
-quartile on the clean side, or a least spread. Groups of fewer than LEAST_ROWS rows take the sketch of their
+counts, so Spark builds it with a partial aggregation and the merged result doesn't depend on the order. Quantiles
+read from the sketch give the limits, median +- REACH spreads. Where only high values fail, most rows of a group are
+near 0 and what is below the median tells nothing, so the spread is the distance from the median to the upper quartile
+or half of that to the upper tenth, whichever is more (of about equal size in a normal distribution; the tenth also sees
+a tail that fewer than a quarter of the rows have), or a small least spread. Where both sides fail, it is the distance to
+the quartile on the other side, or a least spread. Groups of fewer than LEAST_ROWS rows take the sketch of their
 language, merged over sources, and below that of the whole table. The limits are joined back on language and source:
 they are broadcast if they have no more than 50,000 rows; beyond that Spark picks the join and splits a hot source.
 
@@ -26,10 +29,10 @@ LEAST_ROWS = 200
 REACH = 6
 #: ratio -> (numerator, denominator, least spread in thousandths, sides on which it fails)
 RATIOS = {
-    "symbols": ("n_symbols", "n_words", 25, "high"),
-    "dup_lines": ("n_dup_lines", "n_lines", 60, "high"),
-    "repeats": ("n_repeat_words", "n_words", 50, "high"),
-    "echoes": ("n_echo_words", "n_words", 25, "high"),
+    "symbols": ("n_symbols", "n_words", 5, "high"),
+    "dup_lines": ("n_dup_lines", "n_lines", 30, "high"),
+    "repeats": ("n_repeat_words", "n_words", 25, "high"),
+    "echoes": ("n_echo_words", "n_words", 5, "high"),
     "word_length": ("word_chars", "n_words", 400, "both"),
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_echo_words"]
@@ -85,25 +88,28 @@ def merged(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return sketches.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketches: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """(keys, ratio, `name` struct of rows and quartiles); a quantile is the least bucket that covers its share."""
+def quantiles(sketches: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """(keys, ratio, `name` struct of rows, quartiles and upper tenth); a quantile is the least bucket that covers its share."""
     group = Window.partitionBy(*keys, "ratio")
     run = sketches.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))).withColumn("rows", F.sum("n").over(group))
-    at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("rows") * q, F.col("bucket"))).alias(f"q{q}")
-    return run.groupBy(*keys, "ratio").agg(F.max("rows").alias("rows"), at(1), at(2), at(3)).select(*keys, "ratio", F.struct("rows", "q1", "q2", "q3").alias(name))
+    at = lambda name, k, n: F.min(F.when(F.col("upto") * n >= F.col("rows") * k, F.col("bucket"))).alias(name)
+    found = run.groupBy(*keys, "ratio").agg(F.max("rows").alias("rows"), at("q1", 1, 4), at("q2", 1, 2), at("q3", 3, 4), at("d9", 9, 10))
+    return found.select(*keys, "ratio", F.struct("rows", "q1", "q2", "q3", "d9").alias(name))
 
 
 def limits(sketches: DataFrame) -> DataFrame:
     """(lang, source, low and high limit of each ratio)."""
-    own = quartiles(sketches, ["lang", "source"], "own")
-    lang = quartiles(merged(sketches, ["lang"]), ["lang"], "wide")
-    every = quartiles(merged(sketches, []), [], "every")
+    own = quantiles(sketches, ["lang", "source"], "own")
+    lang = quantiles(merged(sketches, ["lang"]), ["lang"], "wide")
+    every = quantiles(merged(sketches, []), [], "every")
     used = F.when(F.col("own.rows") >= LEAST_ROWS, F.col("own")).when(F.col("wide.rows") >= LEAST_ROWS, F.col("wide")).otherwise(F.col("every"))
     found = own.join(lang, ["lang", "ratio"]).join(every, "ratio").select("lang", "source", "ratio", used.alias("q"))
     cells = []
     for name, (_, _, least, sides) in RATIOS.items():
-        high = F.col("q.q2") + REACH * F.greatest(F.col("q.q2") - F.col("q.q1"), F.lit(least))
-        low = F.col("q.q2") - REACH * F.greatest(F.col("q.q3") - F.col("q.q2"), F.lit(least)) if sides == "both" else F.lit(-1).cast("long")
+        q1, q2, q3, d9 = (F.col(f"q.{q}") for q in ("q1", "q2", "q3", "d9"))
+        spreads = [q2 - q1] if sides == "both" else [q3 - q2, F.floor((d9 - q2) / 2)]
+        high = q2 + REACH * F.greatest(*spreads, F.lit(least).cast("long"))
+        low = q2 - REACH * F.greatest(q3 - q2, F.lit(least)) if sides == "both" else F.lit(-1).cast("long")
         cells += [F.max(F.when(F.col("ratio") == name, high)).alias(f"{name}_high"), F.max(F.when(F.col("ratio") == name, low)).alias(f"{name}_low")]
     return found.groupBy("lang", "source").agg(*cells)
 

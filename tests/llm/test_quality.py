@@ -125,6 +125,31 @@ def test_adaptive_limits(make, odd_rows):
     assert rules.quality_rules(make([])).isEmpty() and rules.kept_rows(make([])).isEmpty()
 
 
+def test_sources_with_other_tails_get_other_limits(make):
+    rng = random.Random(3)
+    prose = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    def built(symbols: int = 0, repeats: int = 0, echoes: int = 0, dup_lines: int = 0) -> str:
+        words = prose(200 - repeats // 2 - echoes)
+        words += words[2 : 2 + repeats // 2] + ["again"] * (echoes + 1) * (echoes > 0)
+        words[60 : 60 + symbols] = ["#" + w for w in words[60 : 60 + symbols]]
+        lines = [" ".join(words[k : k + 5]) for k in range(0, len(words), 5)]
+        return "\n".join(lines + lines[: 2 * dup_lines : 2])
+
+    probes = {"symbols": built(symbols=20), "repeats": built(repeats=48), "echoes": built(echoes=16), "dup_lines": built(dup_lines=10)}
+    rows = []
+    for k in range(600):  # an eighth of source b has such texts, none of source a
+        for source, odd in (("a", False), ("b", k % 8 == 0)):
+            rows.append((2 * k + (source == "b"), built(14, 40, 12, 4) if odd else built(), "en", source, 0))
+    for n, (name, text) in enumerate(probes.items()):
+        rows += [(10_000 + 2 * n, text, "en", "a", 0), (10_001 + 2 * n, text, "en", "b", 0)]
+    got = {r.doc_id: r for r in rules.quality_rules(make(rows)).collect()}
+    for n, name in enumerate(probes):
+        strict, wide = got[10_000 + 2 * n], got[10_001 + 2 * n]
+        assert not strict.base_failed and name in strict.failed and not strict.kept, name
+        assert name not in wide.failed, name
+
+
 def test_sketch_merges(spark):
     rng = random.Random(1)
     frame = spark.createDataFrame([(rng.randrange(100), 10 + rng.randrange(90), 0, 5, 0, 4, 0, "en", "s") for _ in range(500)], "n_symbols long, n_words long, n_dup_lines long, n_lines long, n_repeat_words long, word_chars long, n_echo_words long, lang string, source string")
