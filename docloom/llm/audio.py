@@ -3,7 +3,9 @@
 A payload is stored as a mono WAV file of unsigned 8-bit samples and read back. Its samples are resampled by a
 polyphase filter bank, cut into overlapped windows, turned into log-mel energies and into segments: a segment begins
 where a frame's energy passes the upper threshold and lasts until it falls below the lower one. The log-mel matrix is
-stored as an Arrow IPC stream holding one fixed-shape tensor column (frames, mels) with each block's time span.
+stored as an Arrow IPC stream holding one fixed-shape tensor column (frames, mels) with each block's time span. The
+stream is built for every row and read back, and the digest of the features is taken of what was read: tensors, time
+spans and segments.
 
 Long texts are worked through in blocks of fixed size, so a task's memory doesn't grow with a text; block borders
 depend on the text alone, so equal texts give equal values.
@@ -138,22 +140,39 @@ def tensor_stream(mel: np.ndarray) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def read_tensors(stream: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(blocks (n, SPAN, MELS), begin and end of each in seconds) of a stored stream."""
+    with pa.ipc.open_stream(stream) as r:
+        batch = r.read_next_batch()
+    return batch.column("tensor").to_numpy_ndarray(), batch.column("begin_s").to_numpy(), batch.column("end_s").to_numpy()
+
+
+def feature_of(stream: bytes, spans: list[tuple[int, int]]) -> str:
+    """A line on what is stored: the tensors' shape and a digest of their values and time spans and of the segments."""
+    tensors, begin, end = read_tensors(stream)
+    digest = hashlib.sha256(tensors.tobytes())
+    for part in (begin, end, np.array(spans, np.int64)):
+        digest.update(part.tobytes())
+    shape = "x".join(map(str, tensors.shape))
+    return f"logmel {shape} {digest.hexdigest()[:32]} segments {len(spans)} frames {sum(b - a for a, b in spans)}"
+
+
 def audio_features(docs: DataFrame, stored: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each row: payload and media digests, segments as time spans and a digest of the features; with `stored` also the media file and the tensors' stream."""
+    """A row for each row: payload and media digests, segments as time spans and a digest of the stored features; with `stored` also the media file and the tensors' stream."""
 
     def one(text: bytes) -> dict:
         media = to_wav(payload_of(text))
         back = from_wav(media)
         mel, power = log_mel(back)
-        spans = segments(power)
+        spans, tensors = segments(power), tensor_stream(mel)
         second = HOP * DOWN / UP / RATE
         out = {
             "n_bytes": len(text), "payload_bytes": len(back), "payload_sha256": hashlib.sha256(back).hexdigest(), "tail_crc32": zlib.crc32(back[-64:]),
             "media_bytes": len(media), "media_sha256": hashlib.sha256(media).hexdigest(), "frames": len(mel),
             "segments": [{"begin_s": a * second, "end_s": b * second} for a, b in spans],
-            "feature": f"logmel {len(mel)}x{MELS} {hashlib.sha256(mel.tobytes()).hexdigest()[:32]} segments {len(spans)} frames {sum(b - a for a, b in spans)}",
+            "feature": feature_of(tensors, spans),
         }
-        return out | ({"media": media, "tensors": tensor_stream(mel)} if stored else {})
+        return out | ({"media": media, "tensors": tensors} if stored else {})
 
     def run(chunk: pa.RecordBatch) -> dict:
         rows = [one(t) for t in chunk.column("text").fill_null("").cast(pa.binary()).to_pylist()]

@@ -214,6 +214,18 @@ def test_audio_round_trip(make, odd_rows):
     assert audio.audio_features(make([]), stored=False).isEmpty()
 
 
+def test_features_come_from_the_stored_stream(make, odd_rows):
+    wide = {r.doc_id: r for r in audio.audio_features(make(odd_rows)).collect()}
+    thin = {r.doc_id: r.feature for r in audio.audio_features(make(odd_rows), stored=False).collect()}
+    second = audio.HOP * audio.DOWN / audio.UP / audio.RATE
+    for i, r in wide.items():
+        table = pa.ipc.open_stream(bytes(r.tensors)).read_all().combine_chunks()
+        tensors = table["tensor"].chunk(0).to_numpy_ndarray()
+        spans = np.array([(round(s.begin_s / second), round(s.end_s / second)) for s in r.segments], np.int64)
+        stored = [tensors, table["begin_s"].to_numpy(), table["end_s"].to_numpy(), spans]
+        assert thin[i] == r.feature and hashlib.sha256(b"".join(x.tobytes() for x in stored)).hexdigest()[:32] in r.feature
+
+
 def test_polyphase_equals_plain_filtering():
     x = np.random.default_rng(1).standard_normal(400).astype(np.float32)
     for up, down in ((1, 2), (3, 2), (2, 3)):
