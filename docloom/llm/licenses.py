@@ -1,7 +1,9 @@
 """License scans by canonical digest lookup.
 
-A text's canonical form has lower-case ASCII letters, equivalent spellings made one, no copyright lines, and one blank
-for each run of other characters than letters and digits. Its SHA-256 digest is looked up, by a hash join, among the
+A text's canonical form has lower-case ASCII letters, no copyright lines, equivalent spellings made one, and one blank
+for each run of other characters than letters and digits. A copyright line claims something: it begins with the sign, or
+with the word (or "(c)") and has a sign, a year or the phrase "all rights reserved"; or it is that phrase alone. A line of
+a wrapped licence that merely begins with the word stays. Its SHA-256 digest is looked up, by a hash join, among the
 digests of known licences in the same form: the whole text against everything known, and each line as an entire notice
 likewise. Only DataFrame functions are used. The known side is a table the caller gives (the catalogue below by
 default); Spark broadcasts it only under its own size limit.
@@ -21,7 +23,11 @@ from docloom.llm.shared import documents, id_and_text
 #: Equivalent spellings, replaced in this order after lower-casing.
 SPELLINGS = [("licence", "license"), ("licencing", "licensing"), ("organisation", "organization"), ("merchantibility", "merchantability"), ("non-infringement", "noninfringement"), ("https://", "http://"), ("v. ", "version "), ("©", "copyright"), ("(c)", "copyright")]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What the SQL takes for a copyright line: every line that begins so.
 COPYRIGHT = r"(^|\n)[ \t*#/;-]*(copyright|all rights reserved)[^\n]*"
+_YEAR = r"(?:\b(?:19|20)[0-9]{2}\b|[<\[{](?:year|yyyy)[>\]}])"
+#: A copyright line of a text in lower case whose signs are still there.
+CLAIM = rf"(^|\n)[ \t*#/;-]*(?:©[^\n]*|copyright\b(?=[^\n]*(?:©|\(c\)|{_YEAR}|all rights reserved))[^\n]*|\(c\)(?=[ \t]*copyright\b|[^\n]*{_YEAR})[^\n]*|all rights reserved[.!]?[ \t\r]*(?=\n|\z))"
 OTHER = r"[^a-z0-9\n\x{80}-\x{10FFFF}]+"
 
 #: Full texts of short licences, without their copyright lines.
@@ -31,6 +37,26 @@ _ISC = "Permission to use, copy, modify, and/or distribute this software for any
 _ISC_AS_IS = "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
 TEXTS = [("MIT", _GRANT + _AS_IS), ("MIT", "MIT License\n\n" + _GRANT + _AS_IS), ("MIT", "The MIT License (MIT)\n\n" + _GRANT + _AS_IS), ("ISC", _ISC + _ISC_AS_IS), ("ISC", "ISC License\n\n" + _ISC + _ISC_AS_IS), ("0BSD", _ISC.replace(", provided that the above copyright notice and this permission notice appear in all copies", "") + _ISC_AS_IS)]
 
+_BSD_GRANT = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n"
+_BSD = ["Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."]
+_BSD_AS_IS = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_ZLIB = "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.\n2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.\n3. This notice may not be removed or altered from any source distribution."
+_UNLICENSE = "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\nIn jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.\n\n" + _AS_IS.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS") + "\n\nFor more information, please refer to <https://unlicense.org>"
+_APACHE = ["Licensed under the Apache License, Version 2.0 (the \"License\");", "you may not use this file except in compliance with the License.", "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."]
+_SPDX = ["Apache-2.0", "MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "Zlib", "Unlicense", "BSL-1.0", "MPL-2.0", "EPL-2.0", "CC0-1.0", *[f"{g}-{v}{way}" for g, v in (("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "3.0")) for way in ("-only", "-or-later")]]
+
+
+def more_texts() -> list[tuple[str, str]]:
+    """(licence, text): further full texts, with numbered clauses or marks, and the headers and tags of source files."""
+    found = []
+    for name, title, count in (("BSD-2-Clause", "BSD 2-Clause License", 2), ("BSD-3-Clause", "BSD 3-Clause License", 3)):
+        for clauses in (_BSD[:count], [f"{k}. {c}" for k, c in enumerate(_BSD[:count], 1)]):
+            body = _BSD_GRANT + "\n".join(clauses) + "\n\n" + _BSD_AS_IS
+            found += [(name, body), (name, f"{title}\n\n{body}")]
+    found += [("Zlib", _ZLIB), ("Zlib", f"zlib License\n\n{_ZLIB}"), ("Unlicense", _UNLICENSE)]
+    found += [("Apache-2.0", _APACHE[0]), ("Apache-2.0", " ".join(_APACHE[:2])), ("Apache-2.0", " ".join(_APACHE))]
+    return found + [(name, f"SPDX-License-Identifier: {name}") for name in _SPDX]
+
 
 def notices() -> list[tuple[str, str]]:
     """(licence, notice line) of usual one-line notices: each name in each wording."""
@@ -42,10 +68,10 @@ def notices() -> list[tuple[str, str]]:
 
 def lined(text: Column) -> Column:
     """The canonical form with its line ends."""
-    x = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    x = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), CLAIM, "$1")
     for old, new in SPELLINGS:
         x = F.replace(x, F.lit(old), F.lit(new))
-    return F.regexp_replace(F.regexp_replace(x, COPYRIGHT, "$1"), OTHER, " ")
+    return F.regexp_replace(x, OTHER, " ")
 
 
 def whole(lines: Column) -> Column:
@@ -54,7 +80,7 @@ def whole(lines: Column) -> Column:
 
 def catalogue(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """(license, digest) of known texts, one licence for each digest."""
-    table = spark.createDataFrame(TEXTS + notices() if known is None else known, "license string, text string")
+    table = spark.createDataFrame(TEXTS + more_texts() + notices() if known is None else known, "license string, text string")
     form = whole(lined(F.col("text")))
     return table.select("license", form.alias("form")).where("form <> ''").groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license").alias("license"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import textwrap
 import zlib
 from pathlib import Path
 
@@ -173,6 +174,32 @@ def test_licenses(spark, make):
     assert own.count() == 1 and licenses.license_scan(make([(1, "my own terms")]), own).first().license == "mine"
 
 
+def test_wrapped_licenses(make):
+    texts = licenses.TEXTS + licenses.more_texts()
+    wrapped = []
+    for name, text in texts:
+        for width in (*range(70, 81), 30):  # a line begins at many a word
+            parts = [textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in text.split("\n\n")]
+            wrapped.append((name, "\n\n".join(parts)))
+    wrapped.append(("ISC", "Copyright (c) 2020 Some One\nAll rights reserved.\n" + licenses.TEXTS[3][1].replace("above copyright", "above\ncopyright")))
+    wrapped.append(("MIT", "# © Some One\n# Copyright <year> Other\n" + licenses.TEXTS[0][1].replace("OR COPYRIGHT", "OR\nCOPYRIGHT")))
+    got = {r.doc_id: r.license for r in licenses.license_scan(make([(k, t) for k, (_, t) in enumerate(wrapped)])).collect()}
+    assert [got[k] for k in range(len(wrapped))] == [name for name, _ in wrapped]
+
+
+def test_copyright_lines(make):
+    gone = ["Copyright 2020 X", "(c) 1999 X", "copyright: X, 2001-2003", "Copyright X. All rights reserved.", "All rights reserved", "// Copyright © X", "Copyright [yyyy] [name]"]
+    stay = ["copyright notice", "Copyright holders be liable", "all rights reserved to others", "(c) You must keep this", "Copyright Office form 123456"]
+    got = {r.doc_id: r.canonical_sha256 for r in licenses.license_scan(make([(k, x) for k, x in enumerate(gone + stay)])).collect()}
+    empty = hashlib.sha256(b"").hexdigest()
+    assert [got[k] == empty for k in range(len(got))] == [True] * len(gone) + [False] * len(stay)
+
+
+def test_headers_of_source_files(make):
+    rows = [(1, '/*\n * Licensed under the Apache License, Version 2.0 (the "License");\n * you may not\n */'), (2, "// SPDX-License-Identifier: GPL-2.0-or-later\nint x;")]
+    assert {r.doc_id: r.notices for r in licenses.license_scan(make(rows)).collect()} == {1: "Apache-2.0", 2: "GPL-2.0-or-later"}
+
+
 def test_licenses_are_native(make):
     plan = licenses.license_scan(make([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
