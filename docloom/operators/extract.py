@@ -88,8 +88,14 @@ def with_reader(payloads: DataFrame, reader: Reader, batch_rows: int = 32) -> Da
     return payloads.select("id", "data").mapInArrow(run, "id long, text string, error string")
 
 
-_STREAM = re.compile(rb"<<(?P<head>(?:[^<>]|<[^<]|>[^>])*)>>\s*stream\r?\n(?P<body>.*?)\r?\nendstream", re.S)
+_STREAM = re.compile(rb"<<(?P<head>(?:(?!endobj|stream).)*)>>\s*stream\r?\n(?P<body>.*?)endstream", re.S)
+_BEGUN = re.compile(rb">>\s*stream\r?\n")
+_FILTERS = re.compile(rb"/Filter\s*(\[[^\]]*\]|/\w+)")
+#: Heads of streams that hold no page content: images, fonts, colour profiles, metadata, tables of objects, attachments.
+_ASIDE = re.compile(rb"/Subtype\s*/(?:Image|Type1C|CIDFontType0C|OpenType|XML)\b|/Length[123]\b|/Type\s*/(?:XRef|ObjStm|Metadata|EmbeddedFile)\b|/FunctionType\b|/N\s+[134]\b")
 _SHOW = re.compile(rb"(?P<font>/\w+\s+(?P<size>[\d.]+)\s+Tf)|(?P<move>(?P<dx>-?[\d.]+)\s+(?P<dy>-?[\d.]+)\s+T[dD])|(?P<matrix>(?:-?[\d.]+\s+){5}(?P<my>-?[\d.]+)\s+Tm)|\((?P<text>(?:\\.|[^\\()])*)\)\s*(?:Tj|'|\")|(?P<many>\[(?:[^\[\]\\]|\\.)*\]\s*TJ)", re.S)
+_LITERAL = re.compile(rb"\((?:\\.|[^\\()])*\)", re.S)
+_OPERATOR = re.compile(rb"(?<![\w/])T[jJ](?!\w)|[)>]\s*['\"]")
 _PIECE = re.compile(rb"\(((?:\\.|[^\\()])*)\)", re.S)
 
 
@@ -98,18 +104,58 @@ def _literal(raw: bytes) -> str:
     return re.sub(rb"\\(.)", lambda m: {b"n": b"\n", b"r": b"\r", b"t": b"\t"}.get(m[1], m[1]), out, flags=re.S).decode("latin-1")
 
 
-def page_lines(data: bytes, page_height: float = 842.0) -> list[dict]:
-    """Lines of simple PDF files (deflated or plain content, literal strings), y growing downward; a chunk joins the line above if it stands within 2.5 of its y."""
-    lines: list[dict] = []
-    page = 0
-    for m in _STREAM.finditer(data):
-        body = m["body"]
-        if b"FlateDecode" in m["head"]:
+def _contents(data: bytes) -> Iterator[tuple[bytes | None, str | None]]:
+    """(content, None) of each page stream in turn, or (None, why it can't be read)."""
+    end = 0
+    for m in [*_STREAM.finditer(data), None]:
+        if _BEGUN.search(data, end, m.start() if m else len(data)):
+            yield None, "a stream without an end or a plain head"
+        if m is None:
+            return
+        end = m.end()
+        if _ASIDE.search(m["head"]):
+            continue
+        found = _FILTERS.search(m["head"])
+        names = re.findall(rb"/\w+", found[1]) if found else []
+        if not names:
+            yield m["body"], None
+        elif names != [b"/FlateDecode"]:
+            yield None, "filter " + b" ".join(names).decode("latin-1")
+        else:
+            flate = zlib.decompressobj()
             try:
-                body = zlib.decompress(body)
+                body = flate.decompress(m["body"])
             except zlib.error:
+                yield None, "a damaged stream"
                 continue
-        if b"BT" not in body:
+            yield (body, None) if flate.eof else (None, "a stream cut short")
+
+
+def _unread_shows(body: bytes) -> bool:
+    """Whether a content stream shows text by other than literal strings that `page_lines` reads."""
+    shows = [x for x in _SHOW.finditer(body) if x["text"] is not None or x["many"]]
+    bare, before = _LITERAL.sub(b"()", body), body
+    while bare != before:  # strings within strings
+        bare, before = re.sub(rb"\((?:[^()]|\(\))+\)", b"()", bare), bare
+    return len(shows) < len(_OPERATOR.findall(bare)) or any(b"<" in _LITERAL.sub(b"", x["many"]) for x in shows if x["many"])
+
+
+def page_fault(data: bytes) -> str | None:
+    """Why `page_lines` can't have read all text of a file: the first stream that failed, or text shown by other than literal strings."""
+    if b"/Encrypt" in data:
+        return "encrypted"
+    for body, why in _contents(data):
+        if why or b"BT" in body and _unread_shows(body):
+            return why or "text that isn't in literal strings"
+    return None
+
+
+def page_lines(data: bytes, page_height: float = 842.0) -> list[dict]:
+    """Lines of simple PDF files (deflated or plain content, literal strings), y growing downward; a chunk joins the line above if it stands within 2.5 of its y. What it passes over, `page_fault` names."""
+    lines: list[dict] = []
+    page = 0
+    for body, _ in _contents(data):
+        if body is None or b"BT" not in body:
             continue
         y = size = 0.0
         for x in _SHOW.finditer(body):
@@ -145,6 +191,17 @@ def pdf_lines(payloads: DataFrame) -> DataFrame:
     return payloads.select("id", "data").mapInArrow(run, schema)
 
 
+def pdf_faults(payloads: DataFrame) -> DataFrame:
+    """(id, size, fault) of PDF payloads (id, data): why not all of a file's text can be read, or null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = batch.column("data").to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([None if d is None else len(d) for d in data], pa.int64()), pa.array([page_fault(d or b"") for d in data], pa.string())], names=["id", "size", "fault"])
+
+    return payloads.select("id", "data").mapInArrow(run, "id long, size long, fault string")
+
+
 def line_text(chunks: Column) -> Column:
     """Chunks stripped, empty ones dropped, joined by one blank."""
     strip = lambda c: F.regexp_replace(c, r"\A\p{javaWhitespace}+|\p{javaWhitespace}+\z", "")
@@ -205,9 +262,10 @@ def extracted(payloads: DataFrame, readers: dict[str, Reader] | None = None) ->
     if "PDF" not in own:
         pages = rows.where("format = 'PDF'")
         texts = texts_of(paragraphs(pdf_lines(pages))).withColumnRenamed("doc_id", "id")
-        joined = pages.select("id", F.octet_length("data").alias("size")).join(texts, "id", "left")
-        next_ = ocr_gate(F.col("text"), F.lit(False), F.col("size"))
-        out = out.unionByName(joined.select("id", F.lit("PDF").alias("format"), "text", F.when(next_ != "text", next_).alias("error_kind"), F.lit(None).cast("string").alias("error")))
+        joined = pdf_faults(pages).join(texts, "id", "left")
+        next_ = ocr_gate(F.col("text"), F.col("fault").isNotNull(), F.col("size"))
+        whole = F.when(F.col("fault").isNull(), F.col("text"))  # a part of a text is none
+        out = out.unionByName(joined.select("id", F.lit("PDF").alias("format"), whole.alias("text"), F.when(next_ != "text", next_).alias("error_kind"), F.concat(F.lit("Unread PDF content: "), "fault").alias("error")))
     left = rows.where(F.col("error_kind").isNull() & ~F.col("format").isin(*own, "PDF"))
     return out.unionByName(left.select("id", "format", F.lit(None).cast("string").alias("text"), F.lit("unsupported").alias("error_kind"), F.concat(F.lit("No reader for "), "format").alias("error")))
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import zlib
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -117,3 +119,22 @@ def test_paragraphs(spark, lines, expected):
     rows = [(1, k, p, float(y), 12.0, [t]) for k, (t, p, y) in enumerate(lines)]
     found = extract.paragraphs(spark.createDataFrame(rows, "doc_id long, line_no int, page int, y float, font float, chunks array<string>"))
     assert [r.text for r in found.orderBy("paragraph").collect()] == expected
+
+
+def test_partly_readable_pdfs_go_to_ocr(spark):
+    first = pdf_bytes(["A readable (first) page"])
+    stream = lambda head, body: first + b"\n5 0 obj\n<< " + head + b" >>\nstream\n" + body + b"\nendstream\nendobj\n%%EOF"
+    page = b"BT /F1 12 Tf 1 0 0 1 50 800 Tm %s ET"
+    flate = b"/Filter /FlateDecode"
+    partly = {
+        1: stream(flate, b"broken"), 2: stream(b"", page % b"<00410042> Tj"), 3: stream(flate, zlib.compress(page % b"[(a) 3 <0041>] TJ")), 4: stream(b"/Filter /LZWDecode", b"x"),
+        5: stream(flate, zlib.compress(page % (b"(some long text)" * 50 + b" Tj"))[:-20]), 6: first + b"\n5 0 obj << /A 1 >> stream\nBT", 7: stream(b"", page % b"(a (nested) b) Tj"), 8: stream(b"/Filter [/ASCII85Decode /FlateDecode]", b"x"),
+    }
+    whole = {
+        11: first, 12: stream(b"/Subtype /Image /Filter /DCTDecode", b"x"), 13: stream(b"/DecodeParms << /Columns 1 >> " + flate, zlib.compress(page % b"(second) Tj")), 14: stream(b"", page % b"[(a) -3 (b Tj <41> TJ)] TJ"),
+        15: stream(b"", b"begincmap <01> <0041> endcmap"),
+    }
+    frame = spark.createDataFrame([(k, bytearray(v)) for k, v in (partly | whole).items()], "id long, data binary")
+    got = {r.id: r for r in extract.extracted(frame).collect()}
+    assert {k: (got[k].error_kind, got[k].text) for k in partly} == {k: ("ocr", None) for k in partly}
+    assert all(got[k].error_kind is None and got[k].text.startswith("A readable (first) page") for k in whole) and "second" in got[13].text
