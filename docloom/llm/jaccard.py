@@ -20,8 +20,9 @@ Keys meet in compact blocks (`keyblocks`). Groups of equal keys never turn into
 A pair that links is thus verified, or its ends already share a component.
 
 Edge cases: null and empty texts have 0 shingles and are linked with nothing; texts of fewer words than a shingle are
-one sequence; repeated rows share a component; rows of one id are one document; a row with null id gets null; other
-columns are ignored; an empty table gives an empty result.
+one sequence; repeated rows share a component; rows of one id with different texts are documents of their own, each in
+the component that its text links to; a row with null id gets null; other columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -31,12 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.components import components
 from docloom.llm.keyblocks import BLOCKS, both, fixed, meet, node_numbers, number_of_parts, packed, replies
-from docloom.llm.shared import documents, flat_text, id_and_text, map_chunks, names_of, written
+from docloom.llm.shared import documents, flat_text, free_prefix, id_and_text, map_chunks, names_of, valid, written
 from docloom.llm.wordflow import LOWER, bounds, fits, joined, mixed, windows, word_hashes
 
 SHINGLE = 5
@@ -388,15 +389,21 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_chunks(both, run, "a binary, b binary")
 
 
+def text_mark(text_col: str = "text") -> Column:
+    """A hash of the text by which rows of one id are told apart."""
+    return F.xxhash64(F.coalesce(valid(F.col(f"`{text_col}`")), F.lit("")))
+
+
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, node): equal sets have equal nodes; no shingles, no node."""
+    """(doc_id, mark, n_shingles, node): equal sets have equal nodes; no shingles, no node."""
 
     def run(chunk: pa.RecordBatch) -> dict:
         found, first = shingles(chunk.column("text"))
         size = np.diff(first)
-        return {"doc_id": chunk.column("doc_id"), "n_shingles": size, "node": [x if n else None for x, n in zip(fixed(digests(found, first)).to_pylist(), size.tolist(), strict=True)]}
+        nodes = [x if n else None for x, n in zip(fixed(digests(found, first)).to_pylist(), size.tolist(), strict=True)]
+        return {"doc_id": chunk.column("doc_id"), "mark": chunk.column("mark"), "n_shingles": size, "node": nodes}
 
-    return map_chunks(docs, run, "doc_id long, n_shingles long, node binary")
+    return map_chunks(docs.withColumn("mark", text_mark()), run, "doc_id long, mark long, n_shingles long, node binary")
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -411,8 +418,8 @@ def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return map_chunks(docs.select("text"), run, "node binary, text string").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
 
 
-def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: the least id that links reach."""
+def row_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, mark, n_shingles, node, root) of every row: linked sets share a root; no words, neither node nor root."""
     rows = id_and_text(docs, id_col, text_col)
     sets = written(shingle_sets(rows), "sets")
     parts = number_of_parts(int((sets.agg(F.sum("n_shingles")).first()[0] or 0) * 6 // 10))
@@ -437,23 +444,38 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = links.unionByName(linked(rest, texts))
 
     roots = written(components(links), "roots")
-    least = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    least = least.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
-    reach = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = least.join(reach, "root").select("node", "component_id")
-    found = sets.join(classes, "node", "left")
+    return sets.join(roots, "node", "left").select("doc_id", "mark", "n_shingles", "node", F.coalesce("root", "node").alias("root"))
+
+
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row: the least id that links reach."""
+    rows = written(row_classes(docs, id_col, text_col), "row-classes")
+    least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    found = rows.join(least, "root", "left")
     return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, as they are, of one document of each class: that of the least id. Rows without an id or a word stay; a repeated id stays once."""
-    classes = jaccard_classes(docs, id_col, text_col)
-    gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
-    left = docs.join(gone, id_col, "left_anti").select(*names_of(docs))
-    if classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return left
-    named = F.col(f"`{id_col}`").isNotNull()
-    return left.where(named).dropDuplicates([id_col]).unionByName(left.where(~named))
+    """One row of each class, as it is: that of the least id (a null id counts as the largest), and of the least hash of its text among rows of that id.
+
+    Rows without a word stay, as they resemble nothing. Of rows of the same id and text that stay, one is left.
+    """
+    rows = written(row_classes(docs, id_col, text_col).where("root is not null"), "row-classes")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
+    best = rows.groupBy("root").agg(F.min(place).alias("best")).select(F.col("root"), "best.doc_id", "best.mark")
+    best = written(best, "class-leaders")
+    at = free_prefix(docs, "class_")
+    same = lambda other: F.col(f"{at}id").eqNullSafe(other[f"{at}id_"]) & (F.col(f"{at}mark") == other[f"{at}mark_"])
+    named = lambda found: found.select(F.col("doc_id").alias(f"{at}id_"), F.col("mark").alias(f"{at}mark_"))
+    gone = named(rows.join(best.withColumnRenamed("root", "best_root"), rows["doc_id"].eqNullSafe(best["doc_id"]) & (rows["mark"] == best["mark"]), "left_anti").select("doc_id", "mark").distinct())
+    keyed_docs = docs.withColumns({f"{at}id": F.col(f"`{id_col}`").cast("long"), f"{at}mark": text_mark(text_col)})
+    left = keyed_docs.join(gone, same(gone), "left_anti")
+    often = rows.groupBy("doc_id", "mark").agg(F.count("*").alias("n")).where("n > 1")
+    often = written(named(often.join(best, often["doc_id"].eqNullSafe(best["doc_id"]) & (often["mark"] == best["mark"]), "left_semi")), "repeated-leaders")
+    if not often.isEmpty():
+        once = left.join(often, same(often), "left_semi").dropDuplicates([f"{at}id", f"{at}mark"])
+        left = left.join(often, same(often), "left_anti").unionByName(once)
+    return left.select(*names_of(docs))
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

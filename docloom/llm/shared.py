@@ -18,17 +18,26 @@ CHUNK_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the cluster names it; a temporary one only where none is set."""
+    """The folder that driver and executors share, as the cluster names it. Only a session that is one process may go without: it gets a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="docloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/docloom/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, among those of this application."""
+    return f"{shared_dir(spark)}/docloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes the tables that this application wrote in the shared folder; frames that read them are void then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/docloom/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -48,9 +57,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def valid(text: Column) -> Column:
+    """The text with U+FFFD in place of each byte sequence that isn't UTF-8, so that one damaged text can't fail a job."""
+    return F.make_valid_utf8(text.cast("string"))
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the two columns an operator reads, under fixed names, whatever else the table has."""
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    """Only the two columns an operator reads, under fixed names, whatever else the table has; texts are valid UTF-8."""
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), valid(docs[text_col]).alias("text"))
 
 
 def flat_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.keyblocks import BLOCKS, KEY_BYTES, both, meet, number_of_parts, packed, replies
-from docloom.llm.shared import annotated, documents, flat_text, free_prefix, map_chunks, names_of, written
+from docloom.llm.shared import annotated, documents, flat_text, free_prefix, map_chunks, names_of, valid, written
 from docloom.llm.wordflow import bounds, fits, mixed, windows, word_hashes
 
 WINDOW, PERIOD = 20, 13
@@ -204,7 +204,7 @@ def kept_words(w: Words, found: list[bytes | None]) -> tuple[list[int], list[byt
 
 def keys_of(id_col: str, text_col: str) -> list[Column]:
     """(doc_id, mark, text) by which a document's rows meet."""
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    text = F.coalesce(valid(F.col(f"`{text_col}`")), F.lit(""))
     return [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.hash(text).alias("mark"), text.alias("text")]
 
 
@@ -242,7 +242,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def run(chunk: pa.RecordBatch) -> dict:
         w = Words(chunk.column(chunk.schema.get_field_index(text_col)))
         gone, kept = kept_words(w, chunk.column(chunk.schema.get_field_index(f"{at}found")).to_pylist())
-        return {"kept": [x.decode() if n else None for n, x in zip(gone, kept, strict=True)]}
+        return {"kept": [x.decode("utf-8", "replace") if n else None for n, x in zip(gone, kept, strict=True)]}
 
     found, own = annotated(rows, run, "kept string", text_col)
     kept = F.coalesce(F.col(f"{own}kept"), F.col(f"`{text_col}`")).alias(text_col)

@@ -66,6 +66,28 @@ def test_one_of_each(make, odd_rows):
     assert left.where("doc_id is null").count() == 1
 
 
+def test_one_id_with_several_texts(make, prose):
+    """Unique texts survive, whichever id they share; copies go by rows."""
+    rng = random.Random(6)
+    a, b, c, d = (prose(rng, 200, 10**6) for _ in range(4))
+    rows = [(1, a), (5, a + " more"), (5, b), (5, c), (5, c), (7, c + " more"), (8, ""), (8, ""), (None, d), (None, d), (None, a), (9, None)]
+    classes_ = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard.jaccard_classes(make(rows)).where("doc_id is not null").collect()}
+    assert classes_ == {(1, 196): 1, (5, 197): 1, (5, 196): 5, (7, 197): 5, (8, 0): 8, (9, 0): 9}
+    left = jaccard.one_of_each(make(rows))
+    assert left.columns == make(rows).columns
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=key) == sorted([(1, a), (5, b), (5, c), (8, ""), (8, ""), (None, d), (9, None)], key=key)
+
+
+def test_invalid_utf8(spark):
+    raw = bytearray(b"good words here \xff\xfe and on and on " + b"more words to fill a window of twenty words or so in all, yes it does " * 2)
+    docs = spark.createDataFrame([(1, raw), (2, raw), (3, bytearray(b"\xc3"))], "doc_id long, raw binary").selectExpr("doc_id", "cast(raw as string) as text", "'en' as lang", "'s' as source", "0L as n_chars")
+    assert {r.doc_id: r.component_id for r in jaccard.jaccard_classes(docs).collect()} == {1: 1, 2: 1, 3: 3}
+    assert [r.doc_id for r in jaccard.one_of_each(docs).orderBy("doc_id").collect()] == [1, 3]
+    assert substrings.substring_dedup(docs).where("doc_id = 2").first().kept == ""
+    assert substrings.without_repeats(docs).count() == 2
+
+
 def test_every_linked_pair_shares_a_probed_key(prose):
     """The pigeonhole: sets at the very limit share a key that one of them probes, on every level and depth."""
     import pyarrow as pa
