@@ -10,9 +10,10 @@ ANCHOR = WINDOW - PERIOD + 1 words there lie in both. Only these positions are h
 2. The match is extended around them: only windows that hold such an anchor are hashed whole and meet by that hash;
    the earliest occurrence stays, each other one is told to its document.
 3. Documents cover the windows they were told of.
-In both meetings the occurrences in one chunk of documents are reduced to one beforehand (the rest is told at once), so
-a passage in a third of all documents costs its key's task one row per chunk. Hashes of windows are 64 bits wide; those
-of anchors are shorter, as they only select.
+In both meetings the occurrences in one chunk of documents are reduced to one beforehand (the rest is told at once). Over
+more than CHUNKS_AT_ONCE chunks they are reduced once more, among the chunks of one salt, so that a passage in a third of
+all documents costs its key's task one row per salt. Hashes of windows are 128 bits wide, made of two independent hashes
+of each word; those of anchors are shorter, as they only select.
 
 Edge cases: null texts have no words; texts shorter than a window lose nothing; rows of one id and one text are one
 document, each with its result; rows of one id and different texts are ordered by their windows' starts, ties losing
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.keyblocks import BLOCKS, KEY_BYTES, both, meet, number_of_parts, packed, replies
-from docloom.llm.shared import annotated, documents, flat_text, free_prefix, map_chunks, names_of, valid, written
+from docloom.llm.shared import CHUNK_BYTES, annotated, documents, flat_text, free_prefix, map_chunks, names_of, valid, written
 from docloom.llm.wordflow import bounds, fits, mixed, windows, word_hashes
 
 WINDOW, PERIOD = 20, 13
@@ -43,6 +44,11 @@ RECORD = 12
 FOUND = "doc_id long, mark int, found binary"
 START_BYTES = 4
 REPEATS = 1
+#: Bytes of a window's hash, and the second half's salt.
+KEY_WIDE = 16
+_OTHER = np.uint64(0x2545F4914F6CDD1D)
+#: Chunks of texts whose rows of one key meet in one task at once.
+CHUNKS_AT_ONCE = 20_000
 
 
 class Words:
@@ -117,25 +123,39 @@ def values_of(cell: bytes | None, width: int) -> np.ndarray:
     return eight.view("<u8").ravel()
 
 
-def anchored(texts: DataFrame, parts: int) -> DataFrame:
+def dealt(keys: np.ndarray, records: np.ndarray, parts: int, salts: int) -> np.ndarray:
+    """Where a chunk's keys (an integer of each) go: by key alone, or by key and the chunk's salt."""
+    if salts > 1:
+        keys = mixed(keys ^ mixed(mixed(np.ascontiguousarray(records[:1, :8]).view("<u8").ravel()) % np.uint64(salts)))
+    return (keys >> np.uint64(40)) % np.uint64(parts)
+
+
+def anchored(texts: DataFrame, parts: int, salts: int = 1) -> DataFrame:
     """Step 1: FOUND rows with the keys (their low bytes) of a document's anchors that occur twice."""
+    wide = KEY_BYTES if salts == 1 else 8  # a partition dealt by the key alone holds the upper bytes in its number
+
+    def reduced(key: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, salts: int) -> dict:
+        """One row of each key, and replies to the documents of those that occur again."""
+        first, again = groups(key)
+        first.sort()
+        out = packed(key[first], (again[first] | (flags[first] == REPEATS)).astype(np.uint8) * REPEATS, docs[first], records, parts, wide, dealt(key[first], records, parts, salts))
+        tell = np.flatnonzero(again & (flags != REPEATS))
+        return both(out, replies(key[tell], docs[tell], records, parts, KEY_BYTES))
 
     def run(chunk: pa.RecordBatch) -> dict | None:
         w, records = Words(chunk.column("text")), records_of(chunk)
         text, _, key = anchor_keys(w)
-        if not len(key):
-            return None
-        first, again = groups(key)
-        first.sort()
-        out = packed(key[first], again[first].astype(np.uint8) * REPEATS, text[first], records, parts)
-        return both(out, replies(key[again], text[again], records, parts, KEY_BYTES))
+        return reduced(key, np.zeros(len(key), np.uint8), text, records, salts) if len(key) else None
 
     def met(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict | None:
         _, again = groups(keys)
         tell = np.flatnonzero(again & (flags != REPEATS))
         return replies(keys[tell], docs[tell], records, parts, KEY_BYTES) if len(tell) else None
 
-    return gathered(meet(map_chunks(texts, run, BLOCKS), parts, RECORD, met, BLOCKS, forward=True), parts, KEY_BYTES)
+    blocks = map_chunks(texts, run, BLOCKS)
+    if salts > 1:
+        blocks = meet(blocks, parts, RECORD, lambda *own: reduced(*own, 1), BLOCKS, key_bytes=wide, forward=True)
+    return gathered(meet(blocks, parts, RECORD, met, BLOCKS, key_bytes=wide, forward=True), parts, KEY_BYTES)
 
 
 def candidates(w: Words, found: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,36 +174,50 @@ def candidates(w: Words, found: list[bytes | None]) -> tuple[np.ndarray, np.ndar
     near = np.cumsum(change[:-1]) > 0
     text, start, key = w.windows(WINDOW)
     at = np.flatnonzero(near[w.first[text] + start])
-    return text[at], start[at], mixed(key[at] ^ _SALT)
+    other = windows(word_hashes(w.data, w.starts, w.ends, _OTHER), WINDOW)
+    wide = np.stack([mixed(key[at] ^ _SALT), other[w.first[text[at]] + start[at]]], axis=1)
+    return text[at], start[at], np.ascontiguousarray(wide.astype("<u8")).view(np.uint8).reshape(-1, KEY_WIDE)
+
+
+def halves(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two integers of each wide key."""
+    two = np.ascontiguousarray(keys).view("<u8").reshape(-1, 2)
+    return two[:, 0], two[:, 1]
 
 
 def later(ids: np.ndarray, starts: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Which occurrences have an earlier one of the same key."""
-    order = np.lexsort((starts, ids, keys))
-    ids, starts, keys = ids[order], starts[order], keys[order]
-    head = np.maximum.accumulate(np.where(np.r_[True, keys[1:] != keys[:-1]], np.arange(len(keys)), 0))
+    """Which occurrences have an earlier one of the same wide key."""
+    a, b = halves(keys)
+    order = np.lexsort((starts, ids, b, a))
+    ids, starts, a, b = ids[order], starts[order], a[order], b[order]
+    head = np.maximum.accumulate(np.where(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])], np.arange(len(a)), 0))
     out = np.zeros(len(keys), bool)
     out[order] = (ids != ids[head]) | (starts != starts[head])
     return out
 
 
-def repeated(texts: DataFrame, parts: int) -> DataFrame:
+def repeated(texts: DataFrame, parts: int, salts: int = 1) -> DataFrame:
     """Step 2: FOUND rows with the starts of a document's windows that occur earlier."""
 
+    def reduced(key: np.ndarray, starts: np.ndarray, docs: np.ndarray, records: np.ndarray, salts: int) -> dict:
+        """The earliest occurrence of each key, and replies to the documents of the others."""
+        late = later(ids_of(records)[docs], starts, key)
+        out = packed(key[~late], starts[~late].astype("<u4"), docs[~late], records, parts, key_bytes=KEY_WIDE, part=dealt(halves(key[~late])[0], records, parts, salts))
+        return both(out, replies(starts[late], docs[late], records, parts, START_BYTES))
+
     def run(chunk: pa.RecordBatch) -> dict | None:
         w, records = Words(chunk.column("text")), records_of(chunk)
         text, start, key = candidates(w, chunk.column("found").to_pylist())
-        if not len(key):
-            return None
-        late = later(ids_of(records)[text], start, key)
-        out = packed(key[~late], start[~late].astype("<u4"), text[~late], records, parts, key_bytes=8)
-        return both(out, replies(start[late], text[late], records, parts, START_BYTES))
+        return reduced(key, start, text, records, salts) if len(key) else None
 
     def met(keys: np.ndarray, starts: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict | None:
         late = np.flatnonzero(later(ids_of(records)[docs], starts, keys))
         return replies(starts[late], docs[late], records, parts, START_BYTES) if len(late) else None
 
-    return gathered(meet(map_chunks(texts, run, BLOCKS), parts, RECORD, met, BLOCKS, kind="<u4", key_bytes=8, forward=True), parts, START_BYTES)
+    blocks = map_chunks(texts, run, BLOCKS)
+    if salts > 1:
+        blocks = meet(blocks, parts, RECORD, lambda *own: reduced(*own, 1), BLOCKS, kind="<u4", key_bytes=KEY_WIDE, forward=True)
+    return gathered(meet(blocks, parts, RECORD, met, BLOCKS, kind="<u4", key_bytes=KEY_WIDE, forward=True), parts, START_BYTES)
 
 
 def kept_words(w: Words, found: list[bytes | None]) -> tuple[list[int], list[bytes]]:
@@ -208,17 +242,18 @@ def keys_of(id_col: str, text_col: str) -> list[Column]:
     return [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.hash(text).alias("mark"), text.alias("text")]
 
 
-def late_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, mark, found): the starts of the windows of each document that occur earlier, written."""
+def late_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int | None = None) -> DataFrame:
+    """(doc_id, mark, found): the starts of the windows of each document that occur earlier, written. `salts`: how many share a key's rows before they meet (by the amount of text)."""
     texts = docs.select(*keys_of(id_col, text_col))
-    parts = number_of_parts(int((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 12))
-    anchors = written(anchored(texts, parts), "anchors")
-    return written(repeated(texts.join(anchors, ["doc_id", "mark"]), parts), "late")
+    size = int(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    parts, salts = number_of_parts(size // 12), salts or max(1, -(-size // (CHUNK_BYTES * CHUNKS_AT_ONCE)))
+    anchors = written(anchored(texts, parts, salts), "anchors")
+    return written(repeated(texts.join(anchors, ["doc_id", "mark"]), parts, salts), "late")
 
 
-def substring_dedup(docs: DataFrame, digest_only: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def substring_dedup(docs: DataFrame, digest_only: bool = False, id_col: str = "doc_id", text_col: str = "text", salts: int | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row; with `digest_only` kept_sha256 in place of the text left."""
-    late = late_windows(docs, id_col, text_col)
+    late = late_windows(docs, id_col, text_col, salts)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("own_id"), *keys_of(id_col, text_col))
 
     def run(chunk: pa.RecordBatch) -> dict:

@@ -39,12 +39,12 @@ def bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, eight bytes a step."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: np.uint64 = np.uint64(0)) -> np.ndarray:
+    """A 64-bit hash of each word, eight bytes a step; another seed gives an independent one."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eight = np.ndarray(shape=(len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
     left = ends - starts
-    out = mixed(left.astype(np.uint64) * _C)
+    out = mixed(left.astype(np.uint64) * _C + seed)
     at, todo = starts, np.arange(len(starts))
     while len(todo):
         lane = eight[at] & _KEEP[np.minimum(left, 8)]
