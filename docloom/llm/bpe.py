@@ -5,7 +5,9 @@ search over the sorted pair keys, each word's lowest rank by a segmented minimum
 the word are merged, leftmost first. Words without a pair left leave the array. A Python worker remembers the ids of
 units it has met, so only new words go through the rounds.
 
-Edge cases: null texts are empty, empty texts have no ids; the vocabulary's special strings inside a text get their
+Only vocabularies of the byte-level form that this implements are taken: any other file is refused before a row is read.
+
+Edge cases: null texts are empty, empty texts have no ids; bytes that aren't UTF-8 count as U+FFFD; the vocabulary's special strings inside a text get their
 own id, as the library does by default; rows are kept as they are, repeated or not; other columns are ignored.
 """
 
@@ -37,6 +39,22 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(odd)}
 
 
+def check_form(spec: dict) -> None:
+    """Raises ValueError for a tokenizer file that the rounds below would not encode as its library does."""
+    pre, model, decoder = spec.get("pre_tokenizer") or {}, spec["model"], spec.get("decoder") or {}
+    faults = {
+        "a normalizer": spec.get("normalizer"),
+        "another pre-tokenizer than ByteLevel with its usual pattern": pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True),
+        "another decoder than ByteLevel": decoder.get("type") != "ByteLevel",
+        "another model than BPE": model.get("type") != "BPE",
+        "options of its model": any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")),
+        "special strings that take blanks or whole words": any(x.get(k) for x in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")),
+    }
+    found = [what for what, there in faults.items() if there]
+    if found:
+        raise ValueError(f"The tokenizer file has {', '.join(found)}")
+
+
 class Vocabulary:
     """The tables of a byte-level BPE file: sorted pair keys with ranks and results, and each id's bytes."""
 
@@ -45,6 +63,7 @@ class Vocabulary:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        check_form(spec)
         ids, letters = spec["model"]["vocab"], byte_letters()
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         left, right = (np.array([ids[p[k]] for p in pairs], dtype=np.int64) for k in (0, 1))
@@ -161,6 +180,7 @@ def decode(path: str, ids: bytes) -> str:
 
 def bpe_round_trip(docs: DataFrame, tokenizer: str, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of every row; without `with_ids` their SHA-256 digests in place of both."""
+    vocabulary(tokenizer)  # refuses other forms here, not in a task
     state: dict = {}
 
     def run(chunk: pa.RecordBatch) -> dict:
