@@ -7,9 +7,11 @@ read from the sketch give the limits, median +- REACH spreads. Where only high v
 near 0 and what is below the median tells nothing, so the spread is the distance from the median to the upper quartile
 or half of that to the upper tenth, whichever is more (of about equal size in a normal distribution; the tenth also sees
 a tail that fewer than a quarter of the rows have), or a small least spread. Where both sides fail, it is the distance to
-the quartile on the other side, or a least spread. Groups of fewer than LEAST_ROWS rows take the sketch of their
-language, merged over sources, and below that of the whole table. The limits are joined back on language and source:
-they are broadcast if they have no more than 50,000 rows; beyond that Spark picks the join and splits a hot source.
+the quartile on the other side, or a least spread. A group's sketch is blended with that of its language, merged over
+sources, as if PRIOR rows of it were the group's own, and the language's likewise with that of the whole table: a small
+group is judged mostly by the wider ones, a large one by itself, without a step at any size. The limits are joined back on
+language and source: they are broadcast if they have no more than 50,000 rows; beyond that Spark picks the join and splits
+a hot source.
 
 Edge cases: null texts have no words and fail the base rules, as do empty ones; null languages and sources count as
 empty strings; repeated rows are kept, each with the same verdict; other columns are ignored; an empty table gives an
@@ -25,8 +27,11 @@ from pyspark.sql import functions as F
 from docloom.llm.shared import annotated, broadcast_if_small, documents, map_chunks, names_of, written
 from docloom.llm.textstats import statistics
 
-LEAST_ROWS = 200
+#: Rows that the wider sketch counts for in a blend.
+PRIOR = 200
 REACH = 6
+#: Slack of a comparison of summed weights, as a share.
+SLACK = 1e-9
 #: ratio -> (numerator, denominator, least spread in thousandths, sides on which it fails)
 RATIOS = {
     "symbols": ("n_symbols", "n_words", 5, "high"),
@@ -88,25 +93,34 @@ def merged(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return sketches.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quantiles(sketches: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """(keys, ratio, `name` struct of rows, quartiles and upper tenth); a quantile is the least bucket that covers its share."""
-    group = Window.partitionBy(*keys, "ratio")
-    run = sketches.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))).withColumn("rows", F.sum("n").over(group))
-    at = lambda name, k, n: F.min(F.when(F.col("upto") * n >= F.col("rows") * k, F.col("bucket"))).alias(name)
-    found = run.groupBy(*keys, "ratio").agg(F.max("rows").alias("rows"), at("q1", 1, 4), at("q2", 1, 2), at("q3", 3, 4), at("d9", 9, 10))
-    return found.select(*keys, "ratio", F.struct("rows", "q1", "q2", "q3", "d9").alias(name))
+def shares(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, ratio, bucket, share): each bucket's share of its group."""
+    whole = sketches.groupBy(*keys, "ratio").agg(F.sum("n").alias("total"))
+    return sketches.join(whole, [*keys, "ratio"]).select(*keys, "ratio", "bucket", (F.col("n") / F.col("total")).alias("share"))
+
+
+def blended(sketches: DataFrame, keys: list[str], wider: DataFrame, wider_keys: list[str]) -> DataFrame:
+    """(keys, ratio, bucket, share): each group's sketch with PRIOR rows of the wider one, whose buckets include the group's."""
+    whole = sketches.groupBy(*keys, "ratio").agg(F.sum("n").alias("total"))
+    cells = whole.join(wider, [*wider_keys, "ratio"]).join(sketches, [*keys, "ratio", "bucket"], "left")
+    weight = F.coalesce("n", F.lit(0)) + PRIOR * F.col("share")
+    return cells.select(*keys, "ratio", "bucket", (weight / (F.col("total") + PRIOR)).alias("share"))
+
+
+def quantiles(found: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, ratio, quartiles q1 to q3 and upper tenth d9); a quantile is the least bucket that covers its share."""
+    run = found.withColumn("upto", F.sum("share").over(Window.partitionBy(*keys, "ratio").orderBy("bucket")))
+    at = lambda name, share: F.min(F.when(F.col("upto") >= share - SLACK, F.col("bucket"))).alias(name)
+    return run.groupBy(*keys, "ratio").agg(at("q1", 0.25), at("q2", 0.5), at("q3", 0.75), at("d9", 0.9))
 
 
 def limits(sketches: DataFrame) -> DataFrame:
-    """(lang, source, low and high limit of each ratio)."""
-    own = quantiles(sketches, ["lang", "source"], "own")
-    lang = quantiles(merged(sketches, ["lang"]), ["lang"], "wide")
-    every = quantiles(merged(sketches, []), [], "every")
-    used = F.when(F.col("own.rows") >= LEAST_ROWS, F.col("own")).when(F.col("wide.rows") >= LEAST_ROWS, F.col("wide")).otherwise(F.col("every"))
-    found = own.join(lang, ["lang", "ratio"]).join(every, "ratio").select("lang", "source", "ratio", used.alias("q"))
+    """(lang, source, low and high limit of each ratio) of sketches by lang and source."""
+    lang = blended(merged(sketches, ["lang"]), ["lang"], shares(merged(sketches, []), []), [])
+    found = quantiles(blended(sketches, ["lang", "source"], lang, ["lang"]), ["lang", "source"])
     cells = []
     for name, (_, _, least, sides) in RATIOS.items():
-        q1, q2, q3, d9 = (F.col(f"q.{q}") for q in ("q1", "q2", "q3", "d9"))
+        q1, q2, q3, d9 = map(F.col, ("q1", "q2", "q3", "d9"))
         spreads = [q2 - q1] if sides == "both" else [q3 - q2, F.floor((d9 - q2) / 2)]
         high = q2 + REACH * F.greatest(*spreads, F.lit(least).cast("long"))
         low = q2 - REACH * F.greatest(q3 - q2, F.lit(least)) if sides == "both" else F.lit(-1).cast("long")
@@ -121,7 +135,7 @@ def counted_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sou
 
 def fitted_limits(counts: DataFrame) -> DataFrame:
     """The limits that the rows which pass the base rules give, written: a row for each language and source."""
-    return written(limits(sketch(counts.where("not base_failed"), ["lang", "source"])), "rule-limits")
+    return written(limits(written(sketch(counts.where("not base_failed"), ["lang", "source"]), "rule-sketches")), "rule-limits")
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
