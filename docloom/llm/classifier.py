@@ -5,13 +5,14 @@ their nodes is a conjunctive rule (`symbols > 0.2 and words <= 90`). A logistic
 the rules and leaves most of them at zero. The rest compile into one Spark column expression, so that scoring runs in
 generated code over the statistics, which one pass over the whole texts has counted.
 
-The fit uses at most SAMPLE labelled rows (about, chosen by a hash of the id): the stated bound, so the driver's work
-stays the same at any size. Scores depend on the text alone. Rows whose crc32(id as text) mod 5 is 0 are held out.
+The fit uses at most SAMPLE labelled documents, those of the least hashes of their ids: the stated bound, so the driver's
+work stays the same at any size. The ids are chosen first, without a text; only the chosen documents are counted for the
+fit. Scores depend on the text alone. Rows whose crc32(id as text) mod 5 is 0 are held out.
 
 Edge cases: null texts count as empty and get a score like all others; a null id counts as the empty text, so its row
-is held out; repeated labels of an id count once (the least); labels of null are ignored; without labels, or with
-labels of one kind, every score is the smoothed share of label 1; repeated rows are kept; other columns are ignored;
-an empty table gives an empty result.
+is held out; repeated labels of an id count once (the least); labels of null are ignored; of rows of one id with
+different texts the fit takes the least text; without labels, or with labels of one kind, every score is the smoothed
+share of label 1; repeated rows are kept; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -169,35 +170,39 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def train(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ensemble:
-    """An ensemble fitted to a bounded sample of the labelled rows of stats (doc_id, features)."""
+def chosen(ids: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, quality) of at most `sample` labelled ids that aren't held out and occur among `ids` (doc_id)."""
+    marks = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
+    marks = written(marks.where(~held_out(F.col("doc_id"))).join(ids, "doc_id", "left_semi").withColumn("place", F.xxhash64("doc_id", F.lit("fit"))), "fit-labels")
+    total = marks.count()
+    if total > sample:  # most of the rest goes where it lies, so that the ordering below sees about twice the sample
+        marks = marks.where(F.pmod(F.col("place"), F.lit(1_000_000)) < min(1_000_000, 2_000_000 * sample // total + 1000))
+    return marks.orderBy(F.pmod(F.col("place"), F.lit(1_000_000)), "place", "doc_id").limit(sample).select("doc_id", "quality")
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Ensemble:
+    """An ensemble fitted to a bounded sample of the labelled documents."""
     names = list(FEATURES)
-    labels = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    rows = stats.where(~held_out(F.col("doc_id"))).join(labels, "doc_id")
-    total = rows.count()
-    if total > sample:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000)) < int(1_000_000 * sample / total))
-    got = np.array([tuple(r) for r in rows.select("doc_id", "quality", *names).limit(2 * sample).collect()], dtype=np.float64).reshape(-1, len(names) + 2)
+    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    marks = F.broadcast(written(chosen(own.select("doc_id"), labels, sample), "fit-ids"))  # at most `sample` rows
+    texts = own.join(marks.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    stats = counted(texts, NAMES).select("doc_id", *[feature(n).alias(n) for n in FEATURES])
+    got = np.array([tuple(r) for r in stats.join(marks, "doc_id").select("doc_id", "quality", *names).collect()], dtype=np.float64).reshape(-1, len(names) + 2)
     got = got[np.lexsort(got.T[::-1])]  # the fit must not depend on the order in which rows arrive
     return fit(got[:, 2:], (got[:, 1] > 0).astype(np.float64), names)
 
 
-def statistics_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, features) of every row, written."""
-    counts = counted(docs, NAMES, id_col, text_col)
-    return written(counts.select("doc_id", *[feature(n).alias(n) for n in FEATURES]), "quality-statistics")
-
-
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row, by an ensemble trained on the labels."""
-    stats = statistics_of(docs, id_col, text_col)
-    scored = stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), train(stats, labels).column().alias("score"))
+    ensemble = train(docs, labels, id_col, text_col)
+    stats = counted(docs, NAMES, id_col, text_col).select("doc_id", *[feature(n).alias(n) for n in FEATURES])
+    scored = stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), ensemble.column().alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows, as they are, that the ensemble doesn't reject. Texts are counted again where they lie, so they need no join."""
-    ensemble = train(statistics_of(docs, id_col, text_col), labels)
+    """The rows, as they are, that the ensemble doesn't reject. Texts are counted where they lie, so they need no join."""
+    ensemble = train(docs, labels, id_col, text_col)
     rows, own = with_counts(docs, NAMES, text_col)
     rows = rows.select(*names_of(docs), *[feature(n, own).alias(f"{own}f_{n}") for n in FEATURES])
     return rows.where(ensemble.column(f"{own}f_") >= threshold).select(*names_of(docs))
