@@ -6,8 +6,10 @@ shard is full it continues clockwise to the first shard that has room. Rows coun
 
 How it runs: the ring is cut at the nodes and into equal cells, a fixed number of segments. Spark counts the rows of
 each segment; the walk along the ring, over segments instead of rows, gives each segment a few ranges (rank from, rank
-to, shard, first slot). Rows are ranked within their segment and take their shard from the ranges. The tables that
-leave for the driver or are broadcast hold at most CELLS + shards * NODES + shards rows, whatever the input.
+to, shard, first slot). Rows are ranked within their segment and take their shard from the ranges. A segment with more
+than SALT_ROWS rows is ranked in salted pieces, whose sizes are added up before; copies of one row, which share a position,
+are told apart by the task that wrote them, so no task ranks a hot position alone. The tables that leave for the driver or
+are broadcast hold at most CELLS + shards * NODES + shards rows, whatever the input.
 
 Edge cases: null texts have size 8; null ids, repeated ids and repeated rows are rows like others; an empty table
 gives an empty result; other columns are ignored.
@@ -27,6 +29,8 @@ from docloom.llm.shared import documents, id_and_text, written
 RING = 1 << 62
 CELLS = 1 << 14
 NODES = 64
+#: Rows of a segment that a task ranks, about.
+SALT_ROWS = 20_000
 
 
 def nodes(shards: int, per_shard: int = NODES) -> list[tuple[int, int]]:
@@ -57,7 +61,7 @@ def walk(counts: list[tuple[int, int]], ring: list[int], quotas: list[int]) -> l
     return out
 
 
-def shard(docs: DataFrame, shards: int = 24, load_factor: float = 1.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard(docs: DataFrame, shards: int = 24, load_factor: float = 1.0, id_col: str = "doc_id", text_col: str = "text", salt_rows: int = SALT_ROWS) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every row."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
@@ -68,7 +72,7 @@ def shard(docs: DataFrame, shards: int = 24, load_factor: float = 1.0, id_col: s
     cut = spark.createDataFrame(table, "segment int, cell long, low long, high long")
     placed = rows.withColumn("cell", F.shiftright("at", (RING // CELLS).bit_length() - 1))
     placed = placed.join(F.broadcast(cut), "cell").where("at >= low and at < high").drop("cell", "low", "high")
-    placed = written(placed, "ring")
+    placed = written(placed.withColumn("written_by", F.spark_partition_id()), "ring")
     counts = {r.segment: r.n for r in placed.groupBy("segment").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     least, more = divmod(total, shards)
@@ -76,7 +80,12 @@ def shard(docs: DataFrame, shards: int = 24, load_factor: float = 1.0, id_col: s
     quotas = exact if load_factor <= 1 else [max(q, int(load_factor * total / shards) + 1) for q in exact]
     ranges = walk([(node, counts.get(n, 0)) for n, (_, _, node) in enumerate(parts)], [s for _, s in nodes(shards)], quotas)
     ranges = spark.createDataFrame(ranges, "segment int, low long, high long, shard int, first long")
-    ranked = placed.withColumn("rank", F.row_number().over(Window.partitionBy("segment").orderBy("at", "doc_id", "text_crc32", "size")) - 1)
+    salts = 1 + max(counts.values(), default=0) // salt_rows
+    salted = placed.withColumn("salt", F.pmod(F.xxhash64("at", "written_by"), F.lit(salts)))
+    before = Window.partitionBy("segment").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = salted.groupBy("segment", "salt").agg(F.count("*").alias("n")).select("segment", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("segment", "salt").orderBy("at", "doc_id", "text_crc32", "size")) - 1
+    ranked = salted.withColumn("own", own).join(sizes, ["segment", "salt"]).withColumn("rank", F.col("before") + F.col("own")) if salts > 1 else salted.withColumn("rank", own)
     return (
         ranked.join(F.broadcast(ranges), "segment")
         .where("rank >= low and rank < high")
