@@ -7,8 +7,8 @@ are enumerated, the repeat counts that best match the histogram are solved by no
 down, and what is left over is packed greedily, longest first, again as patterns with repeat counts. Pieces are then
 ranked within their length and take sequence numbers from the patterns, so no piece passes the driver.
 
-Edge cases: null and empty texts are one piece of the end id; repeated rows are packed each; null ids are kept; other
-columns are ignored; an empty table gives an empty result.
+Edge cases: null and empty texts are one piece of the end id; bytes that aren't UTF-8 count as U+FFFD; repeated rows are
+packed each; null ids are kept; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +28,9 @@ from docloom.llm.token_counts import library
 WINDOW, END_ID = 4096, 2
 STEP, DEPTH = 32, 3
 #: Rows of one length that a task ranks, about.
-SALT_ROWS = 100_000
+SALT_ROWS = 20_000
+#: And at most one row in so many of all.
+SHARE = 200
 MEMO = 1_200_000
 
 
@@ -189,7 +191,7 @@ def _take(rows: list, used: np.ndarray, counts: np.ndarray, lengths: np.ndarray,
 def packed(found: DataFrame, window: int = WINDOW) -> DataFrame:
     """Pieces with (sequence_id, offset, padded_to)."""
     spark = found.sparkSession
-    found = written(found, "pieces")
+    found = written(found.withColumn("written_by", F.spark_partition_id()), "pieces")  # tells repeated rows apart
     histogram = {r.length: r.n for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
     counts = np.zeros(window, np.int64)
     for n, k in histogram.items():
@@ -200,8 +202,9 @@ def packed(found: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
     shared = spark.sparkContext.broadcast((rows, (rows[:, 0] << 44) | rows[:, 1]))
 
-    salts = max(1, sum(histogram.values()) // SALT_ROWS)
-    salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)))
+    most = max(histogram.values(), default=0)
+    salts = 1 + max(most // SALT_ROWS, SHARE * most // max(1, sum(histogram.values())))
+    salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "written_by"), F.lit(salts)))
     per_salt = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     per_salt = per_salt.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
