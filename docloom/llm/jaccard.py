@@ -14,7 +14,7 @@ Keys meet in compact blocks (`keyblocks`). Groups of equal keys never turn into
    alone travels on; every node keeps the two leaders it shares most keys with. These pairs are verified on the texts' shingles, and verified links give components.
 3. Nodes that met any other are keyed again, now with their component. In groups that hold several components each
    member outside the largest is paired with the member of it that it lies nearest to by parity sketches; again links
-   join components.
+   join components. A group with very many such pairs is cut into tiles that Spark deals to many tasks.
 4. Once more, now all pairs between members of the smaller components and the others, but for those that an exact bound
    excludes: sets differ in at least as many shingles as bits differ between their sketches. The rest is verified.
 A pair that links is thus verified, or its ends already share a component.
@@ -28,16 +28,17 @@ empty result.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.components import components
 from docloom.llm.keyblocks import BLOCKS, both, fixed, meet, node_numbers, number_of_parts, packed, replies
-from docloom.llm.shared import documents, flat_text, free_prefix, id_and_text, map_chunks, names_of, valid, written
+from docloom.llm.shared import broadcast_if_small, chunks, documents, flat_text, free_prefix, id_and_text, map_chunks, names_of, valid, written
 from docloom.llm.wordflow import LOWER, bounds, fits, joined, mixed, windows, word_hashes
 
 SHINGLE = 5
@@ -52,6 +53,12 @@ _LOW = np.uint64(0xFFFFFFFF)
 ONE_DELETION, PROBES = 1, 2
 #: A leader told to a member: its node and the keys they share.
 TOLD = 20
+#: Bytes of a labelled node's record: node, size, root and sketch.
+LABELLED = 36 + SKETCH_BITS // 8
+#: Pairs compared at a time; pairs of a key's group beyond which it is dealt out in tiles of so many rows.
+PAIRS_AT_ONCE, TILE_PAIRS, TILE_REST, TILE_OTHERS = 200_000, 1 << 24, 1 << 12, 1 << 12
+#: Pairs of one leader that a task verifies, about.
+MANY = 500
 
 
 def shingles(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -291,73 +298,132 @@ def best_leaders(told: np.ndarray, flags: np.ndarray, docs: np.ndarray, records:
     return {"a": fixed(nodes[a[keep]]), "b": fixed(nodes[b[keep]]), "score": score[keep]}
 
 
+class Labelled:
+    """Labelled nodes, by their records: node, size, root, sketch."""
+
+    def __init__(self, records: np.ndarray):
+        self.nodes = np.ascontiguousarray(records[:, :16])
+        self.size = np.ascontiguousarray(records[:, 16:20]).view("<u4").ravel().astype(np.int64)
+        self.root, _ = node_numbers(records[:, 20:36])
+        self.sketch = np.ascontiguousarray(records[:, 36:]).view("<u8")
+
+    def far(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(self.sketch[p] ^ self.sketch[q]).sum(axis=1, dtype=np.int64)
+
+    def near(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Whether pairs may link: nine times the shingles in which they differ at least is not above the sum of their sizes."""
+        return 9 * np.maximum(self.far(p, q), np.abs(self.size[p] - self.size[q])) <= self.size[p] + self.size[q]
+
+    def pairs(self, rest: np.ndarray, whole_rest: np.ndarray, others: np.ndarray, whole_others: np.ndarray, begin: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs that may link, in pieces: row k of `rest` with the `count[k]` rows of `others` from `begin[k]` on. A pair needs another root, and one of both with its whole subset."""
+        upto = np.cumsum(count)
+        for a in range(0, int(upto[-1]) if len(upto) else 0, PAIRS_AT_ONCE):
+            place = np.arange(a, min(a + PAIRS_AT_ONCE, int(upto[-1])))
+            k = np.searchsorted(upto, place, side="right")
+            j = begin[k] + place - (upto[k] - count[k])
+            p, q = rest[k], others[j]
+            ok = (self.root[p] != self.root[q]) & (whole_rest[k] | whole_others[j])
+            p, q = p[ok], q[ok]
+            ok = self.near(p, q)
+            yield p[ok], q[ok]
+
+
 class Parted:
-    """A partition's groups of labelled nodes that hold several components."""
+    """A partition's groups of labelled nodes that hold several components, as rows in order of the groups."""
 
     def __init__(self, keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray):
-        self.groups = g = Groups(keys, flags, docs, records)
-        own = records[g.sample]
-        self.nodes = np.ascontiguousarray(own[:, :16])
-        self.size = np.ascontiguousarray(own[:, 16:20]).view("<u4").ravel().astype(np.int64)
-        self.root, _ = node_numbers(own[:, 20:36])
-        self.sketch = np.ascontiguousarray(own[:, 36:]).view("<u8")
-
-    def __iter__(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(members, whether each is there whole, whether each lies in the group's largest component)."""
-        g = self.groups
-        if not len(g):
-            return
-        roots = self.root[g.node]
-        for k in np.flatnonzero(np.minimum.reduceat(roots, g.start) != np.maximum.reduceat(roots, g.start)).tolist():
-            rows = slice(int(g.start[k]), int(g.start[k] + g.size[k]))
-            members = np.unique(g.node[rows])
-            names, counts = np.unique(self.root[members], return_counts=True)
-            yield members, np.isin(members, g.node[rows][g.flag[rows] & ONE_DELETION == 0]), self.root[members] == names[counts.argmax()]
-
-    def bound(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Nine times the shingles in which the pairs differ at least, less the sum of their sizes: they may link where it is not above 0."""
-        far = np.bitwise_count(self.sketch[p] ^ self.sketch[q]).sum(axis=1, dtype=np.int64)
-        return 9 * np.maximum(far, np.abs(self.size[p] - self.size[q])) - self.size[p] - self.size[q]
-
-    def pairs(self, others_of_all: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs that may link, in pieces: members outside the largest component with those in it, or with all of other components."""
-        for members, whole, main in self:
-            partners = np.ones(len(members), bool) if others_of_all else main
-            b, whole_b = members[partners], whole[partners]
-            rest = np.flatnonzero(~main)
-            for r in range(0, len(rest), 256):
-                x = members[rest[r : r + 256]]
-                ok = (self.root[x][:, None] != self.root[b][None]) & (whole[rest[r : r + 256]][:, None] | whole_b[None])
-                i, j = np.nonzero(ok)
-                for s in range(0, len(i), 200_000):
-                    p, q = x[i[s : s + 200_000]], b[j[s : s + 200_000]]
-                    near = self.bound(p, q) <= 0
-                    if near.any():
-                        yield p[near], q[near]
-
-
-def towards_main(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, parts: int) -> dict | None:
-    """Each node outside its groups' largest components is told the members of these that its sketch lies nearest to."""
-    w = Parted(keys, flags, docs, records)
-    best = np.full(len(w.nodes), np.iinfo(np.int64).max)
-    for p, q in w.pairs(others_of_all=False):
-        far = np.bitwise_count(w.sketch[p] ^ w.sketch[q]).sum(axis=1, dtype=np.int64)
-        np.minimum.at(best, p, far * len(w.nodes) + q)
+        g = Groups(keys, flags, docs, records)
+        self.of = Labelled(records[g.sample])
+        n = np.int64(len(g.sample))
+        code = np.repeat(np.arange(len(g)), g.size) * n + g.node
+        order = np.argsort(code, kind="stable")
+        code, whole = code[order], (g.flag & ONE_DELETION == 0)[order]
+        start = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, np.int64)
+        group, node = np.divmod(code[start], n) if len(code) else (start, start)
+        whole = np.logical_or.reduceat(whole, start) if len(code) else np.zeros(0, bool)
+        names, counts = np.unique(group * n + self.of.root[node], return_counts=True)
+        owner, name = np.divmod(names, n) if len(names) else (names, names)
+        largest = np.zeros(len(g), np.int64)
+        order = np.lexsort((-name, counts, owner))
+        largest[owner[order]] = name[order]  # the last of each group: the largest, the first of several
+        live = np.bincount(owner, minlength=len(g)) > 1
+        keep = live[group] if len(group) else np.zeros(0, bool)
+        self.group, self.node, self.whole = group[keep], node[keep], whole[keep]
+        self.main = self.of.root[self.node] == largest[self.group]
+
+    def work(self, others_of_all: bool, tile_pairs: int) -> tuple[list[np.ndarray], list[tuple[np.ndarray, ...]]]:
+        """(arguments of `Labelled.pairs` for the groups to compare here, (rest, whole, partners, whole) of those so large that they are dealt out)."""
+        partner = np.ones(len(self.node), bool) if others_of_all else self.main
+        rest, others = np.flatnonzero(~self.main), np.flatnonzero(partner)
+        begin, end = (np.searchsorted(self.group[others], self.group[rest], side=x) for x in ("left", "right"))
+        load = np.bincount(self.group[rest], end - begin) if len(rest) else np.zeros(0)
+        large = load[self.group[rest]] > tile_pairs if len(rest) else np.zeros(0, bool)
+        tiles = []
+        for k in np.unique(self.group[rest[large]]).tolist():
+            x, y = rest[self.group[rest] == k], others[self.group[others] == k]
+            tiles += [tuple(t[c] for c in (x[i : i + TILE_REST], y[j : j + TILE_OTHERS]) for t in (self.node, self.whole)) for i in range(0, len(x), TILE_REST) for j in range(0, len(y), TILE_OTHERS)]
+        here = rest[~large]
+        return [self.node[here], self.whole[here], self.node[others], self.whole[others], begin[~large], (end - begin)[~large]], tiles
+
+
+def told_nearest(of: Labelled, pairs: Iterator[tuple[np.ndarray, np.ndarray]], parts: int) -> dict | None:
+    """Each node is told the partner that its sketch lies nearest to."""
+    n = len(of.nodes)
+    best = np.full(n, np.iinfo(np.int64).max)
+    for p, q in pairs:
+        np.minimum.at(best, p, of.far(p, q) * n + q)
     a = np.flatnonzero(best < np.iinfo(np.int64).max)
     if not len(a):
         return None
-    far, b = np.divmod(best[a], len(w.nodes))
-    return replies(np.hstack([w.nodes[b], far.astype("<u4").view(np.uint8).reshape(-1, 4)]), a, w.nodes, parts, TOLD)
+    far, b = np.divmod(best[a], n)
+    return replies(np.hstack([of.nodes[b], far.astype("<u4").view(np.uint8).reshape(-1, 4)]), a, of.nodes, parts, TOLD)
 
 
-def across(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray, parts: int) -> dict | None:
-    """A partition's pairs of nodes of different components that share a key and may link: one is told the other."""
-    w, n = Parted(keys, flags, docs, records), np.int64(len(docs) + 1)
-    out = [np.unique(np.minimum(p, q) * n + np.maximum(p, q)) for p, q in w.pairs(others_of_all=True)]
+def told_all(of: Labelled, pairs: Iterator[tuple[np.ndarray, np.ndarray]], parts: int) -> dict | None:
+    """Of each pair, one is told the other."""
+    n = np.int64(len(of.nodes) + 1)
+    out = [np.unique(np.minimum(p, q) * n + np.maximum(p, q)) for p, q in pairs if len(p)]
     if not out:
         return None
     code = np.unique(np.concatenate(out))
-    return replies(w.nodes[code % n], code // n, w.nodes, parts, 16)
+    return replies(of.nodes[code % n], code // n, of.nodes, parts, 16)
+
+
+def compared(labelled: DataFrame, parts: int, others_of_all: bool, tell: Callable[..., dict | None], tile_pairs: int = TILE_PAIRS) -> DataFrame:
+    """BLOCKS of what `tell` tells of the pairs that may link: members of a key's group outside its largest component, with those in it, or with all of other components.
+
+    A group whose pairs are many becomes tiles, each a row of the shuffle: `part` below 0, the two sides' records in place
+    of keys and records, whether they are whole in place of flags and counts. So one key's work is dealt to many tasks.
+    """
+
+    def run(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict | None:
+        w = Parted(keys, flags, docs, records)
+        here, tiles = w.work(others_of_all, tile_pairs)
+        found = tell(w.of, w.of.pairs(*here), parts)
+        if not tiles:
+            return found
+        own = records[node_numbers(records)[1]]
+        rows = {"part": [], "keys": [], "flags": [], "counts": [], "records": []}
+        for k, (x, whole_x, y, whole_y) in enumerate(tiles):
+            for c, v in zip(rows, (-1 - k, own[x].tobytes(), whole_x.tobytes(), whole_y.tobytes(), own[y].tobytes()), strict=True):
+                rows[c].append(v)
+        return rows if found is None else both(found, rows)
+
+    def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            local = pc.greater_equal(batch.column("part"), 0)
+            yield batch.filter(local)
+            for row in batch.filter(pc.invert(local)).to_pylist():
+                x, y = (np.frombuffer(row[c], np.uint8).reshape(-1, LABELLED) for c in ("keys", "records"))
+                whole_x, whole_y = (np.frombuffer(row[c], bool) for c in ("flags", "counts"))
+                of = Labelled(np.vstack([x, y]))
+                out = tell(of, of.pairs(np.arange(len(x)), whole_x, np.arange(len(x), len(x) + len(y)), whole_y, np.zeros(len(x), np.int64), np.full(len(x), len(y))), parts)
+                if out is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in batch.schema], schema=batch.schema)
+
+    met = meet(labelled, parts, LABELLED, run, BLOCKS)
+    dealt = met.repartition(F.when(F.col("part") < 0, F.xxhash64("part", "counts", F.length("records"))).otherwise(F.col("part")))
+    return dealt.mapInArrow(tile, BLOCKS)
 
 
 def distinct_pairs(told: np.ndarray, flags: np.ndarray, docs: np.ndarray, records: np.ndarray) -> dict:
@@ -369,24 +435,49 @@ def distinct_pairs(told: np.ndarray, flags: np.ndarray, docs: np.ndarray, record
     return {"a": fixed(nodes[pair // n]), "b": fixed(nodes[pair % n]), "score": np.zeros(len(pair), np.int64)}
 
 
-def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose shingle sets have an intersection of at least 80 % of their union."""
-    one = pairs.select("a", "b").distinct().join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    both = one.join(texts.select(F.col("node").alias("a"), F.col("text")), "a").select("a", "b", "text", "text_b")
+def common_counts(x: np.ndarray, y: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """How many of x each set (y, first) holds; both ascending and distinct."""
+    at = np.minimum(np.searchsorted(x, y), max(len(x) - 1, 0))
+    hit = x[at] == y if len(x) else np.zeros(len(y), bool)
+    return np.diff(np.r_[0, np.cumsum(hit)][first])
 
-    def run(chunk: pa.RecordBatch) -> dict | None:
-        (x, first_x), (y, first_y) = shingles(chunk.column("text")), shingles(chunk.column("text_b"))
-        n, m = np.diff(first_x), np.diff(first_y)
-        pair = np.r_[np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)]
-        value = np.r_[x, y]
-        order = np.lexsort((value, pair))
-        value, pair = value[order], pair[order]
-        twice = (value[1:] == value[:-1]) & (pair[1:] == pair[:-1])
-        common = np.bincount(pair[1:][twice], minlength=len(n))
-        ok = np.flatnonzero(100 * common >= 80 * (n + m - common))
-        return {c: chunk.column(c).take(pa.array(ok)) for c in ("a", "b")} if len(ok) else None
 
-    return map_chunks(both, run, "a binary, b binary")
+def linked(pairs: DataFrame, texts: DataFrame, many: int = MANY) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingle sets have an intersection of at least 80 % of their union.
+
+    A row holds one text. The texts of a's that name the same b meet b's text in one partition, b's first, so that its
+    shingles are found once. A b that many name is dealt to several salts, its text once for each.
+    """
+    one = pairs.select("a", "b").distinct()
+    often = written(one.groupBy("b").agg(F.count("*").alias("n")).where(F.col("n") > many), "often")
+    one = one.join(broadcast_if_small(often), "b", "left")
+    salt = F.coalesce(F.pmod(F.xxhash64("a"), F.floor(F.col("n") / many) + 1), F.lit(0)).cast("long")
+    one = written(one.select("a", "b", salt.alias("salt")), "pairs")
+    sides = [one.select("b", "salt", "a"), one.select("b", "salt", F.lit(None).cast("binary").alias("a")).distinct()]
+    text = texts.select("node", "text")
+    rows = sides[0].join(text, sides[0]["a"] == text["node"]).unionByName(sides[1].join(text, sides[1]["b"] == text["node"])).select("b", "salt", "a", "text")
+    rows = rows.repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
+    target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(0, np.uint64)
+        for chunk in chunks(batches):
+            found, first = shingles(chunk.column("text"))
+            heads = set(np.flatnonzero(chunk.column("a").is_null().to_numpy(zero_copy_only=False)).tolist())
+            cuts = sorted({0, *heads, chunk.num_rows})
+            ok = []
+            for i, j in zip(cuts, cuts[1:]):
+                if i in heads:
+                    own = found[first[i] : first[i + 1]]
+                    i += 1
+                if i < j:
+                    sizes = np.diff(first[i : j + 1])
+                    common = common_counts(own, found[first[i] : first[j]], first[i : j + 1] - first[i])
+                    ok += (i + np.flatnonzero(100 * common >= 80 * (len(own) + sizes - common))).tolist()
+            if ok:
+                yield pa.RecordBatch.from_arrays([chunk.column(c).take(pa.array(ok)) for c in ("a", "b")], schema=target)
+
+    return rows.mapInArrow(run, "a binary, b binary")
 
 
 def text_mark(text_col: str = "text") -> Column:
@@ -418,8 +509,8 @@ def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return map_chunks(docs.select("text"), run, "node binary, text string").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
 
 
-def row_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, mark, n_shingles, node, root) of every row: linked sets share a root; no words, neither node nor root."""
+def row_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile_pairs: int = TILE_PAIRS, many: int = MANY) -> DataFrame:
+    """(doc_id, mark, n_shingles, node, root) of every row: linked sets share a root; no words, neither node nor root. `tile_pairs` and `many` say when a hot key's work is dealt out."""
     rows = id_and_text(docs, id_col, text_col)
     sets = written(shingle_sets(rows), "sets")
     parts = number_of_parts(int((sets.agg(F.sum("n_shingles")).first()[0] or 0) * 6 // 10))
@@ -427,7 +518,7 @@ def row_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     told = meet(keyed(rows, parts), parts, 20, functools.partial(leaders, parts=parts), BLOCKS, forward=True)
     stars = written(meet(told, parts, 16, best_leaders, PAIRS, key_bytes=TOLD), "stars")
     texts = written(texts_of(rows, stars.select(F.col("a").alias("node")).distinct()), "met")
-    links = written(linked(stars.where("a <> b"), texts), "star-links")
+    links = written(linked(stars.where("a <> b"), texts, many), "star-links")
 
     few = number_of_parts(int((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 10))
 
@@ -435,13 +526,12 @@ def row_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         own = texts.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"), "text")
         return keyed(own, few, labelled=True)
 
-    width = 36 + SKETCH_BITS // 8
-    told = meet(labelled(), few, width, functools.partial(towards_main, parts=few), BLOCKS)
+    told = compared(labelled(), few, False, told_nearest, tile_pairs)
     near = meet(told, few, 16, functools.partial(best_leaders, nearest=True), PAIRS, key_bytes=TOLD)
-    links = links.unionByName(written(linked(near, texts), "near-links"))
-    told = meet(labelled(), few, width, functools.partial(across, parts=few), BLOCKS)
+    links = links.unionByName(written(linked(near, texts, many), "near-links"))
+    told = compared(labelled(), few, True, told_all, tile_pairs)
     rest = written(meet(told, few, 16, distinct_pairs, PAIRS, key_bytes=16), "across")
-    links = links.unionByName(linked(rest, texts))
+    links = links.unionByName(linked(rest, texts, many))
 
     roots = written(components(links), "roots")
     return sets.join(roots, "node", "left").select("doc_id", "mark", "n_shingles", "node", F.coalesce("root", "node").alias("root"))
