@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.components import components
 from docloom.llm.keyblocks import BLOCKS, both, fixed, meet, node_numbers, number_of_parts, packed, replies
-from docloom.llm.shared import broadcast_if_small, chunks, documents, flat_text, free_prefix, id_and_text, map_chunks, names_of, valid, written
+from docloom.llm.shared import broadcast_if_small, chunks, documents, flat_text, free_prefix, id_and_text, map_chunks, names_of, valid, with_values, written
 from docloom.llm.wordflow import LOWER, bounds, fits, joined, mixed, windows, word_hashes
 
 SHINGLE = 5
@@ -534,14 +534,14 @@ def row_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = links.unionByName(linked(rest, texts, many))
 
     roots = written(components(links), "roots")
-    return sets.join(roots, "node", "left").select("doc_id", "mark", "n_shingles", "node", F.coalesce("root", "node").alias("root"))
+    return with_values(sets, roots, "node", "root").withColumn("root", F.coalesce("root", "node"))
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the least id that links reach."""
     rows = written(row_classes(docs, id_col, text_col), "row-classes")
     least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = rows.join(least, "root", "left")
+    found = with_values(rows, least, "root", "component_id")
     return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 

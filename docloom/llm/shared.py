@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 #: Bytes of text that a task turns into numpy arrays at a time (one longer text is a chunk by itself).
 CHUNK_BYTES = 4 << 20
+#: A key of more than one row in so many is hot.
+HOT = 2000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -53,6 +55,21 @@ def broadcast_if_small(df: DataFrame, rows: int = 50_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def with_values(rows: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:
+    """Written rows with `value` of the table's row of their key (one for each key), or null.
+
+    A key that more than one row in HOT has (there are less than HOT such keys, whatever the input) gets its value by a
+    broadcast, so that no task of the shuffled join holds it; rows without a key pass by.
+    """
+    table = table.select(key, value)
+    often = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") * HOT > rows.count())
+    hot = written(often.select(key).join(table, key).select(F.col(key).alias("hot_key"), F.col(value).alias("hot_value")), "hot-keys")
+    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left")
+    direct = marked.where(F.col("hot_key").isNotNull() | F.col(key).isNull()).withColumn(value, F.col("hot_value"))
+    rest = marked.where(F.col("hot_key").isNull() & F.col(key).isNotNull()).join(table, key, "left")
+    return rest.select(*rows.columns, value).unionByName(direct.select(*rows.columns, value))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
