@@ -6,7 +6,9 @@ with the word (or "(c)") and has a sign, a year or the phrase "all rights reserv
 a wrapped licence that merely begins with the word stays. Its SHA-256 digest is looked up, by a hash join, among the
 digests of known licences in the same form: the whole text against everything known, and each line as an entire notice
 likewise. Only DataFrame functions are used. The known side is a table the caller gives (the catalogue below by
-default); Spark broadcasts it only under its own size limit.
+default, `catalogue_of` for a folder of licence texts); it is broadcast behind a check of its size, so that lines are
+looked up where they lie and only found ones are shuffled. A text's form is made once: one pass writes its digest and
+those of its lines, and both look-ups read that narrow table.
 
 Edge cases: null texts count as empty; an empty form matches nothing; rows of one id are one document (its notices are
 those of all its rows), null ids included; repeated rows are kept; other columns are ignored; an empty table gives an
@@ -18,16 +20,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.shared import documents, id_and_text
+from docloom.llm.shared import broadcast_if_small, documents, id_and_text, written
 
 #: Equivalent spellings, replaced in this order after lower-casing.
 SPELLINGS = [("licence", "license"), ("licencing", "licensing"), ("organisation", "organization"), ("merchantibility", "merchantability"), ("non-infringement", "noninfringement"), ("https://", "http://"), ("v. ", "version "), ("©", "copyright"), ("(c)", "copyright")]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: What the SQL takes for a copyright line: every line that begins so.
-COPYRIGHT = r"(^|\n)[ \t*#/;-]*(copyright|all rights reserved)[^\n]*"
 _YEAR = r"(?:\b(?:19|20)[0-9]{2}\b|[<\[{](?:year|yyyy)[>\]}])"
 #: A copyright line of a text in lower case whose signs are still there.
 CLAIM = rf"(^|\n)[ \t*#/;-]*(?:©[^\n]*|copyright\b(?=[^\n]*(?:©|\(c\)|{_YEAR}|all rights reserved))[^\n]*|\(c\)(?=[ \t]*copyright\b|[^\n]*{_YEAR})[^\n]*|all rights reserved[.!]?[ \t\r]*(?=\n|\z))"
+#: The same in SQL, where a pattern can't look ahead: the line is taken with its mark.
+CLAIM_SQL = rf"(?m)^[ \t*#/;-]*(?:©[^\n]*|copyright\b[^\n]*(?:©|\(c\)|{_YEAR}|all rights reserved)[^\n]*|\(c\)(?:[ \t]*copyright\b[^\n]*|[^\n]*{_YEAR}[^\n]*)|all rights reserved[.!]?[ \t\r]*$)"
 OTHER = r"[^a-z0-9\n\x{80}-\x{10FFFF}]+"
 
 #: Full texts of short licences, without their copyright lines.
@@ -78,23 +80,33 @@ def whole(lines: Column) -> Column:
     return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
 
 
-def catalogue(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(license, digest) of known texts, one licence for each digest."""
-    table = spark.createDataFrame(TEXTS + more_texts() + notices() if known is None else known, "license string, text string")
+def digests_of(table: DataFrame) -> DataFrame:
+    """(license, digest) of texts (license, text), one licence for each digest."""
     form = whole(lined(F.col("text")))
     return table.select("license", form.alias("form")).where("form <> ''").groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license").alias("license"))
 
 
+def catalogue(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
+    """(license, digest) of known texts."""
+    return digests_of(spark.createDataFrame(TEXTS + more_texts() + notices() if known is None else known, "license string, text string"))
+
+
+def catalogue_of(spark: SparkSession, path: str) -> DataFrame:
+    """(license, digest) of a folder of whole licence texts, each file named after its licence, besides those of the catalogue."""
+    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.(txt|md)$", "")
+    files = spark.read.text(path, wholetext=True).select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("license"), F.col("value").alias("text"))
+    return files.transform(digests_of).unionByName(catalogue(spark)).groupBy("digest").agg(F.min("license").alias("license"))
+
+
 def license_scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, canonical_sha256, license of the whole text or null, n_notices, notices): for every row, `notices` naming the licences of its lines."""
-    known = catalogue(docs.sparkSession) if known is None else known
-    rows = id_and_text(docs, id_col, text_col).select("doc_id", lined(F.col("text")).alias("lines"))
-    form = whole(F.col("lines"))
-    texts = rows.select("doc_id", F.sha2(form, 256).alias("digest"))
-    lines = rows.select("doc_id", F.explode(F.array_distinct(F.split("lines", "\n"))).alias("line")).select("doc_id", F.sha2(F.trim("line"), 256).alias("digest"))
-    found = lines.join(known, "digest").groupBy("doc_id").agg(F.array_sort(F.collect_set("license")).alias("names"))
-    found = found.withColumnRenamed("doc_id", "id")
-    out = texts.join(known, "digest", "left").join(found, F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    known = broadcast_if_small(written(catalogue(docs.sparkSession) if known is None else known, "licences"))
+    forms = id_and_text(docs, id_col, text_col).select("doc_id", lined(F.col("text")).alias("lines"))
+    lines = F.transform(F.array_distinct(F.split("lines", "\n")), lambda x: F.unhex(F.sha2(F.trim(x), 256)))
+    rows = written(forms.select("doc_id", F.sha2(whole(F.col("lines")), 256).alias("digest"), lines.alias("lines")), "forms")
+    each = rows.select("doc_id", F.explode("lines").alias("line")).select("doc_id", F.lower(F.hex("line")).alias("digest"))
+    found = each.join(known, "digest").groupBy("doc_id").agg(F.array_sort(F.collect_set("license")).alias("names")).withColumnRenamed("doc_id", "id")
+    out = rows.select("doc_id", "digest").join(known, "digest", "left").join(found, F.col("doc_id").eqNullSafe(F.col("id")), "left")
     names = F.coalesce("names", F.array().cast("array<string>"))
     return out.select("doc_id", F.col("digest").alias("canonical_sha256"), "license", F.size(names).cast("long").alias("n_notices"), F.array_join(names, ",").alias("notices"))
 
@@ -104,15 +116,14 @@ def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql_form(text: str) -> str:
-    x = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
+    x = rf"regexp_replace(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '{CLAIM_SQL}', '', 'g')"
     for old, new in SPELLINGS:
         x = f"replace({x}, '{old}', '{new}')"
-    x = rf"regexp_replace({x}, '{COPYRIGHT}', '\1', 'g')"
     return rf"regexp_replace({x}, '{OTHER}', ' ', 'g')"
 
 
 def _sql_values() -> str:
-    return ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in TEXTS + notices())
+    return ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in TEXTS + more_texts() + notices())
 
 
 OP9_SQL = rf"""
