@@ -2,13 +2,14 @@
 
 The cache is a Parquet table (tokenizer, digest, n_bytes, n_tokens). A text's key is the SHA-256 digest of its
 normalised content (null becomes the empty text; nothing else is changed, as any other change may alter a count) and
-the digest of the tokenizer's file, so that a new tokenizer version misses. Texts are reduced to one per digest before
-they are shuffled, so a group of copies costs a row per task; distinct texts that the cache lacks are encoded where
-they lie and appended; counts go back to the rows by a join on the digest, which adaptive execution splits if one
-digest holds many rows.
-
-Edge cases: null and empty texts have 0 bytes and 0 tokens; repeated rows are kept, each with its count; null ids are
-kept; an empty table gives an empty result; other columns are ignored.
+the digest of the tokenizer's file, so that a new tokenizer version misses. Digests go first: one pass over the texts
+writes them (narrow rows), and the distinct ones that the cache lacks are found without a text. Only then are the texts
+of these fetched, reduced to one per digest in each task before they are shuffled, encoded and appended. Where few are
+missing (a checked number) no other text leaves its task; with none missing, texts aren't read again. Counts go back to
+the rows by a join on the digest, those of hot digests by a broadcast.
+
+Edge cases: null and empty texts have 0 bytes and 0 tokens; bytes that aren't UTF-8 count as U+FFFD; repeated rows are
+kept, each with its count; null ids are kept; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,12 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.pieces import is_whole, units
-from docloom.llm.shared import documents, id_and_text, map_chunks, scratch, text_digest
+from docloom.llm.shared import documents, id_and_text, map_chunks, scratch, text_digest, with_values, written
 
 CACHE = "tokenizer string, digest binary, n_bytes long, n_tokens long"
 
 #: Entries of a Python worker's memo of units; beyond it the memo starts anew.
 MEMO = 1_200_000
+#: Missing digests up to which they are broadcast to the texts (44 bytes each).
+FEW = 200_000
 
 
 @functools.cache
@@ -104,19 +107,28 @@ def encoded(misses: DataFrame, path: str) -> DataFrame:
     return map_chunks(misses.select("digest", F.octet_length("text").cast("long").alias("n_bytes"), "text"), count, CACHE)
 
 
+def missing_texts(keyed: DataFrame, misses: DataFrame) -> DataFrame:
+    """(digest, text): one text for each of the missing digests."""
+    few = misses.limit(FEW + 1).count() <= FEW
+    found = keyed.join(F.broadcast(misses), "digest", "left_semi") if few else keyed
+    texts = found.groupBy("digest").agg(F.first("text").alias("text"))
+    return texts if few else texts.join(misses, "digest", "left_semi")
+
+
 def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every row; `cache` is the path of the table, made if it is missing."""
     spark = docs.sparkSession
     keyed = id_and_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), text_digest().alias("digest"))
+    rows = written(keyed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "digests")
     spark.createDataFrame([], CACHE).write.mode("append").parquet(cache)
     known = spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version(tokenizer))
-    distinct = keyed.groupBy("digest").agg(F.first("text").alias("text"))
-    misses = distinct.join(known.select("digest"), "digest", "left_anti")
-    encoded(misses, tokenizer).write.mode("append").parquet(cache)
+    misses = written(rows.select("digest").distinct().join(known.select("digest"), "digest", "left_anti"), "misses")
+    if not misses.isEmpty():
+        encoded(missing_texts(keyed.select("digest", "text"), misses), tokenizer).write.mode("append").parquet(cache)
     stored = spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version(tokenizer))
     counts = stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    rows = keyed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-    return rows.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    found = with_values(rows, counts, "digest", "n_tokens")
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
