@@ -9,6 +9,7 @@ import pytest
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 from docloom.llm.registry import QUERIES  # noqa: E402
 from tests.llm.brute import classes, deduplicated  # noqa: E402
+from tests.llm.test_quality import plain_verdicts  # noqa: E402
 from tests.llm.test_tokens import laws_of_packing  # noqa: E402
 
 DATA = Path("/root/testdata/sf0.001")
@@ -26,7 +27,8 @@ def test_stages(spark, tmp_path):
     ids = [sorted(r.doc_id for r in s.select("doc_id").collect()) for s in seen[:-1]]
     good = {r.doc_id for r in QUERIES["op1_rule_ensemble"](spark, d).where("predicted = 1").collect()}
     assert ids[1] == sorted(set(ids[0]) & good)
-    assert set(ids[2]) <= set(ids[1]) and len(ids[2]) > 0.8 * len(ids[1])
+    verdicts = plain_verdicts([tuple(r) for r in seen[1].select("doc_id", "text", "lang", "source", "n_chars").collect()])
+    assert ids[2] == sorted(i for i, kept in verdicts.items() if kept) and len(ids[2]) > 0.8 * len(ids[1])
     before = [(r.doc_id, r.text) for r in seen[2].collect()]
     assert ids[3] == sorted(i for i, c in classes(before).items() if i == c)
     before = {r.doc_id: r.text for r in seen[3].collect()}

@@ -55,6 +55,16 @@ def test_held_out_accuracy(spark):
     assert all(bool(h) == (zlib.crc32(str(i).encode()) % 5 == 0) for i, h in zip(every.doc_id, every.held_out))
 
 
+def test_fit_is_bounded(spark):
+    """Never more than the stated number of labelled ids, the same ones whatever the order of rows, none held out."""
+    ids = spark.range(4000).withColumnRenamed("id", "doc_id")
+    labels = ids.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality").unionByName(ids.selectExpr("doc_id", "1 as quality"))
+    one, other = (sorted(r.doc_id for r in classifier.chosen(x, labels, 300).collect()) for x in (ids, ids.repartition(7)))
+    assert one == other and len(set(one)) == 300
+    assert all(zlib.crc32(str(i).encode()) % 5 for i in one)
+    assert classifier.chosen(ids.where("doc_id < 100"), labels, 300).count() == sum(zlib.crc32(str(i).encode()) % 5 > 0 for i in range(100))
+
+
 def test_classifier_odd_rows(spark, make, odd_rows):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 20)] + [(None, 1, 0), (4, None, 0), (5, 1, 0)], "doc_id long, quality int, toxic int")
     rows = odd_rows + odd_rows[:4] + [(None, "x")]
@@ -96,19 +106,31 @@ def plain_verdicts(rows):
         part = lambda a, b: a * 1000 // b if b else 0
         ratio = {"symbols": part(symbols, n), "dup_lines": part(dups, lines), "repeats": part(repeats, n), "echoes": part(echoes, n), "word_length": part(chars, n)}
         counted.append((i, lang or "", source or "", n < 20 or 100 * repeats > 30 * n, ratio))
-    out = {}
-    for i, lang, source, failed, ratio in counted:
-        kept = not failed
-        for name, (_, _, least, sides) in rules.RATIOS.items():
-            pools = [[bucket(r[name]) for _, a, b, f, r in counted if not f and (a, b) == (lang, source)], [bucket(r[name]) for _, a, _, f, r in counted if not f and a == lang], [bucket(r[name]) for _, _, _, f, r in counted if not f]]
-            pool = sorted(next((p for p in pools if len(p) >= rules.LEAST_ROWS), pools[2]))
-            if not pool:
-                continue
-            q1, q2, q3 = (pool[-(-len(pool) * k // 4) - 1] for k in (1, 2, 3))
-            if ratio[name] > q2 + rules.REACH * max(q2 - q1, least) or sides == "both" and ratio[name] < q2 - rules.REACH * max(q3 - q2, least):
-                kept = False
-        out[i] = kept
-    return out
+    def share(pool, wider=None):
+        found = {b: wider[b] * rules.PRIOR for b in wider} if wider else {}
+        for v in pool:
+            found[v] = found.get(v, 0) + 1
+        total = len(pool) + (rules.PRIOR if wider else 0)
+        return {b: found[b] / total for b in sorted(found)}
+
+    def quantile(shares, part):
+        upto = 0.0
+        return next(b for b, s in shares.items() if (upto := upto + s) >= part - 1e-9)
+
+    limits = {}
+    for name, (_, _, least, sides) in rules.RATIOS.items():
+        good = [(lang, source, bucket(r[name])) for _, lang, source, failed, r in counted if not failed]
+        every = share([v for _, _, v in good]) if good else {}
+        for lang, source in {(a, b) for a, b, _ in good}:
+            wide = share([v for a, _, v in good if a == lang], every)
+            own = share([v for a, b, v in good if (a, b) == (lang, source)], wide)
+            q1, q2, q3, d9 = (quantile(own, p) for p in (0.25, 0.5, 0.75, 0.9))
+            if sides == "both":
+                limits[lang, source, name] = (q2 - rules.REACH * max(q3 - q2, least), q2 + rules.REACH * max(q2 - q1, least))
+            else:
+                limits[lang, source, name] = (-1, q2 + rules.REACH * max(q3 - q2, (d9 - q2) // 2, least))
+    inside = lambda lang, source, ratio: all(limits[lang, source, n][0] <= v <= limits[lang, source, n][1] for n, v in ratio.items())
+    return {i: not failed and inside(lang, source, ratio) for i, lang, source, failed, ratio in counted}
 
 
 def test_adaptive_limits(make, odd_rows):
@@ -151,6 +173,19 @@ def test_sources_with_other_tails_get_other_limits(make):
         assert name not in wide.failed, name
 
 
+def test_no_step_at_any_size(spark):
+    """A small group has its language's limits, a large one its own, and no number of rows switches between them."""
+
+    def limit(n: int) -> int:
+        rows = [("en", "big", "symbols", 0, 5000)] + [("en", "own", "symbols", b, n // 4) for b in (8, 16, 24, 32)]
+        cells = [(a, b, r, v, k) for a, b, _, v, k in rows for r in rules.RATIOS]
+        frame = spark.createDataFrame(cells, "lang string, source string, ratio string, bucket long, n long")
+        return rules.limits(frame).where("source = 'own'").first().symbols_high
+
+    seen = [limit(n) for n in (4, 100, 196, 200, 204, 400, 4000)]
+    assert seen[0] == 6 * 5 and seen[2] == seen[3] == seen[4] and seen[-1] == 16 + 6 * 8
+
+
 def test_sketch_merges(spark):
     rng = random.Random(1)
     frame = spark.createDataFrame([(rng.randrange(100), 10 + rng.randrange(90), 0, 5, 0, 4, 0, "en", "s") for _ in range(500)], "n_symbols long, n_words long, n_dup_lines long, n_lines long, n_repeat_words long, word_chars long, n_echo_words long, lang string, source string")
@@ -200,9 +235,40 @@ def test_headers_of_source_files(make):
     assert {r.doc_id: r.notices for r in licenses.license_scan(make(rows)).collect()} == {1: "Apache-2.0", 2: "GPL-2.0-or-later"}
 
 
+def test_catalogue_of_a_folder(spark, make, tmp_path):
+    texts = {"Own-1.0": "Own terms, first of all.\n\nCopyright (c) 2001 Some One\nDo as you like.", "Other+2.txt": "Other terms"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    known = licenses.catalogue_of(spark, str(tmp_path))
+    rows = [(1, "OWN TERMS first of all\nDo as you like"), (2, "other  terms"), (3, licenses.TEXTS[0][1]), (4, "else")]
+    assert {r.doc_id: r.license for r in licenses.license_scan(make(rows), known).collect()} == {1: "Own-1.0", 2: "Other+2", 3: "MIT", 4: None}
+
+
+def test_licence_sql_takes_the_same_copyright_lines(spark):
+    import duckdb
+
+    parts = ["copyright 2020 x", "(c) 1999 x", "(c) you must", "copyright notice", "all rights reserved", "all rights reserved. ", "all rights reserved to", "# © x", "-- copyright (c) x", "copyrighted 2020", "text (c) v. 2", "", "(c)copyright", "copyright <year> y"]
+    rng = random.Random(2)
+    texts = ["\n".join(rng.choice(parts) for _ in range(rng.randrange(1, 6))) for _ in range(300)] + parts
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, text string")
+    got = [r.x for r in frame.select("k", licenses.lined(F.col("text")).alias("x")).orderBy("k").collect()]
+    con = duckdb.connect()
+    con.execute("create table t (k bigint, text varchar)")
+    con.executemany("insert into t values (?, ?)", list(enumerate(texts)))
+    assert got == [r[0] for r in con.sql(f"select {licenses._sql_form('text')} from t order by k").fetchall()]
+
+
 def test_licenses_are_native(make):
-    plan = licenses.license_scan(make([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    seen = []
+    kept, licenses.written = licenses.written, lambda df, name: seen.append(df) or kept(df, name)
+    try:
+        seen.append(licenses.license_scan(make([(1, "a")])))
+    finally:
+        licenses.written = kept
+    for frame in seen[1:]:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    assert len(seen) == 3
 
 
 @pytest.mark.skipif(not DATA.is_dir(), reason="no test tables here")
@@ -265,6 +331,28 @@ def test_polyphase_equals_plain_filtering():
         assert np.allclose(got[: len(plain)], plain[: len(got)], atol=1e-4), (up, down)
 
 
+def test_log_mel_equals_a_plain_one():
+    """Filter, windows, transform and mel filters written out, frame by frame."""
+    raw = bytes(np.random.default_rng(5).integers(0, 256, 3000, dtype=np.uint8))
+    x = (np.frombuffer(raw, np.uint8).astype(np.float64) - 128) / 128
+    taps = np.sinc((np.arange(16) - 7.5) / 2) * np.hamming(16)
+    y = np.convolve(x, taps / taps.sum())[: len(x) : 2]
+    mel = lambda f: 2595 * np.log10(1 + f / 700)
+    edges = [700 * (10 ** (mel(4000) * k / 25 / 2595) - 1) for k in range(26)]
+    got, power = audio.log_mel(raw)
+    for k in range(len(got)):
+        frame = np.zeros(256)
+        own = y[128 * k : 128 * k + 256]
+        frame[: len(own)] = own
+        wave_ = frame * (0.5 - 0.5 * np.cos(2 * np.pi * np.arange(256) / 255))
+        bins = [abs(sum(wave_ * np.exp(-2j * np.pi * b * np.arange(256) / 256))) ** 2 for b in range(129)]
+        for m in range(24):
+            low, mid, high = edges[m : m + 3]
+            weights = [max(0.0, min((f - low) / (mid - low), (high - f) / (high - mid))) for f in np.arange(129) * 8000 / 256]
+            assert abs(got[k, m] - 100 * np.log10(np.dot(weights, bins) + 1e-6)) <= 1.5, (k, m)
+        assert abs(power[k] - 10 * np.log10((frame**2).sum() + 1e-6)) <= 0.15
+
+
 def test_block_borders_do_not_show():
     raw = bytes(np.random.default_rng(3).integers(0, 256, 3 * audio.BLOCK * audio.HOP, dtype=np.uint8))
     whole, _ = audio.log_mel(raw)

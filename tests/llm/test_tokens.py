@@ -70,6 +70,36 @@ def test_op3_and_op10(spark, make, odd_rows):
     assert token_counts.token_counts(make([]), BYTES, scratch(spark, "test-cache")).isEmpty() and bpe.bpe_round_trip(make([]), BYTES).isEmpty()
 
 
+def test_other_forms_are_refused(make):
+    with pytest.raises(ValueError, match="pre-tokenizer"):
+        bpe.bpe_round_trip(make([(1, "a")]), WORDS)
+
+
+def test_invalid_utf8(spark):
+    raw = spark.createDataFrame([(1, bytearray(b"ab \xff cd")), (2, bytearray(b"\xc3"))], "doc_id long, raw binary").selectExpr("doc_id", "cast(raw as string) as text")
+    lib, fixed = library_cache(BYTES), {1: "ab \ufffd cd", 2: "\ufffd"}
+    assert {r.doc_id: r.n_tokens for r in bpe.bpe_round_trip(raw, BYTES).collect()} == {i: len(lib.encode(t, add_special_tokens=False).ids) for i, t in fixed.items()}
+    assert {r.doc_id: r.n_bytes for r in token_counts.token_counts(raw, BYTES, scratch(spark, "test-cache")).collect()} == {i: len(t.encode()) for i, t in fixed.items()}
+    assert packing.pack(raw, WORDS).count() == 2
+
+
+def test_cached_texts_are_not_shuffled(spark, make, prose, tmp_path):
+    """With all digests known no text is fetched; with one missing, only its text passes a shuffle; copies of one text are counted by the broadcast."""
+    rng = random.Random(3)
+    rows = [(k, prose(rng, 30)) for k in range(40)] + [(100 + k, "one hot text") for k in range(30)]
+    cache = scratch(spark, "test-cache")
+    first = {r.doc_id: r.n_tokens for r in token_counts.token_counts(make(rows), BYTES, cache).collect()}
+    assert first == {i: len(library_cache(BYTES).encode(t, add_special_tokens=False).ids) for i, t in rows}
+    files = set(spark.read.parquet(cache).inputFiles())
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(make(rows), BYTES, cache).collect()} == first
+    assert spark.read.parquet(cache).count() == 41 and {f for f in set(spark.read.parquet(cache).inputFiles()) - files if spark.read.parquet(f).count()} == set()
+    keyed = make(rows).selectExpr("unhex(sha2(text, 256)) as digest", "text")
+    texts = token_counts.missing_texts(keyed, keyed.where("text = 'one hot text'").select("digest").distinct())
+    assert [r.text for r in texts.collect()] == ["one hot text"]
+    plan = texts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan and plan.index("Aggregate") < plan.index("Join LeftSemi")
+
+
 def test_other_tokenizer_versions_miss(spark, make):
     cache = scratch(spark, "test-cache")
     one = token_counts.token_counts(make([(1, "Hello there")]), BYTES, cache).first().n_tokens
@@ -135,6 +165,26 @@ def test_plan_places_every_piece(counts):
     assert fill.max(initial=0) <= 64 and (fill > 0).all() and fill.sum() == (counts * np.arange(64)).sum()
 
 
+def plain_packing(lengths: list[int], window: int) -> int:
+    """Sequences of first-fit decreasing, piece by piece."""
+    room: list[int] = []
+    for n in sorted(lengths, reverse=True):
+        k = next((k for k, r in enumerate(room) if r >= n), None)
+        if k is None:
+            room.append(window - n)
+        else:
+            room[k] -= n
+    return len(room)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_plan_is_as_tight_as_plain_packing(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.minimum(4095, 1 + (rng.pareto(1.2, 3000) * 120).astype(int))
+    rows, n = packing.plan(np.bincount(lengths, minlength=4096))
+    assert -(-int(lengths.sum()) // 4096) <= n <= 1.01 * plain_packing(lengths.tolist(), 4096) + 1
+
+
 def test_nnls_is_optimal():
     rng = np.random.default_rng(1)
     a, b = rng.random((12, 30)), rng.random(12) * 10
@@ -157,6 +207,49 @@ def test_sharding_law(make, odd_rows, shards):
     assert sharding.shard(make([]), shards).isEmpty()
 
 
+def plain_walk(positions: list[int], shards: int, factor: float) -> list[int]:
+    """Row by row along the ring: the shard of each position, in ring order."""
+    ring = sharding.nodes(shards)
+    least, more = divmod(len(positions), shards)
+    exact = [least + (s < more) for s in range(shards)]
+    room = exact if factor <= 1 else [max(q, int(factor * len(positions) / shards) + 1) for q in exact]
+    out = []
+    for p in sorted(positions):
+        k = next((k for k, (at, _) in enumerate(ring) if at > p), 0)
+        while not room[ring[k % len(ring)][1]]:
+            k += 1
+        room[ring[k % len(ring)][1]] -= 1
+        out.append(ring[k % len(ring)][1])
+    return out
+
+
+@pytest.mark.parametrize("factor", [1.0, 1.3])
+def test_sharding_equals_a_plain_walk(make, factor):
+    docs = make([(k, f"text {k % 17}") for k in range(400)])
+    at = {r.doc_id: r.at for r in docs.select("doc_id", F.shiftrightunsigned(F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary"))), 2).alias("at")).collect()}
+    got = {r.doc_id: r.shard for r in sharding.shard(docs, 7, factor).collect()}
+    assert [got[i] for i in sorted(at, key=at.get)] == plain_walk(list(at.values()), 7, factor)
+
+
+def test_hot_rows_are_salted(make):
+    """Copies of one row, null ids among them, in small salted pieces: the law holds, slots are gapless."""
+    rows = [(5, "same")] * 200 + [(None, "same")] * 100 + [(k, f"t{k}") for k in range(100)]
+    got = sharding.shard(make(rows).repartition(6), 24, salt_rows=20).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+    assert len(got) == 400 and all(sorted(s) == list(range(len(s))) for s in by.values())
+    assert {len(s) for s in by.values()} <= {16, 17}
+
+
+def test_one_shard_more_moves_little(make):
+    """Loads up to a tenth over the mean, 24 shards and 25: how many rows move, beside the 1 in 25 that must."""
+    docs = make([(k, f"t{k}") for k in range(20_000)])
+    a, b = (sharding.shard(docs, s, load_factor=1.1).select("doc_id", F.col("shard").alias(f"s{s}")) for s in (24, 25))
+    moved = a.join(b, "doc_id").where("s24 <> s25").count() / 20_000
+    assert 0.02 < moved < 0.35
+
+
 def test_bounded_loads_move_little(make):
     docs = make([(k, f"t{k}") for k in range(3000)])
     a, b = (sharding.shard(docs, s, load_factor=1.25).select("doc_id", F.col("shard").alias(f"s{s}")) for s in (10, 11))
