@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ MAGIC = [("DOC", bytes.fromhex("D0CF11E0A1B11AE1")), ("DOCX", b"PK"), ("PDF", b"
 BULLET = r"^\s*([•●▪◦\-*–—]|\d{1,3}[.)]|[A-Za-zА-Яа-яЁё][.)])\s+"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def blank(text: Column) -> Column:
     """Whether a text is null or only white space, as Java's isBlank sees it (a no-break space is not)."""
     return text.isNull() | text.rlike(r"\A\p{javaWhitespace}*\z")
@@ -48,8 +55,13 @@ def size_route(size: Column, heavy_mb: int = 10) -> Column:
 
 
 def truncated(text: Column, most: int) -> Column:
-    """The first `most` characters."""
-    return F.substring(text, 1, most)
+    """The first `most` UTF-16 units; a pair of units is not parted, so that what is left is a text."""
+
+    def cut(wide: Column) -> Column:
+        pair = F.hex(F.substring(wide, 2 * most, 1)).between("D8", "DB")
+        return F.decode(F.substring(wide, F.lit(1), F.when(pair, 2 * most - 2).otherwise(2 * most)), "UTF-16LE")
+
+    return F.when(F.octet_length(text) <= most, text).when(utf16_length(text) == F.length(text), F.substring(text, 1, most)).otherwise(let(F.encode(text, "UTF-16LE"), cut))
 
 
 def short_error(error: Column, most: int = 500) -> Column:

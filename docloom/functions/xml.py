@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import re
 import xml.parsers.expat
 from collections.abc import Iterator
 
@@ -9,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docloom.functions.text import let
+
 #: The element that frames a header, and literal escapes that a model leaves in place.
 FRAME = "Document"
 ESCAPES = [("\\u003c", "<"), ("\\u003e", ">"), ("\\n", "\n"), ("\\t", "\t"), ("\\r", ""), ('\\"', '"')]
@@ -16,7 +20,6 @@ ESCAPES = [("\\u003c", "<"), ("\\u003e", ">"), ("\\n", "\n"), ("\\t", "\t"), ("\
 BARE_AMPERSAND = r"&(?!(amp|lt|gt|quot|apos|#\d+|#x[0-9a-fA-F]+);)"
 #: Fixed pattern: characters that never belong in an answer.
 STRAY = "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\uFFFD\\u200B-\\u200D\\uFEFF]"
-_ENDS = "^[\\x00-\\x20]+|[\\x00-\\x20]+$"
 
 
 def java_trim(text: Column) -> Column:
@@ -27,7 +30,13 @@ def java_trim(text: Column) -> Column:
 def framed(answer: Column) -> Column:
     """From the first opening frame tag to the last closing one, code fences removed; null if there is none."""
     bare = java_trim(F.replace(F.replace(answer, F.lit("```xml"), F.lit("")), F.lit("```"), F.lit("")))
-    return F.nullif(F.regexp_extract(bare, f"(?s)<{FRAME}>.*</{FRAME}>", 0), F.lit(""))
+
+    def between(text: Column) -> Column:
+        begin = F.instr(text, f"<{FRAME}>")
+        size = F.length(text) - F.length(F.substring_index(text, f"</{FRAME}>", -1)) - begin + 1  # up to the last closing tag
+        return F.when((begin > 0) & (size >= 2 * len(FRAME) + 5), F.substring(text, begin, size))
+
+    return let(bare, between)
 
 
 def escaped_ampersands(text: Column) -> Column:
@@ -36,11 +45,15 @@ def escaped_ampersands(text: Column) -> Column:
 
 def sanitized(text: Column) -> Column:
     """Cut after the first closing frame tag, literal escapes undone, stray characters dropped, bare ampersands escaped, ends trimmed."""
-    end = F.instr(text, f"</{FRAME}>")
-    out = F.when(end > 0, F.substring(text, F.lit(1), end + len(FRAME) + 2)).otherwise(text)
-    for old, new in ESCAPES:
-        out = F.replace(out, F.lit(old), F.lit(new))
-    return java_trim(escaped_ampersands(F.regexp_replace(out, STRAY, "")))
+
+    def clean(own: Column) -> Column:
+        end = F.instr(own, f"</{FRAME}>")
+        out = F.when(end > 0, F.substring(own, F.lit(1), end + len(FRAME) + 2)).otherwise(own)
+        for old, new in ESCAPES:
+            out = F.replace(out, F.lit(old), F.lit(new))
+        return java_trim(escaped_ampersands(F.regexp_replace(out, STRAY, "")))
+
+    return let(text, clean)
 
 
 def split_stored(stored: Column) -> tuple[Column, Column]:
@@ -69,35 +82,42 @@ def is_valid(text: str) -> bool:
     return True
 
 
+_MARKS = re.compile("[\"'>]")
+_NAME = re.compile("[A-Za-z][A-Za-z0-9_.-]*")
+
+
+class _Ends:
+    """Where the '>' outside quotes stands for a scan from any place; found from the right in one pass over quotes and '>'."""
+
+    def __init__(self, text: str):
+        self.at = [m.start() for m in _MARKS.finditer(text)]
+        self.end = [-1] * (len(self.at) + 1)
+        following: dict[str, int] = {}
+        for k in range(len(self.at) - 1, -1, -1):
+            mark = text[self.at[k]]
+            if mark == ">":
+                self.end[k] = self.at[k]
+            else:
+                if mark in following:
+                    self.end[k] = self.end[following[mark] + 1]
+                following[mark] = k
+
+    def __call__(self, place: int) -> int:
+        return self.end[bisect.bisect_left(self.at, place)]
+
+
 def tags(text: str) -> Iterator[tuple[int, str, str]]:
     """(position, name, "open" | "close" | "empty") of each tag. Quotes hide '>'; what is not closed is no tag."""
-    at = text.find("<")
+    end_of, at = _Ends(text), text.find("<")
     while at >= 0:
         begin = at + 1 + text.startswith("/", at + 1)
-        stop = begin
-        while stop < len(text) and (text[stop].isascii() and (text[stop].isalpha() or stop > begin and (text[stop].isdigit() or text[stop] in "_.-"))):
-            stop += 1
-        end = _tag_end(text, stop) if stop > begin else -1
+        name = _NAME.match(text, begin)
+        end = end_of(name.end()) if name else -1
         if end >= 0:
-            kind = "close" if begin > at + 1 else "empty" if text[end - 1] == "/" else "open"
-            yield at, text[begin:stop], kind
+            yield at, name[0], "close" if begin > at + 1 else "empty" if text[end - 1] == "/" else "open"
         at = text.find("<", end + 1 if end >= 0 else at + 1)
 
 
-def _tag_end(text: str, at: int) -> int:
-    """Where the '>' outside quotes stands; -1 if there is none."""
-    quote = ""
-    for k in range(at, len(text)):
-        c = text[k]
-        if quote:
-            quote = "" if c == quote else quote
-        elif c in "\"'":
-            quote = c
-        elif c == ">":
-            return k
-    return -1
-
-
 def completed(text: str, nested: bool = False) -> str | None:
     """The text with missing closing tags put in; null if none is missing or a closing tag was never opened.
 

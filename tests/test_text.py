@@ -78,6 +78,44 @@ def test_repair_is_valid_or_nothing(text):
     assert (xml is None) == (fix is None) and (xml is None or X.is_valid(xml))
 
 
+def plain_end(text, at):
+    quote = ""
+    for k in range(at, len(text)):
+        if quote:
+            quote = "" if text[k] == quote else quote
+        elif text[k] in "\"'":
+            quote = text[k]
+        elif text[k] == ">":
+            return k
+    return -1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("<>/ab'\" ", max_size=40))
+def test_tag_ends(text):
+    end_of = X._Ends(text)
+    assert [end_of(k) for k in range(len(text) + 1)] == [plain_end(text, k) for k in range(len(text) + 1)]
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+
+    began = time.monotonic()
+    assert X.completed("<a " * 100_000 + "'") is None
+    assert time.monotonic() - began < 3
+
+
+def test_framing(spark):
+    cases = {"x <Document>a</Document> y <Document>b</Document> z": "<Document>a</Document> y <Document>b</Document>", "</Document><Document>": None, "<Document>": None, "```xml<Document></Document>```": "<Document></Document>", None: None, "</Document> <Document>x": None}
+    frame = spark.createDataFrame([(k,) for k in cases], "x string")
+    assert {r.x: r.y for r in frame.select("x", X.framed(F.col("x")).alias("y")).collect()} == cases
+
+
+def test_cut_by_units(spark):
+    rows = spark.createDataFrame([("abcdef",), ("a😀b",), ("😀😀",), ("ab😀",), ("",), (None,), ("яяяя",)], "x string")
+    assert [r.y for r in rows.select(T.truncated(F.col("x"), 3).alias("y")).collect()] == ["abc", "a😀", "😀", "ab", "", None, "яяя"]
+
+
 def test_docx(spark):
     data = docx_bytes(["One", " ", "Two & <x>"], [["a", "b"], ["", " "]])
     assert extract.read_docx(data) == "One\nTwo & <x>\na\tb\n"
