@@ -1,7 +1,8 @@
 """Text from payloads: routing by format, office documents, positioned page lines and their paragraphs.
 
 Routing, line texts, paragraphs and gates are column expressions. Python reads only what is binary, row by row in Arrow
-batches; a format without a reader ends as an error of its own kind, never as an empty text.
+batches, in one pass over the payloads whatever their formats. A file that can't be read ends as an error row (a PDF goes
+to OCR) and never fails the job; a format without a reader ends as an error of its own kind, never as an empty text.
 """
 
 from __future__ import annotations
@@ -19,13 +20,21 @@ from pyspark.sql import functions as F
 
 from docloom.functions.text import BULLET, MIB, blank, hex_head, sniff
 
-#: A reader: bytes -> text; it raises ValueError for what it can't read for good.
+#: A reader: bytes -> text. Whatever it raises makes an error row; `BadFormat` marks a file that no later try can read.
 Reader = Callable[[bytes], str]
+#: The largest size of an unpacked part of a word document.
+MOST_UNPACKED = 512 * MIB
 LINES = "page int, y float, font float, chunks array<string>"
 GAP = 1.3
+#: Payloads read at a time.
+BATCH_ROWS = 32
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
+class BadFormat(ValueError):
+    """A file that is unreadable for good, such as one with a password."""
+
+
 def routed(payloads: DataFrame) -> DataFrame:
     """(id, data) with its format and, for formats that are not processed, the error."""
     fmt = sniff(F.col("data"))
@@ -54,8 +63,10 @@ def read_docx(data: bytes) -> str:
     """Paragraphs and tables of the body in order, a line each: blank ones dropped, cells parted by tabs, merged cells left out."""
     try:
         with zipfile.ZipFile(io.BytesIO(data)) as z:
+            if z.getinfo("word/document.xml").file_size > MOST_UNPACKED:
+                raise ValueError("its text is too large")
             body = ElementTree.fromstring(z.read("word/document.xml")).find(_W + "body")
-    except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, zlib.error) as e:
+    except Exception as e:  # damaged archives raise errors of many kinds
         raise ValueError(f"not a word document: {e}") from e
     lines = []
     for part in body if body is not None else ():
@@ -68,24 +79,14 @@ def read_docx(data: bytes) -> str:
     return "".join(f"{x}\n" for x in lines if x.strip())
 
 
-def with_reader(payloads: DataFrame, reader: Reader, batch_rows: int = 32) -> DataFrame:
-    """(id, data) -> (id, text, error): `reader` over each payload, few rows at a time."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, batch_rows):
-                part = batch.slice(a, batch_rows)
-                texts, errors = [], []
-                for data in part.column("data").to_pylist():
-                    try:
-                        texts.append(reader(data or b""))
-                        errors.append(None)
-                    except ValueError as e:
-                        texts.append(None)
-                        errors.append(str(e))
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=["id", "text", "error"])
-
-    return payloads.select("id", "data").mapInArrow(run, "id long, text string, error string")
+def attempted(reader: Reader, data: bytes | None) -> tuple[str | None, str | None, str | None]:
+    """(text, error kind, error) of a payload."""
+    try:
+        return reader(data or b""), None, None
+    except BadFormat as e:
+        return None, "bad_format", str(e)
+    except Exception as e:  # one bad file must not fail the others
+        return None, "error", str(e) or type(e).__name__
 
 
 _STREAM = re.compile(rb"<<(?P<head>(?:(?!endobj|stream).)*)>>\s*stream\r?\n(?P<body>.*?)endstream", re.S)
@@ -100,8 +101,8 @@ _PIECE = re.compile(rb"\(((?:\\.|[^\\()])*)\)", re.S)
 
 
 def _literal(raw: bytes) -> str:
-    out = re.sub(rb"\\([0-7]{1,3})", lambda m: bytes([int(m[1], 8) & 255]), raw)
-    return re.sub(rb"\\(.)", lambda m: {b"n": b"\n", b"r": b"\r", b"t": b"\t"}.get(m[1], m[1]), out, flags=re.S).decode("latin-1")
+    named = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f", b"\n": b""}
+    return re.sub(rb"\\([0-7]{1,3}|.)", lambda m: bytes([int(m[1], 8) & 255]) if m[1][:1] in b"01234567" else named.get(m[1], m[1]), raw, flags=re.S).decode("latin-1")
 
 
 def _contents(data: bytes) -> Iterator[tuple[bytes | None, str | None]]:
@@ -176,30 +177,41 @@ def page_lines(data: bytes, page_height: float = 842.0) -> list[dict]:
     return lines
 
 
-def pdf_lines(payloads: DataFrame) -> DataFrame:
-    """(doc_id, line_no, page, y, font, chunks) of PDF payloads (id, data)."""
-    schema = f"doc_id long, line_no int, {LINES}"
-    types = pa.schema([("doc_id", pa.int64()), ("line_no", pa.int32()), ("page", pa.int32()), ("y", pa.float32()), ("font", pa.float32()), ("chunks", pa.list_(pa.string()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for id_, data in zip(batch.column("id").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                rows = [{"doc_id": id_, "line_no": k, **line} for k, line in enumerate(page_lines(data or b""))]
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=types)
-
-    return payloads.select("id", "data").mapInArrow(run, schema)
-
-
-def pdf_faults(payloads: DataFrame) -> DataFrame:
-    """(id, size, fault) of PDF payloads (id, data): why not all of a file's text can be read, or null."""
+def read_pages(data: bytes | None) -> tuple[list[dict], str | None]:
+    """(lines, why not all text could be read) of a PDF file; a fault of any kind is such a reason."""
+    try:
+        return page_lines(data or b""), page_fault(data or b"")
+    except Exception as e:  # numbers, lengths and nesting of damaged files fail in many ways
+        return [], f"damaged content: {e}"
+
+
+def read_payloads(rows: DataFrame, readers: dict[str, Reader]) -> DataFrame:
+    """(id, format, size, text, error_kind, error, lines) of routed payloads, each read once by the reader of its format; PDF files without one give lines."""
+    types = pa.schema([("id", pa.int64()), ("format", pa.string()), ("size", pa.int64()), ("text", pa.string()), ("error_kind", pa.string()), ("error", pa.string())])
+    line = pa.list_(pa.struct([("page", pa.int32()), ("y", pa.float32()), ("font", pa.float32()), ("chunks", pa.list_(pa.string()))]))
+
+    def one(fmt: str, data: bytes | None, kind: str | None, error: str | None) -> tuple:
+        if kind is not None:
+            return None, kind, error, None
+        if fmt in readers:
+            return *attempted(readers[fmt], data), None
+        if fmt == "PDF":
+            lines, fault = read_pages(data)
+            return None, None, None if fault is None else f"Unread PDF content: {fault}", lines
+        return None, "unsupported", f"No reader for {fmt}", None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = batch.column("data").to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([None if d is None else len(d) for d in data], pa.int64()), pa.array([page_fault(d or b"") for d in data], pa.string())], names=["id", "size", "fault"])
+            for a in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(a, BATCH_ROWS)
+                data = part.column("data").to_pylist()
+                got = [one(*x) for x in zip(part.column("format").to_pylist(), data, part.column("error_kind").to_pylist(), part.column("error").to_pylist(), strict=True)]
+                columns = [part.column("id"), part.column("format"), pa.array([None if d is None else len(d) for d in data], pa.int64())]
+                columns += [pa.array([g[k] for g in got], pa.string()) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([g[3] for g in got], line)], schema=types.append(pa.field("lines", line)))
 
-    return payloads.select("id", "data").mapInArrow(run, "id long, size long, fault string")
+    schema = f"id long, format string, size long, text string, error_kind string, error string, lines array<struct<{LINES.replace(' ', ': ').replace(',:', ',')}>>"
+    return rows.select("id", "data", "format", "error_kind", "error").mapInArrow(run, schema)
 
 
 def line_text(chunks: Column) -> Column:
@@ -235,10 +247,26 @@ def paragraphs(lines: DataFrame, gap_sign: int = 1) -> DataFrame:
     return found.select("doc_id", "paragraph", joined_lines(F.transform("own", lambda x: x["line"])).alias("text"))
 
 
-def texts_of(found: DataFrame) -> DataFrame:
-    """(doc_id, text): a document's paragraphs, each ended by a line end."""
-    own = F.array_sort(F.collect_list(F.struct("paragraph", "text")))
-    return found.groupBy("doc_id").agg(own.alias("own")).select("doc_id", F.concat(F.array_join(F.transform("own", lambda x: x["text"]), "\n"), F.lit("\n")).alias("text"))
+def with_paragraphs(rows: DataFrame, gap_sign: int = 1) -> DataFrame:
+    """The rows with `lines` (an array) replaced by `read`: the paragraphs of these lines, as `paragraphs` forms them, each ended by a line end.
+
+    A document's lines are at hand in its row, so neither a shuffle nor a window is needed; every step is an array
+    expression whose work grows with the text.
+    """
+    names = [c for c in rows.columns if c != "lines"]
+    own = F.transform("lines", lambda x: F.struct(x["page"].alias("page"), x["y"].alias("y"), x["font"].alias("font"), line_text(x["chunks"]).alias("line")))
+    rows = rows.select(*names, F.filter(own, lambda x: x["line"] != "").alias("own"))
+    above = lambda k: F.get(F.col("own"), k - 1)
+    gap = lambda x, k: (above(k)["page"] == x["page"]) & (gap_sign * (above(k)["y"] - x["y"]) > GAP * above(k)["font"])
+    begins = F.transform("own", lambda x, k: (k == 0) | x["line"].rlike(BULLET) | F.coalesce(gap(x, k), F.lit(False)))
+    rows = rows.select(*names, "own", begins.alias("begins"))
+
+    def piece(x: Column, k: Column) -> Column:
+        line, last = x["line"], F.coalesce(F.get(F.col("begins"), k + 1), F.lit(True))
+        glued = F.right(line, F.lit(1)).isin("-", "\u00ad") & ((F.length(line) >= 2) | ~F.get(F.col("begins"), k))
+        return F.when(last, F.concat(line, F.lit("\n"))).when(glued, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(F.concat(line, F.lit(" ")))
+
+    return rows.select(*names, F.array_join(F.transform("own", piece), "").alias("read"))
 
 
 def ocr_gate(text: Column, parse_error: Column, size: Column, most_mb: int = 12) -> Column:
@@ -247,27 +275,20 @@ def ocr_gate(text: Column, parse_error: Column, size: Column, most_mb: int = 12)
     return F.when(~scan, "text").when(size > most_mb * MIB, "oversized").otherwise("ocr")
 
 
-def extracted(payloads: DataFrame, readers: dict[str, Reader] | None = None) -> DataFrame:
+def extracted(payloads: DataFrame, readers: dict[str, Reader] | None = None, ocr_max_mb: int = 12) -> DataFrame:
     """(id, format, text, error_kind, error) of payloads (id, data): cached texts should be kept out of it beforehand.
 
-    Each format runs apart, so that a reader sees only its own payloads. `readers` adds to, or replaces, those for DOCX
-    and PDF; what has no reader is `unsupported` and can be tried again once there is one.
+    The payloads are scanned once. `readers` adds to, or replaces, those for DOCX, DOC and PDF; what has no reader is
+    `unsupported` and can be tried again once there is one. A PDF file whose text could not be read as a whole goes to
+    OCR, as does one without a text.
     """
-    rows = routed(payloads)
     own = {"DOCX": read_docx} | (readers or {})
-    out = rows.where("error_kind is not null").select("id", "format", F.lit(None).cast("string").alias("text"), "error_kind", "error")
-    for fmt, reader in own.items():
-        got = with_reader(rows.where(F.col("format") == fmt), reader)
-        out = out.unionByName(got.select("id", F.lit(fmt).alias("format"), "text", F.when(F.col("error").isNotNull(), "error").alias("error_kind"), "error"))
-    if "PDF" not in own:
-        pages = rows.where("format = 'PDF'")
-        texts = texts_of(paragraphs(pdf_lines(pages))).withColumnRenamed("doc_id", "id")
-        joined = pdf_faults(pages).join(texts, "id", "left")
-        next_ = ocr_gate(F.col("text"), F.col("fault").isNotNull(), F.col("size"))
-        whole = F.when(F.col("fault").isNull(), F.col("text"))  # a part of a text is none
-        out = out.unionByName(joined.select("id", F.lit("PDF").alias("format"), whole.alias("text"), F.when(next_ != "text", next_).alias("error_kind"), F.concat(F.lit("Unread PDF content: "), "fault").alias("error")))
-    left = rows.where(F.col("error_kind").isNull() & ~F.col("format").isin(*own, "PDF"))
-    return out.unionByName(left.select("id", "format", F.lit(None).cast("string").alias("text"), F.lit("unsupported").alias("error_kind"), F.concat(F.lit("No reader for "), "format").alias("error")))
+    rows = with_paragraphs(read_payloads(routed(payloads), own).withColumn("paged", F.col("lines").isNotNull()))
+    next_ = ocr_gate(F.col("read"), F.col("error").isNotNull(), F.col("size"), ocr_max_mb)
+    paged = F.col("paged")
+    text = F.when(paged, F.when(F.col("error").isNull() & ~blank(F.col("read")), F.col("read"))).otherwise(F.col("text"))  # a part of a text is none
+    kind = F.when(paged, F.when(next_ != "text", next_)).otherwise(F.col("error_kind"))
+    return rows.select("id", "format", text.alias("text"), kind.alias("error_kind"), "error")
 
 
 def with_cache(claims: DataFrame, cached: DataFrame, extract: Callable[[DataFrame], DataFrame]) -> DataFrame:

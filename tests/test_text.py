@@ -155,8 +155,52 @@ def test_extracted_kinds(spark):
 )
 def test_paragraphs(spark, lines, expected):
     rows = [(1, k, p, float(y), 12.0, [t]) for k, (t, p, y) in enumerate(lines)]
-    found = extract.paragraphs(spark.createDataFrame(rows, "doc_id long, line_no int, page int, y float, font float, chunks array<string>"))
+    frame = spark.createDataFrame(rows, "doc_id long, line_no int, page int, y float, font float, chunks array<string>")
+    found = extract.paragraphs(frame)
     assert [r.text for r in found.orderBy("paragraph").collect()] == expected
+    packed = frame.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "page", "y", "font", "chunks"))), lambda x: F.struct(x["page"].alias("page"), x["y"].alias("y"), x["font"].alias("font"), x["chunks"].alias("chunks"))).alias("lines"))
+    assert extract.with_paragraphs(packed).first().read == "".join(x + "\n" for x in expected)
+
+
+def zip_of(body: bytes, **flags) -> bytes:
+    import io
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("word/document.xml", body)
+    data = bytearray(out.getvalue())
+    for place in (data.find(b"PK\x03\x04") + 6, data.find(b"PK\x01\x02") + 8):
+        data[place] |= flags.get("bits", 0)
+        data[place + 2 : place + 4] = flags.get("method", 0).to_bytes(2, "little")
+    return bytes(data)
+
+
+def test_damaged_files_never_fail_a_job(spark):
+    """Encrypted, cut, oddly packed and broken files end as error rows or go to OCR."""
+    good, page = docx_bytes(["Hello"]), pdf_bytes(["A readable page"])
+    body = b"<w:document xmlns:w='http://schemas.openxmlformats.org/wordprocessingml/2006/main'><w:body/></w:document>"
+    cases = {
+        1: (good[: len(good) // 2], "error"), 2: (zip_of(body, bits=1), "error"), 3: (zip_of(body, method=99), "error"), 4: (zip_of(b"<w:document"), "error"), 5: (zip_of(b"<?xml version='1.0' encoding='nonsense'?><a/>"), "error"),
+        6: (b"%PDF-1.4 << /Length 9 >>\nstream\nBT /F1 . Tf 1 0 0 1 5 ... Tm (x) Tj ET\nendstream", "ocr"), 7: (b"%PDF-1.4 << >> stream\nBT 1 ... Td (x) Tj ET endstream", "ocr"), 8: (page[:60], "ocr"), 9: (b"%PDF", "ocr"),
+        10: (b"%PDF-1.4 << /Encrypt 1 0 R >> " + page, "ocr"), 11: (bytes.fromhex("D0CF11E0A1B11AE1") + b"x" * 600, "unsupported"), 12: (good, None), 13: (page, None), 14: (zip_of(body), None), 15: (b"PK", "error"),
+    }
+    frame = spark.createDataFrame([(k, bytearray(v)) for k, (v, _) in cases.items()], "id long, data binary")
+    got = {r.id: r for r in extract.extracted(frame).collect()}
+    assert {k: got[k].error_kind for k in cases} == {k: kind for k, (_, kind) in cases.items()}
+    assert all((got[k].error is None) == (kind is None) for k, (_, kind) in cases.items() if k not in (8, 9)) and got[14].text == ""
+
+    def odd(data: bytes) -> str:
+        raise MemoryError if b"m" in data else extract.BadFormat("password")
+
+    rows = spark.createDataFrame([(1, bytearray(b"PKm")), (2, bytearray(b"PK"))], "id long, data binary")
+    assert [(r.error_kind, r.error) for r in extract.extracted(rows, {"DOCX": odd}).orderBy("id").collect()] == [("error", "MemoryError"), ("bad_format", "password")]
+
+
+def test_payloads_are_scanned_once(spark, tmp_path):
+    spark.createDataFrame([(1, bytearray(docx_bytes(["Hello"])))], "id long, data binary").write.parquet(str(tmp_path / "p"))
+    plan = extract.extracted(spark.read.parquet(str(tmp_path / "p")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("MapInArrow") == 1 and "Exchange" not in plan
 
 
 def test_partly_readable_pdfs_go_to_ocr(spark):
