@@ -1,6 +1,6 @@
 """Retry, poison, zombie, outage, breaker and penalty policies as window folds over an attempt log.
 
-The log is `schema.ATTEMPTS`. Order within a task is (ts, seq). Outcomes: `transient` counts; `done`, `empty` and
+The log is `schema.ATTEMPTS`. What a key's history leaves is folded per minute and carried over the minutes. Order within a task is (ts, seq). Outcomes: `transient` counts; `done`, `empty` and
 `rejected` end a task's streaks; `failed` leaves them as they are; `done` and `empty` show that an instance works.
 """
 
@@ -101,20 +101,40 @@ def classified(error_kind: Column) -> Column:
     return F.struct(outcome.otherwise("failed").alias("outcome"), detail.otherwise("error").alias("detail"))
 
 
+def _by_minute(events: DataFrame, key: str) -> DataFrame:
+    return events.withColumn("minute", F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / MINUTE))
+
+
+def _with_before(rows: DataFrame, key: str, per: DataFrame) -> DataFrame:
+    """The rows with what `per` (key, minute, ...) holds for their minute. No window holds more than a minute's events or a key's minutes, however long its history."""
+    per = per.withColumnsRenamed({key: "k", "minute": "m"})
+    return rows.join(per, F.col(key).eqNullSafe(F.col("k")) & (F.col("minute") == F.col("m"))).drop("k", "m")
+
+
 def breaker(events: DataFrame, key: str, cfg: Settings = Settings()) -> DataFrame:
     """The breaker's state at each event (key, ts, seq, ok): failures in a row after it, whether it was paused before, until when it pauses.
 
     The third failure in a row pauses; each further one extends the pause; a success clears both; a pause also just ends.
     """
-    by = Window.partitionBy(key).orderBy("ts", "seq")
-    runs = events.withColumn("run", F.coalesce(F.sum(F.col("ok").cast("int")).over(by), F.lit(0)))
-    run = Window.partitionBy(key, "run").orderBy("ts", "seq")
-    failures = F.sum(F.when(F.col("ok"), 0).otherwise(1)).over(run)
-    runs = runs.withColumn("failures", failures)
-    until = F.when(F.col("failures") >= cfg.breaker_failures, F.col("ts") + F.make_dt_interval(secs=F.lit(cfg.breaker_pause_seconds)))
-    state = runs.withColumn("paused_until", until)
-    before = F.lag("paused_until").over(by)
-    return state.withColumn("paused", F.coalesce(F.col("ts") < before, F.lit(False))).drop("run")
+    inside = Window.partitionBy(key, "minute").orderBy("ts", "seq")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    rows = _by_minute(events, key).withColumn("bad", F.when(F.col("ok"), 0).otherwise(1)).withColumn("fine", F.coalesce(F.col("ok"), F.lit(False)).cast("int"))
+    rows = rows.withColumn("runs", F.sum("fine").over(upto))
+    within = F.sum("bad").over(Window.partitionBy(key, "minute", "runs").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("within", within)
+    # a minute leaves the failures since its last success, added to those before it where it has none
+    ends = F.max_by(F.struct("within", "runs"), F.struct("ts", "seq"))
+    by = Window.partitionBy(key).orderBy("minute")
+    per = rows.groupBy(key, "minute").agg(ends.alias("ends"), F.max(F.struct("ts", "seq")).alias("at"))
+    per = per.withColumn("reset", F.sum((F.col("ends.runs") > 0).cast("int")).over(by))
+    per = per.withColumn("left", F.sum("ends.within").over(Window.partitionBy(key, "reset").orderBy("minute")))
+    rows = _with_before(rows, key, per.select(key, "minute", F.lag("left").over(by).alias("ends_before"), F.lag("at").over(by).alias("at_before")))
+    failures = F.when(F.col("runs") > 0, F.col("within")).otherwise(F.coalesce("ends_before", F.lit(0)) + F.col("within")).cast("long")
+    until = lambda n, ts: F.when(n >= cfg.breaker_failures, ts + F.make_dt_interval(secs=F.lit(cfg.breaker_pause_seconds)))
+    rows = rows.withColumn("failures", failures).withColumn("paused_until", until(F.col("failures"), F.col("ts")))
+    earlier = F.when(F.lag("ts").over(inside).isNotNull(), F.lag("paused_until").over(inside)).otherwise(until(F.col("ends_before"), F.col("at_before.ts")))
+    rows = rows.withColumn("paused", F.coalesce(F.col("ts") < earlier, F.lit(False)))
+    return rows.select(*events.columns, "failures", "paused_until", "paused")
 
 
 def penalties(events: DataFrame, cfg: Settings = Settings()) -> DataFrame:
@@ -123,12 +143,46 @@ def penalties(events: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     `transport` sets the transport penalty, which a `green` probe clears; `refusal` extends the logical one, which only
     time ends. `ready` is whether the server may be asked right then.
     """
-    by = Window.partitionBy("server").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
     until = F.col("ts") + F.make_dt_interval(secs=F.lit(cfg.ocr_cooldown_seconds))
-    mark = F.when(F.col("event").isin("transport", "green"), F.struct(F.when(F.col("event") == "transport", until).alias("until")))
-    rows = events.withColumn("transport_until", F.last(mark, ignorenulls=True).over(by)["until"]).withColumn("logical_until", F.max(F.when(F.col("event") == "refusal", until)).over(by))
+    mark = F.when(F.col("event").isin("transport", "green"), F.struct("ts", "seq", F.when(F.col("event") == "transport", until).alias("until")))
+    rows = _by_minute(events, "server").withColumn("mark", mark).withColumn("logical", F.when(F.col("event") == "refusal", until))
+    before = Window.partitionBy("server").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    per = rows.groupBy("server", "minute").agg(F.max("mark").alias("last"), F.max("logical").alias("held"))
+    rows = _with_before(rows, "server", per.select("server", "minute", F.max("last").over(before).alias("mark_before"), F.max("held").over(before).alias("logical_before")))
+    upto = Window.partitionBy("server", "minute").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    mark = F.coalesce(F.max("mark").over(upto), F.col("mark_before"))
+    rows = rows.withColumn("transport_until", mark["until"]).withColumn("logical_until", F.greatest(F.max("logical").over(upto), "logical_before"))
     held = F.coalesce(F.col("ts") < F.col("transport_until"), F.lit(False)) | F.coalesce(F.col("ts") < F.col("logical_until"), F.lit(False))
-    return rows.withColumn("ready", ~held)
+    return rows.withColumn("ready", ~held).select(*events.columns, "transport_until", "logical_until", "ready")
+
+
+def standing(events: DataFrame, now: Column, cfg: Settings = Settings()) -> DataFrame:
+    """(server, ready): whether each server may be asked now, by its last penalties."""
+    last = latest(penalties(events, cfg).select("server", "ts", "seq", "transport_until", "logical_until"))
+    held = F.coalesce(now < F.col("transport_until"), F.lit(False)) | F.coalesce(now < F.col("logical_until"), F.lit(False))
+    return last.select("server", (~held).alias("ready"))
+
+
+def paused(calls: DataFrame, now: Column, cfg: Settings = Settings()) -> DataFrame:
+    """(server, paused): whether the breaker of each model holds calls back now."""
+    last = latest(breaker(calls, "server", cfg).select("server", "ts", "seq", "paused_until"))
+    return last.select("server", F.coalesce(now < F.col("paused_until"), F.lit(False)).alias("paused"))
+
+
+def round_verdicts(log: DataFrame, fresh: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """(task_id, verdict, backoff, streak) of this round's transient failures `fresh`, by them and the log of earlier attempts.
+
+    Only what can matter is counted: all attempts of these tasks, and of others the successes that show an instance works,
+    as far back as those attempts go.
+    """
+    tasks = fresh.where("outcome = 'transient'").select("task_id").distinct()
+    own = log.unionByName(fresh).join(tasks, "task_id", "left_semi")
+    since = own.agg(F.min("ts").alias("since"))
+    alive = log.unionByName(fresh).where(F.col("outcome").isin(*ALIVE)).join(tasks, "task_id", "left_anti").crossJoin(F.broadcast(since))  # one row
+    alive = alive.where(F.col("ts") >= F.col("since") - F.make_dt_interval(mins=F.lit(cfg.outage_minutes))).drop("since")
+    counted = verdicts(streaks(own.unionByName(alive), cfg), cfg)
+    last = counted.groupBy("task_id").agg(F.max_by(F.struct("verdict", "backoff", "poison", "any"), F.struct("ts", "seq")).alias("v"))
+    return last.join(tasks, "task_id", "left_semi").select("task_id", "v.verdict", "v.backoff", F.when(F.col("v.verdict") == "poison", F.col("v.poison")).otherwise(F.col("v.any")).alias("streak"))
 
 
 def latest(states: DataFrame, key: str = "server") -> DataFrame:

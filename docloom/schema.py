@@ -19,6 +19,9 @@ QUEUE = (
 RESULTS = "doc_id long, file_id string, file_name string, xml_data string, created_by string, created_at timestamp"
 OUTCOMES = "id long, locked_by string, claim_token string, outcome string, error string, delay_seconds int, xml_data string"
 ATTEMPTS = "task_id long, ts timestamp, seq long, outcome string, error string, instance string"
+#: What a round saw of OCR servers (event: transport, refusal, green or success) and of the model (ok: whether it answered).
+SERVER_EVENTS = "server string, ts timestamp, seq long, event string"
+MODEL_CALLS = "server string, ts timestamp, seq long, ok boolean"
 
 #: The header of a document; all leaves are text.
 _PARTY = "Country: string, Name: string, Address: string, INN: string, Phones: struct<Phone: array<string>>"
@@ -39,6 +42,7 @@ class Settings:
     lookback_days: int = 4
     min_text_length: int = 20
     heavy_mb: int = 10
+    heavy_batch: int = 5
     ocr_max_mb: int = 12
     max_text_chars: int = 40_000
     poison_retries: int = 3

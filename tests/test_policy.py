@@ -80,6 +80,33 @@ def test_breaker_batch_and_stream(spark, tmp_path):
     assert [(r.failures, r.paused, r.paused_until) for r in got] == [(r.failures, r.paused, r.paused_until) for r in batch]
 
 
+def test_states_carry_over_minutes(spark):
+    """Long random histories, folded by minutes, against a plain fold over all events of a server."""
+    import random
+
+    rng, marks = random.Random(4), []
+    for server in ("a", "b", None):
+        t = 0
+        for k in range(300):
+            t += rng.choice([0, 1, 20, 70, 400])
+            marks.append((server, T0 + timedelta(seconds=t), k, rng.random() < 0.3, rng.choice(["transport", "green", "refusal", "success"])))
+    frame = spark.createDataFrame(marks, "server string, ts timestamp, seq long, ok boolean, event string")
+    state, expected = {}, {}
+    for server, ts, seq, ok, event in marks:
+        failures, until, transport, logical = state.get(server, (0, None, None, None))
+        paused, failures = until is not None and ts < until, 0 if ok else failures + 1
+        until = ts + timedelta(seconds=60) if failures >= 3 else None
+        later = ts + timedelta(seconds=30)
+        transport = later if event == "transport" else None if event == "green" else transport
+        logical = later if event == "refusal" else logical
+        state[server] = failures, until, transport, logical
+        expected[server, seq] = (failures, until, paused), (transport, logical, not any(u is not None and ts < u for u in (transport, logical)))
+    got = {(r.server, r.seq): (r.failures, r.paused_until, r.paused) for r in policy.breaker(frame.drop("event"), "server").collect()}
+    assert got == {k: v[0] for k, v in expected.items()}
+    got = {(r.server, r.seq): (r.transport_until, r.logical_until, r.ready) for r in policy.penalties(frame.drop("ok")).collect()}
+    assert got == {k: v[1] for k, v in expected.items()}
+
+
 def test_penalties_batch_and_stream(spark, tmp_path):
     marks = [(0, "transport"), (5, "green"), (6, "refusal"), (7, "transport"), (8, "green"), (20, "success"), (40, "success")]
     events = spark.createDataFrame([("s", T0 + timedelta(seconds=t), k, e) for k, (t, e) in enumerate(marks)], "server string, ts timestamp, seq long, event string")
