@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.text import base64_plain, blank, one_line, truncated
 from docloom.functions.xml import REPAIRED, framed, repaired, sanitized
-from docloom.operators.policy import ENVELOPE_MARKS, has_any
+from docloom.operators.policy import ENVELOPE_MARKS, exhausted, has_any
 from docloom.sources.scratch import kept
 
 #: Parts of a gateway's error pages.
@@ -78,24 +78,38 @@ def ocr_answer(http_status: Column, body: Column) -> Column:
     return F.struct(outcome.alias("outcome"), F.when(ok, found).alias("text"), F.when(~ok, error).alias("error"))
 
 
-def recognized(files: DataFrame, servers: list[str], client: Client, at_once: int, tries: int = 3) -> tuple[DataFrame, DataFrame]:
+#: How an answer counts for its server's penalties.
+SERVER_EVENT = {"transport_error": "transport", "http_error": "transport", "service_refusal": "refusal", "success": "success", "document_error": "success"}
+
+
+def recognized(files: DataFrame, servers: list[str], client: Client, at_once: int, tries: int = 3, down: tuple[str, ...] = (), cursor: int = 0) -> tuple[DataFrame, DataFrame]:
     """(texts, attempts) of files (id, file_name, data).
 
-    Round k asks, for each file not settled yet, the k-th server in its rotation. A file that is itself at fault settles
-    at once. texts: (id, text, error_kind, error); attempts: (id, target, outcome, error, elapsed_ms, attempt).
+    Servers that are `down` (penalised, or dead to a probe) are passed over, which is no attempt. Round k asks, for each
+    file not settled yet, the next server in its rotation from `cursor` on; one that failed is passed over in the rounds
+    after it. A file that is itself at fault settles at once. When no server is left, the error carries the last answer's
+    words and who is up. texts: (id, text, error_kind, error); attempts: (id, target, outcome, error, elapsed_ms, attempt).
     """
-    left = files.select("id", F.pmod(F.xxhash64("id"), F.lit(len(servers))).alias("cursor"), ocr_request(F.col("file_name"), F.col("data")).alias("request"))
-    rounds = []
-    for k in range(min(tries, len(servers))):
-        target = F.element_at(F.array(*[F.lit(s) for s in servers]), (F.pmod(F.col("cursor") + k, F.lit(len(servers))) + 1).cast("int"))
+    out_of_use = set(down)
+    left = files.select("id", F.xxhash64("id").alias("place"), ocr_request(F.col("file_name"), F.col("data")).alias("request"))
+    attempts = files.sparkSession.createDataFrame([], "id long, target string, outcome string, text string, error string, elapsed_ms long, attempt int")
+    for k in range(tries):
+        order = [s for s in servers if s not in out_of_use]
+        if not order:
+            break
+        target = F.element_at(F.array(*map(F.lit, order)), (F.pmod(F.col("place") + cursor + k, F.lit(len(order))) + 1).cast("int"))
         got = called(left.withColumn("target", target), client, at_once)
         got = got.withColumn("a", ocr_answer(F.col("http_status"), F.col("body"))).select("id", "target", "a.*", "elapsed_ms", F.lit(k + 1).alias("attempt"))
-        rounds.append(got)
-        left = left.join(got.where(F.col("outcome").isin("success", "document_error")).select("id"), "id", "left_anti")
-    attempts = reduce(DataFrame.unionByName, rounds)
-    last = attempts.groupBy("id").agg(F.max_by(F.struct("outcome", "text", "error"), "attempt").alias("r"))
-    kind = F.when(F.col("r.outcome") != "success", "ocr_unavailable").when(blank(F.col("r.text")), "empty_ocr")
-    return last.select("id", "r.text", kind.alias("error_kind"), "r.error"), attempts.drop("text")
+        attempts = attempts.unionByName(got)
+        failed = got.where(~F.col("outcome").isin("success", "document_error"))
+        out_of_use |= {r.target for r in failed.select("target").distinct().collect()}  # no more than there are servers
+        left = left.join(failed.select("id"), "id", "left_semi")
+    line = F.lit(", ".join(f"{s}={'DOWN' if s in out_of_use else 'UP'}" for s in servers))
+    last = files.select("id").join(attempts.groupBy("id").agg(F.max_by(F.struct("outcome", "text", "error"), "attempt").alias("r")), "id", "left")
+    outcome = F.coalesce("r.outcome", F.lit("none"))
+    kind = F.when(outcome != "success", "ocr_unavailable").when(blank(F.col("r.text")), "empty_ocr")
+    error = F.when(outcome == "document_error", F.col("r.error")).when(outcome != "success", exhausted(F.col("r.error"), line))
+    return last.select("id", "r.text", kind.alias("error_kind"), error.alias("error")), attempts.drop("text")
 
 
 # language model
@@ -166,16 +180,31 @@ def validated(answers: DataFrame, nested: bool = False) -> DataFrame:
     return rows.mapInArrow(run, "id long, xml string, fix string")
 
 
-def with_headers(texts: DataFrame, request: Column, client: Client, at_once: int = 6, tries: int = 2) -> DataFrame:
-    """(id, text, ...) -> (id, xml, error_kind, fix): transient answers are asked again, up to `tries` rounds."""
+def answer_error(outcome: Column, http_status: Column, body: Column, finish: Column) -> Column:
+    """Why an answer is no good, in words."""
+    status = F.when(http_status == 0, "Model: connection failed").otherwise(F.concat(F.lit("Model: HTTP "), http_status.cast("string"), F.lit(": "), F.coalesce(one_line(body), F.lit(""))))
+    return F.when(outcome == "bad_output", F.concat(F.lit("Model: answer ended by "), finish)).when(outcome != "ok", status)
+
+
+def with_headers(texts: DataFrame, request: Column, client: Client, at_once: int = 6, tries: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(headers, calls) of texts (id, text, ...): transient answers are asked again, up to `tries` rounds.
+
+    headers: (id, xml, error_kind, error, fix); calls: (id, attempt, outcome, elapsed_ms, prompt_tokens, completion_tokens,
+    ok), `ok` telling the breaker whether the model answered, null if an answer tells neither.
+    """
     left = texts.select("id", F.lit("chat").alias("target"), request.alias("request"))
     rounds = []
     for k in range(tries):
-        got = called(left, client, at_once)
-        got = got.withColumn("a", llm_answer(F.col("http_status"), F.col("body"))).select("id", "a.*", "elapsed_ms", F.lit(k + 1).alias("attempt"))
+        got = called(left, client, at_once).withColumn("a", llm_answer(F.col("http_status"), F.col("body")))
+        ok = F.when(F.col("a.breaker_failure"), False).when(F.col("http_status").between(200, 299), True)
+        error = answer_error(F.col("a.outcome"), F.col("http_status"), F.col("body"), F.col("a.finish_reason"))
+        got = got.select("id", "a.*", "elapsed_ms", F.lit(k + 1).alias("attempt"), ok.alias("ok"), error.alias("error"))
         rounds.append(got)
-        left = left.join(got.where("outcome <> 'transient'").select("id"), "id", "left_anti")
-    last = reduce(DataFrame.unionByName, rounds).groupBy("id").agg(F.max_by(F.struct("outcome", "content"), "attempt").alias("r"))
+        left = left.join(got.where("outcome = 'transient'").select("id"), "id", "left_semi")
+    every = reduce(DataFrame.unionByName, rounds)
+    last = every.groupBy("id").agg(F.max_by(F.struct("outcome", "content", "error"), "attempt").alias("r"))
     valid = validated(last.where("r.outcome = 'ok'").select("id", "r.content"))
     kind = F.when(F.col("r.outcome") == "transient", "llm_unavailable").when(F.col("r.outcome") == "permanent", "llm_permanent").when(F.col("xml").isNull(), "llm_bad_output")
-    return last.join(valid, "id", "left").select("id", "xml", kind.alias("error_kind"), "fix")
+    error = F.coalesce("r.error", F.when(F.col("xml").isNull(), F.concat(F.lit("Model: no valid header in: "), one_line(F.col("r.content")))))
+    headers = last.join(valid, "id", "left").select("id", "xml", kind.alias("error_kind"), error.alias("error"), "fix")
+    return headers, every.select("id", "attempt", "outcome", "elapsed_ms", "prompt_tokens", "completion_tokens", "ok")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.schema import ERROR, NEW
+from docloom.operators import policy
+from docloom.schema import ERROR, NEW, Settings
 
 STATUSES = {0: "new", 1: "processing", 2: "done", 3: "error"}
 OUTCOMES = ("done", "transient", "empty", "missing", "failed", "rejected")
@@ -84,6 +87,35 @@ def shares(log: DataFrame, bad: Column, *names: str) -> DataFrame:
     return found.select(*names, "n", "bad", F.round(share, 4).alias("share"), grade.alias("grade"), F.round(F.col("n") / hours, 4).alias("per_hour"))
 
 
+def catalogue(queue: DataFrame, attempts: DataFrame, events: DataFrame, calls: DataFrame, servers: tuple[str, ...], now: Column, cfg: Settings = Settings()) -> DataFrame:
+    """(name, labels, value) of every metric of the service, zeros included: the queue, outcomes of tasks, OCR servers, the model's breaker."""
+    spark, no = queue.sparkSession, F.create_map().cast("map<string,string>")
+    label = lambda name, value: F.create_map(F.lit(name), value.cast("string"))
+    row = lambda frame, name, labels, value: frame.select(F.lit(name).alias("name"), labels.alias("labels"), value.cast("double").alias("value"))
+    known = F.element_at(F.create_map(*[F.lit(x) for pair in STATUSES.items() for x in pair]), F.col("status"))
+    every = spark.createDataFrame([(o,) for o in OUTCOMES], "outcome string").join(counters(attempts, "outcome"), "outcome", "left")
+    listed = spark.createDataFrame([(s,) for s in servers], "server string")
+    up = listed.join(policy.standing(events, now, cfg), "server", "left").select("server", F.coalesce("ready", F.lit(True)).alias("ready"))
+    asked = filled_counters(events.withColumnRenamed("event", "outcome"), listed, ("success", "transport", "refusal", "green"))
+    model = policy.latest(policy.breaker(calls, "server", cfg).select("server", "ts", "seq", "failures", "paused_until"))
+    model = model.agg(F.coalesce(F.max("failures"), F.lit(0)).alias("failures"), F.coalesce(F.max((now < F.col("paused_until")).cast("int")), F.lit(0)).alias("paused"))
+    parts = [
+        row(queue_depth(queue), "queue_depth", label("status", known), F.col("n")),
+        row(oldest_pending(queue, now, cfg.max_retries), "queue_oldest_pending_seconds", no, F.col("seconds")),
+        row(every, "tasks_total", label("outcome", F.col("outcome")), F.coalesce("n", F.lit(0))),
+        row(queue.agg(F.count_if(F.col("status") == 1).alias("n")), "workers_in_flight", no, F.col("n")),
+        row(asked, "ocr_requests_total", F.create_map(F.lit("server"), "server", F.lit("outcome"), "outcome"), F.col("n")),
+        row(up, "ocr_server_up", label("server", F.col("server")), F.col("ready").cast("int")),
+        row(up.agg(F.count_if("ready").alias("n")), "ocr_servers_available", no, F.col("n")),
+        row(up.agg(F.count("*").alias("n")), "ocr_servers_registered", no, F.col("n")),
+        row(calls.agg(F.count_if("ok").alias("n")), "llm_requests_total", label("outcome", F.lit("success")), F.col("n")),
+        row(calls.agg(F.count_if(~F.col("ok")).alias("n")), "llm_requests_total", label("outcome", F.lit("error")), F.col("n")),
+        row(model, "llm_consecutive_failures", no, F.col("failures")),
+        row(model, "llm_paused", no, F.col("paused")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def exposition(metrics: DataFrame) -> DataFrame:
     """Lines of the text format of metrics endpoints, from rows (name, labels map, value)."""
     pairs = F.array_sort(F.transform(F.map_entries("labels"), lambda e: F.concat(e["key"], F.lit('="'), F.regexp_replace(e["value"], r'(["\\])', r"\\$1"), F.lit('"'))))

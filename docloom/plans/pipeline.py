@@ -1,16 +1,23 @@
-"""One round of document processing: claim, read, recognise, enrich, settle. A lazy plan but for the calls to services."""
+"""One round of document processing: claim, read, recognise, enrich, judge, settle. A lazy plan but for the calls to services.
+
+A round reads the history of earlier ones: attempts of tasks, what OCR servers and the model did. Penalised servers are
+not asked, a paused breaker holds the model back, delays grow with a task's failures in a row, and poison documents and
+zombies are rejected. What the round itself saw is returned, to be appended to the history.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.functions.text import enriched, too_short
+from docloom.functions.text import enriched, size_route, too_short
 from docloom.operators import enrich, policy, queue
 from docloom.operators.extract import Reader, extracted
-from docloom.schema import Settings
+from docloom.schema import ATTEMPTS, MODEL_CALLS, SERVER_EVENTS, Settings
 from docloom.sources import catalog
 from docloom.sources.scratch import kept
 
@@ -28,51 +35,110 @@ class Services:
     readers: dict[str, Reader] = field(default_factory=dict)
 
 
+@dataclass(frozen=True)
+class History:
+    """What earlier rounds saw, or what one round adds: attempts of tasks, events of OCR servers, calls of the model."""
+
+    attempts: DataFrame
+    events: DataFrame
+    calls: DataFrame
+
+    @staticmethod
+    def empty(spark: SparkSession) -> History:
+        return History(*(spark.createDataFrame([], ddl) for ddl in (ATTEMPTS, SERVER_EVENTS, MODEL_CALLS)))
+
+
 @dataclass(frozen=True)
 class Round:
-    """What a round leaves: the queue and the results after it, and its outcomes."""
+    """What a round leaves: the queue and the results after it, its outcomes, and what it adds to the history."""
 
     queue: DataFrame
     results: DataFrame
     outcomes: DataFrame
+    seen: History
+
 
+def _none(kind: str = "string") -> Column:
+    return F.lit(None).cast(kind)
 
-def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries: DataFrame, services: Services, owner: str, token: str, now: Column, cfg: Settings = Settings()) -> Round:
+
+def handed_back(claims: DataFrame, seconds: int, why: str) -> DataFrame:
+    """Claims that go back untried after a fixed delay: no attempt, no failure."""
+    return claims.select("id", F.lit("transient").alias("outcome"), F.lit(why).alias("error"), F.lit(seconds).alias("wait"), _none().alias("xml_data"), F.lit(False).alias("tried"))
+
+
+def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries: DataFrame, services: Services, owner: str, token: str, now: Column, cfg: Settings = Settings(), history: History | None = None) -> Round:
     """Claims a batch and settles each of its tasks once."""
+    spark = tasks.sparkSession
+    history = history or History.empty(spark)
+    prompt = enrich.assembled_prompt(services.prompt)
     picked = kept(queue.claim(tasks, now, cfg.batch, cfg), "claims")
     leased = queue.leased(tasks, picked, owner, token, now)
     claims = leased.where((F.col("claim_token") == token) & (F.col("locked_by") == owner)).select("id", "file_id", "file_name", "claim_token", "parsed_text")
-    heads = catalog.headers(claims, files, binaries)
+    try:
+        heads = kept(catalog.headers(claims, files, binaries), "heads")
+    except (PySparkException, Py4JJavaError) as e:  # the catalog can't be read now: the whole batch waits
+        back = handed_back(claims, cfg.header_retry_seconds, f"No headers: {type(e).__name__}")
+        return _settled(tasks.sparkSession, leased, results, back, None, History.empty(spark), history, owner, token, now, cfg)
     missing = catalog.missing_sources(claims, heads).select("id", F.lit("no_source").alias("error_kind"))
 
-    cached = claims.join(heads.select("id"), "id", "left_semi").where("parsed_text is not null").select("id", F.col("parsed_text").alias("text"), F.lit(None).cast("string").alias("error_kind"), F.lit(None).cast("string").alias("error"))
-    fresh = claims.where("parsed_text is null").select("id", "file_id", "file_name")
+    # large files have a small pool of their own; those that it can't take now go back
+    heavy = heads.where(size_route(F.col("size_bytes"), cfg.heavy_mb) == "heavy").select("id")
+    waiting = kept(heavy.join(heavy.orderBy("id").limit(cfg.heavy_batch), "id", "left_anti"), "waiting")
+    back = handed_back(waiting, cfg.full_pool_retry_seconds, "The pool of large files is full")
+    mine = claims.join(heads.select("id"), "id", "left_semi").join(waiting, "id", "left_anti")
+
+    cached = mine.where("parsed_text is not null").select("id", F.col("parsed_text").alias("text"), _none().alias("error_kind"), _none().alias("error"))
+    fresh = mine.where("parsed_text is null").select("id", "file_id", "file_name")
     data = catalog.payloads(fresh, files, binaries)
-    read = kept(extracted(data, services.readers), "extracted")
+    read = kept(extracted(data, services.readers, cfg.ocr_max_mb), "extracted")
     own = read.where("error_kind is null or error_kind <> 'ocr'").select("id", "text", "error_kind", "error")
     scans = read.where("error_kind = 'ocr'").select("id")
+    events, calls = (spark.createDataFrame([], ddl) for ddl in (SERVER_EVENTS, MODEL_CALLS))
     if services.ocr and services.ocr_servers:
-        scanned, _ = enrich.recognized(scans.join(data, "id").join(fresh.select("id", "file_name"), "id"), list(services.ocr_servers), services.ocr, services.at_once)
+        down = tuple(r.server for r in policy.standing(history.events.where(F.col("server").isin(*services.ocr_servers)), now, cfg).where("not ready").collect())
+        scanned, asked = enrich.recognized(scans.join(data, "id").join(fresh.select("id", "file_name"), "id"), list(services.ocr_servers), services.ocr, services.at_once, cfg.ocr_tries, down, history.events.count())
+        kind = F.element_at(F.create_map(*[F.lit(x) for pair in enrich.SERVER_EVENT.items() for x in pair]), F.col("outcome"))
+        events = asked.select(F.col("target").alias("server"), now.cast("timestamp").alias("ts"), (F.shiftleft(F.col("attempt").cast("long"), 48) + F.pmod("id", F.lit(1 << 48))).alias("seq"), kind.alias("event"))
     else:
-        scanned = scans.select("id", F.lit(None).cast("string").alias("text"), F.lit("ocr_unavailable").alias("error_kind"), F.lit("No OCR server").alias("error"))
+        scanned = scans.select("id", _none().alias("text"), F.lit("ocr_unavailable").alias("error_kind"), F.lit("No OCR server").alias("error"))
     texts = kept(cached.unionByName(own).unionByName(scanned), "texts")
     texts = texts.withColumn("error_kind", F.when(F.col("error_kind").isNull() & too_short(F.col("text"), cfg.min_text_length), "short_text").otherwise(F.col("error_kind")))
 
     good = texts.where("error_kind is null").select("id", "text")
-    if services.llm:
-        headed = enrich.with_headers(good, enrich.llm_request(services.model, services.prompt, F.col("text"), max_chars=cfg.max_text_chars), services.llm, services.at_once)
+    if services.llm and policy.paused(history.calls, now, cfg).where("paused").isEmpty():
+        request = enrich.llm_request(services.model, prompt, F.col("text"), max_chars=cfg.max_text_chars)
+        headed, asked = enrich.with_headers(good, request, services.llm, cfg.llm_at_once, cfg.llm_tries)
+        calls = asked.where("ok is not null").select(F.lit("chat").alias("server"), now.cast("timestamp").alias("ts"), (F.shiftleft(F.col("attempt").cast("long"), 48) + F.pmod("id", F.lit(1 << 48))).alias("seq"), "ok")
+    elif services.llm:
+        headed = good.select("id", _none().alias("xml"), F.lit("llm_unavailable").alias("error_kind"), F.lit("Model: paused by the breaker").alias("error"))
     else:
-        headed = good.select("id", F.lit("").alias("xml"), F.lit(None).cast("string").alias("error_kind"), F.lit(None).cast("string").alias("fix"))
-    ended = good.join(headed, "id").select("id", F.coalesce("error_kind", F.lit("saved")).alias("error_kind"), F.lit(None).cast("string").alias("error"), enriched(F.col("xml"), F.col("text")).alias("xml_data"))
-    failed = texts.where("error_kind is not null").select("id", "error_kind", "error", F.lit(None).cast("string").alias("xml_data"))
-    gone = missing.select("id", "error_kind", F.lit(None).cast("string").alias("error"), F.lit(None).cast("string").alias("xml_data"))
+        headed = good.select("id", F.lit("").alias("xml"), _none().alias("error_kind"), _none().alias("error"))
+    ended = good.join(headed.select("id", "xml", "error_kind", "error"), "id").select("id", F.coalesce("error_kind", F.lit("saved")).alias("error_kind"), "error", F.when(F.col("error_kind").isNull(), enriched(F.col("xml"), F.col("text"))).alias("xml_data"))
+    failed = texts.where("error_kind is not null").select("id", "error_kind", "error", _none().alias("xml_data"))
+    gone = missing.select("id", "error_kind", _none().alias("error"), _none().alias("xml_data"))
     all_ = ended.unionByName(failed).unionByName(gone).withColumn("c", policy.classified(F.col("error_kind")))
-    delay = policy.jittered(policy.backoff_seconds(F.lit(1)), F.concat(F.lit(token), F.col("id").cast("string")))
-    outcomes = kept(
-        all_.select("id", F.lit(owner).alias("locked_by"), F.lit(token).alias("claim_token"), F.col("c.outcome").alias("outcome"), F.coalesce("error", "c.detail").alias("error"), delay.alias("delay_seconds"), "xml_data"),
-        "outcomes",
-    )
-    # what was read stays with tasks that are tried again
-    read_now = texts.where("text is not null").select("id", F.col("text").alias("fresh_text"))
-    with_texts = leased.join(read_now, "id", "left").withColumn("parsed_text", F.coalesce("fresh_text", "parsed_text")).select(*leased.columns)
-    return Round(queue.settled(with_texts, outcomes, now), queue.with_results(results, leased, outcomes, now), outcomes)
+    tried = all_.select("id", F.col("c.outcome").alias("outcome"), F.coalesce("error", "c.detail").alias("error"), _none("int").alias("wait"), "xml_data", F.lit(True).alias("tried"))
+    seen = History(History.empty(spark).attempts, events, calls)
+    return _settled(spark, leased, results, tried.unionByName(back), texts, seen, history, owner, token, now, cfg)
+
+
+def _settled(spark: SparkSession, leased: DataFrame, results: DataFrame, endings: DataFrame, texts: DataFrame | None, seen: History, history: History, owner: str, token: str, now: Column, cfg: Settings) -> Round:
+    """The round after endings (id, outcome, error, wait, xml_data, tried): transient ones are judged by the history, then all settle."""
+    endings = kept(endings, "endings")
+    alive = F.when(F.col("outcome").isin(*policy.ALIVE), 0).otherwise(1)  # a success in a round shows that its instance works
+    attempt = lambda rows: rows.where("tried").select(F.col("id").alias("task_id"), now.cast("timestamp").alias("ts"), alive.cast("long").alias("seq"), "outcome", "error", F.lit(owner).alias("instance"))
+    verdicts = policy.round_verdicts(history.attempts, attempt(endings), cfg).withColumnRenamed("task_id", "id")
+    rows = endings.join(verdicts, "id", "left")
+    caught = F.col("tried") & F.col("verdict").isin("poison", "zombie")
+    words = F.when(F.col("verdict") == "poison", F.concat(F.lit("Poison document: "), "error")).otherwise(F.concat(F.lit("Zombie: "), F.col("streak").cast("string"), F.lit(" transient failures in a row, the last: "), "error"))
+    delay = F.coalesce("wait", policy.jittered(F.coalesce("backoff", policy.backoff_seconds(F.lit(1))), F.concat(F.lit(token), F.col("id").cast("string"))))
+    judged = rows.select("id", F.when(caught, "rejected").otherwise(F.col("outcome")).alias("outcome"), F.when(caught, words).otherwise(F.col("error")).alias("error"), delay.alias("delay_seconds"), "xml_data", "tried")
+    judged = kept(judged, "outcomes")
+    outcomes = judged.select("id", F.lit(owner).alias("locked_by"), F.lit(token).alias("claim_token"), "outcome", "error", "delay_seconds", "xml_data")
+    if texts is not None:  # what was read stays with tasks that are tried again
+        read_now = texts.where("text is not null").select("id", F.col("text").alias("fresh_text"))
+        with_texts = leased.join(read_now, "id", "left").withColumn("parsed_text", F.coalesce("fresh_text", "parsed_text")).select(*leased.columns)
+    else:
+        with_texts = leased
+    return Round(queue.settled(with_texts, outcomes, now), queue.with_results(results, leased, outcomes, now), outcomes, History(attempt(judged), seen.events, seen.calls))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,23 @@ from pyspark.sql import types as T
 POINTER = "version long, mark string, written_at timestamp"
 
 
+class Journal:
+    """An append-only table at a path. Each mark's rows lie in a folder of their own, so a step that runs again replaces its own rows only."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+
+    def read(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(self.schema).parquet(f"{self.path}/rows-*")
+        except AnalysisException:  # nothing yet
+            return self.spark.createDataFrame([], self.schema)
+
+    def append(self, rows: DataFrame, mark: str) -> None:
+        name = re.sub(r"[^A-Za-z0-9_.-]", lambda m: f"%{ord(m[0]):02X}", mark)
+        rows.select(*T.StructType.fromDDL(self.schema).names).write.mode("overwrite").parquet(f"{self.path}/rows-{name}")
+
+
 class Snapshots:
     """A table at a path. A reader sees the last version that was written whole; a writer that fails leaves no trace."""
 

@@ -7,14 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from docloom.operators import queue
-from docloom.plans.pipeline import Services, run_round
-from docloom.schema import Settings
-from docloom.sources.snapshots import Snapshots
+from docloom.operators import metrics, policy, queue
+from docloom.plans.pipeline import History, Services, run_round
+from docloom.schema import ATTEMPTS, MODEL_CALLS, PROCESSING, SERVER_EVENTS, Settings
+from docloom.sources.snapshots import Journal, Snapshots
 
 #: A micro-batch's time as a column; fixed by the caller in tests.
 Clock = Callable[[DataFrame], Column]
@@ -49,24 +49,80 @@ def settle(outcomes: DataFrame, tasks: Snapshots, results: Snapshots, name: str
     return outcomes.writeStream.foreachBatch(step).queryName(name)
 
 
-def poll(ticks: DataFrame, tasks: Snapshots, results: Snapshots, files: DataFrame, binaries: DataFrame, services: Services, owner: str, cfg: Settings = Settings(), paused: Callable[[], bool] = lambda: False, name: str = "poll", at: Clock = clock) -> DataStreamWriter:
-    """A round of processing at each tick of a stream (such as the rate source), unless the breaker pauses it.
+class Histories:
+    """The history of rounds at a path, as journals."""
 
-    The tick's number makes the claim token, so a repeated tick claims under the same one.
+    def __init__(self, spark: SparkSession, path: str):
+        self.journals = {name: Journal(spark, f"{path}/{name}", ddl) for name, ddl in (("attempts", ATTEMPTS), ("events", SERVER_EVENTS), ("calls", MODEL_CALLS))}
+
+    def read(self) -> History:
+        return History(**{name: j.read() for name, j in self.journals.items()})
+
+    def append(self, seen: History, mark: str) -> None:
+        for name, j in self.journals.items():
+            j.append(getattr(seen, name), mark)
+
+
+def poll(ticks: DataFrame, tasks: Snapshots, results: Snapshots, files: DataFrame, binaries: DataFrame, services: Services, owner: str, cfg: Settings = Settings(), paused: Callable[[], bool] = lambda: False, name: str = "poll", at: Clock = clock, histories: Histories | None = None) -> DataStreamWriter:
+    """A round of processing at each tick of a stream (such as the rate source), unless the caller or the model's breaker pauses it.
+
+    The tick's number makes the claim token, so a repeated tick claims under the same one. With `histories`, each round is
+    judged by those before it and leaves what it saw there.
     """
 
     def step(batch: DataFrame, number: int) -> None:
-        mark = f"{name}/{number}"
+        mark, now = f"{name}/{number}", at(batch)
         if paused() or tasks.has(mark):
             return
-        done = run_round(tasks.read(), results.read(), files, binaries, services, owner, f"{owner}/{mark}", at(batch), cfg)
+        history = histories.read() if histories else None
+        if history and services.llm and not policy.paused(history.calls, now, cfg).where("paused").isEmpty():
+            return
+        done = run_round(tasks.read(), results.read(), files, binaries, services, owner, f"{owner}/{mark}", now, cfg, history)
         if not results.has(mark):
             results.write(done.results, mark)
+        if histories:
+            histories.append(done.seen, mark)
         tasks.write(done.queue, mark)
 
     return ticks.writeStream.foreachBatch(step).queryName(name)
 
 
+def heartbeat(ticks: DataFrame, tasks: Snapshots, owner: str, name: str = "heartbeat", at: Clock = clock) -> DataStreamWriter:
+    """At each tick, the leases that an owner holds are renewed."""
+
+    def step(batch: DataFrame, number: int) -> None:
+        mark = f"{name}/{owner}/{number}"
+        if not tasks.has(mark):
+            before = tasks.read()
+            held = before.where((F.col("status") == PROCESSING) & (F.col("locked_by") == owner))
+            beats = held.select("id", "locked_by", "claim_token", F.lit("heartbeat").alias("outcome"), F.lit(None).cast("string").alias("error"), F.lit(None).cast("int").alias("delay_seconds"), F.lit(None).cast("string").alias("xml_data"))
+            tasks.write(queue.settled(before, beats, at(batch)), mark)
+
+    return ticks.writeStream.foreachBatch(step).queryName(name)
+
+
+def probe(ticks: DataFrame, servers: tuple[str, ...], events: Journal, alive: Callable[[str], bool], name: str = "probe", at: Clock = clock) -> DataStreamWriter:
+    """At each tick, every OCR server is asked for a sign of life: `green` clears a transport penalty, none sets one."""
+
+    def step(batch: DataFrame, number: int) -> None:
+        found = [(s, k, "green" if alive(s) else "transport") for k, s in enumerate(servers)]
+        rows = events.spark.createDataFrame(found, "server string, seq long, event string").withColumn("ts", at(batch).cast("timestamp"))
+        events.append(rows, f"{name}/{number}")
+
+    return ticks.writeStream.foreachBatch(step).queryName(name)
+
+
+def report(ticks: DataFrame, tasks: Snapshots, histories: Histories, servers: tuple[str, ...], path: str, cfg: Settings = Settings(), name: str = "report", at: Clock = clock) -> DataStreamWriter:
+    """At each tick, the metric catalogue as lines of text in a folder of its number."""
+
+    def step(batch: DataFrame, number: int) -> None:
+        history = histories.read()
+        found = metrics.catalogue(tasks.read(), history.attempts, history.events, history.calls, servers, at(batch), cfg)
+        metrics.exposition(found).coalesce(1).write.mode("overwrite").text(f"{path}/{name}-{number}")  # a line for each metric, whatever the queue's size
+
+    return ticks.writeStream.foreachBatch(step).queryName(name)
+
+
 def claim(tasks: Snapshots, owner: str, token: str, limit: int, now: Column) -> DataFrame:
     """Leases the next tasks in a new snapshot and returns them."""
     before = tasks.read()

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from docloom.plans.documents import docx_bytes, pdf_bytes
-from docloom.plans.pipeline import Services, run_round
-from docloom.schema import OUTCOMES, QUEUE, RESULTS
+from docloom.operators import metrics
+from docloom.plans.pipeline import History, Services, run_round
+from docloom.schema import ATTEMPTS, MODEL_CALLS, OUTCOMES, QUEUE, RESULTS, SERVER_EVENTS, Settings
 from docloom.sources import catalog
 from docloom.sources.logs import matching, read_log, token_usage
 from docloom.sources.snapshots import Snapshots
@@ -77,6 +78,80 @@ def test_round_without_model_and_empty_queue(spark, world):
     assert none.outcomes.isEmpty() and none.queue.isEmpty() and none.results.isEmpty()
 
 
+def test_rounds_judge_by_their_history(spark, world, tmp_path):
+    """Poison and zombies are rejected by the rounds' own attempts, delays grow, penalised servers are passed over, a paused model isn't asked."""
+    histories = runner.Histories(spark, str(tmp_path / "h"))
+    queue_, results = world[0].where("id in (1, 4, 6)"), spark.createDataFrame([], RESULTS)
+    services, cfg = Services(ocr=Ocr(), ocr_servers=("bad", "good"), llm=Model(), at_once=2), Settings(breaker_failures=99, zombie_retries=10)
+    seen = []
+    for k in range(10):
+        now = F.lit(str(NOW + timedelta(minutes=5 * k))).cast("timestamp")
+        done = run_round(queue_, results, world[1], world[2], services, "w", f"t{k}", now, cfg, histories.read())
+        rows = {r.id: r for r in done.outcomes.collect()}
+        histories.append(done.seen, f"t{k}")
+        seen.append(rows)
+        queue_ = done.queue.withColumn("next_attempt_at", F.lit(None).cast("timestamp"))
+        if k == 0:  # keeps the instance alive: another document succeeds each time
+            assert rows[1].outcome == "done"
+        table = Snapshots(spark, str(tmp_path / f"q{k}"), QUEUE)
+        table.write(queue_.withColumn("status", F.when(F.col("id") == 1, 0).otherwise(F.col("status"))))
+        queue_ = table.read()
+    assert [r[4].outcome for r in seen[:3]] == ["transient", "transient", "rejected"] and seen[2][4].error.startswith("Poison document: ") and 4 not in seen[3]
+    assert [r[6].outcome for r in seen[:10]] == ["transient"] * 9 + ["rejected"] and seen[9][6].error.startswith("Zombie: 10 ") and "HTTP 503" in seen[9][6].error
+    assert [30 <= seen[k][6].delay_seconds <= top for k, top in ((0, 60), (4, 393))] == [True, True] and seen[7][6].delay_seconds > 300
+    assert {r.server for r in histories.read().events.where("event = 'transport'").collect()} <= {"bad"}
+
+
+def test_penalised_servers_and_a_paused_model(spark, world):
+    def history(events=(), calls=()):
+        return History(spark.createDataFrame([], ATTEMPTS), spark.createDataFrame(list(events), SERVER_EVENTS), spark.createDataFrame(list(calls), MODEL_CALLS))
+
+    one = world[0].where("id in (1, 3)")
+    services = Services(ocr=Ocr(), ocr_servers=("bad", "good"), llm=Model(), at_once=2)
+    run = lambda h, cfg=Settings(): run_round(one, spark.createDataFrame([], RESULTS), world[1], world[2], services, "w", "t", at(), cfg, h)
+    done = run(history([("bad", NOW - timedelta(seconds=5), 1, "transport")]))
+    assert {r.id: r.outcome for r in done.outcomes.collect()} == {1: "done", 3: "done"} and {r.server for r in done.seen.events.collect()} == {"good"}
+    done = run(history([(s, NOW - timedelta(seconds=5), 1, "refusal") for s in ("bad", "good")]))
+    rows = {r.id: r for r in done.outcomes.collect()}
+    assert rows[3].outcome == "transient" and "bad=DOWN, good=DOWN" in rows[3].error and done.seen.events.isEmpty()
+    done = run(history(calls=[("chat", NOW - timedelta(seconds=10 - k), k, False) for k in range(3)]))
+    assert {r.id: r.error for r in done.outcomes.collect()} == {1: "Model: paused by the breaker", 3: "Model: paused by the breaker"} and done.seen.calls.isEmpty()
+    done = run(history(), Settings(heavy_mb=0, heavy_batch=1))
+    rows = {r.id: r for r in done.outcomes.collect()}
+    assert rows[1].outcome == "done" and (rows[3].outcome, rows[3].delay_seconds) == ("transient", 10) and {r.task_id for r in done.seen.attempts.collect()} == {1}
+    broken = world[2].where(F.raise_error(F.lit("no catalog")).cast("boolean"))
+    done = run_round(one, spark.createDataFrame([], RESULTS), world[1], broken, services, "w", "t", at())
+    assert {r.id: (r.outcome, r.delay_seconds) for r in done.outcomes.collect()} == {1: ("transient", 60), 3: ("transient", 60)} and done.seen.attempts.isEmpty()
+    with pytest.raises(ValueError):
+        run_round(one, one, world[1], world[2], Services(prompt=" "), "w", "t", at())
+
+
+def test_metric_catalogue(spark, world):
+    events = spark.createDataFrame([("a", NOW - timedelta(seconds=5), 1, "refusal")], SERVER_EVENTS)
+    calls = spark.createDataFrame([("chat", NOW - timedelta(seconds=10 - k), k, False) for k in range(3)], MODEL_CALLS)
+    found = metrics.catalogue(world[0], spark.createDataFrame([(1, NOW, 1, "failed", "x", "w")], ATTEMPTS), events, calls, ("a", "b"), at())
+    got = {(r.name, *sorted(r.labels.items())): r.value for r in found.collect()}
+    assert got["tasks_total", ("outcome", "failed")] == 1 and got["tasks_total", ("outcome", "done")] == 0 and got["queue_depth", ("status", "new")] == 9
+    assert got["ocr_server_up", ("server", "a")] == 0 and got["ocr_servers_available",] == 1 and got["ocr_requests_total", ("outcome", "success"), ("server", "b")] == 0
+    assert got["llm_paused",] == 1 and got["llm_consecutive_failures",] == 3
+    assert "ocr_servers_registered 2.0" in {r.line for r in metrics.exposition(found).collect()}
+
+
+def test_triggers(spark, world, tmp_path):
+    """Heartbeats, probes and reports at the ticks of a stream."""
+    tasks, histories = Snapshots(spark, str(tmp_path / "q"), QUEUE), runner.Histories(spark, str(tmp_path / "h"))
+    tasks.write(world[0].where("id in (1, 2)").withColumn("status", F.col("id").cast("int")).withColumn("locked_by", F.lit("w")).withColumn("claim_token", F.lit("t")))
+    spark.range(1).coalesce(1).write.parquet(str(tmp_path / "ticks"))
+    ticks = spark.readStream.schema("id long").parquet(str(tmp_path / "ticks"))
+    steps = [runner.heartbeat(ticks, tasks, "w", at=lambda _: at()), runner.probe(ticks, ("a", "b"), histories.journals["events"], lambda s: s == "a", at=lambda _: at()), runner.report(ticks, tasks, histories, ("a", "b"), str(tmp_path / "m"), at=lambda _: at())]
+    for k, step in enumerate(steps):
+        run = step.option("checkpointLocation", str(tmp_path / f"cp{k}")).trigger(availableNow=True).start()
+        assert run.awaitTermination(120)
+    assert {r.id: r.locked_at for r in tasks.read().collect()} == {1: NOW, 2: None}
+    assert {r.server: r.event for r in histories.read().events.collect()} == {"a": "green", "b": "transport"}
+    assert 'ocr_server_up{server="b"} 0.0' in {r.value for r in spark.read.text(str(tmp_path / "m/report-0")).collect()}
+
+
 def test_stream(spark, world, tmp_path):
     tasks, results = Snapshots(spark, str(tmp_path / "q"), QUEUE), Snapshots(spark, str(tmp_path / "r"), RESULTS)
     spark.createDataFrame([("f1", "a.docx"), ("f1", "a.docx"), ("f2", "b.pdf")], "file_id string, file_name string").coalesce(1).write.parquet(str(tmp_path / "files"))
