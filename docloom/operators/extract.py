@@ -282,7 +282,9 @@ def extracted(payloads: DataFrame, readers: dict[str, Reader] | None = None, ocr
     `unsupported` and can be tried again once there is one. A PDF file whose text could not be read as a whole goes to
     OCR, as does one without a text.
     """
-    own = {"DOCX": read_docx} | (readers or {})
+    from docloom.operators.word97 import read_doc
+
+    own = {"DOCX": read_docx, "DOC": read_doc} | (readers or {})
     rows = with_paragraphs(read_payloads(routed(payloads), own).withColumn("paged", F.col("lines").isNotNull()))
     next_ = ocr_gate(F.col("read"), F.col("error").isNotNull(), F.col("size"), ocr_max_mb)
     paged = F.col("paged")

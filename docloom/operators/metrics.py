@@ -87,6 +87,27 @@ def shares(log: DataFrame, bad: Column, *names: str) -> DataFrame:
     return found.select(*names, "n", "bad", F.round(share, 4).alias("share"), grade.alias("grade"), F.round(F.col("n") / hours, 4).alias("per_hour"))
 
 
+def overview(log: DataFrame, value: str, success: str = "success", timeout: str = "transport", refusal: str = "refusal") -> DataFrame:
+    """One row on a log of calls (ts, event, a duration in ms): outcomes, the share of timeouts, successes an hour, median, 95th percentile and largest duration.
+
+    Quantiles are by position, as in `index_quantiles`. The log is never ranked in one task: counts by whole seconds show
+    which second holds a position, and only the values of that second are looked at.
+    """
+    found = log.agg(
+        F.count("*").alias("n"), F.count_if(F.col("event") == success).alias("successes"), F.count_if(F.col("event") == timeout).alias("timeouts"), F.count_if(F.col("event") == refusal).alias("refusals"),
+        F.max(value).alias("largest"), F.min("ts").alias("since"), F.max("ts").alias("to"), F.count(value).alias("timed"),
+    )
+    hours = F.greatest((F.unix_seconds(F.col("to").cast("timestamp")) - F.unix_seconds(F.col("since").cast("timestamp"))) / 3600.0, F.lit(1 / 3600))
+    values = log.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("k")).withColumn("second", F.floor(F.col("v") / 1000))
+    seconds = values.groupBy("second").agg(F.sum("k").alias("k")).withColumn("upto", F.sum("k").over(Window.orderBy("second")))  # no more rows than a timeout has seconds
+    places = found.select(F.inline(F.array(*[F.struct(F.lit(name).alias("name"), F.least(F.col("timed") - 1, F.bround(F.col("timed") * p)).alias("place")) for name, p in (("median", 0.5), ("p95", 0.95))])))
+    hit = seconds.join(F.broadcast(places), (F.col("upto") > F.col("place")) & (F.col("upto") - F.col("k") <= F.col("place"))).select("name", "second", "place", (F.col("upto") - F.col("k")).alias("before"))
+    fine = values.join(F.broadcast(hit), "second").withColumn("upto", F.col("before") + F.sum("k").over(Window.partitionBy("name").orderBy("v")))
+    at = fine.where("upto > place").groupBy().agg(*[F.min(F.when(F.col("name") == n, F.col("v"))).alias(n) for n in ("median", "p95")])
+    rows = found.crossJoin(at)  # one row and one row
+    return rows.select("n", "successes", "timeouts", "refusals", F.round(F.col("timeouts") * 100.0 / F.col("n"), 4).alias("timeout_share"), F.round(F.col("successes") / hours, 4).alias("successes_per_hour"), "median", "p95", "largest")
+
+
 def catalogue(queue: DataFrame, attempts: DataFrame, events: DataFrame, calls: DataFrame, servers: tuple[str, ...], now: Column, cfg: Settings = Settings()) -> DataFrame:
     """(name, labels, value) of every metric of the service, zeros included: the queue, outcomes of tasks, OCR servers, the model's breaker."""
     spark, no = queue.sparkSession, F.create_map().cast("map<string,string>")

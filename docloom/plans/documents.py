@@ -119,8 +119,13 @@ def framed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _answers(spark, sf_dir).select("id", X.framed(F.col("content")).alias("framed"))
 
 
-_UNDONE = f"""replace(replace(replace(replace(replace(replace(substr({_FRAMED}, 1, position('</Document>' in {_FRAMED}) + 10), '\\u003c', '<'), '\\u003e', '>'), '\\n', chr(10)), '\\t', chr(9)), '\\r', ''), '\\"', '"')"""
-_AMPED = rf"regexp_replace(replace(regexp_replace({_UNDONE}, '[\x00-\x08\x0B\x0C\x0E-\x1F\x{{FFFD}}\x{{200B}}-\x{{200D}}\x{{FEFF}}]', '', 'g'), '&', '&amp;'), '&amp;((amp|lt|gt|quot|apos|#[0-9]+|#x[0-9a-fA-F]+);)', '&\1', 'g')"
+def _sanitized_sql(x: str) -> str:
+    """The sanitized form of a framed text in SQL, which has no look-ahead: all ampersands are escaped, then entities restored."""
+    undone = f"""replace(replace(replace(replace(replace(replace(substr({x}, 1, position('</Document>' in {x}) + 10), '\\u003c', '<'), '\\u003e', '>'), '\\n', chr(10)), '\\t', chr(9)), '\\r', ''), '\\"', '"')"""
+    return rf"regexp_replace(replace(regexp_replace({undone}, '[\x00-\x08\x0B\x0C\x0E-\x1F\x{{FFFD}}\x{{200B}}-\x{{200D}}\x{{FEFF}}]', '', 'g'), '&', '&amp;'), '&amp;((amp|lt|gt|quot|apos|#[0-9]+|#x[0-9a-fA-F]+);)', '&\1', 'g')"
+
+
+_AMPED = _sanitized_sql(_FRAMED)
 
 
 @query(f"select doc_id as id, {_AMPED} as clean from documents")
@@ -133,11 +138,21 @@ def escaped_ampersands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "documents").select("doc_id", X.escaped_ampersands(F.col("text")).alias("text"))
 
 
-@query()
+_TAILS = ["</Name></Header></Document>", "</Header></Document>", "</Name></Header></Name></Document>", "</Document>"]
+#: What makes a text without tags unfit for XML: a control character, or an ampersand that begins no entity.
+_UNFIT = r"(regexp_matches({x}, '[\x00-\x08\x0B\x0C\x0E-\x1F]') or contains(regexp_replace({x}, '&(amp|lt|gt|quot|apos|#[0-9]+|#x[0-9a-fA-F]+);', '', 'g'), '&'))"
+
+
+@query(
+    f"""with a as (select doc_id as id, doc_id % 4 as k, concat('<Document><Header><Name>', replace(regexp_replace(text, '[<>]', '', 'g'), '```', ''), {' '.join(f"case when doc_id % 4 = {k} then '{t}' else '' end," for k, t in enumerate(_TAILS))} '') as x from documents),
+b as (select *, {_sanitized_sql("x")} as clean, {_UNFIT.format(x="x")} as unfit from a)
+select id, case when k = 0 then case when unfit then clean else x end when k = 1 then replace(case when unfit then clean else x end, '</Header>', '</Name></Header>') end as xml,
+ case when k = 0 then case when unfit then 'sanitized' else 'none' end when k = 1 then case when unfit then 'sanitized and completed' else 'completed' end end as fix from b"""
+)
 def repaired_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headers valid as they are or after a repair; SQL has no XML parser."""
+    """Headers valid as they are or after a repair, of four kinds: sound, a closing tag missing, one that was never opened, two missing at one place."""
     docs = view(spark, sf_dir, "documents")
-    tail = F.element_at(F.array(*map(F.lit, ["</Name></Header></Document>", "</Header></Document>", "</Name></Header></Name></Document>", "</Document>"])), (F.col("doc_id") % 4 + 1).cast("int"))
+    tail = F.element_at(F.array(*map(F.lit, _TAILS)), (F.col("doc_id") % 4 + 1).cast("int"))
     return enrich.validated(docs.select(F.col("doc_id").alias("id"), F.concat(F.lit("<Document><Header><Name>"), F.regexp_replace("text", "[<>]", ""), tail).alias("content")))
 
 
@@ -224,6 +239,7 @@ def docx_bytes(paragraphs: list[str], rows: list[list[str]] = ()) -> bytes:
 @query(
     """with c as (select doc_id, regexp_replace(text, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\r]', '', 'g') as text from documents)
 select doc_id as id, case when doc_id % 5 = 0 then 'RTF' when doc_id % 5 = 1 then 'UNKNOWN' else 'DOCX' end as format, case when doc_id % 5 < 2 then 'bad_format' end as error_kind,
+ case doc_id % 5 when 0 then 'Unsupported format RTF, 8 bytes, begins 7B 5C 72 74 66 31 20 78' when 1 then 'Unsupported format UNKNOWN, 5 bytes, begins 70 6C 61 69 6E' end as error,
  case when doc_id % 5 >= 2 then array_to_string(list_filter(string_split(text, chr(10)), lambda x: not regexp_full_match(x, '\\s*')), chr(10)) || case when regexp_full_match(text, '\\s*') then '' else chr(10) end || 'a\tb' || chr(10) end as text from c""".replace("'a\\tb'", "'a' || chr(9) || 'b'")
 )
 def extracted_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,7 +251,7 @@ def extracted_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(data, pa.binary())], names=["id", "data"])
 
     docs = view(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\r]", "").alias("text"))
-    return extract.extracted(docs.mapInArrow(run, "id long, data binary")).select("id", "format", "error_kind", "text")
+    return extract.extracted(docs.mapInArrow(run, "id long, data binary")).select("id", "format", "error_kind", "error", "text")
 
 
 def pdf_bytes(lines: list[str]) -> bytes:
@@ -247,9 +263,17 @@ def pdf_bytes(lines: list[str]) -> bytes:
     return b"%PDF-1.4\n4 0 obj\n<< /Length " + str(len(body)).encode() + b" /Filter /FlateDecode >>\nstream\n" + body + b"\nendstream\nendobj\n%%EOF"
 
 
-@query()
+_PDF_LINES = r"""l as (select doc_id, unnest(range(len(ls))) as line_no, unnest(ls) as line from (select doc_id, string_split(regexp_replace(text, '[^\x{00}-\x{FF}]', '?', 'g'), chr(10)) as ls from documents)),
+m as (select doc_id, line_no, regexp_replace(line, '^[\x09-\x0D\x1C-\x20]+|[\x09-\x0D\x1C-\x20]+$', '', 'g') as line from l),
+k as (select *, lag(line_no) over w is null or regexp_matches(line, '^([•●▪◦*–—-]|[0-9]{1,3}[.)]|[A-Za-z][.)])[ \t\n\x0B\f\r]+') as begins from m where line <> '' window w as (partition by doc_id order by line_no)),
+p as (select *, sum(begins::int) over (partition by doc_id order by line_no) as paragraph from k),
+q as (select doc_id, paragraph, list_reduce(list(line order by line_no), lambda a, b: case when length(a) >= 2 and right(a, 1) in ('-', chr(173)) then left(a, length(a) - 1) || b else a || ' ' || b end) as own from p group by doc_id, paragraph),
+t as (select doc_id, string_agg(own, chr(10) order by paragraph) || chr(10) as text from q group by doc_id)"""
+
+
+@query(f"with {_PDF_LINES} select d.doc_id as id, 'PDF' as format, case when t.text is null then 'ocr' end as error_kind, t.text from documents d left join t using (doc_id)")
 def pdf_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paragraphs read from generated PDF files; SQL has no reader."""
+    """Paragraphs read from generated PDF files; a file without a line goes to OCR."""
     def run(batches):
         for b in batches:
             data = [pdf_bytes(t.split("\n")) for t in b.column("text").to_pylist()]
@@ -257,3 +281,26 @@ def pdf_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = view(spark, sf_dir, "documents").select("doc_id", "text")
     return extract.extracted(docs.mapInArrow(run, "id long, data binary")).select("id", "format", "error_kind", "text")
+
+
+def damaged(kind: int, text: str) -> bytes:
+    """Payloads that no reader can read as they are, of six kinds; the last is sound."""
+    word, page = docx_bytes([text]), pdf_bytes(["A readable line"])
+    locked = bytearray(word)
+    locked[6] |= 1
+    locked[word.find(b"PK\x01\x02") + 8] |= 1
+    odd = [word[: len(word) // 2], bytes(locked), page + b"<< >> stream\nBT /F1 . Tf 1 ... Td (x) Tj ET\nendstream", page + b"<< /Filter /LZWDecode >>\nstream\nx\nendstream", bytes.fromhex("D0CF11E0A1B11AE1") + b"\0" * 100]
+    return odd[kind] if kind < len(odd) else word
+
+
+@query("select doc_id as id, case doc_id % 6 when 2 then 'PDF' when 3 then 'PDF' when 4 then 'DOC' else 'DOCX' end as format, case doc_id % 6 when 0 then 'error' when 1 then 'error' when 2 then 'ocr' when 3 then 'ocr' when 4 then 'error' end as error_kind, doc_id % 6 = 5 as has_text from documents")
+def damaged_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cut, locked and broken files among sound ones: each ends as a row of its own, none fails the job."""
+    def run(batches):
+        for b in batches:
+            ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([damaged(i % 6, t) for i, t in zip(ids, texts, strict=True)], pa.binary())], names=["id", "data"])
+
+    docs = view(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\r]", "").alias("text"))
+    found = extract.extracted(docs.mapInArrow(run, "id long, data binary"))
+    return found.select("id", "format", "error_kind", F.col("text").isNotNull().alias("has_text"))

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from docloom.operators import metrics, policy
 from docloom.plans.virtual import ctes, view
+from docloom.sources.logs import matching, since_restart, token_usage
 from docloom.sources.logs import minute_deltas as deltas
-from docloom.sources.logs import since_restart
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,18 +45,15 @@ def failure_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policy.streaks(view(spark, sf_dir, "vlog"))
 
 
+#: Streaks of a log so dense that default settings reach every verdict.
+_DENSE = ctes("vdense") + _STREAKS.removeprefix(ctes("vlog")).replace("from vlog", "from vdense")
 _LONG = "cast(least(900.0, 60 * pow(1.6, greatest(0, \"any\" - 1))) as double)"
 
 
-@query(
-    _STREAKS.replace("interval 60 minute", "interval 100000 minute")
-    + f""" select task_id, seq, case when poison >= 3 then 'poison' when "any" >= 10 then 'zombie' else 'transient' end as verdict, cast(case when poison < 3 and "any" < 10 then floor({_LONG}) end as int) as backoff from f"""
-)
+@query(_DENSE + f""" select task_id, seq, case when poison >= 3 then 'poison' when "any" >= 10 then 'zombie' else 'transient' end as verdict, cast(case when poison < 3 and "any" < 10 then floor({_LONG}) end as int) as backoff from f""")
 def retry_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Poison, zombie or another try, with the delay before jitter (idle streaks never end here)."""
-    from docloom.schema import Settings
-
-    return policy.verdicts(policy.streaks(view(spark, sf_dir, "vlog"), Settings(idle_minutes=100_000))).select("task_id", "seq", "verdict", "backoff")
+    """Poison, zombie or another try, with the delay before jitter."""
+    return policy.verdicts(policy.streaks(view(spark, sf_dir, "vdense"))).select("task_id", "seq", "verdict", "backoff")
 
 
 @query("select cast(n as bigint) as streak, cast(floor(least(900.0, 60 * pow(1.6, greatest(0, n - 1)))) as int) as seconds from range(16) t(n)")
@@ -181,6 +178,31 @@ def since_last_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return since_restart(log, "service started", "server").groupBy("server").agg(F.count("*").alias("n"))
 
 
+@query(ctes("vcalls") + " select ts, prompt_tokens as prompt, completion_tokens as completion from vcalls where prompt_tokens >= 0 and completion_tokens >= 0")
+def token_ceiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and completion tokens that log messages state, most first."""
+    message = F.concat(F.lit("tokens="), F.col("prompt_tokens").cast("string"), F.lit("/"), F.col("completion_tokens").cast("string"), F.lit(" done"))
+    return token_usage(view(spark, sf_dir, "vcalls").where("prompt_tokens >= 0 and completion_tokens >= 0").withColumn("message", message))
+
+
+@query(ctes("vcalls") + " select server, ts, seq from vcalls where event = 'refusal' order by ts desc, seq desc limit 8")
+def last_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last eight entries that match a pattern (the limit is the report's)."""
+    log = view(spark, sf_dir, "vcalls").withColumn("message", F.concat(F.lit("refused, call "), F.lpad(F.col("seq").cast("string"), 12, "0"))).where("event = 'refusal'")
+    return matching(log, "^refus", 8).select("server", "ts", "seq")
+
+
+@query(
+    ctes("vcalls")
+    + """, r as (select elapsed_ms, count(*) over () as n, row_number() over (order by elapsed_ms) - 1 as k from vcalls), q as (select max(case when k = least(n - 1, cast(round_even(n * 0.5, 0) as bigint)) then elapsed_ms end) as median, max(case when k = least(n - 1, cast(round_even(n * 0.95, 0) as bigint)) then elapsed_ms end) as p95 from r),
+s as (select count(*) as n, count(*) filter (event = 'success') as successes, count(*) filter (event = 'transport') as timeouts, count(*) filter (event = 'refusal') as refusals, max(elapsed_ms) as largest, min(ts) as a, max(ts) as b from vcalls)
+select n, successes, timeouts, refusals, round(timeouts * 100.0 / n, 4) as timeout_share, round(successes / greatest(cast(epoch(date_trunc('second', b)) - epoch(date_trunc('second', a)) as double) / 3600, 1.0 / 3600), 4) as successes_per_hour, median, p95, largest from s, q"""
+)
+def service_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row on the whole log: outcomes, rates and times."""
+    return metrics.overview(view(spark, sf_dir, "vcalls"), "elapsed_ms")
+
+
 @query(ctes("vcalls") + """ select concat('requests_total{outcome="', event, '",server="', server, '"} ', cast(count(*) as string)) as line from vcalls group by server, event""")
 def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters in the text format of metrics endpoints."""

@@ -152,26 +152,44 @@ def _catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    queued = view(spark, sf_dir, "vqueue").where("id % 10 < 3")
-    return catalog.ingest_candidates(_catalog(spark, sf_dir), queued, KIND, F.lit("1996-01-01 12:00:00").cast("timestamp_ntz"), lookback_days=400)
+    return catalog.ingest_candidates(_catalog(spark, sf_dir), view(spark, sf_dir, "vearlier"), KIND, F.lit("1996-01-01 12:00:00").cast("timestamp_ntz"), lookback_days=400)
 
 
-@query(ctes("vqueue") + f", {_CATALOG} select file_id, min(file_name) as file_name from found where file_id not in (select file_id from vqueue where id % 10 < 3) group by file_id")
+@query(ctes("vqueue", "vearlier") + f", {_CATALOG} select file_id, min(file_name) as file_name from found where file_id not in (select file_id from vearlier) group by file_id")
 def ingest_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New files: a six-table chain of joins and an anti join."""
     return _candidates(spark, sf_dir)
 
 
+_FRESH = ctes("vqueue", "vearlier") + f", {_CATALOG}, fresh as (select file_id, min(file_name) as file_name from found where file_id not in (select file_id from vearlier) group by file_id)"
+
+
 @query(
-    ctes("vqueue")
-    + f""", {_CATALOG}, fresh as (select file_id, min(file_name) as file_name from found where file_id not in (select file_id from vqueue where id % 10 < 3) group by file_id)
-select file_id, file_name, cast(status as int) as status, cast(retry_count as int) as retry_count, created_at from vqueue where id % 10 < 3
+    _FRESH
+    + f""" select file_id, file_name, cast(status as int) as status, cast(retry_count as int) as retry_count, created_at from vearlier
 union all select file_id, file_name, 0, 0, timestamp '{NOW}' from fresh"""
 )
 def ingested_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The queue with the new files as tasks."""
-    queued = view(spark, sf_dir, "vqueue").where("id % 10 < 3")
-    return queue.ingested(queued, _candidates(spark, sf_dir), now()).select("file_id", "file_name", "status", "retry_count", "created_at")
+    return queue.ingested(view(spark, sf_dir, "vearlier"), _candidates(spark, sf_dir), now()).select("file_id", "file_name", "status", "retry_count", "created_at")
+
+
+@query(_FRESH + ", top as (select max(id) as top from vearlier) select (select count(*) from fresh) as n, (select top from top) + 1 as first_id, (select top from top) + (select count(*) from fresh) as last_id, (select count(*) from fresh) as ids")
+def ingested_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of the new tasks: each its own, without a gap, from the largest one on."""
+    earlier = view(spark, sf_dir, "vearlier")
+    new = queue.ingested(earlier, _candidates(spark, sf_dir), now()).join(earlier.select("id"), "id", "left_anti")
+    return new.agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.countDistinct("id").alias("ids"))
+
+
+@query(_FRESH.replace("from vearlier)", f"from vearlier where created_at >= timestamp '{NOW}' - interval 10 day)") + " select file_id, file_name from fresh")
+def recent_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New files where only tasks of the look-back count as queued."""
+    found = _catalog(spark, sf_dir)
+    shifted = F.lit(NOW).cast("timestamp_ntz")
+    years = F.lit("1996-01-01 12:00:00").cast("timestamp_ntz")
+    cards = found["card_main_info"].withColumn("CreationDate", F.when(F.col("CreationDate") >= years - F.make_dt_interval(days=F.lit(400)), shifted))
+    return catalog.ingest_candidates(found | {"card_main_info": cards}, view(spark, sf_dir, "vearlier"), KIND, shifted, lookback_days=10, whole_history=False)
 
 
 def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,6 +212,12 @@ def claim_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.headers(_claims(spark, sf_dir), *_binaries(spark, sf_dir))
 
 
+@query(ctes("vqueue") + " select q.id, sha256(d.text) as sha256 from vqueue q join documents d on d.doc_id = q.id where q.status = 1 and d.doc_id % 10 <> 7 and d.doc_id % 5 > 0")
+def claimed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes of the claimed tasks' files, by their digests."""
+    return catalog.payloads(_claims(spark, sf_dir), *_binaries(spark, sf_dir)).where("data is not null").select("id", F.sha2("data", 256).alias("sha256"))
+
+
 @query(ctes("vqueue") + f", h as ({_HEADERS}) select id, claim_token from vqueue where status = 1 and id not in (select id from h)")
 def missing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claimed tasks whose file is gone."""

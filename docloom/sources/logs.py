@@ -9,11 +9,25 @@ from pyspark.sql import functions as F
 LINE = r"^(\d{4}-\d\d-\d\d[ T]\d\d:\d\d:\d\d(?:[.,]\d+)?)\S*\s+(TRACE|DEBUG|INFO|WARN|ERROR)\b\s*(.*)$"
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """(file, ts, level, message) of every entry of the log files."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+def entries(lines: DataFrame) -> DataFrame:
+    """(file, ts, level, message) of lines (file, at, value), `at` ordering a file's lines: a line that begins no entry belongs to the message above it.
+
+    Lines before a file's first entry belong to none. `at` can be sparse, such as a byte offset or a row's number.
+    """
     part = lambda k: F.regexp_extract("value", LINE, k)
-    return lines.where(F.col("value").rlike(LINE)).select("file", F.try_to_timestamp(F.replace(F.replace(part(1), F.lit("T"), F.lit(" ")), F.lit(","), F.lit("."))).alias("ts"), part(2).alias("level"), part(3).alias("message"))
+    by = Window.partitionBy("file").orderBy("at")
+    rows = lines.withColumn("head", F.when(F.col("value").rlike(LINE), F.col("at"))).withColumn("entry", F.last("head", ignorenulls=True).over(by)).where("entry is not null")
+    ts = F.try_to_timestamp(F.replace(F.replace(part(1), F.lit("T"), F.lit(" ")), F.lit(","), F.lit(".")))
+    own = F.when(F.col("head").isNotNull(), part(3)).otherwise(F.col("value"))
+    rows = rows.select("file", "entry", "at", F.when(F.col("head").isNotNull(), ts).alias("ts"), F.when(F.col("head").isNotNull(), part(2)).alias("level"), own.alias("own"))
+    found = rows.groupBy("file", "entry").agg(F.max("ts").alias("ts"), F.max("level").alias("level"), F.array_sort(F.collect_list(F.struct("at", "own"))).alias("lines"))
+    return found.select("file", "ts", "level", F.array_join(F.transform("lines", lambda x: x["own"]), "\n").alias("message"))
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """(file, ts, level, message) of every entry of the log files, whole messages of several lines included. Each file is read as a whole."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("at", "value"))
+    return entries(files.where("value <> ''"))
 
 
 def since_restart(log: DataFrame, marker: str, group: str = "file") -> DataFrame:

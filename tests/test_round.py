@@ -187,9 +187,10 @@ def test_catalog(spark, tmp_path):
 
 
 def test_logs(spark, tmp_path):
-    (tmp_path / "a.log").write_text("2024-01-01 10:00:00.123 INFO  [w] tokens 120/45\n  at trace\n2024-01-01T10:01:00 ERROR [w] overload\nnoise\n2024-01-01 10:02:00,5 WARN tokens 7/80\n")
+    (tmp_path / "a.log").write_text("before any\n2024-01-01 10:00:00.123 INFO  [w] tokens 120/45\n  at trace\n2024-01-01T10:01:00 ERROR [w] overload\nnoise\n2024-01-01 10:02:00,5 WARN tokens 7/80\n")
     log = read_log(spark, str(tmp_path / "a.log"))
-    assert log.count() == 3 and [r.message for r in matching(log, "overload").collect()] == ["[w] overload"] and log.where("ts is null").isEmpty()
+    assert [r.message for r in log.orderBy("ts").collect()] == ["[w] tokens 120/45\n  at trace", "[w] overload\nnoise", "tokens 7/80"]
+    assert log.count() == 3 and [r.message for r in matching(log, "overload").collect()] == ["[w] overload\nnoise"] and log.where("ts is null").isEmpty()
     assert [(r.prompt, r.completion) for r in token_usage(log).collect()] == [(7, 80), (120, 45)]
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docloom.functions import text as T
 from docloom.functions import xml as X
 from docloom.operators import enrich, extract
+from docloom.operators.word97 import read_doc
 from docloom.plans.documents import docx_bytes, pdf_bytes
 
 
@@ -133,10 +134,82 @@ def test_docx(spark):
     assert extract.read_docx(out.getvalue()) == "One\nTwo & <x>\na\n"
 
 
+def doc_bytes(parts: list[tuple[str, dict]], flags: int = 0x0200, ident: int = 0xA5EC, version: int = 193) -> bytes:
+    """A small binary word document: paragraphs with their marks and property changes, the text half in bytes, half in units."""
+    import struct
+
+    text = "".join(t for t, _ in parts)
+    half = len(text) // 2
+    main = bytearray(4 * 512)
+    struct.pack_into("<HH", main, 0, ident, version)
+    struct.pack_into("<H", main, 10, flags)
+    struct.pack_into("<I", main, 0x4C, len(text))
+    first, second = len(main), len(main) + 512
+    body = text[:half].encode("cp1252").ljust(512, b"\0") + text[half:].encode("utf-16-le")
+    place = lambda k: first + k if k < half else second + 2 * (k - half)
+    ends, runs = [0], []
+    for t, own in parts:
+        ends.append(ends[-1] + len(t))
+        runs.append(b"".join(struct.pack("<H", c) + v for c, v in own.items()))
+    page, upper = bytearray(512), 510
+    page[511] = len(runs)
+    for k, own in enumerate(runs):
+        struct.pack_into("<I", page, 4 * k, place(ends[k]))
+        own = b"\0\0" + own + b"\0" * (len(own) % 2)
+        upper -= (len(own) + 3) // 2 * 2
+        page[upper : upper + 2 + len(own)] = bytes([0, len(own) // 2]) + own
+        page[4 * (len(runs) + 1) + 13 * k] = upper // 2
+    struct.pack_into("<I", page, 4 * len(runs), place(ends[-1] - 1) + 2)
+    main[512:1024] = page
+    plan = struct.pack("<3I", 0, half, len(text)) + struct.pack("<HIH", 0, 0x40000000 | 2 * first, 0) + struct.pack("<HIH", 0, second, 0)
+    clx = b"\x01\x02\0ab" + b"\x02" + struct.pack("<I", len(plan)) + plan
+    papx = struct.pack("<3I", 0, 1 << 20, 1)
+    struct.pack_into("<II", main, 0x1A2, 0, len(clx))
+    struct.pack_into("<II", main, 0x102, len(clx), len(papx))
+    streams = [("WordDocument", bytes(main) + body), ("1Table", clx + papx)]
+    content, fat, entries = b"", [0xFFFFFFFD, 0xFFFFFFFE], []
+    entry = lambda name, kind, start, size: (name + "\0").encode("utf-16-le").ljust(64, b"\0") + struct.pack("<HB", 2 * len(name) + 2, kind) + bytes(49) + struct.pack("<III", start, size, 0)
+    small, cut = b"", []
+    for name, raw in streams:
+        if len(raw) >= 4096:
+            raise AssertionError("small streams only")
+        begin, n = len(small) // 64, -(-len(raw) // 64)
+        small += raw.ljust(64 * n, b"\0")
+        cut += [begin + k + 1 for k in range(n - 1)] + [0xFFFFFFFE]
+        entries.append(entry(name, 2, begin, len(raw)))
+    sectors = lambda raw: -(-len(raw) // 512)
+    chained = []
+    for raw in (struct.pack(f"<{len(cut)}I", *cut), small):
+        chained.append(len(fat))
+        n = sectors(raw)
+        fat += [len(fat) + k + 1 for k in range(n - 1)] + [0xFFFFFFFE]
+        content += raw.ljust(512 * n, b"\0")
+    directory = (entry("Root Entry", 5, chained[1], len(small)) + b"".join(entries)).ljust(512, b"\0")
+    head = bytes.fromhex("D0CF11E0A1B11AE1") + bytes(16) + struct.pack("<HHHHH", 62, 3, 0xFFFE, 9, 6) + bytes(10) + struct.pack("<6I", 1, 1, 0, 4096, chained[0], 1)
+    head += struct.pack("<2I", 0xFFFFFFFE, 0) + struct.pack("<109I", 0, *[0xFFFFFFFF] * 108)
+    table = struct.pack(f"<{len(fat)}I", *fat).ljust(512, b"\xff")
+    return head + table + directory + content
+
+
+def test_binary_word_documents(spark):
+    import struct
+
+    inside, end = {0x2416: b"\1"}, {0x2416: b"\1", 0x2417: b"\1"}
+    cells = lambda *kinds: {0xD608: struct.pack("<HB", 4 + 2 * len(kinds) + 20 * len(kinds), len(kinds)) + bytes(2 * len(kinds) + 2) + b"".join(struct.pack("<H", k) + bytes(18) for k in kinds)}
+    parts = [("First ‘paragraph’\r", {}), (" \r", {}), ("a\r", inside), ("b\x07", inside), ("c\x07", inside), ("\x07", end | cells(0, 0)), ("d\x07", inside), ("tail\x07", inside), ("e\x07", inside), ("\x07", end | cells(1, 2, 0)), (" \x07", inside), ("\x07", end | cells(0)), ("see \x13PAGE\x1412\x15 and \x13REF x\x15more\r", {}), ("Последний абзац\r", {})]
+    half = sum(len(t) for t, _ in parts) // 2
+    assert half > 40
+    data = doc_bytes(parts)
+    assert read_doc(data) == "First ‘paragraph’\na b\tc\nd\te\nsee 12 and more\nПоследний абзац\n"
+    rows = [(1, data), (2, doc_bytes(parts, flags=0x0300)), (3, doc_bytes(parts, version=100)), (4, data[:700]), (5, data[:8] + b"\xff" * 600)]
+    got = {r.id: (r.error_kind, r.text is not None) for r in extract.extracted(spark.createDataFrame([(k, bytearray(d)) for k, d in rows], "id long, data binary")).collect()}
+    assert got == {1: (None, True), 2: ("bad_format", False), 3: ("error", False), 4: ("error", False), 5: ("error", False)}
+
+
 def test_extracted_kinds(spark):
     rows = [(1, docx_bytes(["Hello"])), (2, b"{\\rtf1"), (3, None), (4, pdf_bytes(["First line of", "text"])), (5, pdf_bytes([])), (6, bytes.fromhex("D0CF11E0A1B11AE1")), (7, b"PKbroken")]
     got = {r.id: r for r in extract.extracted(spark.createDataFrame([(i, None if d is None else bytearray(d)) for i, d in rows], "id long, data binary")).collect()}
-    assert [got[i].error_kind for i in range(1, 8)] == [None, "bad_format", "bad_format", None, "ocr", "unsupported", "error"]
+    assert [got[i].error_kind for i in range(1, 8)] == [None, "bad_format", "bad_format", None, "ocr", "error", "error"]
     assert got[1].text == "Hello\n" and got[4].text == "First line of text\n" and "7B 5C 72 74 66 31" in got[2].error
     assert extract.extracted(spark.createDataFrame([], "id long, data binary")).isEmpty()
 
@@ -183,7 +256,7 @@ def test_damaged_files_never_fail_a_job(spark):
     cases = {
         1: (good[: len(good) // 2], "error"), 2: (zip_of(body, bits=1), "error"), 3: (zip_of(body, method=99), "error"), 4: (zip_of(b"<w:document"), "error"), 5: (zip_of(b"<?xml version='1.0' encoding='nonsense'?><a/>"), "error"),
         6: (b"%PDF-1.4 << /Length 9 >>\nstream\nBT /F1 . Tf 1 0 0 1 5 ... Tm (x) Tj ET\nendstream", "ocr"), 7: (b"%PDF-1.4 << >> stream\nBT 1 ... Td (x) Tj ET endstream", "ocr"), 8: (page[:60], "ocr"), 9: (b"%PDF", "ocr"),
-        10: (b"%PDF-1.4 << /Encrypt 1 0 R >> " + page, "ocr"), 11: (bytes.fromhex("D0CF11E0A1B11AE1") + b"x" * 600, "unsupported"), 12: (good, None), 13: (page, None), 14: (zip_of(body), None), 15: (b"PK", "error"),
+        10: (b"%PDF-1.4 << /Encrypt 1 0 R >> " + page, "ocr"), 11: (bytes.fromhex("D0CF11E0A1B11AE1") + b"x" * 600, "error"), 12: (good, None), 13: (page, None), 14: (zip_of(body), None), 15: (b"PK", "error"),
     }
     frame = spark.createDataFrame([(k, bytearray(v)) for k, (v, _) in cases.items()], "id long, data binary")
     got = {r.id: r for r in extract.extracted(frame).collect()}
