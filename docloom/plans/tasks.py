@@ -142,12 +142,12 @@ def _catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = F.col("p_partkey")
     suffix = F.element_at(F.array(*map(F.lit, (".docx", ".DOC", ".txt", ".Pdf ", "", " печатная форма.pdf"))), (key % 6 + 1).cast("int"))
     return {
-        "link_cards": orders.select(card.alias("DiadocCard")),
-        "card_main_info": orders.select(card.alias("InstanceID"), F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 1).alias("CourtCaseUploaded"), F.col("o_orderdate").alias("CreationDate")),
-        "doc_sys": orders.select(card.alias("InstanceID"), F.when(F.col("o_orderkey") % 3 == 0, "KIND-A").otherwise("kind-b").alias("Kind")),
-        "doc_files": lines.select(F.col("l_orderkey").cast("string").alias("InstanceID"), version.alias("FileId")),
-        "v_files": lines.select(version.alias("InstanceID"), F.col("l_partkey").cast("string").alias("FileID")),
-        "files": part.select(key.cast("string").alias("FileID"), F.concat(F.lit("part"), key.cast("string"), suffix).alias("Name"), key.cast("string").alias("BinaryID")),
+        "link_cards": orders.select(card.alias("card_id")),
+        "card_main_info": orders.select(card.alias("instance_id"), F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 1).alias("uploaded"), F.col("o_orderdate").alias("made_at")),
+        "doc_sys": orders.select(card.alias("instance_id"), F.when(F.col("o_orderkey") % 3 == 0, "KIND-A").otherwise("kind-b").alias("Kind")),
+        "doc_files": lines.select(F.col("l_orderkey").cast("string").alias("instance_id"), version.alias("version_id")),
+        "v_files": lines.select(version.alias("instance_id"), F.col("l_partkey").cast("string").alias("file_id")),
+        "files": part.select(key.cast("string").alias("file_id"), F.concat(F.lit("part"), key.cast("string"), suffix).alias("file_name"), key.cast("string").alias("binary_id")),
     }
 
 
@@ -188,7 +188,7 @@ def recent_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _catalog(spark, sf_dir)
     shifted = F.lit(NOW).cast("timestamp_ntz")
     years = F.lit("1996-01-01 12:00:00").cast("timestamp_ntz")
-    cards = found["card_main_info"].withColumn("CreationDate", F.when(F.col("CreationDate") >= years - F.make_dt_interval(days=F.lit(400)), shifted))
+    cards = found["card_main_info"].withColumn("made_at", F.when(F.col("made_at") >= years - F.make_dt_interval(days=F.lit(400)), shifted))
     return catalog.ingest_candidates(found | {"card_main_info": cards}, view(spark, sf_dir, "vearlier"), KIND, shifted, lookback_days=10, whole_history=False)
 
 
@@ -199,7 +199,7 @@ def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _binaries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     docs = view(spark, sf_dir, "documents")
     key = F.col("doc_id").cast("string")
-    return docs.select(key.alias("FileID"), key.alias("BinaryID")), docs.where("doc_id % 10 <> 7").select(key.alias("ID"), F.when(F.col("doc_id") % 5 > 0, F.encode("text", "UTF-8")).alias("Data"))
+    return docs.select(key.alias("file_id"), key.alias("binary_id")), docs.where("doc_id % 10 <> 7").select(key.alias("id"), F.when(F.col("doc_id") % 5 > 0, F.encode("text", "UTF-8")).alias("data"))
 
 
 _HEADERS = """ select q.id, q.claim_token, cast(q.id as string) as file_id, q.file_name, cast(case when d.doc_id % 5 > 0 then coalesce(strlen(d.text), 0) else 0 end as bigint) as size_bytes

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from docloom.functions.text import UNWANTED_NAMES, wanted_name
 
 SCHEMAS = {
-    "link_cards": "DiadocCard string",
-    "card_main_info": "InstanceID string, CourtCaseUploaded int, CreationDate timestamp",
-    "doc_sys": "InstanceID string, Kind string",
-    "doc_files": "InstanceID string, FileId string",
-    "v_files": "InstanceID string, FileID string",
-    "files": "FileID string, Name string, BinaryID string",
-    "binaries": "ID string, Data binary",
+    "link_cards": "card_id string",
+    "card_main_info": "instance_id string, uploaded int, made_at timestamp",
+    "doc_sys": "instance_id string, Kind string",
+    "doc_files": "instance_id string, version_id string",
+    "v_files": "instance_id string, file_id string",
+    "files": "file_id string, file_name string, binary_id string",
+    "binaries": "id string, data binary",
 }
 
 
@@ -35,14 +35,14 @@ def ingest_candidates(catalog: dict[str, DataFrame], queue: DataFrame, kind: str
     within the look-back. A file that two cards name comes once.
     """
     since = now - F.make_dt_interval(days=F.lit(lookback_days))
-    cards = catalog["card_main_info"].where((F.col("CourtCaseUploaded") == 0) & (F.col("CreationDate") >= since)).select(F.col("InstanceID").alias("card"))
-    kinds = catalog["doc_sys"].where(F.lower("Kind") == kind.lower()).select(F.col("InstanceID").alias("card"))
-    versions = catalog["doc_files"].select(F.col("InstanceID").alias("card"), F.col("FileId").alias("version"))
-    files = catalog["files"].where(wanted_name(F.col("Name"), unwanted)).select(F.col("FileID").alias("file_id"), F.col("Name").alias("file_name"))
+    cards = catalog["card_main_info"].where((F.col("uploaded") == 0) & (F.col("made_at") >= since)).select(F.col("instance_id").alias("card"))
+    kinds = catalog["doc_sys"].where(F.lower("Kind") == kind.lower()).select(F.col("instance_id").alias("card"))
+    versions = catalog["doc_files"].select(F.col("instance_id").alias("card"), F.col("version_id").alias("version"))
+    files = catalog["files"].where(wanted_name(F.col("file_name"), unwanted)).select(F.col("file_id").alias("file_id"), F.col("file_name").alias("file_name"))
     found = (
-        catalog["link_cards"].select(F.col("DiadocCard").alias("card"))
+        catalog["link_cards"].select(F.col("card_id").alias("card"))
         .join(cards, "card").join(kinds, "card").join(versions, "card")
-        .join(catalog["v_files"].select(F.col("InstanceID").alias("version"), F.col("FileID").alias("file_id")), "version")
+        .join(catalog["v_files"].select(F.col("instance_id").alias("version"), F.col("file_id").alias("file_id")), "version")
         .join(files, "file_id")
     )
     queued = queue if whole_history else queue.where(F.col("created_at") >= since)
@@ -54,10 +54,10 @@ def headers(claims: DataFrame, files: DataFrame, binaries: DataFrame) -> DataFra
 
     A table that has `size_bytes` already is read without its payloads.
     """
-    size = F.col("size_bytes") if "size_bytes" in binaries.columns else F.octet_length("Data")
-    sized = binaries.select(F.col("ID").alias("BinaryID"), F.coalesce(size, F.lit(0)).cast("long").alias("size_bytes"))
-    named = claims.join(files.select(F.col("FileID").alias("file_id"), "BinaryID"), "file_id")
-    return named.join(sized, "BinaryID").select("id", "claim_token", "file_id", "file_name", "size_bytes")
+    size = F.col("size_bytes") if "size_bytes" in binaries.columns else F.octet_length("data")
+    sized = binaries.select(F.col("id").alias("binary_id"), F.coalesce(size, F.lit(0)).cast("long").alias("size_bytes"))
+    named = claims.join(files.select(F.col("file_id").alias("file_id"), "binary_id"), "file_id")
+    return named.join(sized, "binary_id").select("id", "claim_token", "file_id", "file_name", "size_bytes")
 
 
 def missing_sources(claims: DataFrame, found: DataFrame) -> DataFrame:
@@ -67,5 +67,5 @@ def missing_sources(claims: DataFrame, found: DataFrame) -> DataFrame:
 
 def payloads(claims: DataFrame, files: DataFrame, binaries: DataFrame) -> DataFrame:
     """(id, data): the claimed files' bytes."""
-    named = claims.join(files.select(F.col("FileID").alias("file_id"), "BinaryID"), "file_id")
-    return named.join(binaries.select(F.col("ID").alias("BinaryID"), F.col("Data").alias("data")), "BinaryID").select("id", "data")
+    named = claims.join(files.select(F.col("file_id").alias("file_id"), "binary_id"), "file_id")
+    return named.join(binaries.select(F.col("id").alias("binary_id"), F.col("data").alias("data")), "binary_id").select("id", "data")

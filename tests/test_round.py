@@ -54,8 +54,8 @@ def world(spark):
     names = [c.split()[0] for c in QUEUE.split(", ")]
     rows = [{"id": k, "file_id": f"f{k}", "file_name": files.get(k, (f"{k}.pdf",))[0], "status": 0, "retry_count": 0, "created_at": NOW, "parsed_text": LONG if k == 9 else None} for k in range(1, 10)]
     queue = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], QUEUE)
-    table = spark.createDataFrame([(f"f{k}", n, f"b{k}") for k, (n, _) in files.items()], "FileID string, Name string, BinaryID string")
-    data = spark.createDataFrame([(f"b{k}", bytearray(d)) for k, (_, d) in files.items()], "ID string, Data binary")
+    table = spark.createDataFrame([(f"f{k}", n, f"b{k}") for k, (n, _) in files.items()], "file_id string, file_name string, binary_id string")
+    data = spark.createDataFrame([(f"b{k}", bytearray(d)) for k, (_, d) in files.items()], "id string, data binary")
     return queue, table, data
 
 
