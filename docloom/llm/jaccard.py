@@ -57,6 +57,8 @@ TOLD = 20
 LABELLED = 36 + SKETCH_BITS // 8
 #: Pairs compared at a time; pairs of a key's group beyond which it is dealt out in tiles of so many rows.
 PAIRS_AT_ONCE, TILE_PAIRS, TILE_REST, TILE_OTHERS = 200_000, 1 << 24, 1 << 12, 1 << 12
+#: Bits of the map that tells which nodes met others (16 MB).
+BITMAP = 1 << 27
 #: Pairs of one leader that a task verifies, about.
 MANY = 500
 
@@ -454,8 +456,9 @@ def linked(pairs: DataFrame, texts: DataFrame, many: int = MANY) -> DataFrame:
     salt = F.coalesce(F.pmod(F.xxhash64("a"), F.floor(F.col("n") / many) + 1), F.lit(0)).cast("long")
     one = written(one.select("a", "b", salt.alias("salt")), "pairs")
     sides = [one.select("b", "salt", "a"), one.select("b", "salt", F.lit(None).cast("binary").alias("a")).distinct()]
-    text = texts.select("node", "text")
-    rows = sides[0].join(text, sides[0]["a"] == text["node"]).unionByName(sides[1].join(text, sides[1]["b"] == text["node"])).select("b", "salt", "a", "text")
+    text = likely_of(texts.select("node", "text"), one.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    # merged at every size, so that a small run shows what a large one does
+    rows = sides[0].hint("merge").join(text, sides[0]["a"] == text["node"]).unionByName(sides[1].hint("merge").join(text, sides[1]["b"] == text["node"])).select("b", "salt", "a", "text")
     rows = rows.repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
     target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -497,8 +500,18 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return map_chunks(docs.withColumn("mark", text_mark()), run, "doc_id long, mark long, n_shingles long, node binary")
 
 
+def likely_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows (node, ...) but for most of those whose node is none of `nodes`: a bitmap of these nodes' hashes, whose size is fixed, keeps them out of a shuffle; a join must decide."""
+    place = F.pmod(F.xxhash64("node"), F.lit(BITMAP))
+    bits = nodes.select(place.alias("p")).groupBy(F.expr("bitmap_bucket_number(p)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p))").alias("bits"))
+    bits = F.broadcast(written(bits, "bits"))  # at most BITMAP bits
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.expr("bitmap_bit_position(p)") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, F.pmod(F.expr("bitmap_bit_position(p)"), F.lit(8)).cast("int")).bitwiseAND(F.lit(1))
+    return rows.withColumn("p", place).join(bits, F.expr("bitmap_bucket_number(p)") == F.col("bucket")).where(bit == 1).select(*rows.columns)
+
+
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text): one text for each of the nodes."""
+    """(node, text): one text for each of the (distinct) nodes."""
 
     def run(chunk: pa.RecordBatch) -> dict | None:
         found, first = shingles(chunk.column("text"))
@@ -506,7 +519,8 @@ def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         keep = np.flatnonzero((np.diff(first) >= LEAST) & ~first_of(own))
         return {"node": fixed(own[keep]), "text": chunk.column("text").take(pa.array(keep))} if len(keep) else None
 
-    return map_chunks(docs.select("text"), run, "node binary, text string").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    rows = likely_of(map_chunks(docs.select("text"), run, "node binary, text string"), nodes)
+    return rows.join(nodes, "node").groupBy("node").agg(F.first("text").alias("text"))  # a semi join would be moved below the bitmap's
 
 
 def row_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile_pairs: int = TILE_PAIRS, many: int = MANY) -> DataFrame:
@@ -523,7 +537,7 @@ def row_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     few = number_of_parts(int((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 10))
 
     def labelled() -> DataFrame:
-        own = texts.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"), "text")
+        own = texts.join(components(links).hint("merge"), "node", "left").select("node", F.coalesce("root", "node").alias("root"), "text")
         return keyed(own, few, labelled=True)
 
     told = compared(labelled(), few, False, told_nearest, tile_pairs)
