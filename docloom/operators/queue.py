@@ -116,13 +116,25 @@ def ingested(queue: DataFrame, candidates: DataFrame, now: Column) -> DataFrame:
     return queue.unionByName(rows.select(*[new[c].cast(queue.schema[c].dataType).alias(c) for c in queue.columns]))
 
 
-def with_results(results: DataFrame, queue: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
-    """The results after the outcomes `done` whose lease holds in the queue before them: each replaces its document's earlier result."""
+def new_results(queue: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
+    """The results of the outcomes `done` whose lease holds in the queue before them."""
     done = outcomes.where("outcome = 'done'").groupBy("id", "locked_by", "claim_token").agg(F.min("xml_data").alias("xml_data"))
-    new = queue.join(done, ["id", "locked_by", "claim_token"]).select(F.col("id").alias("doc_id"), "file_id", "file_name", "xml_data", F.col("locked_by").alias("created_by"), now.alias("created_at"))
+    return queue.join(done, ["id", "locked_by", "claim_token"]).select(F.col("id").alias("doc_id"), "file_id", "file_name", "xml_data", F.col("locked_by").alias("created_by"), now.alias("created_at"))
+
+
+def with_results(results: DataFrame, queue: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
+    """The results after `new_results`: each replaces its document's earlier result."""
+    new = new_results(queue, outcomes, now)
     return results.join(new.select("doc_id"), "doc_id", "left_anti").select(*new.columns).unionByName(new)
 
 
+def latest_results(results: DataFrame) -> DataFrame:
+    """One row for each document of results that were only appended: the latest, of equally late ones the greatest."""
+    rest = [c for c in results.columns if c not in ("doc_id", "created_at")]
+    last = results.groupBy("doc_id").agg(F.max(F.struct("created_at", *rest)).alias("last"))
+    return last.select("doc_id", "last.*").select(*results.columns)
+
+
 def due(queue: DataFrame, now: Column, cfg: Settings = Settings()) -> DataFrame:
     """Tasks by what they wait for: claimable, scheduled, leased, exhausted, done."""
     state = (

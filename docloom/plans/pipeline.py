@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from docloom.functions.text import enriched, size_route, too_short
 from docloom.operators import enrich, policy, queue
 from docloom.operators.extract import Reader, extracted
-from docloom.schema import ATTEMPTS, MODEL_CALLS, SERVER_EVENTS, Settings
+from docloom.schema import ATTEMPTS, MODEL_CALLS, SERVER_EVENTS, TEXTS, Settings
 from docloom.sources import catalog
 from docloom.sources.scratch import kept
 
@@ -50,12 +50,15 @@ class History:
 
 @dataclass(frozen=True)
 class Round:
-    """What a round leaves: the queue and the results after it, its outcomes, and what it adds to the history."""
+    """What a round leaves: the queue and the results after it, its outcomes, and what it adds: to the history, to the
+    results, and to the texts (`schema.TEXTS`) of tasks that are tried again."""
 
     queue: DataFrame
     results: DataFrame
     outcomes: DataFrame
     seen: History
+    added: DataFrame
+    texts: DataFrame
 
 
 def _none(kind: str = "string") -> Column:
@@ -67,19 +70,26 @@ def handed_back(claims: DataFrame, seconds: int, why: str) -> DataFrame:
     return claims.select("id", F.lit("transient").alias("outcome"), F.lit(why).alias("error"), F.lit(seconds).alias("wait"), _none().alias("xml_data"), F.lit(False).alias("tried"))
 
 
-def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries: DataFrame, services: Services, owner: str, token: str, now: Column, cfg: Settings = Settings(), history: History | None = None) -> Round:
-    """Claims a batch and settles each of its tasks once."""
+def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries: DataFrame, services: Services, owner: str, token: str, now: Column, cfg: Settings = Settings(), history: History | None = None, cached: DataFrame | None = None) -> Round:
+    """Claims a batch and settles each of its tasks once.
+
+    Texts that were read for tasks tried again stay in the queue, or, with `cached` (`schema.TEXTS`), in that table: the
+    round looks its claims up there and leaves the queue's own `parsed_text` alone, so that a queue carries no texts.
+    """
     spark = tasks.sparkSession
     history = history or History.empty(spark)
     prompt = enrich.assembled_prompt(services.prompt)
     picked = kept(queue.claim(tasks, now, cfg.batch, cfg), "claims")
     leased = queue.leased(tasks, picked, owner, token, now)
     claims = leased.where((F.col("claim_token") == token) & (F.col("locked_by") == owner)).select("id", "file_id", "file_name", "claim_token", "parsed_text")
+    if cached is not None:
+        known = cached.join(F.broadcast(picked.select("id")), "id", "left_semi").groupBy("id").agg(F.min("parsed_text").alias("known"))  # the claims are a batch at most
+        claims = kept(claims.join(known, "id", "left").withColumn("parsed_text", F.coalesce("known", "parsed_text")).drop("known"), "leases")
     try:
         heads = kept(catalog.headers(claims, files, binaries), "heads")
     except (PySparkException, Py4JJavaError) as e:  # the catalog can't be read now: the whole batch waits
         back = handed_back(claims, cfg.header_retry_seconds, f"No headers: {type(e).__name__}")
-        return _settled(tasks.sparkSession, leased, results, back, None, History.empty(spark), history, owner, token, now, cfg)
+        return _settled(tasks.sparkSession, leased, results, back, None, False, History.empty(spark), history, owner, token, now, cfg)
     missing = catalog.missing_sources(claims, heads).select("id", F.lit("no_source").alias("error_kind"))
 
     # large files have a small pool of their own; those that it can't take now go back
@@ -88,7 +98,7 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
     back = handed_back(waiting, cfg.full_pool_retry_seconds, "The pool of large files is full")
     mine = claims.join(heads.select("id"), "id", "left_semi").join(waiting, "id", "left_anti")
 
-    cached = mine.where("parsed_text is not null").select("id", F.col("parsed_text").alias("text"), _none().alias("error_kind"), _none().alias("error"))
+    stored = mine.where("parsed_text is not null").select("id", F.col("parsed_text").alias("text"), _none().alias("error_kind"), _none().alias("error"))
     fresh = mine.where("parsed_text is null").select("id", "file_id", "file_name")
     data = catalog.payloads(fresh, files, binaries)
     read = kept(extracted(data, services.readers, cfg.ocr_max_mb), "extracted")
@@ -102,7 +112,9 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
         events = asked.select(F.col("target").alias("server"), now.cast("timestamp").alias("ts"), (F.shiftleft(F.col("attempt").cast("long"), 48) + F.pmod("id", F.lit(1 << 48))).alias("seq"), kind.alias("event"))
     else:
         scanned = scans.select("id", _none().alias("text"), F.lit("ocr_unavailable").alias("error_kind"), F.lit("No OCR server").alias("error"))
-    texts = kept(cached.unionByName(own).unionByName(scanned), "texts")
+    apart = cached is not None
+    new = own.unionByName(scanned).withColumn("fresh", F.lit(True))
+    texts = kept(stored.withColumn("fresh", F.lit(False)).unionByName(new), "texts")
     texts = texts.withColumn("error_kind", F.when(F.col("error_kind").isNull() & too_short(F.col("text"), cfg.min_text_length), "short_text").otherwise(F.col("error_kind")))
 
     good = texts.where("error_kind is null").select("id", "text")
@@ -120,10 +132,10 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
     all_ = ended.unionByName(failed).unionByName(gone).withColumn("c", policy.classified(F.col("error_kind")))
     tried = all_.select("id", F.col("c.outcome").alias("outcome"), F.coalesce("error", "c.detail").alias("error"), _none("int").alias("wait"), "xml_data", F.lit(True).alias("tried"))
     seen = History(History.empty(spark).attempts, events, calls)
-    return _settled(spark, leased, results, tried.unionByName(back), texts, seen, history, owner, token, now, cfg)
+    return _settled(spark, leased, results, tried.unionByName(back), texts, apart, seen, history, owner, token, now, cfg)
 
 
-def _settled(spark: SparkSession, leased: DataFrame, results: DataFrame, endings: DataFrame, texts: DataFrame | None, seen: History, history: History, owner: str, token: str, now: Column, cfg: Settings) -> Round:
+def _settled(spark: SparkSession, leased: DataFrame, results: DataFrame, endings: DataFrame, texts: DataFrame | None, apart: bool, seen: History, history: History, owner: str, token: str, now: Column, cfg: Settings) -> Round:
     """The round after endings (id, outcome, error, wait, xml_data, tried): transient ones are judged by the history, then all settle."""
     endings = kept(endings, "endings")
     alive = F.when(F.col("outcome").isin(*policy.ALIVE), 0).otherwise(1)  # a success in a round shows that its instance works
@@ -136,9 +148,14 @@ def _settled(spark: SparkSession, leased: DataFrame, results: DataFrame, endings
     judged = rows.select("id", F.when(caught, "rejected").otherwise(F.col("outcome")).alias("outcome"), F.when(caught, words).otherwise(F.col("error")).alias("error"), delay.alias("delay_seconds"), "xml_data", "tried")
     judged = kept(judged, "outcomes")
     outcomes = judged.select("id", F.lit(owner).alias("locked_by"), F.lit(token).alias("claim_token"), "outcome", "error", "delay_seconds", "xml_data")
+    again = spark.createDataFrame([], TEXTS)
     if texts is not None:  # what was read stays with tasks that are tried again
+        retried = outcomes.where("outcome in ('transient', 'failed')").select("id")
+        again = texts.where("fresh and text is not null").join(retried, "id", "left_semi").select("id", F.col("text").alias("parsed_text"))
+    if texts is not None and not apart:
         read_now = texts.where("text is not null").select("id", F.col("text").alias("fresh_text"))
         with_texts = leased.join(read_now, "id", "left").withColumn("parsed_text", F.coalesce("fresh_text", "parsed_text")).select(*leased.columns)
     else:
         with_texts = leased
-    return Round(queue.settled(with_texts, outcomes, now), queue.with_results(results, leased, outcomes, now), outcomes, History(attempt(judged), seen.events, seen.calls))
+    added = queue.new_results(leased, outcomes, now)
+    return Round(queue.settled(with_texts, outcomes, now), queue.with_results(results, leased, outcomes, now), outcomes, History(attempt(judged), seen.events, seen.calls), added, again)

@@ -18,6 +18,8 @@ QUEUE = (
 )
 RESULTS = "doc_id long, file_id string, file_name string, xml_data string, created_by string, created_at timestamp"
 OUTCOMES = "id long, locked_by string, claim_token string, outcome string, error string, delay_seconds int, xml_data string"
+#: What was read for tasks that are tried again, where the queue doesn't carry it.
+TEXTS = "id long, parsed_text string"
 ATTEMPTS = "task_id long, ts timestamp, seq long, outcome string, error string, instance string"
 #: What a round saw of OCR servers (event: transport, refusal, green or success) and of the model (ok: whether it answered).
 SERVER_EVENTS = "server string, ts timestamp, seq long, event string"

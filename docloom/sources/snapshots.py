@@ -24,9 +24,20 @@ class Journal:
         except AnalysisException:  # nothing yet
             return self.spark.createDataFrame([], self.schema)
 
-    def append(self, rows: DataFrame, mark: str) -> None:
+    def folder(self, mark: str) -> str:
         name = re.sub(r"[^A-Za-z0-9_.-]", lambda m: f"%{ord(m[0]):02X}", mark)
-        rows.select(*T.StructType.fromDDL(self.schema).names).write.mode("overwrite").parquet(f"{self.path}/rows-{name}")
+        return f"{self.path}/rows-{name}"
+
+    def has(self, mark: str) -> bool:
+        """Whether rows were appended under this mark, if only none."""
+        try:
+            self.spark.read.schema(self.schema).parquet(self.folder(mark))
+        except AnalysisException:
+            return False
+        return True
+
+    def append(self, rows: DataFrame, mark: str) -> None:
+        rows.select(*T.StructType.fromDDL(self.schema).names).write.mode("overwrite").parquet(self.folder(mark))
 
 
 class Snapshots:

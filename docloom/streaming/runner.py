@@ -35,16 +35,19 @@ def ingest(candidates: DataFrame, tasks: Snapshots, name: str = "ingest", at: Cl
     return candidates.writeStream.foreachBatch(step).queryName(name)
 
 
-def settle(outcomes: DataFrame, tasks: Snapshots, results: Snapshots, name: str = "settle", at: Clock = clock) -> DataStreamWriter:
+def settle(outcomes: DataFrame, tasks: Snapshots, results: Snapshots | Journal, name: str = "settle", at: Clock = clock) -> DataStreamWriter:
     """Outcomes of workers settle their tasks; results are written first, so that a task is done only once its result is there."""
 
     def step(batch: DataFrame, number: int) -> None:
         mark = f"{name}/{number}"
+        if tasks.has(mark):
+            return
         before, when = tasks.read(), at(batch)
-        if not results.has(mark):
+        if isinstance(results, Journal):
+            results.append(queue.new_results(before, batch, when), mark)
+        elif not results.has(mark):
             results.write(queue.with_results(results.read(), before, batch, when), mark)
-        if not tasks.has(mark):
-            tasks.write(queue.settled(before, batch, when), mark)
+        tasks.write(queue.settled(before, batch, when), mark)
 
     return outcomes.writeStream.foreachBatch(step).queryName(name)
 
@@ -63,11 +66,13 @@ class Histories:
             j.append(getattr(seen, name), mark)
 
 
-def poll(ticks: DataFrame, tasks: Snapshots, results: Snapshots, files: DataFrame, binaries: DataFrame, services: Services, owner: str, cfg: Settings = Settings(), paused: Callable[[], bool] = lambda: False, name: str = "poll", at: Clock = clock, histories: Histories | None = None) -> DataStreamWriter:
+def poll(ticks: DataFrame, tasks: Snapshots, results: Snapshots | Journal, files: DataFrame, binaries: DataFrame, services: Services, owner: str, cfg: Settings = Settings(), paused: Callable[[], bool] = lambda: False, name: str = "poll", at: Clock = clock, histories: Histories | None = None, texts: Journal | None = None) -> DataStreamWriter:
     """A round of processing at each tick of a stream (such as the rate source), unless the caller or the model's breaker pauses it.
 
     The tick's number makes the claim token, so a repeated tick claims under the same one. With `histories`, each round is
-    judged by those before it and leaves what it saw there.
+    judged by those before it and leaves what it saw there. With a journal for `results` a round writes the results it
+    adds only (`queue.latest_results` reads them), and with one of `schema.TEXTS` the queue carries no texts, so that a
+    tick writes its batch and the queue's narrow columns.
     """
 
     def step(batch: DataFrame, number: int) -> None:
@@ -77,9 +82,13 @@ def poll(ticks: DataFrame, tasks: Snapshots, results: Snapshots, files: DataFram
         history = histories.read() if histories else None
         if history and services.llm and not policy.paused(history.calls, now, cfg).where("paused").isEmpty():
             return
-        done = run_round(tasks.read(), results.read(), files, binaries, services, owner, f"{owner}/{mark}", now, cfg, history)
-        if not results.has(mark):
+        done = run_round(tasks.read(), results.read(), files, binaries, services, owner, f"{owner}/{mark}", now, cfg, history, texts.read() if texts else None)
+        if isinstance(results, Journal):
+            results.append(done.added, mark)
+        elif not results.has(mark):
             results.write(done.results, mark)
+        if texts and not texts.has(mark):
+            texts.append(done.texts, mark)
         if histories:
             histories.append(done.seen, mark)
         tasks.write(done.queue, mark)

@@ -9,12 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.plans.documents import docx_bytes, pdf_bytes
-from docloom.operators import metrics
+from docloom.operators import metrics, queue
 from docloom.plans.pipeline import History, Services, run_round
-from docloom.schema import ATTEMPTS, MODEL_CALLS, OUTCOMES, QUEUE, RESULTS, SERVER_EVENTS, Settings
+from docloom.schema import ATTEMPTS, MODEL_CALLS, OUTCOMES, QUEUE, RESULTS, SERVER_EVENTS, TEXTS, Settings
 from docloom.sources import catalog
 from docloom.sources.logs import matching, read_log, token_usage
-from docloom.sources.snapshots import Snapshots
+from docloom.sources.snapshots import Journal, Snapshots
 from docloom.streaming import runner
 
 NOW = datetime(2024, 1, 31)
@@ -206,6 +206,35 @@ def test_poll(spark, world, tmp_path):
     assert {r.id: r.status for r in tasks.read().collect()} == {1: 2, 2: 3} and results.read().count() == 1
 
 
+def test_poll_with_journals(spark, world, tmp_path):
+    """Results are appended, texts lie apart from the queue, and a later round finds a text there without reading the file again."""
+    tasks, results, texts = Snapshots(spark, str(tmp_path / "q"), QUEUE), Journal(spark, str(tmp_path / "r"), RESULTS), Journal(spark, str(tmp_path / "t"), TEXTS)
+    tasks.write(world[0].where("id in (1, 2, 6)"))
+    spark.range(1).coalesce(1).write.parquet(str(tmp_path / "ticks"))
+    ticks = spark.readStream.schema("id long").parquet(str(tmp_path / "ticks"))
+
+    def tick(k, services, binaries, when):
+        run = runner.poll(ticks, tasks, results, world[1], binaries, services, "w", name=f"poll{k}", at=lambda _: F.lit(when).cast("timestamp"), texts=texts).option("checkpointLocation", str(tmp_path / f"cp{k}")).trigger(availableNow=True).start()
+        assert run.awaitTermination(240)
+
+    assert not texts.has("poll0/0")
+    tick(0, Services(llm=Model(), at_once=2), world[2], "2024-01-31 00:00:00")
+    assert texts.has("poll0/0") and [(r.id, r.parsed_text) for r in texts.read().collect()] == [(6, f"{LONG}\noverload\n")]
+    after = {r.id: r for r in tasks.read().collect()}
+    assert {k: r.status for k, r in after.items()} == {1: 2, 2: 3, 6: 0} and {r.parsed_text for r in after.values()} == {None}
+    assert [r.doc_id for r in results.read().collect()] == [1]
+    unreadable = world[2].withColumn("data", F.lit(b"x"))
+    tick(1, Services(), unreadable, "2024-01-31 02:00:00")
+    assert {r.id: r.status for r in tasks.read().collect()} == {1: 2, 2: 3, 6: 2}
+    assert {r.doc_id: r.xml_data for r in queue.latest_results(results.read()).collect()}[6].rstrip().endswith("overload") and texts.read().count() == 1
+
+
+def test_latest_results(spark):
+    rows = [(1, "f", "n", "old", "w", NOW), (1, "f", "n", "new", "w", NOW + timedelta(seconds=1)), (2, "f", "n", "a", "w", NOW), (2, "f", "n", "b", "w", NOW), (None, None, None, None, None, None)]
+    got = {r.doc_id: r.xml_data for r in queue.latest_results(spark.createDataFrame(rows, RESULTS)).collect()}
+    assert got == {1: "new", 2: "b", None: None} and queue.latest_results(spark.createDataFrame([], RESULTS)).isEmpty()
+
+
 def test_http_client():
     import http.server
     import threading
