@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from docloom.operators import metrics, policy, queue
 from docloom.plans.pipeline import History, Services, run_round
-from docloom.schema import ATTEMPTS, MODEL_CALLS, PROCESSING, SERVER_EVENTS, Settings
+from docloom.schema import ATTEMPTS, MODEL_CALLS, PROCESSING, RESULTS, SERVER_EVENTS, Settings
 from docloom.sources.snapshots import Journal, Snapshots
 
 #: A micro-batch's time as a column; fixed by the caller in tests.
@@ -82,7 +82,8 @@ def poll(ticks: DataFrame, tasks: Snapshots, results: Snapshots | Journal, files
         history = histories.read() if histories else None
         if history and services.llm and not policy.paused(history.calls, now, cfg).where("paused").isEmpty():
             return
-        done = run_round(tasks.read(), results.read(), files, binaries, services, owner, f"{owner}/{mark}", now, cfg, history, texts.read() if texts else None)
+        earlier = tasks.spark.createDataFrame([], RESULTS) if isinstance(results, Journal) else results.read()  # what is only added to isn't read
+        done = run_round(tasks.read(), earlier, files, binaries, services, owner, f"{owner}/{mark}", now, cfg, history, texts.read() if texts else None)
         if isinstance(results, Journal):
             results.append(done.added, mark)
         elif not results.has(mark):
