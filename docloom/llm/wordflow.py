@@ -28,10 +28,10 @@ def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mixed(a * _A + (b ^ _C))
 
 
-def bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, first): the words' byte ranges, and for each text the number of its first word (one more at the end)."""
+def bounds(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first): the words' byte ranges, and for each text the number of its first word (one more at the end). `blank`: the bytes outside words."""
     inside = np.zeros(len(data) + 2, dtype=bool)
-    np.logical_not(SPACE[data], out=inside[1:-1])
+    np.logical_not(blank[data], out=inside[1:-1])
     here, cut = inside[1:-1], np.zeros(len(data) + 1, dtype=bool)
     cut[offsets] = True
     starts = np.flatnonzero(here & (~inside[:-2] | cut[:-1]))
