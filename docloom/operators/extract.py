@@ -8,9 +8,7 @@ to OCR) and never fails the job; a format without a reader ends as an error of i
 from __future__ import annotations
 
 import io
-import re
 import zipfile
-import zlib
 from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
@@ -19,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.text import BULLET, MIB, blank, hex_head, sniff
+from docloom.operators.pdf.content import read_lines
+from docloom.operators.pdf.objects import Unread
 
 #: A reader: bytes -> text. Whatever it raises makes an error row; `BadFormat` marks a file that no later try can read.
 Reader = Callable[[bytes], str]
@@ -89,100 +89,14 @@ def attempted(reader: Reader, data: bytes | None) -> tuple[str | None, str | Non
         return None, "error", str(e) or type(e).__name__
 
 
-_STREAM = re.compile(rb"<<(?P<head>(?:(?!endobj|stream).)*)>>\s*stream\r?\n(?P<body>.*?)endstream", re.S)
-_BEGUN = re.compile(rb">>\s*stream\r?\n")
-_FILTERS = re.compile(rb"/Filter\s*(\[[^\]]*\]|/\w+)")
-#: Heads of streams that hold no page content: images, fonts, colour profiles, metadata, tables of objects, attachments.
-_ASIDE = re.compile(rb"/Subtype\s*/(?:Image|Type1C|CIDFontType0C|OpenType|XML)\b|/Length[123]\b|/Type\s*/(?:XRef|ObjStm|Metadata|EmbeddedFile)\b|/FunctionType\b|/N\s+[134]\b")
-_SHOW = re.compile(rb"(?P<font>/\w+\s+(?P<size>[\d.]+)\s+Tf)|(?P<move>(?P<dx>-?[\d.]+)\s+(?P<dy>-?[\d.]+)\s+T[dD])|(?P<matrix>(?:-?[\d.]+\s+){5}(?P<my>-?[\d.]+)\s+Tm)|\((?P<text>(?:\\.|[^\\()])*)\)\s*(?:Tj|'|\")|(?P<many>\[(?:[^\[\]\\]|\\.)*\]\s*TJ)", re.S)
-_LITERAL = re.compile(rb"\((?:\\.|[^\\()])*\)", re.S)
-_OPERATOR = re.compile(rb"(?<![\w/])T[jJ](?!\w)|[)>]\s*['\"]")
-_PIECE = re.compile(rb"\(((?:\\.|[^\\()])*)\)", re.S)
-
-
-def _literal(raw: bytes) -> str:
-    named = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f", b"\n": b""}
-    return re.sub(rb"\\([0-7]{1,3}|.)", lambda m: bytes([int(m[1], 8) & 255]) if m[1][:1] in b"01234567" else named.get(m[1], m[1]), raw, flags=re.S).decode("latin-1")
-
-
-def _contents(data: bytes) -> Iterator[tuple[bytes | None, str | None]]:
-    """(content, None) of each page stream in turn, or (None, why it can't be read)."""
-    end = 0
-    for m in [*_STREAM.finditer(data), None]:
-        if _BEGUN.search(data, end, m.start() if m else len(data)):
-            yield None, "a stream without an end or a plain head"
-        if m is None:
-            return
-        end = m.end()
-        if _ASIDE.search(m["head"]):
-            continue
-        found = _FILTERS.search(m["head"])
-        names = re.findall(rb"/\w+", found[1]) if found else []
-        if not names:
-            yield m["body"], None
-        elif names != [b"/FlateDecode"]:
-            yield None, "filter " + b" ".join(names).decode("latin-1")
-        else:
-            flate = zlib.decompressobj()
-            try:
-                body = flate.decompress(m["body"])
-            except zlib.error:
-                yield None, "a damaged stream"
-                continue
-            yield (body, None) if flate.eof else (None, "a stream cut short")
-
-
-def _unread_shows(body: bytes) -> bool:
-    """Whether a content stream shows text by other than literal strings that `page_lines` reads."""
-    shows = [x for x in _SHOW.finditer(body) if x["text"] is not None or x["many"]]
-    bare, before = _LITERAL.sub(b"()", body), body
-    while bare != before:  # strings within strings
-        bare, before = re.sub(rb"\((?:[^()]|\(\))+\)", b"()", bare), bare
-    return len(shows) < len(_OPERATOR.findall(bare)) or any(b"<" in _LITERAL.sub(b"", x["many"]) for x in shows if x["many"])
-
-
-def page_fault(data: bytes) -> str | None:
-    """Why `page_lines` can't have read all text of a file: the first stream that failed, or text shown by other than literal strings."""
-    if b"/Encrypt" in data:
-        return "encrypted"
-    for body, why in _contents(data):
-        if why or b"BT" in body and _unread_shows(body):
-            return why or "text that isn't in literal strings"
-    return None
-
-
-def page_lines(data: bytes, page_height: float = 842.0) -> list[dict]:
-    """Lines of simple PDF files (deflated or plain content, literal strings), y growing downward; a chunk joins the line above if it stands within 2.5 of its y. What it passes over, `page_fault` names."""
-    lines: list[dict] = []
-    page = 0
-    for body, _ in _contents(data):
-        if body is None or b"BT" not in body:
-            continue
-        y = size = 0.0
-        for x in _SHOW.finditer(body):
-            if x["font"]:
-                size = float(x["size"])
-            elif x["move"]:
-                y += float(x["dy"])
-            elif x["matrix"]:
-                y = float(x["my"])
-            else:
-                text = _literal(x["text"]) if x["text"] is not None else "".join(map(_literal, _PIECE.findall(x["many"])))
-                down = page_height - y
-                if not lines or lines[-1]["page"] != page or abs(down - lines[-1]["y"]) > 2.5:
-                    lines.append({"page": page, "y": down, "font": size, "chunks": []})
-                lines[-1]["font"] = max(lines[-1]["font"], size)
-                lines[-1]["chunks"].append(text)
-        page += 1
-    return lines
-
-
 def read_pages(data: bytes | None) -> tuple[list[dict], str | None]:
-    """(lines, why not all text could be read) of a PDF file; a fault of any kind is such a reason."""
+    """(lines, None) of a PDF file, or ([], why its text can't be told as a whole and for certain)."""
     try:
-        return page_lines(data or b""), page_fault(data or b"")
-    except Exception as e:  # numbers, lengths and nesting of damaged files fail in many ways
-        return [], f"damaged content: {e}"
+        return read_lines(data or b""), None
+    except Unread as e:
+        return [], str(e)
+    except Exception as e:  # numbers, types and nesting of damaged files fail in many ways
+        return [], f"damaged content: {e or type(e).__name__}"
 
 
 def read_payloads(rows: DataFrame, readers: dict[str, Reader]) -> DataFrame:

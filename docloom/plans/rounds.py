@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.plans.documents import docx_bytes, pdf_bytes
+from docloom.plans.documents import docx_bytes
+from docloom.plans.pdfs import pdf_bytes
 from docloom.plans.pipeline import History, Services, run_round
 from docloom.plans.virtual import NOW, view
 from docloom.schema import ATTEMPTS, MODEL_CALLS, QUEUE, RESULTS, SERVER_EVENTS, Settings

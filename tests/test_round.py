@@ -8,7 +8,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.plans.documents import docx_bytes, pdf_bytes
+from docloom.plans.documents import docx_bytes
+from docloom.plans.pdfs import pdf_bytes
 from docloom.operators import metrics, queue
 from docloom.plans.pipeline import History, Services, run_round
 from docloom.schema import ATTEMPTS, MODEL_CALLS, OUTCOMES, QUEUE, RESULTS, SERVER_EVENTS, TEXTS, Settings
