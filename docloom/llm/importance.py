@@ -2,9 +2,10 @@
 
 Words are mapped to integers once, and everything that is counted is a tuple of integers:
 1. Each chunk of texts becomes one row: its distinct words and, for every text, the words' numbers in that list.
-2. The distinct words of all chunks make the dictionary, an id for each word, written; ids go back to the chunks by a join
-   on their distinct words only (a frequent word by a broadcast).
+2. The distinct words of all chunks make the dictionary, an id for each word, written with its counts. A word has a row
+   for each chunk at most, so no word is hot: its share is that of one word in a chunk's list.
 3. N-grams are tuples of ids, numbered anew within the chunk; one row per chunk and distinct tuple carries the counts.
+   Single words need no new numbers: a row of the dictionary is a tuple, a place in a chunk's list is its number.
 4. The bytes of each distinct tuple are put together from the dictionary and hashed once; buckets get their totals.
 5. The gains of the buckets go back to the chunks' tuples by a join, and every text adds up those of its numbers.
 Only the totals of the buckets (a parameter's number) pass the driver. Documents are ranked in ranges of their scores:
@@ -33,10 +34,23 @@ from docloom.llm.wordflow import LOWER, bounds
 OUTSIDE = np.zeros(256, dtype=bool)
 OUTSIDE[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
 
+#: Half of the range of 32 bits: gains of both signs fit in it.
+BIAS = 1 << 31
+
 CODED = "chunk long, target boolean, doc_ids array<long>, n_words array<int>, sizes array<int>, codes binary, words array<string>, counts array<long>"
 GRAMS = "chunk long, target boolean, doc_ids array<long>, n_words array<int>, sizes array<int>, codes binary, tuples array<array<long>>, counts array<long>"
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 byte by byte, the lowest of all first, and compressed: most have high bytes of zero."""
+    return pa.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(blob: bytes, count: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, 4 * count, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
 def coded(texts: DataFrame, target: bool) -> DataFrame:
     """A row per chunk of texts (doc_id, text): distinct words, their counts, and the words of all texts as places in that list."""
     made = [0]  # chunks of this task
@@ -47,27 +61,33 @@ def coded(texts: DataFrame, target: bool) -> DataFrame:
         starts, ends, first = bounds(data, offsets, OUTSIDE)
         lengths = ends - starts
         words = pa.Array.from_buffers(pa.large_utf8(), len(starts), [None, pa.py_buffer(np.r_[0, np.cumsum(lengths)].astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[~OUTSIDE[data]]))]).dictionary_encode()
-        codes = words.indices.to_numpy().astype("<u4")
+        codes = words.indices.to_numpy()
         counts = np.diff(first).astype(np.int32)
         number = (TaskContext.get().partitionId() << 32) + (made[0] << 1) + target
         made[0] += 1
         return {
             "chunk": [number], "target": [target], "doc_ids": [chunk.column("doc_id").to_pylist()], "n_words": [counts], "sizes": [counts],
-            "codes": [codes.tobytes()], "words": [words.dictionary.to_pylist()], "counts": [np.bincount(codes, minlength=len(words.dictionary))],
+            "codes": [packed(codes)], "words": [words.dictionary.to_pylist()], "counts": [np.bincount(codes, minlength=len(words.dictionary))],
         }
 
     return map_chunks(texts, run, CODED)
 
 
+def both_counts(n: Column) -> list[Column]:
+    """Totals of `n` outside the target and in it."""
+    return [F.sum(F.when(~F.col("target"), n).otherwise(0)).alias("raw"), F.sum(F.when(F.col("target"), n).otherwise(0)).alias("in_target")]
+
+
 def dictionary(chunks: DataFrame) -> DataFrame:
-    """(word, id) of the distinct words, written once, so that the ids stay."""
-    return written(chunks.select(F.explode("words").alias("word")).distinct().select("word", F.monotonically_increasing_id().alias("id")), "word-ids")
+    """(word, id, raw, in_target) of the distinct words with their counts, written once, so that the ids stay."""
+    spread = chunks.select("target", F.explode(F.arrays_zip("words", "counts")).alias("x"))
+    words = spread.groupBy(F.col("x.words").alias("word")).agg(*both_counts(F.col("x.counts")))
+    return written(words.withColumn("id", F.monotonically_increasing_id()), "word-ids")
 
 
-def with_ids(chunks: DataFrame, words: DataFrame) -> DataFrame:
-    """(chunk, code, id) of each chunk's distinct words."""
-    spread = chunks.select("chunk", F.posexplode("words").alias("code", "word"))
-    return with_values(spread, words, "word", "id").select("chunk", "code", "id")
+def with_words(chunks: DataFrame, words: DataFrame) -> DataFrame:
+    """(chunk, code, word, ...) of each chunk's distinct words with what the dictionary's rows have besides."""
+    return chunks.select("chunk", F.posexplode("words").alias("code", "word")).join(words, "word")
 
 
 def tuples_of(ids: np.ndarray, first: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
@@ -91,38 +111,36 @@ def tuples_of(ids: np.ndarray, first: np.ndarray, longest: int) -> tuple[np.ndar
         run = np.unique(run, return_inverse=True)[1].astype(np.int64)  # small again, whatever n
     text, place, key = (np.concatenate(x) for x in (text, place, key))
     order = np.argsort(text, kind="stable")
-    return key[order].astype("<u4"), np.bincount(text, minlength=len(first) - 1), found, np.bincount(key, minlength=done)
+    return key[order], np.bincount(text, minlength=len(first) - 1), found, np.bincount(key, minlength=done)
 
 
 def tupled(chunks: DataFrame, ids: DataFrame, longest: int) -> DataFrame:
     """The chunks with tuples of ids in place of words."""
-    if longest == 1:  # a word is a tuple, under the number that it has
-        own = ids.groupBy("chunk").agg(F.transform(F.array_sort(F.collect_list(F.struct("code", "id"))), lambda x: F.array(x.id)).alias("tuples"))
-        return chunks.drop("words").join(own, "chunk")
     own = ids.groupBy("chunk").agg(F.transform(F.array_sort(F.collect_list(F.struct("code", "id"))), lambda x: x.id).alias("ids"))
 
     def run(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"sizes": [], "codes": [], "tuples": [], "counts": []}
         for ids, codes, counts in zip(batch.column("ids"), batch.column("codes").to_pylist(), batch.column("n_words").to_pylist(), strict=True):
-            words = ids.values.to_numpy()[np.frombuffer(codes, "<u4")]
+            words = ids.values.to_numpy()[unpacked(codes, sum(counts))]
             numbers, sizes, found, often = tuples_of(words, np.r_[0, np.cumsum(counts)].astype(np.int64), longest)
-            for name, value in (("sizes", sizes.astype(np.int32)), ("codes", numbers.tobytes()), ("tuples", found), ("counts", often)):
+            for name, value in (("sizes", sizes.astype(np.int32)), ("codes", packed(numbers)), ("tuples", found), ("counts", often)):
                 out[name].append(value)
         return {n: batch.column(n) for n in ("chunk", "target", "doc_ids", "n_words")} | out
 
     return map_chunks(chunks.drop("words", "counts").join(own, "chunk"), run, GRAMS, text="")
 
 
-def hashed(grams: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
-    """(key, bucket, raw, target) of the distinct tuples with their counts on both sides; each one's bytes are put together and hashed once."""
-    here = F.col("target")
-    totals = grams.groupBy("key").agg(F.sum(F.when(~here, F.col("n")).otherwise(0)).alias("raw"), F.sum(F.when(here, F.col("n")).otherwise(0)).alias("target"))
-    totals = written(totals.withColumn("number", F.monotonically_increasing_id()), "distinct-tuples")
+def bucket(gram: Column, buckets: int) -> Column:
+    return (F.crc32(gram.cast("binary")) % buckets).cast("int").alias("bucket")
+
+
+def hashed(spread: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
+    """(key, raw, in_target, bucket) of the distinct tuples with their counts on both sides; each one's bytes are put together and hashed once."""
+    totals = written(spread.groupBy("key").agg(*both_counts(F.col("n"))).withColumn("number", F.monotonically_increasing_id()), "distinct-tuples")
     spelled = with_values(totals.select("number", F.posexplode("key").alias("place", "id")), words, "id", "word")
     texts = spelled.groupBy("number").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("parts"))
-    texts = texts.select("number", F.array_join(F.transform("parts", lambda x: x.word), " ").alias("gram"))
-    bucket = (F.crc32(F.col("gram").cast("binary")) % buckets).cast("int")
-    return written(totals.join(texts.select("number", bucket.alias("bucket")), "number").select("key", "bucket", "raw", "target"), "hashed-tuples")
+    gram = F.array_join(F.transform("parts", lambda x: x.word), " ")
+    return written(totals.join(texts.select("number", bucket(gram, buckets)), "number").select("key", "raw", "in_target", "bucket"), "hashed-tuples")
 
 
 def gains(rows: list, buckets: int) -> list[tuple[int, int]]:
@@ -137,20 +155,28 @@ def weights(docs: DataFrame, target: DataFrame, longest: int = 1, buckets: int =
     sides = coded(docs, False).unionByName(coded(target.select(F.lit(None).cast("long").alias("doc_id"), "text"), True))
     chunks = written(sides, "coded-texts")
     words = dictionary(chunks)
-    grams = written(tupled(chunks, with_ids(chunks, words), longest), "coded-tuples")
-    spread = grams.select("chunk", "target", F.posexplode(F.arrays_zip("tuples", "counts")).alias("code", "x")).select("chunk", "target", "code", F.col("x.tuples").alias("key"), F.col("x.counts").alias("n"))
-    distinct = hashed(spread, words, buckets)
-    totals = distinct.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    if longest == 1:  # rows of the dictionary are the tuples
+        grams, distinct = chunks, words.select("word", "raw", "in_target", bucket(F.col("word"), buckets))
+    else:
+        grams = written(tupled(chunks, with_words(chunks, words.select("word", "id")).select("chunk", "code", "id"), longest), "coded-tuples")
+        spread = grams.select("chunk", "target", F.posexplode(F.arrays_zip("tuples", "counts")).alias("code", "x")).select("chunk", "target", "code", F.col("x.tuples").alias("key"), F.col("x.counts").alias("n"))
+        distinct = hashed(spread, words, buckets)
+    totals = distinct.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("in_target").alias("in_target"))
     table = spark.createDataFrame(gains([tuple(r) for r in totals.collect()], buckets), "bucket int, gain long")
-    gained = distinct.join(F.broadcast(table), "bucket").select("key", "gain")
-    back = with_values(spread.where(~F.col("target")).select("chunk", "code", "key"), written(gained, "tuple-gains"), "key", "gain")
-    back = back.groupBy("chunk").agg(F.transform(F.array_sort(F.collect_list(F.struct("code", "gain"))), lambda x: x.gain).alias("gains"))
+    gained = distinct.join(F.broadcast(table), "bucket").drop("bucket", "raw", "in_target")
+    if longest == 1:
+        back = with_words(chunks.where(~F.col("target")), gained)
+    else:
+        back = with_values(spread.where(~F.col("target")).select("chunk", "code", "key"), written(gained, "tuple-gains"), "key", "gain")
+    pair = F.shiftleft(F.col("code").cast("long"), 32) + F.col("gain") + BIAS  # a number and its gain in one integer, so that a list of them is short
+    back = back.groupBy("chunk").agg(F.sort_array(F.collect_list(pair)).alias("gains"))
 
     def run(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {n: [] for n in ("doc_id", "n_words", "n_features", "weight", "place")}
         for chunk, ids, n_words, sizes, codes, own in zip(*(batch.column(n) for n in ("chunk", "doc_ids", "n_words", "sizes", "codes", "gains")), strict=True):
-            each = own.values.to_numpy()[np.frombuffer(codes.as_py(), "<u4")] if own.is_valid and len(own) else np.zeros(0, np.int64)
             ends = np.cumsum(sizes.values.to_numpy())
+            gain = (own.values.to_numpy() & 0xFFFFFFFF) - BIAS if own.is_valid else np.zeros(0, np.int64)
+            each = gain[unpacked(codes.as_py(), int(ends[-1]))] if len(gain) else gain
             total = np.r_[0, np.cumsum(each)]
             out["doc_id"] += ids.as_py()
             out["n_words"] += n_words.as_py()
