@@ -225,21 +225,23 @@ def plain_walk(positions: list[int], shards: int, factor: float) -> list[int]:
 
 @pytest.mark.parametrize("factor", [1.0, 1.3])
 def test_sharding_equals_a_plain_walk(make, factor):
-    docs = make([(k, f"text {k % 17}") for k in range(400)])
-    at = {r.doc_id: r.at for r in docs.select("doc_id", F.shiftrightunsigned(F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary"))), 2).alias("at")).collect()}
-    got = {r.doc_id: r.shard for r in sharding.shard(docs, 7, factor).collect()}
-    assert [got[i] for i in sorted(at, key=at.get)] == plain_walk(list(at.values()), 7, factor)
-
-
-def test_hot_rows_are_salted(make):
-    """Copies of one row, null ids among them, in small salted pieces: the law holds, slots are gapless."""
-    rows = [(5, "same")] * 200 + [(None, "same")] * 100 + [(k, f"t{k}") for k in range(100)]
-    got = sharding.shard(make(rows).repartition(6), 24, salt_rows=20).collect()
-    by = defaultdict(list)
-    for r in got:
-        by[r.shard].append(r.slot)
-    assert len(got) == 400 and all(sorted(s) == list(range(len(s))) for s in by.values())
-    assert {len(s) for s in by.values()} <= {16, 17}
+    """Row by row, hot rows and null ids among them, whatever the layout and however copies are dealt out."""
+    rows = [(k, f"text {k % 17}") for k in range(400)] + [(5, "same")] * 200 + [(None, "same")] * 150 + [(5, "other")] * 3
+    docs = make(rows)
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    at = docs.select("doc_id", crc.alias("crc"), F.shiftrightunsigned(F.xxhash64("doc_id", crc), 2).alias("at")).collect()
+    order = sorted(at, key=lambda r: (r["at"], r.doc_id or -1, r.crc))
+    wanted = sorted((r.doc_id or -1, r.crc, s) for r, s in zip(order, plain_walk([r["at"] for r in at], 7, factor), strict=True))
+    results = []
+    for frame, copies in ((docs, 10_000), (docs, 7), (docs.repartition(7), 10_000), (docs.repartition(3, "text"), 50), (docs.orderBy(F.rand(3)), 1)):
+        got = sharding.shard(frame, 7, factor, copies=copies).collect()
+        assert sorted((r.doc_id or -1, r.text_crc32, r.shard) for r in got) == wanted
+        by = defaultdict(list)
+        for r in got:
+            by[r.shard].append(r.slot)
+        assert all(sorted(s) == list(range(len(s))) for s in by.values())
+        results.append(sorted(tuple(x or -1 for x in r) for r in got))
+    assert all(r == results[0] for r in results)
 
 
 def test_one_shard_more_moves_little(make):
