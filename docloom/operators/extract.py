@@ -29,6 +29,8 @@ GAP = 1.3
 #: Payloads read at a time.
 BATCH_ROWS = 32
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+#: Parts of a paragraph that hold runs of its own.
+_HOLDERS = {_W + x for x in ("hyperlink", "fldSimple", "ins", "moveTo", "smartTag")}
 
 
 class BadFormat(ValueError):
@@ -43,16 +45,26 @@ def routed(payloads: DataFrame) -> DataFrame:
     return payloads.withColumn("format", fmt).withColumns({"error_kind": F.when(~known, F.lit("bad_format")), "error": F.when(~known, error)})
 
 
-def _runs(node: ElementTree.Element) -> str:
+def _run_text(run: ElementTree.Element) -> str:
+    """What a run itself holds; not the text boxes in drawings that are anchored in it."""
     out = []
-    for x in node.iter():
+    for x in run:
         if x.tag == _W + "t":
             out.append(x.text or "")
-        elif x.tag in (_W + "tab", _W + "br", _W + "cr") and x is not node:
-            out.append("\t" if x.tag == _W + "tab" else "\n")
+        elif x.tag in (_W + "tab", _W + "ptab"):
+            out.append("\t")
+        elif x.tag in (_W + "br", _W + "cr"):
+            out.append("\n")
+        elif x.tag in (_W + "footnoteReference", _W + "endnoteReference"):
+            out.append(f"[{x.tag.removeprefix(_W).removesuffix('erence')}:{x.get(_W + 'id', '')}]")
     return "".join(out)
 
 
+def _runs(node: ElementTree.Element) -> str:
+    """A paragraph's runs in order, those of links, fields, insertions and smart tags among them; content controls and deletions aren't."""
+    return "".join(_run_text(x) if x.tag == _W + "r" else _runs(x) for x in node if x.tag == _W + "r" or x.tag in _HOLDERS)
+
+
 def _continues(cell: ElementTree.Element) -> bool:
     """Whether a table cell goes on a vertical merge: marked without a value, or as going on."""
     mark = cell.find(f"{_W}tcPr/{_W}vMerge")

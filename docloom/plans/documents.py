@@ -225,15 +225,20 @@ def word_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "documents").select("doc_id", T.word_field_results(raw).alias("text"))
 
 
-def docx_bytes(paragraphs: list[str], rows: list[list[str]] = ()) -> bytes:
-    """A small word document, for tests and the query below."""
+def docx_bytes(paragraphs: list[str], rows: list[list[str]] = (), rich: bool = False) -> bytes:
+    """A small word document, for tests and the query below. `rich`: each paragraph in two runs, one of them in a link, with a deletion and a text box; each table row with a cell that goes on a vertical merge."""
     esc = lambda t: t.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-    p = lambda t: f"<w:p><w:r><w:t>{esc(t)}</w:t></w:r></w:p>"
-    table = "<w:tbl>" + "".join("<w:tr>" + "".join(f"<w:tc>{p(c)}</w:tc>" for c in r) + "</w:tr>" for r in rows) + "</w:tbl>" if rows else ""
-    body = "".join(map(p, paragraphs)) + table
+    run = lambda t: f"<w:r><w:t>{esc(t)}</w:t></w:r>"
+    p = lambda t: f"<w:p>{run(t)}</w:p>"
+    box = f"<w:txbxContent>{p('boxed')}</w:txbxContent>"
+    aside = f"<w:del><w:r><w:delText>gone</w:delText></w:r></w:del><w:r><mc:AlternateContent><mc:Choice><w:drawing>{box}</w:drawing></mc:Choice><mc:Fallback><w:pict>{box}</w:pict></mc:Fallback></mc:AlternateContent></w:r>" if rich else ""
+    paragraph = lambda t: f"<w:p><w:pPr/>{run(t[: len(t) // 2])}{aside}<w:hyperlink>{run(t[len(t) // 2 :])}</w:hyperlink></w:p>" if rich else p(t)
+    goes_on = f"<w:tc><w:tcPr><w:vMerge/></w:tcPr>{p('merged')}</w:tc>" if rich else ""
+    table = "<w:tbl>" + "".join("<w:tr>" + goes_on + "".join(f"<w:tc>{p(c)}</w:tc>" for c in r) + "</w:tr>" for r in rows) + "</w:tbl>" if rows else ""
+    body = "".join(map(paragraph, paragraphs)) + table
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
-        z.writestr("word/document.xml", f'<?xml version="1.0" encoding="UTF-8"?><w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"><w:body>{body}</w:body></w:document>')
+        z.writestr("word/document.xml", f'<?xml version="1.0" encoding="UTF-8"?><w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main" xmlns:mc="http://schemas.openxmlformats.org/markup-compatibility/2006"><w:body>{body}</w:body></w:document>')
     return out.getvalue()
 
 
@@ -244,11 +249,11 @@ select doc_id as id, case when doc_id % 5 = 0 then 'RTF' when doc_id % 5 = 1 the
  case when doc_id % 5 >= 2 then array_to_string(list_filter(string_split(text, chr(10)), lambda x: not regexp_full_match(x, '\\s*')), chr(10)) || case when regexp_full_match(text, '\\s*') then '' else chr(10) end || 'a\tb' || chr(10) end as text from c""".replace("'a\\tb'", "'a' || chr(9) || 'b'")
 )
 def extracted_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts of generated word documents, and the errors of other formats."""
+    """Texts of generated word documents, plain ones and ones with links, deletions, text boxes and merged cells, and the errors of other formats."""
     def run(batches):
         for b in batches:
             ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
-            data = [b"{\\rtf1 x" if i % 5 == 0 else b"plain" if i % 5 == 1 else docx_bytes(t.split("\n"), [["a", "b"]]) for i, t in zip(ids, texts, strict=True)]
+            data = [b"{\\rtf1 x" if i % 5 == 0 else b"plain" if i % 5 == 1 else docx_bytes(t.split("\n"), [["a", "b"]], rich=i % 2 == 0) for i, t in zip(ids, texts, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(data, pa.binary())], names=["id", "data"])
 
     docs = view(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\r]", "").alias("text"))
@@ -291,7 +296,11 @@ def damaged(kind: int, text: str) -> bytes:
     return odd[kind] if kind < len(odd) else word
 
 
-@query("select doc_id as id, case doc_id % 6 when 2 then 'PDF' when 3 then 'PDF' when 4 then 'DOC' else 'DOCX' end as format, case doc_id % 6 when 0 then 'error' when 1 then 'error' when 2 then 'ocr' when 3 then 'ocr' when 4 then 'error' end as error_kind, doc_id % 6 = 5 as has_text from documents")
+@query(
+    """with c as (select doc_id, regexp_replace(text, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\r]', '', 'g') as text from documents)
+select doc_id as id, case doc_id % 6 when 2 then 'PDF' when 3 then 'PDF' when 4 then 'DOC' else 'DOCX' end as format, case doc_id % 6 when 0 then 'error' when 1 then 'error' when 2 then 'ocr' when 3 then 'ocr' when 4 then 'error' end as error_kind,
+ case when doc_id % 6 = 5 then case when regexp_full_match(text, '\\s*') then '' else text || chr(10) end end as text from c"""
+)
 def damaged_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cut, locked and broken files among sound ones: each ends as a row of its own, none fails the job."""
     def run(batches):
@@ -301,4 +310,4 @@ def damaged_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = view(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\r]", "").alias("text"))
     found = extract.extracted(docs.mapInArrow(run, "id long, data binary"))
-    return found.select("id", "format", "error_kind", F.col("text").isNotNull().alias("has_text"))
+    return found.select("id", "format", "error_kind", "text")

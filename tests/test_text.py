@@ -135,6 +135,18 @@ def test_docx(spark):
     assert extract.read_docx(out.getvalue()) == "One\nTwo & <x>\na\n"
 
 
+def test_text_boxes_and_other_parts_of_paragraphs():
+    """Boxes, deletions and content controls aren't text of a paragraph; links, fields, insertions and note marks are."""
+    assert extract.read_docx(docx_bytes(["Before after", "x"], [["a", "b"]], rich=True)) == "Before after\nx\na\tb\n"
+    body = (
+        "<w:p><w:r><w:t>a</w:t><w:tab/><w:t>b</w:t><w:br/></w:r><w:sdt><w:sdtContent><w:r><w:t>control</w:t></w:r></w:sdtContent></w:sdt><w:ins><w:r><w:t>c</w:t></w:r></w:ins><w:fldSimple><w:r><w:t>d</w:t></w:r></w:fldSimple>"
+        "<w:smartTag><w:hyperlink><w:r><w:t>e</w:t></w:r></w:hyperlink></w:smartTag><w:moveFrom><w:r><w:t>moved</w:t></w:r></w:moveFrom><w:r><w:instrText>PAGE</w:instrText><w:footnoteReference w:id='2'/></w:r></w:p>"
+        "<w:sdt><w:sdtContent><w:p><w:r><w:t>control</w:t></w:r></w:p></w:sdtContent></w:sdt>"
+    )
+    data = zip_of(f"<w:document xmlns:w='http://schemas.openxmlformats.org/wordprocessingml/2006/main'><w:body>{body}</w:body></w:document>".encode())
+    assert extract.read_docx(data) == "a\tb\ncde[footnoteRef:2]\n"
+
+
 def doc_bytes(parts: list[tuple[str, dict]], flags: int = 0x0200, ident: int = 0xA5EC, version: int = 193) -> bytes:
     """A small binary word document: paragraphs with their marks and property changes, the text half in bytes, half in units."""
     import struct
