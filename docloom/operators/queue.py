@@ -2,7 +2,8 @@
 
 A queue is a table of `schema.QUEUE`; `now` is always given, never read from a clock, so that every step can be
 repeated. An owner's outcome counts only while its lease holds: id, owner and claim token must all match, else the row
-stays as it is. A queue lives as versioned snapshots with one writer (`sources.snapshots`).
+stays as it is. A queue lives as a log of changes with many writers (`sources.changelog`), or as snapshots with one
+(`sources.snapshots`). Functions named `..._rows` return only the rows that change.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.functions.text import short_error, truncated
+from docloom.functions.text import short_error, size_route, truncated
 from docloom.schema import DONE, EMPTY_MESSAGE, ERROR, MISSING_MESSAGE, NEW, PROCESSING, TERMINAL_RETRIES, Settings
 
 EPOCH_2000 = 946_684_800
@@ -48,9 +49,10 @@ def claim_order() -> list[Column]:
     return [rank.asc(), age.asc(), F.col("created_at").desc(), F.col("id").asc()]
 
 
-def claim(queue: DataFrame, now: Column, limit: int, cfg: Settings = Settings()) -> DataFrame:
-    """The next `limit` tasks: a distributed top-k, not a sort of the queue."""
-    return queue.where(eligible(now, cfg)).orderBy(*claim_order()).limit(limit)
+def claim(queue: DataFrame, now: Column, limit: int | None, cfg: Settings = Settings()) -> DataFrame:
+    """The next `limit` tasks: a distributed top-k, not a sort of the queue; without a limit all that can be claimed, a filter."""
+    able = queue.where(eligible(now, cfg))
+    return able if limit is None else able.orderBy(*claim_order()).limit(limit)
 
 
 def leased(queue: DataFrame, picked: DataFrame, owner: str, token: str, now: Column) -> DataFrame:
@@ -100,8 +102,43 @@ def settled(queue: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
     ).select(*queue.columns)
 
 
-def ingested(queue: DataFrame, candidates: DataFrame, now: Column) -> DataFrame:
-    """The queue with candidates (file_id, file_name) added as new tasks, one for each file id. Ids go on from the largest."""
+def claimed_rows(queue: DataFrame, owner: str, token: str, now: Column, limit: int | None, cfg: Settings = Settings()) -> DataFrame:
+    """The rows that a claim changes: the next `limit` tasks, leased. For tables that are written by their changes."""
+    picked = claim(queue, now, limit, cfg)
+    return leased(picked, picked, owner, token, now)
+
+
+def settled_rows(queue: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
+    """The rows that outcomes can change, settled."""
+    return settled(queue.join(outcomes.select("id").distinct(), "id", "left_semi"), outcomes, now)
+
+
+def renewed_rows(queue: DataFrame, owner: str, now: Column) -> DataFrame:
+    """The leases of an owner, renewed."""
+    return queue.where((F.col("status") == PROCESSING) & (F.col("locked_by") == owner)).withColumn("locked_at", now.cast("timestamp"))
+
+
+def slots(queue: DataFrame, heads: DataFrame, now: Column, cfg: Settings = Settings()) -> DataFrame:
+    """(locked_by, light, heavy, free_light, free_heavy) of each owner with leases that still hold.
+
+    `heads` (id, size_bytes) tells large files, which have slots of their own; a lease without a size is light.
+    """
+    live = queue.where((F.col("status") == PROCESSING) & (F.col("locked_at") >= now - F.make_dt_interval(secs=F.lit(cfg.stale_seconds)))).select("id", "locked_by")
+    sized = live.join(heads.select("id", size_route(F.col("size_bytes"), cfg.heavy_mb).alias("route")), "id", "left")
+    heavy = F.coalesce(F.col("route") == "heavy", F.lit(False))
+    held = sized.groupBy("locked_by").agg(F.count_if(~heavy).alias("light"), F.count_if(heavy).alias("heavy"))
+    free = lambda most, used: F.greatest(F.lit(0).cast("long"), F.lit(most) - F.col(used))
+    return held.withColumns({"free_light": free(cfg.slots, "light"), "free_heavy": free(cfg.heavy_batch, "heavy")})
+
+
+def free_slots(queue: DataFrame, heads: DataFrame, owner: str, now: Column, cfg: Settings = Settings()) -> tuple[int, int]:
+    """(light, heavy) slots that an owner has free: what its next claim may take."""
+    row = slots(queue.where(F.col("locked_by") == owner), heads, now, cfg).first()
+    return (row.free_light, row.free_heavy) if row else (cfg.slots, cfg.heavy_batch)
+
+
+def new_tasks(queue: DataFrame, candidates: DataFrame, now: Column) -> DataFrame:
+    """Candidates (file_id, file_name) that aren't queued as new tasks, one for each file id. Ids go on from the largest."""
     known = queue.select("file_id").distinct()
     fresh = candidates.where("file_id is not null").groupBy("file_id").agg(F.min("file_name").alias("file_name")).join(known, "file_id", "left_anti")
     blank = {f.name: F.lit(None).cast(f.dataType) for f in queue.schema.fields}
@@ -113,7 +150,12 @@ def ingested(queue: DataFrame, candidates: DataFrame, now: Column) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("part").orderBy("file_id"))
     rows = parts.withColumn("rank", rank).join(F.broadcast(before), "part").crossJoin(F.broadcast(top))  # 1024 rows and one row
     new = blank | {"id": F.col("top") + F.col("before") + F.col("rank"), "file_id": F.col("file_id"), "file_name": F.col("file_name"), "status": F.lit(NEW), "retry_count": F.lit(0), "created_at": now}
-    return queue.unionByName(rows.select(*[new[c].cast(queue.schema[c].dataType).alias(c) for c in queue.columns]))
+    return rows.select(*[new[c].cast(queue.schema[c].dataType).alias(c) for c in queue.columns])
+
+
+def ingested(queue: DataFrame, candidates: DataFrame, now: Column) -> DataFrame:
+    """The queue with candidates added as `new_tasks`."""
+    return queue.unionByName(new_tasks(queue, candidates, now))
 
 
 def new_results(queue: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:

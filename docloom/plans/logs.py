@@ -56,9 +56,11 @@ def retry_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policy.verdicts(policy.streaks(view(spark, sf_dir, "vdense"))).select("task_id", "seq", "verdict", "backoff")
 
 
-@query("select cast(n as bigint) as streak, cast(floor(least(900.0, 60 * pow(1.6, greatest(0, n - 1)))) as int) as seconds from range(16) t(n)")
+@query(ctes("vlog") + ", c as (select task_id, count(*) filter (outcome = 'transient') as streak from vlog group by task_id) select task_id, streak, cast(floor(least(900.0, 60 * pow(1.6, greatest(0, streak - 1)))) as int) as seconds from c")
 def backoff_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(16).select(F.col("id").alias("streak"), policy.backoff_seconds(F.col("id")).alias("seconds"))
+    """The full delay after as many failures as each task ever had."""
+    counts = view(spark, sf_dir, "vlog").groupBy("task_id").agg(F.count_if(F.col("outcome") == "transient").alias("streak"))
+    return counts.withColumn("seconds", policy.backoff_seconds(F.col("streak")))
 
 
 @query(

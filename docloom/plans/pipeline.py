@@ -70,20 +70,27 @@ def handed_back(claims: DataFrame, seconds: int, why: str) -> DataFrame:
     return claims.select("id", F.lit("transient").alias("outcome"), F.lit(why).alias("error"), F.lit(seconds).alias("wait"), _none().alias("xml_data"), F.lit(False).alias("tried"))
 
 
-def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries: DataFrame, services: Services, owner: str, token: str, now: Column, cfg: Settings = Settings(), history: History | None = None, cached: DataFrame | None = None) -> Round:
+def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries: DataFrame, services: Services, owner: str, token: str, now: Column, cfg: Settings = Settings(), history: History | None = None, cached: DataFrame | None = None, leases: DataFrame | None = None, heavy_slots: int | None = None) -> Round:
     """Claims a batch and settles each of its tasks once.
 
     Texts that were read for tasks tried again stay in the queue, or, with `cached` (`schema.TEXTS`), in that table: the
     round looks its claims up there and leaves the queue's own `parsed_text` alone, so that a queue carries no texts.
+    With `leases` nothing is claimed: these rows were leased under the token before, and the queue that the round leaves
+    is these rows settled. `heavy_slots` is how many large files the owner can take now.
     """
     spark = tasks.sparkSession
     history = history or History.empty(spark)
     prompt = enrich.assembled_prompt(services.prompt)
-    picked = kept(queue.claim(tasks, now, cfg.batch, cfg), "claims")
-    leased = queue.leased(tasks, picked, owner, token, now)
+    if leases is None:
+        picked = kept(queue.claim(tasks, now, cfg.batch, cfg), "claims")
+        leased = queue.leased(tasks, picked, owner, token, now)
+    else:
+        picked = leased = leases
     claims = leased.where((F.col("claim_token") == token) & (F.col("locked_by") == owner)).select("id", "file_id", "file_name", "claim_token", "parsed_text")
     if cached is not None:
-        known = cached.join(F.broadcast(picked.select("id")), "id", "left_semi").groupBy("id").agg(F.min("parsed_text").alias("known"))  # the claims are a batch at most
+        ids = picked.select("id")
+        ids = F.broadcast(ids) if cfg.batch is not None and cfg.batch <= 100_000 else ids  # the claims are a batch at most
+        known = cached.join(ids, "id", "left_semi").groupBy("id").agg(F.min("parsed_text").alias("known"))
         claims = kept(claims.join(known, "id", "left").withColumn("parsed_text", F.coalesce("known", "parsed_text")).drop("known"), "leases")
     try:
         heads = kept(catalog.headers(claims, files, binaries), "heads")
@@ -94,7 +101,7 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
 
     # large files have a small pool of their own; those that it can't take now go back
     heavy = heads.where(size_route(F.col("size_bytes"), cfg.heavy_mb) == "heavy").select("id")
-    waiting = kept(heavy.join(heavy.orderBy("id").limit(cfg.heavy_batch), "id", "left_anti"), "waiting")
+    waiting = kept(heavy.join(heavy.orderBy("id").limit(cfg.heavy_batch if heavy_slots is None else heavy_slots), "id", "left_anti"), "waiting")
     back = handed_back(waiting, cfg.full_pool_retry_seconds, "The pool of large files is full")
     mine = claims.join(heads.select("id"), "id", "left_semi").join(waiting, "id", "left_anti")
 

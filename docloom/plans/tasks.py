@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from docloom.functions.text import UNWANTED_NAMES, seconds_between
 from docloom.operators import metrics, queue
 from docloom.plans.virtual import KIND, NOW, ctes, now, view
-from docloom.schema import EMPTY_MESSAGE, MISSING_MESSAGE
+from docloom.schema import EMPTY_MESSAGE, MISSING_MESSAGE, Settings
 from docloom.sources import catalog
+from docloom.sources.changelog import ChangeLog
+from docloom.sources.scratch import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -95,6 +97,45 @@ def settled_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return after.select("id", "status", "error_message", "retry_count", "next_attempt_at", "parsed_text", "locked_by", "locked_at", "claim_token", "updated_at")
 
 
+def _logged(table: DataFrame) -> ChangeLog:
+    """A queue as a log of changes, its rows in the base."""
+    spark = table.sparkSession
+    log = ChangeLog(spark, fresh_path(spark, "queue"), ", ".join(f"{n} {kind}" for n, kind in table.dtypes), "id", buckets=8)
+    log.change(lambda _: table)
+    log.compact()
+    return log
+
+
+@query(ctes("vqueue") + _LEASED)
+def claims_by_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue after a claim that was committed as the rows that it changed."""
+    log = _logged(view(spark, sf_dir, "vqueue"))
+    log.change(lambda q: queue.claimed_rows(q, "host/1/abc", "batch-1", now(), 1000), "claim/batch-1")
+    return log.read().select("id", "status", "locked_by", "locked_at", "claim_token", "updated_at")
+
+
+@query(ctes("vqueue", "voutcomes") + _SETTLED)
+def outcomes_by_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue after outcomes that were committed as the rows that they changed, and merged into the buckets that they touch."""
+    log = _logged(view(spark, sf_dir, "vqueue"))
+    log.change(lambda q: queue.settled_rows(q, view(spark, sf_dir, "voutcomes"), now()), "settle/1")
+    log.compact()
+    return log.read().select("id", "status", "error_message", "retry_count", "next_attempt_at", "parsed_text", "locked_by", "locked_at", "claim_token", "updated_at")
+
+
+@query(
+    ctes("vqueue", "vfiles")
+    + f""", live as (select id, locked_by from vqueue where status = 1 and locked_at >= timestamp '{NOW}' - interval 3600 second),
+sized as (select l.id, l.locked_by, coalesce(d.n_chars >= 4096, false) as heavy from live l left join documents d on d.doc_id = l.id),
+held as (select locked_by, count(*) filter (not heavy) as light, count(*) filter (heavy) as heavy from sized group by locked_by)
+select locked_by, light, heavy, greatest(0, 900 - light) as free_light, greatest(0, 60 - heavy) as free_heavy from held"""
+)
+def owner_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leases that each owner holds and the slots that it has free, large files apart."""
+    heads = view(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), (F.col("n_chars") * 256).alias("size_bytes"))
+    return queue.slots(view(spark, sf_dir, "vqueue"), heads, now(), Settings(slots=900, heavy_batch=60, heavy_mb=1))
+
+
 def _one(outcome: str, *columns: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tasks = view(spark, sf_dir, "vqueue")
@@ -199,7 +240,8 @@ def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _binaries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     docs = view(spark, sf_dir, "documents")
     key = F.col("doc_id").cast("string")
-    return docs.select(key.alias("file_id"), key.alias("binary_id")), docs.where("doc_id % 10 <> 7").select(key.alias("id"), F.when(F.col("doc_id") % 5 > 0, F.encode("text", "UTF-8")).alias("data"))
+    stored = F.when(F.col("doc_id") % 10 == 7, F.concat(F.lit("moved-"), key)).otherwise(key)  # not where the catalog says
+    return docs.select(key.alias("file_id"), key.alias("binary_id")), docs.select(stored.alias("id"), F.when(F.col("doc_id") % 5 > 0, F.encode("text", "UTF-8")).alias("data"))
 
 
 _HEADERS = """ select q.id, q.claim_token, cast(q.id as string) as file_id, q.file_name, cast(case when d.doc_id % 5 > 0 then coalesce(strlen(d.text), 0) else 0 end as bigint) as size_bytes

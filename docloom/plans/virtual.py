@@ -26,10 +26,10 @@ TABLES = {
     "vearlier": """select id, cast(cast(file_id as bigint) * 3 as string) as file_id, file_name, status, created_at, retry_count, updated_at, locked_at, next_attempt_at, locked_by, claim_token, error_message, parsed_text from vqueue""",
     "vdense": """select user_id % 40 as task_id, timestamp '2024-01-01 00:00:00' + interval '1' second * (event_id * 20) as ts, event_id as seq, case when event_type = 'error' or event_id % 3 < 2 then 'transient' when event_id % 97 = 0 then 'done' when event_type = 'signup' then 'failed' else 'other' end as outcome,
         case when user_id % 4 = 0 or event_id % 5 = 0 then 'OCR: IsSuccess=false, damaged file' else 'connection failed' end as error, concat('i', cast(user_id % 2 as string)) as instance from events""",
-    "voutcomes": """select event_id as id, concat('w', cast(event_id % 3 as string)) as locked_by, concat('t', cast(case when event_id % 9 = 0 then 7 else event_id % 2 end as string)) as claim_token,
+    "voutcomes": """select case when event_id % 3 < 2 then event_id else event_id + 1000000000000 end as id, concat('w', cast(event_id % 3 as string)) as locked_by, concat('t', cast(case when event_id % 9 = 0 then 7 else event_id % 2 end as string)) as claim_token,
         case event_id % 8 when 0 then 'done' when 1 then 'failed' when 2 then 'empty' when 3 then 'transient' when 4 then 'rejected' when 5 then 'missing' when 6 then 'heartbeat' else 'done' end as outcome,
         case when event_id % 5 = 0 then null else concat(repeat('x', cast(event_id % 700 as int)), ' failed') end as error, cast(60 + event_id % 60 as int) as delay_seconds,
-        concat('<Document>', cast(event_id as string), '</Document>') as xml_data from events where event_id % 3 < 2""",
+        concat('<Document>', cast(event_id as string), '</Document>') as xml_data from events""",
     "vfiles": """select cast(doc_id as string) as file_id, concat('doc_', cast(doc_id as string), case doc_id % 8 when 0 then '.docx' when 1 then '.DOC' when 2 then '.pdf' when 3 then '.txt' when 4 then '' when 5 then '.Pdf '
         when 6 then ' Печатная форма.pdf' else '.tar.gz' end) as file_name, text, n_chars from documents""",
     "vlog": """select user_id as task_id, ts, event_id as seq, case event_type when 'error' then 'transient' when 'purchase' then 'done' when 'signup' then 'failed' else 'other' end as outcome,

@@ -37,7 +37,8 @@ HEADER = (
 class Settings:
     """Deployed values; all can be changed."""
 
-    batch: int = 16
+    batch: int | None = 16  # None: every task that can be claimed
+    slots: int = 20
     max_retries: int = 2
     stale_seconds: int = 3600
     retry_delay_seconds: int = 60

@@ -2,42 +2,13 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POINTER = "version long, mark string, written_at timestamp"
-
+from docloom.sources.changelog import only_missing
 
-class Journal:
-    """An append-only table at a path. Each mark's rows lie in a folder of their own, so a step that runs again replaces its own rows only."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-
-    def read(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.schema).parquet(f"{self.path}/rows-*")
-        except AnalysisException:  # nothing yet
-            return self.spark.createDataFrame([], self.schema)
-
-    def folder(self, mark: str) -> str:
-        name = re.sub(r"[^A-Za-z0-9_.-]", lambda m: f"%{ord(m[0]):02X}", mark)
-        return f"{self.path}/rows-{name}"
-
-    def has(self, mark: str) -> bool:
-        """Whether rows were appended under this mark, if only none."""
-        try:
-            self.spark.read.schema(self.schema).parquet(self.folder(mark))
-        except AnalysisException:
-            return False
-        return True
-
-    def append(self, rows: DataFrame, mark: str) -> None:
-        rows.select(*T.StructType.fromDDL(self.schema).names).write.mode("overwrite").parquet(self.folder(mark))
+POINTER = "version long, mark string, written_at timestamp"
 
 
 class Snapshots:
@@ -51,10 +22,11 @@ class Snapshots:
         return self.spark.read.schema(POINTER).parquet(f"{self.path}/pointer")
 
     def version(self) -> int:
-        try:
-            return self.versions().agg(F.max("version")).first()[0] or 0
-        except AnalysisException:  # no pointer yet
-            return 0
+        none = lambda: self.spark.createDataFrame([], POINTER)
+        found = only_missing(self.versions, none).agg(F.max("version")).first()[0] or 0
+        if not found and not only_missing(lambda: self.spark.read.schema("value string").parquet(f"{self.path}/v=*"), none).isEmpty():
+            raise ValueError(f"{self.path} has versions but no pointer to one")
+        return found
 
     def read(self, version: int | None = None) -> DataFrame:
         version = self.version() if version is None else version

@@ -1,6 +1,7 @@
-"""Continuous operation: micro-batches that carry the same transitions as batch jobs into the next snapshot.
+"""Continuous operation: micro-batches that carry the same transitions as batch jobs into the next version of the tables.
 
-A micro-batch that is run again after a failure finds its mark in the pointer and changes nothing.
+A queue is a `ChangeLog`, which many instances write at once and whose ticks write the rows that change, or `Snapshots`,
+which one instance writes whole. A micro-batch that is run again after a failure finds its mark and changes nothing.
 """
 
 from __future__ import annotations
@@ -13,8 +14,11 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from docloom.operators import metrics, policy, queue
 from docloom.plans.pipeline import History, Services, run_round
-from docloom.schema import ATTEMPTS, MODEL_CALLS, PROCESSING, RESULTS, SERVER_EVENTS, Settings
-from docloom.sources.snapshots import Journal, Snapshots
+from docloom.schema import ATTEMPTS, ERROR, MODEL_CALLS, NEW, PROCESSING, RESULTS, SERVER_EVENTS, TERMINAL_RETRIES, Settings
+from docloom.sources import catalog
+from docloom.sources.changelog import ChangeLog, Journal
+from docloom.sources.scratch import kept
+from docloom.sources.snapshots import Snapshots
 
 #: A micro-batch's time as a column; fixed by the caller in tests.
 Clock = Callable[[DataFrame], Column]
@@ -24,18 +28,24 @@ def clock(_: DataFrame) -> Column:
     return F.current_timestamp()
 
 
-def ingest(candidates: DataFrame, tasks: Snapshots, name: str = "ingest", at: Clock = clock) -> DataStreamWriter:
+def changed(tasks: ChangeLog | Snapshots, mark: str, rows: Callable[[DataFrame], DataFrame], whole: Callable[[DataFrame], DataFrame]) -> None:
+    """The next version of a queue: from the rows that change where it is a log of changes, else from all of it."""
+    if isinstance(tasks, ChangeLog):
+        tasks.change(rows, mark)
+    elif not tasks.has(mark):
+        tasks.write(whole(tasks.read()), mark)
+
+
+def ingest(candidates: DataFrame, tasks: ChangeLog | Snapshots, name: str = "ingest", at: Clock = clock) -> DataStreamWriter:
     """New files (file_id, file_name) become tasks; one that is queued already, or comes twice, does not."""
 
     def step(batch: DataFrame, number: int) -> None:
-        mark = f"{name}/{number}"
-        if not tasks.has(mark):
-            tasks.write(queue.ingested(tasks.read(), batch, at(batch)), mark)
+        changed(tasks, f"{name}/{number}", lambda q: queue.new_tasks(q, batch, at(batch)), lambda q: queue.ingested(q, batch, at(batch)))
 
     return candidates.writeStream.foreachBatch(step).queryName(name)
 
 
-def settle(outcomes: DataFrame, tasks: Snapshots, results: Snapshots | Journal, name: str = "settle", at: Clock = clock) -> DataStreamWriter:
+def settle(outcomes: DataFrame, tasks: ChangeLog | Snapshots, results: Snapshots | Journal, name: str = "settle", at: Clock = clock) -> DataStreamWriter:
     """Outcomes of workers settle their tasks; results are written first, so that a task is done only once its result is there."""
 
     def step(batch: DataFrame, number: int) -> None:
@@ -47,7 +57,7 @@ def settle(outcomes: DataFrame, tasks: Snapshots, results: Snapshots | Journal,
             results.append(queue.new_results(before, batch, when), mark)
         elif not results.has(mark):
             results.write(queue.with_results(results.read(), before, batch, when), mark)
-        tasks.write(queue.settled(before, batch, when), mark)
+        changed(tasks, mark, lambda q: queue.settled_rows(q, batch, when), lambda q: queue.settled(q, batch, when))
 
     return outcomes.writeStream.foreachBatch(step).queryName(name)
 
@@ -66,24 +76,35 @@ class Histories:
             j.append(getattr(seen, name), mark)
 
 
-def poll(ticks: DataFrame, tasks: Snapshots, results: Snapshots | Journal, files: DataFrame, binaries: DataFrame, services: Services, owner: str, cfg: Settings = Settings(), paused: Callable[[], bool] = lambda: False, name: str = "poll", at: Clock = clock, histories: Histories | None = None, texts: Journal | None = None) -> DataStreamWriter:
+def poll(ticks: DataFrame, tasks: ChangeLog | Snapshots, results: Snapshots | Journal, files: DataFrame, binaries: DataFrame, services: Services, owner: str, cfg: Settings = Settings(), paused: Callable[[], bool] = lambda: False, name: str = "poll", at: Clock = clock, histories: Histories | None = None, texts: Journal | None = None) -> DataStreamWriter:
     """A round of processing at each tick of a stream (such as the rate source), unless the caller or the model's breaker pauses it.
 
     The tick's number makes the claim token, so a repeated tick claims under the same one. With `histories`, each round is
     judged by those before it and leaves what it saw there. With a journal for `results` a round writes the results it
     adds only (`queue.latest_results` reads them), and with one of `schema.TEXTS` the queue carries no texts, so that a
     tick writes its batch and the queue's narrow columns.
+
+    On a log of changes a tick commits its claim first, of no more tasks than the owner has slots free, and its outcomes
+    when the round is over; other instances claim and settle between the two.
     """
 
     def step(batch: DataFrame, number: int) -> None:
-        mark, now = f"{name}/{number}", at(batch)
+        many = isinstance(tasks, ChangeLog)
+        mark, now = f"{name}/{owner}/{number}" if many else f"{name}/{number}", at(batch)
+        token = f"{owner}/{mark}"
         if paused() or tasks.has(mark):
             return
         history = histories.read() if histories else None
         if history and services.llm and not policy.paused(history.calls, now, cfg).where("paused").isEmpty():
             return
+        leases = heavy = None
+        if many:
+            claim(tasks, owner, token, cfg.batch, now, cfg, files, binaries, f"claim/{mark}")
+            leases = kept(leased_under(tasks.read(), owner, token), "leases")
+            others = tasks.read().where((F.col("locked_by") == owner) & (F.col("claim_token") != token))
+            heavy = queue.free_slots(others, catalog.headers(others, files, binaries), owner, now, cfg)[1]
         earlier = tasks.spark.createDataFrame([], RESULTS) if isinstance(results, Journal) else results.read()  # what is only added to isn't read
-        done = run_round(tasks.read(), earlier, files, binaries, services, owner, f"{owner}/{mark}", now, cfg, history, texts.read() if texts else None)
+        done = run_round(leases if many else tasks.read(), earlier, files, binaries, services, owner, token, now, cfg, history, texts.read() if texts else None, leases, heavy)
         if isinstance(results, Journal):
             results.append(done.added, mark)
         elif not results.has(mark):
@@ -92,21 +113,33 @@ def poll(ticks: DataFrame, tasks: Snapshots, results: Snapshots | Journal, files
             texts.append(done.texts, mark)
         if histories:
             histories.append(done.seen, mark)
-        tasks.write(done.queue, mark)
+        if many:  # rows whose lease was lost meanwhile stay as they are: the outcomes are fenced
+            tasks.change(lambda q: with_texts(queue.settled_rows(q, done.outcomes, now), done.queue), mark)
+        else:
+            tasks.write(done.queue, mark)
 
     return ticks.writeStream.foreachBatch(step).queryName(name)
 
 
-def heartbeat(ticks: DataFrame, tasks: Snapshots, owner: str, name: str = "heartbeat", at: Clock = clock) -> DataStreamWriter:
+def with_texts(rows: DataFrame, round_queue: DataFrame) -> DataFrame:
+    """Settled rows with the texts that the round read for tasks that are tried again."""
+    read = round_queue.where("parsed_text is not null").select("id", F.col("parsed_text").alias("read_now"))
+    open_ = F.col("status").isin(NEW, ERROR) & (F.col("retry_count") < TERMINAL_RETRIES)
+    return rows.join(read, "id", "left").withColumn("parsed_text", F.coalesce("parsed_text", F.when(open_, F.col("read_now")))).select(*rows.columns)
+
+
+def heartbeat(ticks: DataFrame, tasks: ChangeLog | Snapshots, owner: str, name: str = "heartbeat", at: Clock = clock) -> DataStreamWriter:
     """At each tick, the leases that an owner holds are renewed."""
 
     def step(batch: DataFrame, number: int) -> None:
-        mark = f"{name}/{owner}/{number}"
-        if not tasks.has(mark):
-            before = tasks.read()
+        now = at(batch)
+
+        def whole(before: DataFrame) -> DataFrame:
             held = before.where((F.col("status") == PROCESSING) & (F.col("locked_by") == owner))
             beats = held.select("id", "locked_by", "claim_token", F.lit("heartbeat").alias("outcome"), F.lit(None).cast("string").alias("error"), F.lit(None).cast("int").alias("delay_seconds"), F.lit(None).cast("string").alias("xml_data"))
-            tasks.write(queue.settled(before, beats, at(batch)), mark)
+            return queue.settled(before, beats, now)
+
+        changed(tasks, f"{name}/{owner}/{number}", lambda q: queue.renewed_rows(q, owner, now), whole)
 
     return ticks.writeStream.foreachBatch(step).queryName(name)
 
@@ -133,8 +166,19 @@ def report(ticks: DataFrame, tasks: Snapshots, histories: Histories, servers: tu
     return ticks.writeStream.foreachBatch(step).queryName(name)
 
 
-def claim(tasks: Snapshots, owner: str, token: str, limit: int, now: Column) -> DataFrame:
-    """Leases the next tasks in a new snapshot and returns them."""
-    before = tasks.read()
-    tasks.write(queue.leased(before, queue.claim(before, now, limit), owner, token, now), f"claim/{token}")
-    return tasks.read().where((F.col("claim_token") == token) & (F.col("locked_by") == owner))
+def leased_under(tasks: DataFrame, owner: str, token: str) -> DataFrame:
+    return tasks.where((F.col("claim_token") == token) & (F.col("locked_by") == owner) & (F.col("status") == PROCESSING))
+
+
+def claim(tasks: ChangeLog | Snapshots, owner: str, token: str, limit: int | None, now: Column, cfg: Settings = Settings(), files: DataFrame | None = None, binaries: DataFrame | None = None, mark: str | None = None) -> DataFrame:
+    """Leases the next tasks in a new version and returns them. With the catalog's tables, no more than the owner has slots free."""
+
+    def most(q: DataFrame) -> int | None:
+        if files is None or binaries is None:
+            return limit
+        held = q.where((F.col("status") == PROCESSING) & (F.col("locked_by") == owner))
+        free = queue.free_slots(held, catalog.headers(held, files, binaries), owner, now, cfg)[0]
+        return free if limit is None else min(limit, free)
+
+    changed(tasks, mark or f"claim/{token}", lambda q: queue.claimed_rows(q, owner, token, now, most(q), cfg), lambda q: queue.leased(q, queue.claim(q, now, most(q), cfg), owner, token, now))
+    return leased_under(tasks.read(), owner, token)

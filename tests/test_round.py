@@ -15,7 +15,8 @@ from docloom.plans.pipeline import History, Services, run_round
 from docloom.schema import ATTEMPTS, MODEL_CALLS, OUTCOMES, QUEUE, RESULTS, SERVER_EVENTS, TEXTS, Settings
 from docloom.sources import catalog
 from docloom.sources.logs import matching, read_log, token_usage
-from docloom.sources.snapshots import Journal, Snapshots
+from docloom.sources.changelog import ChangeLog, Journal
+from docloom.sources.snapshots import Snapshots
 from docloom.streaming import runner
 
 NOW = datetime(2024, 1, 31)
@@ -230,6 +231,38 @@ def test_poll_with_journals(spark, world, tmp_path):
     assert {r.doc_id: r.xml_data for r in queue.latest_results(results.read()).collect()}[6].rstrip().endswith("overload") and texts.read().count() == 1
 
 
+def test_instances_on_a_log_of_changes(spark, world, tmp_path):
+    """Two instances share a queue: each claims as many tasks as it has slots, settles its own, and a lost lease changes nothing."""
+    tasks, results = ChangeLog(spark, str(tmp_path / "q"), QUEUE, "id", buckets=2), Journal(spark, str(tmp_path / "r"), RESULTS)
+    tasks.change(lambda q: world[0].where("id in (1, 2, 6, 9)"))
+    spark.range(1).coalesce(1).write.parquet(str(tmp_path / "ticks"))
+    ticks = spark.readStream.schema("id long").parquet(str(tmp_path / "ticks"))
+    histories = runner.Histories(spark, str(tmp_path / "h"))
+
+    def tick(k, owner, cfg=Settings(), name="poll"):
+        run = runner.poll(ticks, tasks, results, world[1], world[2], Services(llm=Model(), at_once=2), owner, cfg, name=name, at=lambda _: at(), histories=histories).option("checkpointLocation", str(tmp_path / f"cp{k}")).trigger(availableNow=True).start()
+        assert run.awaitTermination(240)
+
+    busy = runner.claim(tasks, "a", "earlier", 1, at())  # a lease that another round of this instance holds
+    assert [r.id for r in busy.collect()] == [1]
+    tick(0, "a", Settings(slots=2))
+    assert {r.id: (r.status, r.locked_by) for r in tasks.read().collect()} == {1: (1, "a"), 2: (3, None), 6: (0, None), 9: (0, None)}
+    version = tasks.version()
+    tick(1, "a", Settings(slots=2))  # a lost checkpoint: the tick's mark is there
+    assert tasks.version() == version
+    tick(2, "b")
+    after = {r.id: r for r in tasks.read().collect()}
+    assert {k: r.status for k, r in after.items()} == {1: 1, 2: 3, 6: 0, 9: 2} and after[6].parsed_text == f"{LONG}\noverload\n" and after[6].next_attempt_at > NOW
+    assert [r.doc_id for r in results.read().collect()] == [9] and {r.instance for r in histories.read().attempts.collect()} == {"a", "b"}
+    late = spark.createDataFrame([(1, "a", "other", "done", None, None, "x")], OUTCOMES)
+    tasks.change(lambda q: queue.settled_rows(q, late, at()))
+    assert {r.id: r.status for r in tasks.read().collect()}[1] == 1
+    for k, step in enumerate((runner.heartbeat(ticks, tasks, "a", at=lambda _: F.lit("2024-01-31 00:30:00").cast("timestamp")), runner.ingest(spark.readStream.schema("file_id string, file_name string").parquet(str(tmp_path / "ticks")), tasks, at=lambda _: at()))):
+        run = step.option("checkpointLocation", str(tmp_path / f"cpx{k}")).trigger(availableNow=True).start()
+        assert run.awaitTermination(240)
+    assert {r.id: r.locked_at for r in tasks.read().collect()}[1] == NOW + timedelta(minutes=30) and tasks.read().count() == 4
+
+
 def test_latest_results(spark):
     rows = [(1, "f", "n", "old", "w", NOW), (1, "f", "n", "new", "w", NOW + timedelta(seconds=1)), (2, "f", "n", "a", "w", NOW), (2, "f", "n", "b", "w", NOW), (None, None, None, None, None, None)]
     got = {r.doc_id: r.xml_data for r in queue.latest_results(spark.createDataFrame(rows, RESULTS)).collect()}
