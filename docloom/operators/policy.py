@@ -41,8 +41,8 @@ def jittered(full: Column, seed: Column) -> Column:
     return (half + F.pmod(F.xxhash64(seed), half + 1)).cast("int")
 
 
-def outages(attempts: DataFrame, minutes: int = 10) -> DataFrame:
-    """The attempts with `outage`: no success of the instance within the last minutes, or ever.
+def outages(attempts: DataFrame, minutes: int = 10, before: DataFrame | None = None) -> DataFrame:
+    """The attempts with `outage`: no success of the instance within the last minutes, or ever. `before` (instance, succeeded) has the last successes before these attempts.
 
     The last success is looked up per minute first and carried over the minutes of an instance, so no window holds more
     than a minute's attempts or an instance's minutes.
@@ -51,32 +51,42 @@ def outages(attempts: DataFrame, minutes: int = 10) -> DataFrame:
     success = F.when(F.col("outcome").isin(*ALIVE), F.col("ts"))
     rows = attempts.withColumn("minute", minute)
     per = rows.groupBy("instance", "minute").agg(F.max(success).alias("last"))
-    before = Window.partitionBy("instance").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select(F.col("instance").alias("i"), F.col("minute").alias("m"), F.max("last").over(before).alias("carried"))
+    above = Window.partitionBy("instance").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(F.col("instance").alias("i"), F.col("minute").alias("m"), F.max("last").over(above).alias("carried"))
     inside = Window.partitionBy("instance", "minute").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("here", F.max(success).over(inside)).join(per, F.col("instance").eqNullSafe(F.col("i")) & (F.col("minute") == F.col("m")))
     last = F.coalesce("here", "carried")
+    if before is not None:
+        rows = rows.join(before.select(F.col("instance").alias("earlier_i"), "succeeded"), F.col("instance").eqNullSafe(F.col("earlier_i")), "left")
+        last = F.coalesce(last, "succeeded")
     quiet = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(last.cast("timestamp")) > minutes * MINUTE * 1_000_000
     return rows.withColumn("outage", last.isNull() | quiet).select(*attempts.columns, "outage")
 
 
-def streaks(attempts: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+def streaks(attempts: DataFrame, cfg: Settings = Settings(), before: DataFrame | None = None, successes: DataFrame | None = None) -> DataFrame:
     """Transient failures with their counts in a row: (task_id, ts, seq, specific, outage, poison, any).
 
     `poison` counts document-specific failures in a row; `any` counts all outside outages. A terminal outcome, or more
-    than the idle time since the last failure, starts both anew.
+    than the idle time since the last failure, starts both anew. Counts go on from `before` (task_id, last, poison0,
+    any0: where each task stood after earlier attempts) and `successes` (as in `outages`).
     """
     by = Window.partitionBy("task_id").orderBy("ts", "seq")
     ended = F.coalesce(F.sum(F.when(F.col("outcome").isin(*TERMINAL), 1).otherwise(0)).over(by), F.lit(0))
-    rows = outages(attempts, cfg.outage_minutes).withColumn("life", ended).where("outcome = 'transient'")
+    rows = outages(attempts, cfg.outage_minutes, successes).withColumn("life", ended).where("outcome = 'transient'")
     rows = rows.withColumn("specific", document_specific(F.col("error")))
+    if before is None:
+        rows = rows.withColumns({"last": F.lit(None).cast("timestamp"), "poison0": F.lit(0), "any0": F.lit(0)})
+    else:
+        rows = rows.join(before.select(F.col("task_id").alias("earlier_t"), "last", "poison0", "any0"), F.col("task_id").eqNullSafe(F.col("earlier_t")), "left").drop("earlier_t")
     life = Window.partitionBy("task_id", "life").orderBy("ts", "seq")
-    gap = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lag("ts").over(life).cast("timestamp"))
+    previous = F.coalesce(F.lag("ts").over(life).cast("timestamp"), F.when(F.col("life") == 0, F.col("last").cast("timestamp")))
+    gap = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(previous)
     rows = rows.withColumn("idle", F.sum(F.when(gap > cfg.idle_minutes * MINUTE * 1_000_000, 1).otherwise(0)).over(life))
     streak = Window.partitionBy("task_id", "life", "idle").orderBy("ts", "seq")
     rows = rows.withColumn("breaks", F.sum(F.when(F.col("specific"), 0).otherwise(1)).over(streak)).withColumn("quiet", F.sum(F.col("outage").cast("int")).over(streak))
-    poison = F.sum(F.col("specific").cast("int")).over(Window.partitionBy("task_id", "life", "idle", "breaks").orderBy("ts", "seq"))
-    any_ = F.sum(F.when(F.col("outage"), 0).otherwise(1)).over(Window.partitionBy("task_id", "life", "idle", "quiet").orderBy("ts", "seq"))
+    on = lambda mark, count: F.when((F.col("life") == 0) & (F.col("idle") == 0) & (F.col(mark) == 0), F.coalesce(F.col(count), F.lit(0))).otherwise(0)
+    poison = F.sum(F.col("specific").cast("int")).over(Window.partitionBy("task_id", "life", "idle", "breaks").orderBy("ts", "seq")) + on("breaks", "poison0")
+    any_ = F.sum(F.when(F.col("outage"), 0).otherwise(1)).over(Window.partitionBy("task_id", "life", "idle", "quiet").orderBy("ts", "seq")) + on("quiet", "any0")
     return rows.select("task_id", "ts", "seq", "specific", "outage", poison.alias("poison"), any_.alias("any"))
 
 
@@ -111,10 +121,11 @@ def _with_before(rows: DataFrame, key: str, per: DataFrame) -> DataFrame:
     return rows.join(per, F.col(key).eqNullSafe(F.col("k")) & (F.col("minute") == F.col("m"))).drop("k", "m")
 
 
-def breaker(events: DataFrame, key: str, cfg: Settings = Settings()) -> DataFrame:
+def breaker(events: DataFrame, key: str, cfg: Settings = Settings(), before: DataFrame | None = None) -> DataFrame:
     """The breaker's state at each event (key, ts, seq, ok): failures in a row after it, whether it was paused before, until when it pauses.
 
     The third failure in a row pauses; each further one extends the pause; a success clears both; a pause also just ends.
+    `before` (key, failures0, at0) is where each stood after earlier events: failures in a row, and when the last event was.
     """
     inside = Window.partitionBy(key, "minute").orderBy("ts", "seq")
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
@@ -128,17 +139,24 @@ def breaker(events: DataFrame, key: str, cfg: Settings = Settings()) -> DataFram
     per = rows.groupBy(key, "minute").agg(ends.alias("ends"), F.max(F.struct("ts", "seq")).alias("at"))
     per = per.withColumn("reset", F.sum((F.col("ends.runs") > 0).cast("int")).over(by))
     per = per.withColumn("left", F.sum("ends.within").over(Window.partitionBy(key, "reset").orderBy("minute")))
-    rows = _with_before(rows, key, per.select(key, "minute", F.lag("left").over(by).alias("ends_before"), F.lag("at").over(by).alias("at_before")))
+    kind = dict(events.dtypes)["ts"]
+    if before is None:
+        per = per.withColumns({"failures0": F.lit(None).cast("long"), "at0": F.lit(None).cast(kind)})
+    else:
+        per = per.join(before.select(F.col(key).alias("earlier"), "failures0", "at0"), F.col(key).eqNullSafe(F.col("earlier")), "left").drop("earlier")
+    per = per.withColumn("left", F.col("left") + F.when(F.col("reset") == 0, F.coalesce("failures0", F.lit(0))).otherwise(0))
+    held = F.coalesce(F.lag("left").over(by), "failures0").alias("ends_before")
+    rows = _with_before(rows, key, per.select(key, "minute", held, F.coalesce(F.lag("at.ts").over(by), F.col("at0").cast(kind)).alias("at_before")))
     failures = F.when(F.col("runs") > 0, F.col("within")).otherwise(F.coalesce("ends_before", F.lit(0)) + F.col("within")).cast("long")
     until = lambda n, ts: F.when(n >= cfg.breaker_failures, ts + F.make_dt_interval(secs=F.lit(cfg.breaker_pause_seconds)))
     rows = rows.withColumn("failures", failures).withColumn("paused_until", until(F.col("failures"), F.col("ts")))
-    earlier = F.when(F.lag("ts").over(inside).isNotNull(), F.lag("paused_until").over(inside)).otherwise(until(F.col("ends_before"), F.col("at_before.ts")))
+    earlier = F.when(F.lag("ts").over(inside).isNotNull(), F.lag("paused_until").over(inside)).otherwise(until(F.col("ends_before"), F.col("at_before")))
     rows = rows.withColumn("paused", F.coalesce(F.col("ts") < earlier, F.lit(False)))
     return rows.select(*events.columns, "failures", "paused_until", "paused")
 
 
-def penalties(events: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    """A server's penalties after each event (server, ts, seq, event).
+def penalties(events: DataFrame, cfg: Settings = Settings(), before: DataFrame | None = None) -> DataFrame:
+    """A server's penalties after each event (server, ts, seq, event), on top of those `before` (server, transport0, logical0: until when).
 
     `transport` sets the transport penalty, which a `green` probe clears; `refusal` extends the logical one, which only
     time ends. `ready` is whether the server may be asked right then.
@@ -146,12 +164,16 @@ def penalties(events: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     until = F.col("ts") + F.make_dt_interval(secs=F.lit(cfg.ocr_cooldown_seconds))
     mark = F.when(F.col("event").isin("transport", "green"), F.struct("ts", "seq", F.when(F.col("event") == "transport", until).alias("until")))
     rows = _by_minute(events, "server").withColumn("mark", mark).withColumn("logical", F.when(F.col("event") == "refusal", until))
-    before = Window.partitionBy("server").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy("server").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
     per = rows.groupBy("server", "minute").agg(F.max("mark").alias("last"), F.max("logical").alias("held"))
-    rows = _with_before(rows, "server", per.select("server", "minute", F.max("last").over(before).alias("mark_before"), F.max("held").over(before).alias("logical_before")))
+    rows = _with_before(rows, "server", per.select("server", "minute", F.max("last").over(above).alias("mark_before"), F.max("held").over(above).alias("logical_before")))
     upto = Window.partitionBy("server", "minute").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
     mark = F.coalesce(F.max("mark").over(upto), F.col("mark_before"))
-    rows = rows.withColumn("transport_until", mark["until"]).withColumn("logical_until", F.greatest(F.max("logical").over(upto), "logical_before"))
+    transport, logical = mark["until"], F.greatest(F.max("logical").over(upto), "logical_before")
+    if before is not None:
+        rows = rows.join(before.select(F.col("server").alias("earlier"), "transport0", "logical0"), F.col("server").eqNullSafe(F.col("earlier")), "left")
+        transport, logical = F.when(mark.isNotNull(), transport).otherwise(F.col("transport0")), F.greatest(logical, "logical0")
+    rows = rows.withColumn("transport_until", transport).withColumn("logical_until", logical)
     held = F.coalesce(F.col("ts") < F.col("transport_until"), F.lit(False)) | F.coalesce(F.col("ts") < F.col("logical_until"), F.lit(False))
     return rows.withColumn("ready", ~held).select(*events.columns, "transport_until", "logical_until", "ready")
 
@@ -185,6 +207,51 @@ def round_verdicts(log: DataFrame, fresh: DataFrame, cfg: Settings = Settings())
     return last.join(tasks, "task_id", "left_semi").select("task_id", "v.verdict", "v.backoff", F.when(F.col("v.verdict") == "poison", F.col("v.poison")).otherwise(F.col("v.any")).alias("streak"))
 
 
+def task_states(attempts: DataFrame, cfg: Settings = Settings(), before: DataFrame | None = None, successes: DataFrame | None = None) -> DataFrame:
+    """(task_id, last, poison0, any0) of each task that new attempts change: where it stands after them; nulls where its streaks ended."""
+    at = F.struct("ts", "seq")
+    ended = attempts.where(F.col("outcome").isin(*TERMINAL)).groupBy("task_id").agg(F.max(at).alias("ended"))
+    failed = streaks(attempts, cfg, before, successes).groupBy("task_id").agg(F.max_by(F.struct("ts", "seq", "poison", "any"), at).alias("f"))
+    both = failed.join(ended, "task_id", "full")
+    open_ = F.col("f").isNotNull() & (F.col("ended").isNull() | (F.col("ended") < F.struct("f.ts", "f.seq")))
+    return both.select("task_id", F.when(open_, F.col("f.ts")).alias("last"), F.when(open_, F.col("f.poison")).alias("poison0"), F.when(open_, F.col("f.any")).alias("any0"))
+
+
+def instance_states(attempts: DataFrame) -> DataFrame:
+    """(instance, succeeded): the last success of each instance among these attempts."""
+    return attempts.where(F.col("outcome").isin(*ALIVE)).groupBy("instance").agg(F.max("ts").alias("succeeded"))
+
+
+def model_states(calls: DataFrame, cfg: Settings = Settings(), before: DataFrame | None = None) -> DataFrame:
+    """(server, failures0, at0) of each model that was called, after these calls."""
+    return latest(breaker(calls, "server", cfg, before).select("server", "ts", "seq", "failures")).select("server", F.col("failures").alias("failures0"), F.col("ts").alias("at0"))
+
+
+def server_states(events: DataFrame, cfg: Settings = Settings(), before: DataFrame | None = None) -> DataFrame:
+    """(server, transport0, logical0) of each server that something was seen of, after these events."""
+    last = latest(penalties(events, cfg, before).select("server", "ts", "seq", "transport_until", "logical_until"))
+    return last.select("server", F.col("transport_until").alias("transport0"), F.col("logical_until").alias("logical0"))
+
+
+def ready_servers(servers: DataFrame, now: Column) -> DataFrame:
+    """(server, ready) of servers by their states."""
+    held = F.coalesce(now < F.col("transport0"), F.lit(False)) | F.coalesce(now < F.col("logical0"), F.lit(False))
+    return servers.select("server", (~held).alias("ready"))
+
+
+def paused_models(models: DataFrame, now: Column, cfg: Settings = Settings()) -> DataFrame:
+    """(server, paused) of models by their states."""
+    until = F.col("at0") + F.make_dt_interval(secs=F.lit(cfg.breaker_pause_seconds))
+    return models.select("server", F.coalesce((F.col("failures0") >= cfg.breaker_failures) & (now < until), F.lit(False)).alias("paused"))
+
+
+def verdicts_after(before: DataFrame, successes: DataFrame, fresh: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """As `round_verdicts`, from where tasks and instances stood instead of the log."""
+    counted = verdicts(streaks(fresh, cfg, before, successes), cfg)
+    last = counted.groupBy("task_id").agg(F.max_by(F.struct("verdict", "backoff", "poison", "any"), F.struct("ts", "seq")).alias("v"))
+    return last.select("task_id", "v.verdict", "v.backoff", F.when(F.col("v.verdict") == "poison", F.col("v.poison")).otherwise(F.col("v.any")).alias("streak"))
+
+
 def latest(states: DataFrame, key: str = "server") -> DataFrame:
     """The last state of each server."""
     return states.groupBy(key).agg(F.max_by(F.struct(*[c for c in states.columns if c != key]), F.struct("ts", "seq")).alias("s")).select(key, "s.*")

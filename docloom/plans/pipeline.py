@@ -7,6 +7,7 @@ zombies are rejected. What the round itself saw is returned, to be appended to t
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -20,6 +21,7 @@ from docloom.operators.extract import Reader, extracted
 from docloom.schema import ATTEMPTS, MODEL_CALLS, SERVER_EVENTS, TEXTS, Settings
 from docloom.sources import catalog
 from docloom.sources.scratch import kept
+from docloom.streaming.policies import Standing
 
 
 @dataclass(frozen=True)
@@ -37,11 +39,32 @@ class Services:
 
 @dataclass(frozen=True)
 class History:
-    """What earlier rounds saw, or what one round adds: attempts of tasks, events of OCR servers, calls of the model."""
+    """What earlier rounds saw, or what one round adds: attempts of tasks, events of OCR servers, calls of the model.
+
+    With `standing` (the states that `streaming.policies` keeps) a round judges by it and reads none of the others.
+    """
 
     attempts: DataFrame
     events: DataFrame
     calls: DataFrame
+    standing: Standing | None = None
+
+    def servers_down(self, servers: tuple[str, ...], now: Column, cfg: Settings) -> tuple[str, ...]:
+        """Those of the servers that may not be asked now."""
+        if self.standing:
+            ready = policy.ready_servers(self.standing.servers.where(F.col("server").isin(*servers)), now)
+        else:
+            ready = policy.standing(self.events.where(F.col("server").isin(*servers)), now, cfg)
+        return tuple(r.server for r in ready.where("not ready").collect())
+
+    def model_paused(self, now: Column, cfg: Settings) -> bool:
+        held = policy.paused_models(self.standing.models, now, cfg) if self.standing else policy.paused(self.calls, now, cfg)
+        return not held.where("paused").isEmpty()
+
+    def verdicts(self, fresh: DataFrame, cfg: Settings) -> DataFrame:
+        if self.standing:
+            return policy.verdicts_after(self.standing.tasks, self.standing.instances, fresh, cfg)
+        return policy.round_verdicts(self.attempts, fresh, cfg)
 
     @staticmethod
     def empty(spark: SparkSession) -> History:
@@ -113,8 +136,9 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
     scans = read.where("error_kind = 'ocr'").select("id")
     events, calls = (spark.createDataFrame([], ddl) for ddl in (SERVER_EVENTS, MODEL_CALLS))
     if services.ocr and services.ocr_servers:
-        down = tuple(r.server for r in policy.standing(history.events.where(F.col("server").isin(*services.ocr_servers)), now, cfg).where("not ready").collect())
-        scanned, asked = enrich.recognized(scans.join(data, "id").join(fresh.select("id", "file_name"), "id"), list(services.ocr_servers), services.ocr, services.at_once, cfg.ocr_tries, down, history.events.count())
+        down = history.servers_down(services.ocr_servers, now, cfg)
+        cursor = zlib.crc32(token.encode()) if history.standing else history.events.count()  # where the round robin goes on
+        scanned, asked = enrich.recognized(scans.join(data, "id").join(fresh.select("id", "file_name"), "id"), list(services.ocr_servers), services.ocr, services.at_once, cfg.ocr_tries, down, cursor)
         kind = F.element_at(F.create_map(*[F.lit(x) for pair in enrich.SERVER_EVENT.items() for x in pair]), F.col("outcome"))
         events = asked.select(F.col("target").alias("server"), now.cast("timestamp").alias("ts"), (F.shiftleft(F.col("attempt").cast("long"), 48) + F.pmod("id", F.lit(1 << 48))).alias("seq"), kind.alias("event"))
     else:
@@ -125,7 +149,7 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
     texts = texts.withColumn("error_kind", F.when(F.col("error_kind").isNull() & too_short(F.col("text"), cfg.min_text_length), "short_text").otherwise(F.col("error_kind")))
 
     good = texts.where("error_kind is null").select("id", "text")
-    if services.llm and policy.paused(history.calls, now, cfg).where("paused").isEmpty():
+    if services.llm and not history.model_paused(now, cfg):
         request = enrich.llm_request(services.model, prompt, F.col("text"), max_chars=cfg.max_text_chars)
         headed, asked = enrich.with_headers(good, request, services.llm, cfg.llm_at_once, cfg.llm_tries)
         calls = asked.where("ok is not null").select(F.lit("chat").alias("server"), now.cast("timestamp").alias("ts"), (F.shiftleft(F.col("attempt").cast("long"), 48) + F.pmod("id", F.lit(1 << 48))).alias("seq"), "ok")
@@ -147,7 +171,7 @@ def _settled(spark: SparkSession, leased: DataFrame, results: DataFrame, endings
     endings = kept(endings, "endings")
     alive = F.when(F.col("outcome").isin(*policy.ALIVE), 0).otherwise(1)  # a success in a round shows that its instance works
     attempt = lambda rows: rows.where("tried").select(F.col("id").alias("task_id"), now.cast("timestamp").alias("ts"), alive.cast("long").alias("seq"), "outcome", "error", F.lit(owner).alias("instance"))
-    verdicts = policy.round_verdicts(history.attempts, attempt(endings), cfg).withColumnRenamed("task_id", "id")
+    verdicts = history.verdicts(attempt(endings), cfg).withColumnRenamed("task_id", "id")
     rows = endings.join(verdicts, "id", "left")
     caught = F.col("tried") & F.col("verdict").isin("poison", "zombie")
     words = F.when(F.col("verdict") == "poison", F.concat(F.lit("Poison document: "), "error")).otherwise(F.concat(F.lit("Zombie: "), F.col("streak").cast("string"), F.lit(" transient failures in a row, the last: "), "error"))

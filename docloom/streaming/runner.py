@@ -7,18 +7,20 @@ which one instance writes whole. A micro-batch that is run again after a failure
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from docloom.operators import metrics, policy, queue
+from docloom.operators import metrics, queue
 from docloom.plans.pipeline import History, Services, run_round
 from docloom.schema import ATTEMPTS, ERROR, MODEL_CALLS, NEW, PROCESSING, RESULTS, SERVER_EVENTS, TERMINAL_RETRIES, Settings
 from docloom.sources import catalog
 from docloom.sources.changelog import ChangeLog, Journal
 from docloom.sources.scratch import kept
 from docloom.sources.snapshots import Snapshots
+from docloom.streaming.policies import Policies
 
 #: A micro-batch's time as a column; fixed by the caller in tests.
 Clock = Callable[[DataFrame], Column]
@@ -63,14 +65,24 @@ def settle(outcomes: DataFrame, tasks: ChangeLog | Snapshots, results: Snapshots
 
 
 class Histories:
-    """The history of rounds at a path, as journals."""
+    """The history of rounds at a path, as journals, and with `states` where everything stands after it, so that a round reads what is new instead of all."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, states: bool = False):
+        self.spark = spark
         self.journals = {name: Journal(spark, f"{path}/{name}", ddl) for name, ddl in (("attempts", ATTEMPTS), ("events", SERVER_EVENTS), ("calls", MODEL_CALLS))}
+        self.states = Policies(spark, f"{path}/states") if states else None
 
     def read(self) -> History:
+        """All of the history."""
         return History(**{name: j.read() for name, j in self.journals.items()})
 
+    def judging(self, cfg: Settings = Settings()) -> History:
+        """What a round judges by: the states, brought up to date, or all of the history."""
+        if not self.states:
+            return self.read()
+        self.states.catch_up(*self.journals.values(), cfg)
+        return replace(History.empty(self.spark), standing=self.states.standing())
+
     def append(self, seen: History, mark: str) -> None:
         for name, j in self.journals.items():
             j.append(getattr(seen, name), mark)
@@ -94,8 +106,8 @@ def poll(ticks: DataFrame, tasks: ChangeLog | Snapshots, results: Snapshots | Jo
         token = f"{owner}/{mark}"
         if paused() or tasks.has(mark):
             return
-        history = histories.read() if histories else None
-        if history and services.llm and not policy.paused(history.calls, now, cfg).where("paused").isEmpty():
+        history = histories.judging(cfg) if histories else None
+        if history and services.llm and history.model_paused(now, cfg):
             return
         leases = heavy = None
         if many:
@@ -144,6 +156,16 @@ def heartbeat(ticks: DataFrame, tasks: ChangeLog | Snapshots, owner: str, name:
     return ticks.writeStream.foreachBatch(step).queryName(name)
 
 
+def evict(ticks: DataFrame, histories: Histories, cfg: Settings = Settings(), name: str = "evict", at: Clock = clock) -> DataStreamWriter:
+    """At each tick, streaks that have been idle for too long end."""
+
+    def step(batch: DataFrame, number: int) -> None:
+        if histories.states:
+            histories.states.evict(at(batch), cfg)
+
+    return ticks.writeStream.foreachBatch(step).queryName(name)
+
+
 def probe(ticks: DataFrame, servers: tuple[str, ...], events: Journal, alive: Callable[[str], bool], name: str = "probe", at: Clock = clock) -> DataStreamWriter:
     """At each tick, every OCR server is asked for a sign of life: `green` clears a transport penalty, none sets one."""
 
