@@ -1,15 +1,14 @@
 """OCR and language-model stages: pluggable clients, answers judged by column expressions, XML validated and repaired.
 
-A client is any picklable object with `ask`. Calls run in Arrow batches on as many partitions as calls may run at once;
-each round of calls is written before it is judged, so a later step never repeats a call. Tasks may run twice after a
-lost executor: clients must bear that, and results count only under a lease (`operators.queue`).
+A client is any picklable object with `ask`. Calls are made in waves (`operators.governed`), their judged answers are
+written, so a later step never repeats a call. Tasks may run twice after a lost executor: clients must bear that, and
+results count only under a lease (`operators.queue`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
-from typing import Protocol
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,32 +16,14 @@ from pyspark.sql import functions as F
 
 from docloom.functions.text import base64_plain, blank, one_line, truncated
 from docloom.functions.xml import REPAIRED, framed, repaired, sanitized
+from docloom.operators.governed import Client, Limits, Pace, Wall, model_calls, server_calls
 from docloom.operators.policy import ENVELOPE_MARKS, exhausted, has_any
-from docloom.sources.scratch import kept
 
 #: Parts of a gateway's error pages.
 GATEWAY_MARKS = ("Server Connection Error", "Bad Gateway")
 COMPLETION = "error struct<message: string>, choices array<struct<finish_reason: string, message: struct<content: string, reasoning_content: string>>>, usage struct<prompt_tokens: int, completion_tokens: int>"
 
 
-class Client(Protocol):
-    def ask(self, target: str, request: str) -> tuple[int, str | None, int]:
-        """(HTTP status, 0 if the connection failed; body; milliseconds)."""
-
-
-def called(requests: DataFrame, client: Client, at_once: int) -> DataFrame:
-    """(id, target, request) -> (id, target, http_status, body, elapsed_ms), on at most `at_once` partitions, written."""
-    types = pa.schema([("id", pa.int64()), ("target", pa.string()), ("http_status", pa.int32()), ("body", pa.string()), ("elapsed_ms", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [client.ask(t, r) for t, r in zip(batch.column("target").to_pylist(), batch.column("request").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("target"), *[pa.array(x, t) for x, t in zip(zip(*got, strict=True), list(types.types)[2:], strict=True)]], schema=types)
-
-    asked = requests.select("id", "target", "request").repartition(at_once, "id").mapInArrow(run, "id long, target string, http_status int, body string, elapsed_ms long")
-    return kept(asked, "calls")
-
-
 # OCR
 
 
@@ -82,34 +63,25 @@ def ocr_answer(http_status: Column, body: Column) -> Column:
 SERVER_EVENT = {"transport_error": "transport", "http_error": "transport", "service_refusal": "refusal", "success": "success", "document_error": "success"}
 
 
-def recognized(files: DataFrame, servers: list[str], client: Client, at_once: int, tries: int = 3, down: tuple[str, ...] = (), cursor: int = 0) -> tuple[DataFrame, DataFrame]:
+def recognized(files: DataFrame, servers: list[str], client: Client, at_once: int, tries: int = 3, down: tuple[str, ...] = (), cursor: int = 0, limits: Limits | None = None, pace: Pace | None = None) -> tuple[DataFrame, DataFrame]:
     """(texts, attempts) of files (id, file_name, data).
 
-    Servers that are `down` (penalised, or dead to a probe) are passed over, which is no attempt. Round k asks, for each
-    file not settled yet, the next server in its rotation from `cursor` on; one that failed is passed over in the rounds
-    after it. A file that is itself at fault settles at once. When no server is left, the error carries the last answer's
-    words and who is up. texts: (id, text, error_kind, error); attempts: (id, target, outcome, error, elapsed_ms, attempt).
+    Servers that are `down` (penalised, or dead to a probe) are passed over, which is no attempt; so are, for the cooldown,
+    those that failed in this batch. An attempt asks the next server in the file's rotation. A file that is itself at
+    fault settles at once. When no server is left, the error carries the last answer's words and who is up. texts: (id,
+    text, error_kind, error); attempts: (id, target, outcome, error, elapsed_ms, attempt, wave, at_ms).
     """
-    out_of_use = set(down)
-    left = files.select("id", F.xxhash64("id").alias("place"), ocr_request(F.col("file_name"), F.col("data")).alias("request"))
-    attempts = files.sparkSession.createDataFrame([], "id long, target string, outcome string, text string, error string, elapsed_ms long, attempt int")
-    for k in range(tries):
-        order = [s for s in servers if s not in out_of_use]
-        if not order:
-            break
-        target = F.element_at(F.array(*map(F.lit, order)), (F.pmod(F.col("place") + cursor + k, F.lit(len(order))) + 1).cast("int"))
-        got = called(left.withColumn("target", target), client, at_once)
-        got = got.withColumn("a", ocr_answer(F.col("http_status"), F.col("body"))).select("id", "target", "a.*", "elapsed_ms", F.lit(k + 1).alias("attempt"))
-        attempts = attempts.unionByName(got)
-        failed = got.where(~F.col("outcome").isin("success", "document_error"))
-        out_of_use |= {r.target for r in failed.select("target").distinct().collect()}  # no more than there are servers
-        left = left.join(failed.select("id"), "id", "left_semi")
+    limits = replace(limits or Limits(per_slot=None), at_once=at_once)
+    answer = ocr_answer(F.col("http_status"), F.col("body"))
+    judged = {"outcome": answer["outcome"], "text": answer["text"], "error": answer["error"]}
+    requests = files.select("id", ocr_request(F.col("file_name"), F.col("data")).alias("request"))
+    every, out_of_use = server_calls(requests, servers, client, judged, "outcome string, text string, error string", limits, tries, pace or Wall(), down, cursor, ("success", "document_error"), ("transport_error", "http_error", "service_refusal"))
     line = F.lit(", ".join(f"{s}={'DOWN' if s in out_of_use else 'UP'}" for s in servers))
-    last = files.select("id").join(attempts.groupBy("id").agg(F.max_by(F.struct("outcome", "text", "error"), "attempt").alias("r")), "id", "left")
+    last = files.select("id").join(every.groupBy("id").agg(F.max_by(F.struct("outcome", "text", "error"), "attempt").alias("r")), "id", "left")
     outcome = F.coalesce("r.outcome", F.lit("none"))
     kind = F.when(outcome != "success", "ocr_unavailable").when(blank(F.col("r.text")), "empty_ocr")
     error = F.when(outcome == "document_error", F.col("r.error")).when(outcome != "success", exhausted(F.col("r.error"), line))
-    return last.select("id", "r.text", kind.alias("error_kind"), error.alias("error")), attempts.drop("text")
+    return last.select("id", "r.text", kind.alias("error_kind"), error.alias("error")), every.drop("text")
 
 
 # language model
@@ -186,25 +158,24 @@ def answer_error(outcome: Column, http_status: Column, body: Column, finish: Col
     return F.when(outcome == "bad_output", F.concat(F.lit("Model: answer ended by "), finish)).when(outcome != "ok", status)
 
 
-def with_headers(texts: DataFrame, request: Column, client: Client, at_once: int = 6, tries: int = 2) -> tuple[DataFrame, DataFrame]:
-    """(headers, calls) of texts (id, text, ...): transient answers are asked again, up to `tries` rounds.
+def with_headers(texts: DataFrame, request: Column, client: Client, at_once: int = 6, tries: int = 2, limits: Limits | None = None, pace: Pace | None = None, failures: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(headers, calls) of texts (id, text, ...): transient answers are asked again, up to `tries` times, after a pause.
 
     headers: (id, xml, error_kind, error, fix); calls: (id, attempt, outcome, elapsed_ms, prompt_tokens, completion_tokens,
-    ok), `ok` telling the breaker whether the model answered, null if an answer tells neither.
+    ok, wave, at_ms), `ok` telling the breaker whether the model answered, null if an answer tells neither. Its outcomes
+    paused and no_slot are attempts without a call. `failures` is how many in a row the breaker counts already.
     """
-    left = texts.select("id", F.lit("chat").alias("target"), request.alias("request"))
-    rounds = []
-    for k in range(tries):
-        got = called(left, client, at_once).withColumn("a", llm_answer(F.col("http_status"), F.col("body")))
-        ok = F.when(F.col("a.breaker_failure"), False).when(F.col("http_status").between(200, 299), True)
-        error = answer_error(F.col("a.outcome"), F.col("http_status"), F.col("body"), F.col("a.finish_reason"))
-        got = got.select("id", "a.*", "elapsed_ms", F.lit(k + 1).alias("attempt"), ok.alias("ok"), error.alias("error"))
-        rounds.append(got)
-        left = left.join(got.where("outcome = 'transient'").select("id"), "id", "left_semi")
-    every = reduce(DataFrame.unionByName, rounds)
+    limits = replace(limits or Limits(per_slot=None), at_once=at_once)
+    a = llm_answer(F.col("http_status"), F.col("body"))
+    ok = F.when(a["breaker_failure"], False).when(F.col("http_status").between(200, 299), True)
+    error = answer_error(a["outcome"], F.col("http_status"), F.col("body"), a["finish_reason"])
+    judged = {n: a[n] for n in ("outcome", "content", "prompt_tokens", "completion_tokens")} | {"ok": ok, "error": error}
+    every = model_calls(texts.select("id", request.alias("request")), client, judged, "outcome string, content string, prompt_tokens int, completion_tokens int, ok boolean, error string", limits, tries, pace or Wall(), failures)
     last = every.groupBy("id").agg(F.max_by(F.struct("outcome", "content", "error"), "attempt").alias("r"))
     valid = validated(last.where("r.outcome = 'ok'").select("id", "r.content"))
-    kind = F.when(F.col("r.outcome") == "transient", "llm_unavailable").when(F.col("r.outcome") == "permanent", "llm_permanent").when(F.col("xml").isNull(), "llm_bad_output")
-    error = F.coalesce("r.error", F.when(F.col("xml").isNull(), F.concat(F.lit("Model: no valid header in: "), one_line(F.col("r.content")))))
+    outcome = F.col("r.outcome")
+    kind = F.when(outcome.isin("transient", "paused", "no_slot"), "llm_unavailable").when(outcome == "permanent", "llm_permanent").when(F.col("xml").isNull(), "llm_bad_output")
+    without = F.when(outcome == "paused", "Model: paused by the breaker").when(outcome == "no_slot", f"Model: no free slot within {limits.slot_wait_ms} ms")
+    error = F.coalesce("r.error", without, F.when(F.col("xml").isNull(), F.concat(F.lit("Model: no valid header in: "), one_line(F.col("r.content")))))
     headers = last.join(valid, "id", "left").select("id", "xml", kind.alias("error_kind"), error.alias("error"), "fix")
-    return headers, every.select("id", "attempt", "outcome", "elapsed_ms", "prompt_tokens", "completion_tokens", "ok")
+    return headers, every.select("id", "attempt", "outcome", "elapsed_ms", "prompt_tokens", "completion_tokens", "ok", "wave", "at_ms")

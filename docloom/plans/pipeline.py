@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from docloom.functions.text import enriched, size_route, too_short
 from docloom.operators import enrich, policy, queue
 from docloom.operators.extract import Reader, extracted
+from docloom.operators.governed import Limits, Pace, Wall
 from docloom.schema import ATTEMPTS, MODEL_CALLS, SERVER_EVENTS, TEXTS, Settings
 from docloom.sources import catalog
 from docloom.sources.scratch import kept
@@ -35,6 +36,7 @@ class Services:
     prompt: str = "Answer with an XML header."
     at_once: int = 6
     readers: dict[str, Reader] = field(default_factory=dict)
+    pace: Pace = field(default_factory=Wall)
 
 
 @dataclass(frozen=True)
@@ -61,6 +63,12 @@ class History:
         held = policy.paused_models(self.standing.models, now, cfg) if self.standing else policy.paused(self.calls, now, cfg)
         return not held.where("paused").isEmpty()
 
+    def model_failures(self, cfg: Settings) -> int:
+        """Failures in a row that the model's breaker counts."""
+        states = self.standing.models if self.standing else policy.model_states(self.calls, cfg)
+        row = states.agg(F.max("failures0")).first()
+        return row[0] or 0
+
     def verdicts(self, fresh: DataFrame, cfg: Settings) -> DataFrame:
         if self.standing:
             return policy.verdicts_after(self.standing.tasks, self.standing.instances, fresh, cfg)
@@ -104,6 +112,7 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
     spark = tasks.sparkSession
     history = history or History.empty(spark)
     prompt = enrich.assembled_prompt(services.prompt)
+    limits = Limits(per_slot=cfg.calls_per_slot, slot_wait_ms=cfg.llm_slot_wait_ms, backoff_ms=cfg.llm_backoff_ms, failures=cfg.breaker_failures, pause_ms=1000 * cfg.breaker_pause_seconds, in_flight=cfg.ocr_in_flight, cooldown_ms=1000 * cfg.ocr_cooldown_seconds)
     if leases is None:
         picked = kept(queue.claim(tasks, now, cfg.batch, cfg), "claims")
         leased = queue.leased(tasks, picked, owner, token, now)
@@ -138,7 +147,7 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
     if services.ocr and services.ocr_servers:
         down = history.servers_down(services.ocr_servers, now, cfg)
         cursor = zlib.crc32(token.encode()) if history.standing else history.events.count()  # where the round robin goes on
-        scanned, asked = enrich.recognized(scans.join(data, "id").join(fresh.select("id", "file_name"), "id"), list(services.ocr_servers), services.ocr, services.at_once, cfg.ocr_tries, down, cursor)
+        scanned, asked = enrich.recognized(scans.join(data, "id").join(fresh.select("id", "file_name"), "id"), list(services.ocr_servers), services.ocr, services.at_once, cfg.ocr_tries, down, cursor, limits, services.pace)
         kind = F.element_at(F.create_map(*[F.lit(x) for pair in enrich.SERVER_EVENT.items() for x in pair]), F.col("outcome"))
         events = asked.select(F.col("target").alias("server"), now.cast("timestamp").alias("ts"), (F.shiftleft(F.col("attempt").cast("long"), 48) + F.pmod("id", F.lit(1 << 48))).alias("seq"), kind.alias("event"))
     else:
@@ -151,7 +160,7 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
     good = texts.where("error_kind is null").select("id", "text")
     if services.llm and not history.model_paused(now, cfg):
         request = enrich.llm_request(services.model, prompt, F.col("text"), max_chars=cfg.max_text_chars)
-        headed, asked = enrich.with_headers(good, request, services.llm, cfg.llm_at_once, cfg.llm_tries)
+        headed, asked = enrich.with_headers(good, request, services.llm, cfg.llm_at_once, cfg.llm_tries, limits, services.pace, history.model_failures(cfg))
         calls = asked.where("ok is not null").select(F.lit("chat").alias("server"), now.cast("timestamp").alias("ts"), (F.shiftleft(F.col("attempt").cast("long"), 48) + F.pmod("id", F.lit(1 << 48))).alias("seq"), "ok")
     elif services.llm:
         headed = good.select("id", _none().alias("xml"), F.lit("llm_unavailable").alias("error_kind"), F.lit("Model: paused by the breaker").alias("error"))

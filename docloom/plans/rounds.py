@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.operators.governed import Stepped
 from docloom.plans.documents import docx_bytes
 from docloom.plans.pdfs import pdf_bytes
 from docloom.plans.pipeline import History, Services, run_round
@@ -82,8 +83,8 @@ def round_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         attempts = attempts.unionByName(row(spark.range(1), F.lit(-1).cast("long"), minutes, "done", F.lit(None)))
     events = spark.createDataFrame([], SERVER_EVENTS).unionByName(spark.range(1).select(F.lit("dead").alias("server"), ago(60).alias("ts"), F.lit(1).cast("long").alias("seq"), F.lit("transport").alias("event")))
     history = History(spark.createDataFrame([], ATTEMPTS).unionByName(attempts), events, spark.createDataFrame([], MODEL_CALLS))
-    services = Services(ocr=RuledOcr(), ocr_servers=("dead", "well", "fine"), llm=RuledModel(), at_once=4)
-    done = run_round(tasks, spark.createDataFrame([], RESULTS), files, binaries, services, "w", "token", now, Settings(batch=None), history)
+    services = Services(ocr=RuledOcr(), ocr_servers=("dead", "well", "fine"), llm=RuledModel(), at_once=4, pace=Stepped())
+    done = run_round(tasks, spark.createDataFrame([], RESULTS), files, binaries, services, "w", "token", now, Settings(batch=None, calls_per_slot=None), history)
     found = done.outcomes.join(done.queue.select("id", "status"), "id").join(done.results.select(F.col("doc_id").alias("id"), F.col("xml_data").alias("stored")), "id", "left")
     start = lambda text: F.when(F.startswith(F.col("error"), F.lit(text)), F.lit(text))
     words = F.coalesce(*map(start, ("Unsupported format RTF", "Poison document: OCR: IsSuccess=false", "Model: HTTP 503: busy", "not a word document")))

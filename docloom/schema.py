@@ -58,6 +58,10 @@ class Settings:
     ocr_tries: int = 3
     llm_tries: int = 2
     llm_at_once: int = 6
+    calls_per_slot: int | None = 1  # in one wave of calls; None: all in one wave
+    llm_slot_wait_ms: int = 120_000
+    llm_backoff_ms: int = 2000
+    ocr_in_flight: int = 4
     header_retry_seconds: int = 60
     full_pool_retry_seconds: int = 10
 

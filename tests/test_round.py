@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from docloom.plans.documents import docx_bytes
 from docloom.plans.pdfs import pdf_bytes
 from docloom.operators import metrics, queue
+from docloom.operators.governed import Stepped
 from docloom.plans.pipeline import History, Services, run_round
 from docloom.schema import ATTEMPTS, MODEL_CALLS, OUTCOMES, QUEUE, RESULTS, SERVER_EVENTS, TEXTS, Settings
 from docloom.sources import catalog
@@ -62,7 +63,7 @@ def world(spark):
 
 
 def test_round(spark, world):
-    services = Services(ocr=Ocr(), ocr_servers=("bad", "good"), llm=Model(), at_once=2)
+    services = Services(ocr=Ocr(), ocr_servers=("bad", "good"), llm=Model(), at_once=2, pace=Stepped())
     done = run_round(world[0], spark.createDataFrame([], RESULTS), world[1], world[2], services, "w", "t1", at())
     got = {r.id: r.outcome for r in done.outcomes.collect()}
     assert got == {1: "done", 2: "empty", 3: "done", 4: "transient", 5: "failed", 6: "transient", 7: "rejected", 8: "missing", 9: "done"}
@@ -84,7 +85,7 @@ def test_rounds_judge_by_their_history(spark, world, tmp_path):
     """Poison and zombies are rejected by the rounds' own attempts, delays grow, penalised servers are passed over, a paused model isn't asked."""
     histories = runner.Histories(spark, str(tmp_path / "h"))
     queue_, results = world[0].where("id in (1, 4, 6)"), spark.createDataFrame([], RESULTS)
-    services, cfg = Services(ocr=Ocr(), ocr_servers=("bad", "good"), llm=Model(), at_once=2), Settings(breaker_failures=99, zombie_retries=10)
+    services, cfg = Services(ocr=Ocr(), ocr_servers=("bad", "good"), llm=Model(), at_once=2, pace=Stepped()), Settings(breaker_failures=99, zombie_retries=10)
     seen = []
     for k in range(10):
         now = F.lit(str(NOW + timedelta(minutes=5 * k))).cast("timestamp")
@@ -109,7 +110,7 @@ def test_penalised_servers_and_a_paused_model(spark, world):
         return History(spark.createDataFrame([], ATTEMPTS), spark.createDataFrame(list(events), SERVER_EVENTS), spark.createDataFrame(list(calls), MODEL_CALLS))
 
     one = world[0].where("id in (1, 3)")
-    services = Services(ocr=Ocr(), ocr_servers=("bad", "good"), llm=Model(), at_once=2)
+    services = Services(ocr=Ocr(), ocr_servers=("bad", "good"), llm=Model(), at_once=2, pace=Stepped())
     run = lambda h, cfg=Settings(): run_round(one, spark.createDataFrame([], RESULTS), world[1], world[2], services, "w", "t", at(), cfg, h)
     done = run(history([("bad", NOW - timedelta(seconds=5), 1, "transport")]))
     assert {r.id: r.outcome for r in done.outcomes.collect()} == {1: "done", 3: "done"} and {r.server for r in done.seen.events.collect()} == {"good"}
@@ -220,7 +221,7 @@ def test_poll_with_journals(spark, world, tmp_path):
         assert run.awaitTermination(240)
 
     assert not texts.has("poll0/0")
-    tick(0, Services(llm=Model(), at_once=2), world[2], "2024-01-31 00:00:00")
+    tick(0, Services(llm=Model(), at_once=2, pace=Stepped()), world[2], "2024-01-31 00:00:00")
     assert texts.has("poll0/0") and [(r.id, r.parsed_text) for r in texts.read().collect()] == [(6, f"{LONG}\noverload\n")]
     after = {r.id: r for r in tasks.read().collect()}
     assert {k: r.status for k, r in after.items()} == {1: 2, 2: 3, 6: 0} and {r.parsed_text for r in after.values()} == {None}
@@ -240,7 +241,7 @@ def test_instances_on_a_log_of_changes(spark, world, tmp_path):
     histories = runner.Histories(spark, str(tmp_path / "h"))
 
     def tick(k, owner, cfg=Settings(), name="poll"):
-        run = runner.poll(ticks, tasks, results, world[1], world[2], Services(llm=Model(), at_once=2), owner, cfg, name=name, at=lambda _: at(), histories=histories).option("checkpointLocation", str(tmp_path / f"cp{k}")).trigger(availableNow=True).start()
+        run = runner.poll(ticks, tasks, results, world[1], world[2], Services(llm=Model(), at_once=2, pace=Stepped()), owner, cfg, name=name, at=lambda _: at(), histories=histories).option("checkpointLocation", str(tmp_path / f"cp{k}")).trigger(availableNow=True).start()
         assert run.awaitTermination(240)
 
     busy = runner.claim(tasks, "a", "earlier", 1, at())  # a lease that another round of this instance holds
