@@ -161,16 +161,16 @@ def answer_error(outcome: Column, http_status: Column, body: Column, finish: Col
 def with_headers(texts: DataFrame, request: Column, client: Client, at_once: int = 6, tries: int = 2, limits: Limits | None = None, pace: Pace | None = None, failures: int = 0) -> tuple[DataFrame, DataFrame]:
     """(headers, calls) of texts (id, text, ...): transient answers are asked again, up to `tries` times, after a pause.
 
-    headers: (id, xml, error_kind, error, fix); calls: (id, attempt, outcome, elapsed_ms, prompt_tokens, completion_tokens,
-    ok, wave, at_ms), `ok` telling the breaker whether the model answered, null if an answer tells neither. Its outcomes
+    headers: (id, xml, error_kind, error, fix); calls: (id, attempt, http_status, outcome, elapsed_ms, prompt_tokens,
+    completion_tokens, ok, wave, at_ms), `ok` telling the breaker whether the model answered, null if an answer tells neither. Its outcomes
     paused and no_slot are attempts without a call. `failures` is how many in a row the breaker counts already.
     """
     limits = replace(limits or Limits(per_slot=None), at_once=at_once)
     a = llm_answer(F.col("http_status"), F.col("body"))
     ok = F.when(a["breaker_failure"], False).when(F.col("http_status").between(200, 299), True)
     error = answer_error(a["outcome"], F.col("http_status"), F.col("body"), a["finish_reason"])
-    judged = {n: a[n] for n in ("outcome", "content", "prompt_tokens", "completion_tokens")} | {"ok": ok, "error": error}
-    every = model_calls(texts.select("id", request.alias("request")), client, judged, "outcome string, content string, prompt_tokens int, completion_tokens int, ok boolean, error string", limits, tries, pace or Wall(), failures)
+    judged = {n: a[n] for n in ("outcome", "content", "prompt_tokens", "completion_tokens")} | {"ok": ok, "error": error}  # the status stays as it is
+    every = model_calls(texts.select("id", request.alias("request")), client, judged, "http_status int, outcome string, content string, prompt_tokens int, completion_tokens int, ok boolean, error string", limits, tries, pace or Wall(), failures)
     last = every.groupBy("id").agg(F.max_by(F.struct("outcome", "content", "error"), "attempt").alias("r"))
     valid = validated(last.where("r.outcome = 'ok'").select("id", "r.content"))
     outcome = F.col("r.outcome")
@@ -178,4 +178,4 @@ def with_headers(texts: DataFrame, request: Column, client: Client, at_once: int
     without = F.when(outcome == "paused", "Model: paused by the breaker").when(outcome == "no_slot", f"Model: no free slot within {limits.slot_wait_ms} ms")
     error = F.coalesce("r.error", without, F.when(F.col("xml").isNull(), F.concat(F.lit("Model: no valid header in: "), one_line(F.col("r.content")))))
     headers = last.join(valid, "id", "left").select("id", "xml", kind.alias("error_kind"), error.alias("error"), "fix")
-    return headers, every.select("id", "attempt", "outcome", "elapsed_ms", "prompt_tokens", "completion_tokens", "ok", "wave", "at_ms")
+    return headers, every.select("id", "attempt", "http_status", "outcome", "elapsed_ms", "prompt_tokens", "completion_tokens", "ok", "wave", "at_ms")

@@ -8,6 +8,7 @@ to OCR) and never fails the job; a format without a reader ends as an error of i
 from __future__ import annotations
 
 import io
+import time
 import zipfile
 from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
@@ -112,10 +113,15 @@ def read_pages(data: bytes | None) -> tuple[list[dict], str | None]:
 
 
 def read_payloads(rows: DataFrame, readers: dict[str, Reader]) -> DataFrame:
-    """(id, format, size, text, error_kind, error, lines) of routed payloads, each read once by the reader of its format; PDF files without one give lines."""
-    types = pa.schema([("id", pa.int64()), ("format", pa.string()), ("size", pa.int64()), ("text", pa.string()), ("error_kind", pa.string()), ("error", pa.string())])
+    """(id, format, size, parse_ms, text, error_kind, error, lines) of routed payloads, each read once by the reader of its format; PDF files without one give lines."""
+    types = pa.schema([("id", pa.int64()), ("format", pa.string()), ("size", pa.int64()), ("parse_ms", pa.int64()), ("text", pa.string()), ("error_kind", pa.string()), ("error", pa.string())])
     line = pa.list_(pa.struct([("page", pa.int32()), ("y", pa.float32()), ("font", pa.float32()), ("chunks", pa.list_(pa.string()))]))
 
+    def timed(*row) -> tuple:
+        begun = time.monotonic()
+        found = one(*row)
+        return int((time.monotonic() - begun) * 1000), *found
+
     def one(fmt: str, data: bytes | None, kind: str | None, error: str | None) -> tuple:
         if kind is not None:
             return None, kind, error, None
@@ -131,12 +137,12 @@ def read_payloads(rows: DataFrame, readers: dict[str, Reader]) -> DataFrame:
             for a in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(a, BATCH_ROWS)
                 data = part.column("data").to_pylist()
-                got = [one(*x) for x in zip(part.column("format").to_pylist(), data, part.column("error_kind").to_pylist(), part.column("error").to_pylist(), strict=True)]
+                got = [timed(*x) for x in zip(part.column("format").to_pylist(), data, part.column("error_kind").to_pylist(), part.column("error").to_pylist(), strict=True)]
                 columns = [part.column("id"), part.column("format"), pa.array([None if d is None else len(d) for d in data], pa.int64())]
-                columns += [pa.array([g[k] for g in got], pa.string()) for k in range(3)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([g[3] for g in got], line)], schema=types.append(pa.field("lines", line)))
+                columns += [pa.array([g[0] for g in got], pa.int64()), *[pa.array([g[k] for g in got], pa.string()) for k in range(1, 4)]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([g[4] for g in got], line)], schema=types.append(pa.field("lines", line)))
 
-    schema = f"id long, format string, size long, text string, error_kind string, error string, lines array<struct<{LINES.replace(' ', ': ').replace(',:', ',')}>>"
+    schema = f"id long, format string, size long, parse_ms long, text string, error_kind string, error string, lines array<struct<{LINES.replace(' ', ': ').replace(',:', ',')}>>"
     return rows.select("id", "data", "format", "error_kind", "error").mapInArrow(run, schema)
 
 
@@ -202,7 +208,7 @@ def ocr_gate(text: Column, parse_error: Column, size: Column, most_mb: int = 12)
 
 
 def extracted(payloads: DataFrame, readers: dict[str, Reader] | None = None, ocr_max_mb: int = 12) -> DataFrame:
-    """(id, format, text, error_kind, error) of payloads (id, data): cached texts should be kept out of it beforehand.
+    """(id, format, text, error_kind, error, parse_ms) of payloads (id, data): cached texts should be kept out of it beforehand.
 
     The payloads are scanned once. `readers` adds to, or replaces, those for DOCX, DOC and PDF; what has no reader is
     `unsupported` and can be tried again once there is one. A PDF file whose text could not be read as a whole goes to
@@ -216,7 +222,7 @@ def extracted(payloads: DataFrame, readers: dict[str, Reader] | None = None, ocr
     paged = F.col("paged")
     text = F.when(paged, F.when(F.col("error").isNull() & ~blank(F.col("read")), F.col("read"))).otherwise(F.col("text"))  # a part of a text is none
     kind = F.when(paged, F.when(next_ != "text", next_)).otherwise(F.col("error_kind"))
-    return rows.select("id", "format", text.alias("text"), kind.alias("error_kind"), "error")
+    return rows.select("id", "format", text.alias("text"), kind.alias("error_kind"), "error", "parse_ms")
 
 
 def with_cache(claims: DataFrame, cached: DataFrame, extract: Callable[[DataFrame], DataFrame]) -> DataFrame:

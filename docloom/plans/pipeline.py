@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass, field
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.text import enriched, size_route, too_short
-from docloom.operators import enrich, policy, queue
+from docloom.operators import enrich, metrics, policy, queue
 from docloom.operators.extract import Reader, extracted
 from docloom.operators.governed import Limits, Pace, Wall
 from docloom.schema import ATTEMPTS, MODEL_CALLS, SERVER_EVENTS, TEXTS, Settings
@@ -50,6 +51,7 @@ class History:
     events: DataFrame
     calls: DataFrame
     standing: Standing | None = None
+    samples: DataFrame | None = None  # metrics.SAMPLES of what one round did
 
     def servers_down(self, servers: tuple[str, ...], now: Column, cfg: Settings) -> tuple[str, ...]:
         """Those of the servers that may not be asked now."""
@@ -98,7 +100,7 @@ def _none(kind: str = "string") -> Column:
 
 def handed_back(claims: DataFrame, seconds: int, why: str) -> DataFrame:
     """Claims that go back untried after a fixed delay: no attempt, no failure."""
-    return claims.select("id", F.lit("transient").alias("outcome"), F.lit(why).alias("error"), F.lit(seconds).alias("wait"), _none().alias("xml_data"), F.lit(False).alias("tried"))
+    return claims.select("id", F.lit("transient").alias("outcome"), F.lit(why).alias("error"), F.lit(seconds).alias("wait"), _none().alias("xml_data"), F.lit(False).alias("tried"), _none().alias("detail"))
 
 
 def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries: DataFrame, services: Services, owner: str, token: str, now: Column, cfg: Settings = Settings(), history: History | None = None, cached: DataFrame | None = None, leases: DataFrame | None = None, heavy_slots: int | None = None) -> Round:
@@ -141,6 +143,8 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
     fresh = mine.where("parsed_text is null").select("id", "file_id", "file_name")
     data = catalog.payloads(fresh, files, binaries)
     read = kept(extracted(data, services.readers, cfg.ocr_max_mb), "extracted")
+    times = read.select("id", "parse_ms", _none("long").alias("model_ms"), _none("long").alias("ocr_ms"))
+    samples = [spark.createDataFrame([], metrics.SAMPLES)]
     own = read.where("error_kind is null or error_kind <> 'ocr'").select("id", "text", "error_kind", "error")
     scans = read.where("error_kind = 'ocr'").select("id")
     events, calls = (spark.createDataFrame([], ddl) for ddl in (SERVER_EVENTS, MODEL_CALLS))
@@ -150,6 +154,9 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
         scanned, asked = enrich.recognized(scans.join(data, "id").join(fresh.select("id", "file_name"), "id"), list(services.ocr_servers), services.ocr, services.at_once, cfg.ocr_tries, down, cursor, limits, services.pace)
         kind = F.element_at(F.create_map(*[F.lit(x) for pair in enrich.SERVER_EVENT.items() for x in pair]), F.col("outcome"))
         events = asked.select(F.col("target").alias("server"), now.cast("timestamp").alias("ts"), (F.shiftleft(F.col("attempt").cast("long"), 48) + F.pmod("id", F.lit(1 << 48))).alias("seq"), kind.alias("event"))
+        times = times.unionByName(asked.select("id", _none("long").alias("parse_ms"), _none("long").alias("model_ms"), F.col("elapsed_ms").alias("ocr_ms")))
+        samples.append(metrics.server_samples(asked.select(now.cast("timestamp").alias("ts"), F.col("target").alias("server"), "outcome", "elapsed_ms")))
+        samples.append(metrics.unavailable_samples(scanned.where("error_kind = 'ocr_unavailable'").select(now.cast("timestamp").alias("ts"))))
     else:
         scanned = scans.select("id", _none().alias("text"), F.lit("ocr_unavailable").alias("error_kind"), F.lit("No OCR server").alias("error"))
     apart = cached is not None
@@ -162,6 +169,11 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
         request = enrich.llm_request(services.model, prompt, F.col("text"), max_chars=cfg.max_text_chars)
         headed, asked = enrich.with_headers(good, request, services.llm, cfg.llm_at_once, cfg.llm_tries, limits, services.pace, history.model_failures(cfg))
         calls = asked.where("ok is not null").select(F.lit("chat").alias("server"), now.cast("timestamp").alias("ts"), (F.shiftleft(F.col("attempt").cast("long"), 48) + F.pmod("id", F.lit(1 << 48))).alias("seq"), "ok")
+        times = times.unionByName(asked.select("id", _none("long").alias("parse_ms"), F.col("elapsed_ms").alias("model_ms"), _none("long").alias("ocr_ms")))
+        fixed = asked.join(headed.select("id", "fix"), "id").withColumn("fix", F.when(F.col("outcome") == "ok", F.col("fix")))
+        bad = headed.where("error_kind = 'llm_bad_output'").select("id", F.lit(True).alias("bad"))
+        fixed = fixed.join(bad, "id", "left").withColumn("outcome", F.when(F.col("bad") & (F.col("outcome") == "ok"), "bad_output").otherwise(F.col("outcome")))
+        samples.append(metrics.model_samples(fixed.withColumn("ts", now.cast("timestamp")), cfg.slow_response_ms, cfg.max_tokens))
     elif services.llm:
         headed = good.select("id", _none().alias("xml"), F.lit("llm_unavailable").alias("error_kind"), F.lit("Model: paused by the breaker").alias("error"))
     else:
@@ -170,12 +182,12 @@ def run_round(tasks: DataFrame, results: DataFrame, files: DataFrame, binaries:
     failed = texts.where("error_kind is not null").select("id", "error_kind", "error", _none().alias("xml_data"))
     gone = missing.select("id", "error_kind", _none().alias("error"), _none().alias("xml_data"))
     all_ = ended.unionByName(failed).unionByName(gone).withColumn("c", policy.classified(F.col("error_kind")))
-    tried = all_.select("id", F.col("c.outcome").alias("outcome"), F.coalesce("error", "c.detail").alias("error"), _none("int").alias("wait"), "xml_data", F.lit(True).alias("tried"))
-    seen = History(History.empty(spark).attempts, events, calls)
-    return _settled(spark, leased, results, tried.unionByName(back), texts, apart, seen, history, owner, token, now, cfg)
+    tried = all_.select("id", F.col("c.outcome").alias("outcome"), F.coalesce("error", "c.detail").alias("error"), _none("int").alias("wait"), "xml_data", F.lit(True).alias("tried"), F.col("c.detail").alias("detail"))
+    seen = History(History.empty(spark).attempts, events, calls, samples=reduce(DataFrame.unionByName, samples))
+    return _settled(spark, leased, results, tried.unionByName(back), texts, apart, seen, history, owner, token, now, cfg, times)
 
 
-def _settled(spark: SparkSession, leased: DataFrame, results: DataFrame, endings: DataFrame, texts: DataFrame | None, apart: bool, seen: History, history: History, owner: str, token: str, now: Column, cfg: Settings) -> Round:
+def _settled(spark: SparkSession, leased: DataFrame, results: DataFrame, endings: DataFrame, texts: DataFrame | None, apart: bool, seen: History, history: History, owner: str, token: str, now: Column, cfg: Settings, times: DataFrame | None = None) -> Round:
     """The round after endings (id, outcome, error, wait, xml_data, tried): transient ones are judged by the history, then all settle."""
     endings = kept(endings, "endings")
     alive = F.when(F.col("outcome").isin(*policy.ALIVE), 0).otherwise(1)  # a success in a round shows that its instance works
@@ -185,7 +197,7 @@ def _settled(spark: SparkSession, leased: DataFrame, results: DataFrame, endings
     caught = F.col("tried") & F.col("verdict").isin("poison", "zombie")
     words = F.when(F.col("verdict") == "poison", F.concat(F.lit("Poison document: "), "error")).otherwise(F.concat(F.lit("Zombie: "), F.col("streak").cast("string"), F.lit(" transient failures in a row, the last: "), "error"))
     delay = F.coalesce("wait", policy.jittered(F.coalesce("backoff", policy.backoff_seconds(F.lit(1))), F.concat(F.lit(token), F.col("id").cast("string"))))
-    judged = rows.select("id", F.when(caught, "rejected").otherwise(F.col("outcome")).alias("outcome"), F.when(caught, words).otherwise(F.col("error")).alias("error"), delay.alias("delay_seconds"), "xml_data", "tried")
+    judged = rows.select("id", F.when(caught, "rejected").otherwise(F.col("outcome")).alias("outcome"), F.when(caught, words).otherwise(F.col("error")).alias("error"), delay.alias("delay_seconds"), "xml_data", "tried", F.when(caught, F.col("verdict")).otherwise(F.col("detail")).alias("detail"))
     judged = kept(judged, "outcomes")
     outcomes = judged.select("id", F.lit(owner).alias("locked_by"), F.lit(token).alias("claim_token"), "outcome", "error", "delay_seconds", "xml_data")
     again = spark.createDataFrame([], TEXTS)
@@ -198,4 +210,9 @@ def _settled(spark: SparkSession, leased: DataFrame, results: DataFrame, endings
     else:
         with_texts = leased
     added = queue.new_results(leased, outcomes, now)
-    return Round(queue.settled(with_texts, outcomes, now), queue.with_results(results, leased, outcomes, now), outcomes, History(attempt(judged), seen.events, seen.calls), added, again)
+    times = spark.createDataFrame([], "id long, parse_ms long, model_ms long, ocr_ms long") if times is None else times
+    spent = times.groupBy("id").agg(*[F.sum(c).alias(c) for c in ("parse_ms", "model_ms", "ocr_ms")])
+    ended = judged.join(spent, "id", "left").select(now.cast("timestamp").alias("ts"), F.when(F.col("tried"), F.col("outcome")).alias("outcome"), "detail", "parse_ms", "model_ms", _none("long").alias("load_ms"), sum(F.coalesce(c, F.lit(0)) for c in ("parse_ms", "model_ms", "ocr_ms")).alias("total_ms"))
+    samples = metrics.task_samples(ended, cfg.slow_parse_ms)
+    samples = samples if seen.samples is None else samples.unionByName(seen.samples)
+    return Round(queue.settled(with_texts, outcomes, now), queue.with_results(results, leased, outcomes, now), outcomes, History(attempt(judged), seen.events, seen.calls, samples=samples), added, again)

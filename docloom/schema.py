@@ -62,6 +62,9 @@ class Settings:
     llm_slot_wait_ms: int = 120_000
     llm_backoff_ms: int = 2000
     ocr_in_flight: int = 4
+    slow_response_ms: int = 60_000
+    slow_parse_ms: int = 10_000
+    max_tokens: int = 20_000
     header_retry_seconds: int = 60
     full_pool_retry_seconds: int = 10
 

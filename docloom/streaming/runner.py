@@ -38,11 +38,15 @@ def changed(tasks: ChangeLog | Snapshots, mark: str, rows: Callable[[DataFrame],
         tasks.write(whole(tasks.read()), mark)
 
 
-def ingest(candidates: DataFrame, tasks: ChangeLog | Snapshots, name: str = "ingest", at: Clock = clock) -> DataStreamWriter:
-    """New files (file_id, file_name) become tasks; one that is queued already, or comes twice, does not."""
+def ingest(candidates: DataFrame, tasks: ChangeLog | Snapshots, name: str = "ingest", at: Clock = clock, histories: Histories | None = None) -> DataStreamWriter:
+    """New files (file_id, file_name) become tasks; one that is queued already, or comes twice, does not. On a log of changes, `histories` count them."""
 
     def step(batch: DataFrame, number: int) -> None:
         changed(tasks, f"{name}/{number}", lambda q: queue.new_tasks(q, batch, at(batch)), lambda q: queue.ingested(q, batch, at(batch)))
+        if histories and isinstance(tasks, ChangeLog):
+            added = sum(x[2] for x in tasks.state().deltas if x[3] == f"{name}/{number}")
+            counted = tasks.spark.createDataFrame([(added,)], "n long").withColumn("ts", at(batch).cast("timestamp"))
+            histories.rollups.append(metrics.rolled(metrics.ingest_samples(counted)), f"{name}/{number}")
 
     return candidates.writeStream.foreachBatch(step).queryName(name)
 
@@ -70,6 +74,7 @@ class Histories:
     def __init__(self, spark: SparkSession, path: str, states: bool = False):
         self.spark = spark
         self.journals = {name: Journal(spark, f"{path}/{name}", ddl) for name, ddl in (("attempts", ATTEMPTS), ("events", SERVER_EVENTS), ("calls", MODEL_CALLS))}
+        self.rollups = Journal(spark, f"{path}/rollups", metrics.ROLLUP)
         self.states = Policies(spark, f"{path}/states") if states else None
 
     def read(self) -> History:
@@ -86,6 +91,8 @@ class Histories:
     def append(self, seen: History, mark: str) -> None:
         for name, j in self.journals.items():
             j.append(getattr(seen, name), mark)
+        if seen.samples is not None:
+            self.rollups.append(metrics.rolled(seen.samples), mark)
 
 
 def poll(ticks: DataFrame, tasks: ChangeLog | Snapshots, results: Snapshots | Journal, files: DataFrame, binaries: DataFrame, services: Services, owner: str, cfg: Settings = Settings(), paused: Callable[[], bool] = lambda: False, name: str = "poll", at: Clock = clock, histories: Histories | None = None, texts: Journal | None = None) -> DataStreamWriter:
@@ -182,7 +189,7 @@ def report(ticks: DataFrame, tasks: Snapshots, histories: Histories, servers: tu
 
     def step(batch: DataFrame, number: int) -> None:
         history = histories.read()
-        found = metrics.catalogue(tasks.read(), history.attempts, history.events, history.calls, servers, at(batch), cfg)
+        found = metrics.catalogue(tasks.read(), histories.rollups.read(), history.events, history.calls, servers, at(batch), cfg)
         metrics.exposition(found).coalesce(1).write.mode("overwrite").text(f"{path}/{name}-{number}")  # a line for each metric, whatever the queue's size
 
     return ticks.writeStream.foreachBatch(step).queryName(name)

@@ -132,12 +132,21 @@ def test_penalised_servers_and_a_paused_model(spark, world):
 def test_metric_catalogue(spark, world):
     events = spark.createDataFrame([("a", NOW - timedelta(seconds=5), 1, "refusal")], SERVER_EVENTS)
     calls = spark.createDataFrame([("chat", NOW - timedelta(seconds=10 - k), k, False) for k in range(3)], MODEL_CALLS)
-    found = metrics.catalogue(world[0], spark.createDataFrame([(1, NOW, 1, "failed", "x", "w")], ATTEMPTS), events, calls, ("a", "b"), at())
+    done = run_round(world[0], spark.createDataFrame([], RESULTS), world[1], world[2], Services(ocr=Ocr(), ocr_servers=("bad", "good"), llm=Model(), at_once=2, pace=Stepped()), "w", "t1", at())
+    servers = ("a", "b", "bad", "good")
+    halves = [metrics.rolled(done.seen.samples.where(f"{sign} name like 'llm%'")) for sign in ("", "not")]  # rollups can be merged
+    found = metrics.catalogue(world[0], halves[0].unionByName(halves[1]), events, calls, servers, at())
     got = {(r.name, *sorted(r.labels.items())): r.value for r in found.collect()}
-    assert got["tasks_total", ("outcome", "failed")] == 1 and got["tasks_total", ("outcome", "done")] == 0 and got["queue_depth", ("status", "new")] == 9
-    assert got["ocr_server_up", ("server", "a")] == 0 and got["ocr_servers_available",] == 1 and got["ocr_requests_total", ("outcome", "success"), ("server", "b")] == 0
-    assert got["llm_paused",] == 1 and got["llm_consecutive_failures",] == 3
-    assert "ocr_servers_registered 2.0" in {r.line for r in metrics.exposition(found).collect()}
+    tasks = {k[1:]: v for k, v in got.items() if k[0] == "tasks_total" and v}
+    assert tasks == {(("outcome", "done"),): 3, (("outcome", "empty"),): 1, (("outcome", "transient"),): 2, (("outcome", "missing"),): 1, (("kind", "llm_bad_output"), ("outcome", "failed")): 1, (("outcome", "rejected"), ("reason", "bad_format")): 1}
+    assert got["tasks_claimed_total",] == 9 and got["tasks_total", ("outcome", "rejected"), ("reason", "poison")] == 0 and got["queue_depth", ("status", "new")] == 9 and got["ingest_new_total",] == 0
+    asked = done.seen.events.where("event <> 'green'").count()
+    assert sum(v for k, v in got.items() if k[0] == "ocr_requests_total") == asked and got["ocr_requests_total", ("outcome", "document_error"), ("server", "good")] == 1
+    assert got["ocr_server_up", ("server", "a")] == 0 and got["ocr_servers_available",] == 3 and got["ocr_requests_total", ("outcome", "success"), ("server", "b")] == 0 and got["ocr_unavailable_total",] == 1
+    assert got["llm_paused",] == 1 and got["llm_consecutive_failures",] == 3 and got["llm_requests_total", ("outcome", "server_error")] == 2 and got["llm_requests_total", ("outcome", "success")] == 4
+    assert got["llm_tokens_total", ("type", "prompt")] == 12 and got["llm_xml_repair_total",] == 3 and got["llm_bad_output_total",] == 1 and got["llm_duration_seconds_count",] == 4 and got["llm_last_duration_ms",] == 5
+    assert got["task_duration_seconds_count", ("phase", "model")] == 3 and got["task_duration_seconds_bucket", ("le", "+Inf"), ("phase", "total")] == 9 and got["llm_duration_seconds_bucket", ("le", "0.1")] == 4
+    assert "ocr_servers_registered 4.0" in {r.line for r in metrics.exposition(found).collect()} and len(got) == found.count()
 
 
 def test_triggers(spark, world, tmp_path):
