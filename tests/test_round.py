@@ -206,6 +206,34 @@ def test_logs(spark, tmp_path):
     assert [(r.prompt, r.completion) for r in token_usage(log).collect()] == [(7, 80), (120, 45)]
 
 
+def test_logs_in_blocks(spark, tmp_path):
+    """Files that are cut into many blocks, with messages longer than blocks and files without an entry, give the entries of a whole read."""
+    import random
+
+    from docloom.sources.logs import entries
+
+    rng, texts = random.Random(2), {}
+    for k in range(3):
+        lines = [f"early {i}" for i in range(40)]
+        for i in range(120):
+            lines.append(f"2024-01-01 10:{i // 60:02}:{i % 60:02}.{k} {rng.choice(['INFO', 'ERROR'])} entry {i} of {k}")
+            lines += [f"\tat line {j} of entry {i}" for j in range(rng.choice([0, 0, 1, 3, 200]))]
+        texts[k] = lines
+    texts[3] = ["no entry"] * 500
+    for k, lines in texts.items():
+        (tmp_path / f"{k}.log").write_text("\n".join(lines) + "\n", newline="\r\n" if k == 1 else "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = read_log(spark, str(tmp_path / "*.log"))
+        assert spark.read.text(str(tmp_path / "0.log")).rdd.getNumPartitions() > 10
+        rows = spark.createDataFrame([(str(k), i, x) for k, lines in texts.items() for i, x in enumerate(lines)], "file string, at long, value string")
+        key = lambda df: sorted((r.ts, r.level, r.message) for r in df.collect())
+        assert key(got) == key(entries(rows)) and got.count() == 360
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_poll(spark, world, tmp_path):
     tasks, results = Snapshots(spark, str(tmp_path / "q"), QUEUE), Snapshots(spark, str(tmp_path / "r"), RESULTS)
     tasks.write(world[0].where("id in (1, 2)"))
