@@ -202,6 +202,26 @@ def ingest_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _candidates(spark, sf_dir)
 
 
+_OLD = _CATALOG.replace("from orders)", "from orders where o_orderkey % 7 <> 0)", 1).replace("from lineitem)", "from lineitem where l_linenumber <> 2)").replace("from part)", "from part where p_partkey % 11 <> 0)")
+
+
+@query(
+    ctes("vqueue", "vearlier")
+    + f""", before as (with {_OLD} select file_id from found), after as (with {_CATALOG} select file_id, file_name from found)
+select file_id, min(file_name) as file_name from after where file_id not in (select file_id from before) and file_id not in (select file_id from vearlier) group by file_id"""
+)
+def changed_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What new links, versions and files add to the candidates: found from the cards that they touch, those that were candidates before left out by the queue."""
+    whole, at = _catalog(spark, sf_dir), F.lit("1996-01-01 12:00:00").cast("timestamp_ntz")
+    number = {"link_cards": F.col("card_id").cast("long") % 7 == 0, "doc_files": F.col("version_id").endswith("/2"), "v_files": F.col("instance_id").endswith("/2"), "files": F.col("file_id").cast("long") % 11 == 0}
+    is_new = {t: number.get(t, F.lit(False)) for t in whole}
+    old, new = ({t: df.where(is_new[t] if fresh else ~is_new[t]) for t, df in whole.items()} for fresh in (False, True))
+    queued = view(spark, sf_dir, "vearlier")
+    before = catalog.ingest_candidates(old, queued, KIND, at, lookback_days=400)
+    queued = queue.ingested(queued, before, now())
+    return catalog.candidates_of_changes(whole, new, queued, KIND, at, lookback_days=400)
+
+
 _FRESH = ctes("vqueue", "vearlier") + f", {_CATALOG}, fresh as (select file_id, min(file_name) as file_name from found where file_id not in (select file_id from vearlier) group by file_id)"
 
 

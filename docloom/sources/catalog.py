@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,30 @@ def ingest_candidates(catalog: dict[str, DataFrame], queue: DataFrame, kind: str
     return found.groupBy("file_id").agg(F.min("file_name").alias("file_name")).join(queued.select("file_id").distinct(), "file_id", "left_anti")
 
 
+def changed_cards(catalog: dict[str, DataFrame], changes: dict[str, DataFrame]) -> DataFrame:
+    """(card) of the cards that new rows of any of the catalog's tables can make a candidate's: those they name, and those that their versions and files lead to."""
+    files = changes["files"].select(F.col("file_id").alias("file"))
+    versions = changes["v_files"].select(F.col("instance_id").alias("version")).unionByName(
+        catalog["v_files"].select(F.col("instance_id").alias("version"), F.col("file_id").alias("file")).join(files.distinct(), "file", "left_semi").select("version")
+    )
+    owners = catalog["doc_files"].select(F.col("instance_id").alias("card"), F.col("version_id").alias("version")).join(versions.distinct(), "version", "left_semi").select("card")
+    named = [changes["link_cards"].select(F.col("card_id").alias("card"))] + [changes[t].select(F.col("instance_id").alias("card")) for t in ("card_main_info", "doc_sys", "doc_files")]
+    return reduce(DataFrame.unionByName, named, owners).where("card is not null").distinct()
+
+
+def candidates_of_changes(catalog: dict[str, DataFrame], changes: dict[str, DataFrame], queue: DataFrame, kind: str, now: Column, lookback_days: int = 4, unwanted: tuple[str, ...] = UNWANTED_NAMES) -> DataFrame:
+    """The candidates that the catalog has with the new rows `changes` (which are in it) and hadn't without them, (file_id, file_name).
+
+    Only cards that the new rows touch are joined: what the look-back and the kind leave of them is all that can be new,
+    as a card without a new row was a candidate's before or isn't one now. The tables are reduced by semi joins with those
+    cards, which Spark broadcasts while they are few.
+    """
+    cards = changed_cards(catalog, changes)
+    near = {"link_cards": "card_id", "card_main_info": "instance_id", "doc_sys": "instance_id", "doc_files": "instance_id"}
+    part = {name: catalog[name].join(cards.select(F.col("card").alias(key)), key, "left_semi") for name, key in near.items()}
+    return ingest_candidates(catalog | part, queue, kind, now, lookback_days, unwanted)
+
+
 def headers(claims: DataFrame, files: DataFrame, binaries: DataFrame) -> DataFrame:
     """(id, claim_token, file_id, file_name, size_bytes) of claims with a source; only the payload's length is kept.
 

@@ -22,6 +22,8 @@ from docloom.sources.scratch import kept
 from docloom.sources.snapshots import Snapshots
 from docloom.streaming.policies import Policies
 
+#: How far journals were read.
+MARKS = "name string, version long"
 #: A micro-batch's time as a column; fixed by the caller in tests.
 Clock = Callable[[DataFrame], Column]
 
@@ -51,6 +53,26 @@ def ingest(candidates: DataFrame, tasks: ChangeLog | Snapshots, name: str = "ing
     return candidates.writeStream.foreachBatch(step).queryName(name)
 
 
+def ingest_changes(ticks: DataFrame, changes: dict[str, Journal], tasks: ChangeLog, marks: ChangeLog, kind: str, cfg: Settings = Settings(), name: str = "catalog", at: Clock = clock) -> DataStreamWriter:
+    """At each tick, the files that rows added to the catalog's journals since the last one make candidates become tasks.
+
+    `marks` (schema MARKS) keeps how far each journal was read. It moves after the tasks are there; rows that are read
+    again add nothing, as their files are queued.
+    """
+
+    def step(batch: DataFrame, number: int) -> None:
+        now, seen = at(batch), {r.name: r.version for r in marks.read().collect()}  # a row for each table
+        new = {t: j.since(seen.get(t, 0)) for t, j in changes.items()}
+        if all(version == seen.get(t, 0) for t, (version, _) in new.items()):
+            return
+        catalog_now = {t: j.read(new[t][0]) for t, j in changes.items()}
+        rows = {t: added for t, (_, added) in new.items()}
+        tasks.change(lambda q: queue.new_tasks(q, catalog.candidates_of_changes(catalog_now, rows, q, kind, now, cfg.lookback_days), now))
+        marks.change(lambda _: tasks.spark.createDataFrame([(t, version) for t, (version, _) in new.items()], MARKS))
+
+    return ticks.writeStream.foreachBatch(step).queryName(name)
+
+
 def settle(outcomes: DataFrame, tasks: ChangeLog | Snapshots, results: Snapshots | Journal, name: str = "settle", at: Clock = clock) -> DataStreamWriter:
     """Outcomes of workers settle their tasks; results are written first, so that a task is done only once its result is there."""
 

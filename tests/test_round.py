@@ -198,6 +198,33 @@ def test_catalog(spark, tmp_path):
     assert [r.id for r in catalog.missing_sources(claims, heads).collect()] == [2]
 
 
+def test_ingest_of_changes(spark, tmp_path):
+    """Rows of the catalog's tables that come in any order and late: the tasks after each tick are those of the full joins."""
+    import random
+
+    rng, spread = random.Random(5), {name: [] for name in catalog.SCHEMAS if name != "binaries"}
+    for k in range(40):
+        card = f"c{k}"
+        for name, row in (("link_cards", (card,)), ("card_main_info", (card, rng.choice([0, 0, 0, 1, None]), NOW - timedelta(days=rng.choice([0, 1, 3, 9])))), ("doc_sys", (card, rng.choice(["KIND", "kind", "other"]))), ("doc_files", (card, f"v{k}")), ("v_files", (f"v{k}", f"f{k % 30}"))):
+            spread[name].append((rng.randrange(3), row))
+        if k < 30:
+            spread["files"].append((rng.randrange(3), (f"f{k}", f"n{k}.{rng.choice(['pdf', 'docx', 'txt'])}", f"b{k}")))
+    journals = {name: Journal(spark, str(tmp_path / name), catalog.SCHEMAS[name]) for name in spread}
+    tasks, marks = ChangeLog(spark, str(tmp_path / "q"), QUEUE, "id", buckets=2), ChangeLog(spark, str(tmp_path / "m"), runner.MARKS, "name", buckets=1)
+    spark.range(1).coalesce(1).write.parquet(str(tmp_path / "ticks"))
+    ticks = spark.readStream.schema("id long").parquet(str(tmp_path / "ticks"))
+    counts = []
+    for tick in range(3):
+        for name, rows in spread.items():
+            journals[name].append(spark.createDataFrame([r for t, r in rows if t == tick], catalog.SCHEMAS[name]), f"{name}/{tick}")
+        run = runner.ingest_changes(ticks, journals, tasks, marks, "kind", at=lambda _: at()).option("checkpointLocation", str(tmp_path / f"cp{tick}")).trigger(availableNow=True).start()
+        assert run.awaitTermination(240)
+        full = catalog.ingest_candidates({n: j.read() for n, j in journals.items()}, spark.createDataFrame([], QUEUE), "kind", at())
+        assert sorted((r.file_id, r.file_name) for r in tasks.read().collect()) == sorted((r.file_id, r.file_name) for r in full.collect())
+        counts.append(tasks.read().count())
+    assert counts[0] < counts[2] and tasks.read().select("id").distinct().count() == counts[2]
+
+
 def test_logs(spark, tmp_path):
     (tmp_path / "a.log").write_text("before any\n2024-01-01 10:00:00.123 INFO  [w] tokens 120/45\n  at trace\n2024-01-01T10:01:00 ERROR [w] overload\nnoise\n2024-01-01 10:02:00,5 WARN tokens 7/80\n")
     log = read_log(spark, str(tmp_path / "a.log"))
