@@ -102,7 +102,8 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None, id_col: str =
     """(doc_id, canonical_sha256, license of the whole text or null, n_notices, notices): for every row, `notices` naming the licences of its lines."""
     known = broadcast_if_small(written(catalogue(docs.sparkSession) if known is None else known, "licences"))
     forms = id_and_text(docs, id_col, text_col).select("doc_id", lined(F.col("text")).alias("lines"))
-    lines = F.transform(F.array_distinct(F.split("lines", "\n")), lambda x: F.unhex(F.sha2(F.trim(x), 256)))
+    lines = F.array_distinct(F.transform(F.split("lines", "\n"), lambda x: F.trim(x)))
+    lines = F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.unhex(F.sha2(x, 256)))  # nearly every text has an empty line, which is no notice
     rows = written(forms.select("doc_id", F.sha2(whole(F.col("lines")), 256).alias("digest"), lines.alias("lines")), "forms")
     each = rows.select("doc_id", F.explode("lines").alias("line")).select("doc_id", F.lower(F.hex("line")).alias("digest"))
     found = each.join(known, "digest").groupBy("doc_id").agg(F.array_sort(F.collect_set("license")).alias("names")).withColumnRenamed("doc_id", "id")
