@@ -117,6 +117,7 @@ def quantiles(found: DataFrame, keys: list[str]) -> DataFrame:
 def limits(sketches: DataFrame) -> DataFrame:
     """(lang, source, low and high limit of each ratio) of sketches by lang and source."""
     lang = blended(merged(sketches, ["lang"]), ["lang"], shares(merged(sketches, []), []), [])
+    lang = broadcast_if_small(written(lang, "language-sketches"))  # else a language with millions of sources were one hot key
     found = quantiles(blended(sketches, ["lang", "source"], lang, ["lang"]), ["lang", "source"])
     cells = []
     for name, (_, _, least, sides) in RATIOS.items():
