@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -114,6 +115,14 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def release_memory() -> None:
+    """Gives back to the system what Arrow and the C library keep for later: Python workers live on beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_chunks(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str, text: str = "text") -> DataFrame:
     """`fn` over chunks of the rows, bounded by the bytes of column `text` (if ""; by Arrow's batches); it returns the columns of its result."""
     struct = T.StructType.fromDDL(schema)
@@ -124,6 +133,8 @@ def map_chunks(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schem
             out = fn(chunk)
             if out is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in target], schema=target)
+            chunk = out = None
+        release_memory()
 
     return df.mapInArrow(run, struct)
 
@@ -147,6 +158,8 @@ def annotated(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
             out = fn(chunk)
             new = [pa.array(out[f.name.removeprefix(prefix)], type=target.field(f.name).type) for f in added.fields]
             yield pa.RecordBatch.from_arrays([*chunk.columns, *new], schema=pa.schema([*chunk.schema, *[target.field(f.name) for f in added.fields]]))
+            chunk = out = new = None
+        release_memory()
 
     return df.mapInArrow(run, struct), prefix
 
