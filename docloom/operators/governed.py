@@ -9,6 +9,7 @@ tried again waits for `backoff` times the attempt, without holding a slot.
 
 from __future__ import annotations
 
+import itertools
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,8 +21,6 @@ from pyspark.sql import functions as F
 
 from docloom.sources.scratch import fresh_path
 
-#: Requests up to which waves follow the order of ids; more are dealt out by their hashes.
-IN_ORDER = 10_000
 ANSWERS = "id long, target string, http_status int, body string, elapsed_ms long"
 
 
@@ -114,20 +113,29 @@ class Breaker:
             self.until = -1
 
 
+def numbered(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(rows with their number `nth` in the order of ids from 0 on, how many they are), written by ranges of ids, so no task orders all. The driver gets a count for each range."""
+    spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "numbered")
+    parts = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "id").withColumn("part", F.spark_partition_id())
+    parts.write.parquet(path)
+    parts = spark.read.schema(parts.schema).parquet(path)
+    sizes = sorted((r.part, r.n) for r in parts.groupBy("part").agg(F.count("*").alias("n")).collect())
+    *before, count = itertools.accumulate((n for _, n in sizes), initial=0)
+    table = spark.createDataFrame([(p, b) for (p, _), b in zip(sizes, before, strict=True)], "part int, before long")
+    nth = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy("id")) - 1
+    return parts.join(F.broadcast(table), "part").select(*rows.columns, nth.alias("nth")), count
+
+
 def dealt(requests: DataFrame, wave: int | None) -> tuple[DataFrame, int]:
-    """(requests with `wave`, number of waves), written by wave."""
-    path = fresh_path(requests.sparkSession, "requests")
-    count = requests.count() if wave is not None else 0
-    waves = max(1, -(-count // wave)) if wave is not None else 1
-    if waves == 1:
-        number = F.lit(0)
-    elif count <= IN_ORDER:
-        number = F.floor((F.row_number().over(Window.orderBy("id")) - 1) / wave)
-    else:
-        number = F.pmod(F.xxhash64("id"), F.lit(waves))
-    rows = requests.withColumn("wave", number.cast("int"))
+    """(requests with `wave`, number of waves), written by wave; waves follow the order of ids."""
+    spark, path = requests.sparkSession, fresh_path(requests.sparkSession, "requests")
+    waves, rows = 1, requests.withColumn("wave", F.lit(0))
+    if wave is not None:
+        placed, count = numbered(requests)
+        waves = max(1, -(-count // wave))
+        rows = placed.withColumn("wave", F.floor(F.col("nth") / wave).cast("int")).drop("nth")
     rows.write.partitionBy("wave").parquet(path)
-    return requests.sparkSession.read.schema(rows.schema).parquet(path), waves
+    return spark.read.schema(rows.schema).parquet(path), waves
 
 
 def asked(requests: DataFrame, client: Client) -> DataFrame:

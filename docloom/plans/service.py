@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.operators import enrich, metrics, policy
-from docloom.operators.governed import Limits, Stepped
+from docloom.operators.governed import Limits, Stepped, numbered
 from docloom.plans import logs
 from docloom.plans.virtual import NOW, ctes, now, view
 
@@ -73,13 +73,9 @@ union all select doc_id, 2, wave - 3, case wave when 3 then 'ok' when 4 then 'tr
 )
 def governed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All attempts of calls in ten waves: the fourth waits too long for a slot, which pauses the rest; after the pause between attempts the fifth meets an outage, which pauses it again."""
-    docs = view(spark, sf_dir, "documents")
-    n = docs.count()
+    docs, n = numbered(view(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")))
     each = -(-n // 10)
-    place = lambda k: F.expr(f"percentile_disc({min(1.0, (k + 0.5) / n)}) within group (order by doc_id)")
-    fifth = docs.agg(place(4 * each).alias("low"), place(5 * each - 1).alias("high"))
-    texts = docs.select(F.col("doc_id").alias("id")).crossJoin(F.broadcast(fifth))  # one row
-    texts = texts.select("id", F.when(F.col("id").between(F.col("low"), F.col("high")), "a text of the outage").otherwise("a text").alias("text"))
+    texts = docs.select("id", F.when(F.floor(F.col("nth") / each) == 4, "a text of the outage").otherwise("a text").alias("text"))
     at_once = 5 if each % 5 == 0 else 1
     limits = Limits(per_slot=each // at_once, slot_wait_ms=2500, backoff_ms=2000, failures=3, pause_ms=1500)
     request = enrich.llm_request("model", "Answer.", F.col("text"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docloom.plans.documents import docx_bytes
 from docloom.plans.pdfs import pdf_bytes
 from docloom.operators import metrics, queue
-from docloom.operators.governed import Stepped
+from docloom.operators.governed import Stepped, dealt
 from docloom.plans.pipeline import History, Services, run_round
 from docloom.schema import ATTEMPTS, MODEL_CALLS, OUTCOMES, QUEUE, RESULTS, SERVER_EVENTS, TEXTS, Settings
 from docloom.sources import catalog
@@ -359,3 +359,16 @@ def test_http_client():
     server.shutdown()
     server.server_close()
     assert HttpClient("/ocr", timeout_seconds=2).ask(base, "{}")[:2] == (0, None) and not alive(base)
+
+
+def test_waves_follow_ids_of_many_requests(spark):
+    """Also beyond 10,000 requests, in whatever order and layout they come; the waves are full."""
+    ids = spark.range(20_011).select((F.col("id") * 7919 % 20_011 - 5).alias("id"), F.lit("chat").alias("target"), F.lit("r").alias("request"))
+    rows, waves = dealt(ids.repartition(3), 2000)
+    assert waves == 11
+    assert rows.where(F.floor((F.col("id") + 5) / 2000) != F.col("wave")).count() == 0 and rows.count() == 20_011
+
+
+def test_no_request_no_wave_but_one(spark):
+    rows, waves = dealt(spark.createDataFrame([], "id long, target string, request string"), 5)
+    assert (rows.count(), waves) == (0, 1)
