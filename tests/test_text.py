@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import zlib
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -287,3 +288,27 @@ def test_payloads_are_scanned_once(spark, tmp_path):
     spark.createDataFrame([(1, bytearray(docx_bytes(["Hello"])))], "id long, data binary").write.parquet(str(tmp_path / "p"))
     plan = extract.extracted(spark.read.parquet(str(tmp_path / "p")))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and plan.count("MapInArrow") == 1 and "Exchange" not in plan
+
+
+def test_slices_are_bounded():
+    """By rows and bytes, whatever the batch; no row is lost, one that is larger is by itself."""
+    texts = [None, "", "x" * 5_000_000, *["y" * 100_000] * 50, *["z"] * 100]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    parts = list(extract.sliced(iter([batch.slice(0, 0), batch]), "text"))
+    assert [i for p in parts for i in p.column("id").to_pylist()] == list(range(len(texts)))
+    assert all(p.num_rows <= 32 and (p.num_rows == 1 or sum(len(t or "") for t in p.column("text").to_pylist()) <= 2 << 20) for p in parts)
+
+
+def test_a_batch_of_payloads_is_read_in_slices(spark):
+    """What a task makes of 1,000 texts never stands in memory at once: each slice's rows go on before the next are made."""
+    rows = spark.range(0, 1000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    got = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in extract.sliced(batches, "text")), "n long").toPandas()
+    assert got.n.sum() == 1000 and got.n.max() <= 32
+
+
+def test_line_texts_are_stripped_of_what_java_calls_white(spark):
+    white = "".join(chr(c) for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000)
+    both = spark.createDataFrame([([f"{c}a {c}b{c}{c}", c],) for c in white], "chunks array<string>").select(
+        extract.line_text(F.col("chunks")).alias("ours"),
+        F.expr(r"array_join(filter(transform(chunks, c -> regexp_replace(c, '\\A\\p{javaWhitespace}+|\\p{javaWhitespace}+\\z', '')), c -> c <> ''), ' ')").alias("java"))
+    assert both.where("ours <> java").count() == 0
